@@ -6,6 +6,8 @@ import functools
 import tempfile
 import uuid
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, also where body uses it inside another lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -144,9 +144,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     a null identifier mark words but are not listed. Repeated rows keep their own result rows. An empty
     benchmark leaves every document clean; an empty docs table gives an empty result. Only the named columns are read.
     """
-    spark = docs.sparkSession
-    state = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
+    found = _searched(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")), benchmark, item_col, item_text_col, window, block_bytes)
+    return found.select(F.col("id").alias(id_col), "n_words", "spans", "items", "n_hit")
+
+
+def _searched(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> DataFrame:
+    """(id, n_words, spans, items, n_hit) from (id, text as UTF-8 bytes)."""
+    spark = rows.sparkSession
+    state = rows.select(
+        "id", "text", F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<struct<start:int,stop:int>>").alias("spans"), F.array().cast("array<string>").alias("items"),
     )
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in state.schema.fields])
@@ -159,9 +165,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         state = state.mapInArrow(_pass(spark.sparkContext.broadcast(block), window, after is not None), schema)
         block = after
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + (s["stop"] - s["start"]))
-    return state.select(F.col("id").alias(id_col), "n_words", "spans", "items", n_hit.alias("n_hit"))
+    return state.withColumn("n_hit", n_hit)
 
 
 def is_contaminated(share: int = 20):
     """Column: some word is hit and hit words are at least one in share."""
     return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = 13, share: int = 20, block_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of docs that aren't contaminated, with all their columns; the hit spans of a row come from the same passes as in contamination()."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _searched(docs.select(row.alias("id"), F.col(text_col).cast("binary").alias("text")), benchmark, item_col, item_text_col, window, block_bytes)
+    return found.where(~is_contaminated(share)).select("id.*")

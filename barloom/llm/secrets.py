@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.common import let
+
 # The patterns of the known formats. Kinds are listed in the order that breaks ties.
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -78,11 +80,6 @@ def _upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
@@ -145,9 +142,9 @@ def battery(value: Column) -> Column:
 
         nothing = F.lit(None).cast("double")
         empty = F.struct(s["e"].alias("encoding"), s["count"].alias("symbols"), *[nothing.alias(k) for k in ("p_chi2", "p_runs", "p_serial", "log_p", "bits")])
-        return F.when(known, _let(scores(s), out)).otherwise(empty)
+        return F.when(known, let(scores(s), out)).otherwise(empty)
 
-    return _let(inferred_encoding(value), lambda e: _let(coded(e), lambda c: _let(sums(c), joined)))
+    return let(inferred_encoding(value), lambda e: let(coded(e), lambda c: let(sums(c), joined)))
 
 
 def length_class(symbols: Column) -> Column:
@@ -198,7 +195,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def passes(x: Column) -> Column:
         b = battery(x["value"])
-        return _let(b, lambda b: F.coalesce((b["bits"] >= least_bits) & (b["log_p"] < F.coalesce(F.col("cuts")[length_class(b["symbols"])], F.lit(float("inf")))), F.lit(False)))
+        return let(b, lambda b: F.coalesce((b["bits"] >= least_bits) & (b["log_p"] < F.coalesce(F.col("cuts")[length_class(b["symbols"])], F.lit(float("inf")))), F.lit(False)))
 
     spans = F.array_sort(F.concat("known", tagged("random", F.filter("free", passes))))
     kinds = F.array(*[F.lit(k) for k in KINDS])

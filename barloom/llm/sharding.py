@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import persisted
+from barloom.llm.common import let, persisted
 
 #: Slices of the hash order; the array of atoms has at most twice as many.
 SLICES = 1 << 15
@@ -32,34 +32,63 @@ def minimax_cuts(atoms: DataFrame, shards: int) -> DataFrame:
 
     atoms has a bounded number of rows. Everything below is one array and folds over it.
     """
-    listed = atoms.agg(F.array_sort(F.collect_list(F.struct("position", "size", "rows"))).alias("atoms"))
-    # Atoms larger than the fair share of what is left, taken from the largest: each is a shard of its own.
-    tops = F.expr(f"slice(array_sort(transform(atoms, a -> named_struct('less', -a.size, 'position', a.position))), 1, {shards - 1})")
-    total = F.expr("aggregate(atoms, 0L, (t, a) -> t + a.size)")
-    alone = F.expr(
-        f"""aggregate(tops, named_struct('left', total, 'shards', {shards}, 'open', true, 'alone', CAST(array() AS array<bigint>)),
-            (s, t) -> IF(s.open AND -t.less * s.shards > s.left AND s.shards > 1,
-                named_struct('left', s.left + t.less, 'shards', s.shards - 1, 'open', true, 'alone', concat(s.alone, array(t.position))),
-                named_struct('left', s.left, 'shards', s.shards, 'open', false, 'alone', s.alone)),
-            s -> s.alone)"""
-    )
-    listed = listed.withColumn("tops", tops).withColumn("total", total).withColumn("alone", alone)
-    listed = listed.withColumn("rest", F.expr("filter(atoms, a -> NOT array_contains(alone, a.position))")).withColumn("n", F.lit(shards) - F.size("alone"))
-    listed = listed.withColumn("sizes", F.expr("transform(rest, a -> a.size)")).withColumn("sum", F.expr("aggregate(sizes, 0L, (t, x) -> t + x)"))
-    # Binary search: low never suffices less one, high always suffices.
-    low = F.greatest(F.coalesce(F.array_max("sizes"), F.lit(0)), F.expr("sum div n")).cast("bigint")
-    listed = listed.withColumn("low", low).withColumn("high", F.expr("sum div n + coalesce(array_max(sizes), 0) + 1"))
-    needed = """aggregate(sizes, named_struct('used', 1, 'fill', 0L), (g, x) -> IF(g.fill + x > mid, named_struct('used', g.used + 1, 'fill', x), named_struct('used', g.used, 'fill', g.fill + x)), g -> g.used)"""
-    search = f"""aggregate(sequence(1, 62), named_struct('low', low, 'high', high), (s, i) -> IF(s.low >= s.high, s,
-        element_at(transform(array((s.low + s.high) div 2), mid -> IF({needed} <= n, named_struct('low', s.low, 'high', mid), named_struct('low', mid + 1, 'high', s.high))), 1)), s -> s.high)"""
-    listed = listed.withColumn("capacity", F.expr(search))
-    # The greedy cut at that capacity, as positions where a new shard starts.
-    starts = """aggregate(rest, named_struct('fill', 0L, 'starts', CAST(array() AS array<bigint>)), (g, a) ->
-        IF(g.fill + a.size > capacity OR size(g.starts) = 0, named_struct('fill', a.size, 'starts', concat(g.starts, array(a.position))), named_struct('fill', g.fill + a.size, 'starts', g.starts)), g -> g.starts)"""
-    listed = listed.withColumn("starts", F.expr(starts))
-    shard = """IF(array_contains(alone, a.position), array_position(alone, a.position) - 1, size(alone) + size(filter(starts, p -> p <= a.position)) - 1)"""
-    placed = listed.select(F.explode(F.expr(f"transform(atoms, a -> named_struct('position', a.position, 'rows', a.rows, 'shard', CAST({shard} AS int)))")).alias("a"))
-    return placed.select("a.*")
+    longs = F.array().cast("array<bigint>")
+    number = lambda x: F.lit(x).cast("bigint")
+    fields = lambda **c: F.struct(*[v.alias(k) for k, v in c.items()])
+
+    def alone(listed: Column, total: Column) -> Column:
+        """Positions of atoms larger than the fair share of what is left, taken from the largest: each is a shard of its own."""
+        largest = F.slice(F.array_sort(F.transform(listed, lambda a: fields(less=-a["size"], position=a["position"]))), 1, max(1, shards - 1))
+
+        def take(s: Column, t: Column) -> Column:
+            fits = s["open"] & (-t["less"] * s["shards"] > s["left"]) & (s["shards"] > 1)
+            return F.when(fits, fields(left=s["left"] + t["less"], shards=s["shards"] - 1, open=F.lit(True), found=F.concat(s["found"], F.array(t["position"])))).otherwise(
+                fields(left=s["left"], shards=s["shards"], open=F.lit(False), found=s["found"])
+            )
+
+        return F.aggregate(largest, fields(left=total, shards=number(shards), open=F.lit(True), found=longs), take, lambda s: s["found"])
+
+    def needed(sizes: Column, capacity: Column) -> Column:
+        """Shards that the greedy check fills at this capacity."""
+        def add(g: Column, x: Column) -> Column:
+            over = g["fill"] + x > capacity
+            return fields(used=g["used"] + F.when(over, number(1)).otherwise(number(0)), fill=F.when(over, x).otherwise(g["fill"] + x))
+
+        return F.aggregate(sizes, fields(used=number(1), fill=number(0)), add, lambda g: g["used"])
+
+    def smallest(sizes: Column, n: Column) -> Column:
+        """Binary search: the result always suffices, one less never does."""
+        def halve(s: Column, _: Column) -> Column:
+            mid = F.floor((s["low"] + s["high"]) / 2).cast("bigint")
+            tried = let(mid, lambda m: F.when(needed(sizes, m) <= n, fields(low=s["low"], high=m)).otherwise(fields(low=m + 1, high=s["high"])))
+            return F.when(s["low"] >= s["high"], s).otherwise(tried)
+
+        total, most = F.aggregate(sizes, number(0), lambda t, x: t + x), F.coalesce(F.array_max(sizes), number(0))
+        fair = F.ceil(total / n).cast("bigint")
+        return let(fields(low=F.greatest(most, fair), high=fair + most), lambda start: F.aggregate(F.sequence(F.lit(1), F.lit(62)), start, halve, lambda s: s["high"]))
+
+    def starts(rest: Column, capacity: Column) -> Column:
+        """Positions at which the greedy cut opens a shard."""
+        def add(g: Column, a: Column) -> Column:
+            opens = (g["fill"] + a["size"] > capacity) | (F.size(g["found"]) == 0)
+            return F.when(opens, fields(fill=a["size"], found=F.concat(g["found"], F.array(a["position"])))).otherwise(fields(fill=g["fill"] + a["size"], found=g["found"]))
+
+        return F.aggregate(rest, fields(fill=number(0), found=longs), add, lambda g: g["found"])
+
+    def placed(listed: Column, own: Column, opened: Column) -> Column:
+        def shard(a: Column) -> Column:
+            return F.when(F.array_contains(own, a["position"]), F.array_position(own, a["position"]) - 1).otherwise(F.size(own) + F.size(F.filter(opened, lambda p: p <= a["position"])) - 1)
+
+        return F.transform(listed, lambda a: fields(position=a["position"], rows=a["rows"], shard=shard(a).cast("int")))
+
+    def cut(s: Column) -> Column:
+        listed, own = s["listed"], s["own"]
+        rest = F.filter(listed, lambda a: ~F.array_contains(own, a["position"]))
+        with_rest = let(fields(rest=rest, sizes=F.transform(rest, lambda a: a["size"]), n=shards - F.size(own)), lambda r: let(smallest(r["sizes"], r["n"]), lambda c: starts(r["rest"], c)))
+        return let(with_rest, lambda opened: placed(listed, own, opened))
+
+    one = atoms.agg(F.array_sort(F.collect_list(F.struct("position", "size", "rows"))).alias("listed"), F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("total"))
+    return one.select(F.explode(let(fields(listed=F.col("listed"), own=alone(F.col("listed"), F.col("total"))), cut)).alias("a")).select("a.*")
 
 
 def shard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shards: int = 16, slices: int = SLICES) -> DataFrame:
