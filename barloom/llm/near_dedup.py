@@ -2,18 +2,18 @@
 
 1. Every document becomes the set of 64-bit hashes of its word shingles. Documents with the same set are one class; only one row
    per class goes on, so exact copies cost one narrow row each.
-2. A class gets PERMUTATIONS MinHash samples. They form BANDS bands (the candidate search) and are folded into an odd
-   sketch: a bitmap in which every (sample position, sample value) flips one bit. The XOR of two sketches counts the samples in
-   which they differ, which estimates high similarities precisely.
-3. Classes that share a band hash are candidates. A small bucket pairs its members; a larger one pairs each member with
-   the bucket's few best-connected members. Pairs whose sketches are too far apart go; the rest are confirmed on full sets.
+2. A class gets BANDS x ROWS MinHash samples in BANDS bands. Classes that share a band hash are candidates; only their texts are read
+   again, for full sets and for odd sketches: bitmaps in which every one of SAMPLES further (sample position, sample value) pairs flips
+   one bit. The XOR of two sketches counts the samples in which they differ, which estimates high similarities precisely.
+3. A small bucket pairs its members; a larger one pairs each member with the bucket's few best-connected members. Pairs whose sketches
+   are too far apart go; the rest are confirmed on full sets.
 4. Buckets that still span several components afterwards (few) are compared whole, block by block in numpy on sketches, across
-   components only, and what the sketches let through is confirmed on full sets too. So no link is lost to the
-   choice of the bucket's centres.
+   components only and each pair in its first common bucket only. What the sketches let through is confirmed on full sets too, so no
+   link is lost to the choice of centres.
 5. Components come from min-label propagation with pointer jumping on link tables.
 
-With 5 rows in each of 32 bands, a pair at similarity 0.8 shares no band with probability 3e-6; a pair at 0.8 has an
-estimate under LEAST_ESTIMATE with probability about 1e-6.
+With 5 rows in each of 32 bands, a pair at similarity 0.8 shares no band with probability 3e-6; its estimate has a standard deviation
+of 0.0135 and is under LEAST_ESTIMATE with probability 5e-6.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from barloom.llm.common import persisted
 
 BANDS, ROWS = 32, 5
-PERMUTATIONS = BANDS * ROWS
-SKETCH_WORDS = 16
+#: Samples behind an odd sketch, and its size.
+SAMPLES = 1024
+SKETCH_WORDS = 64
 SKETCH_BITS = 64 * SKETCH_WORDS
-LEAST_ESTIMATE = 0.65
+LEAST_ESTIMATE = 0.74
 #: A bucket of at most this many classes pairs its members; a larger one uses CENTRES of them.
 SMALL_BUCKET, CENTRES = 6, 3
 #: Members of one block in the comparison of whole buckets.
@@ -44,8 +45,10 @@ _RNG = np.random.default_rng(20240229)
 _BYTE_KEY = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
-_MULTIPLY = _RNG.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64)
+_MULTIPLY = _RNG.integers(1, 1 << 63, BANDS * ROWS + SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _RNG.integers(1, 1 << 63, BANDS * ROWS + SAMPLES, dtype=np.uint64)
+#: The first permutations serve the bands, the others the sketch.
+FOR_BANDS, FOR_SKETCH = slice(0, BANDS * ROWS), slice(BANDS * ROWS, None)
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -86,11 +89,13 @@ def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     return np.unique(h)
 
 
-def samples(hashes: np.ndarray) -> np.ndarray:
-    """PERMUTATIONS smallest values of the set under independent multiply-add hashes (high 32 bits)."""
-    best = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 256):
-        part = hashes[at : at + 256, None] * _MULTIPLY + _ADD
+def samples(hashes: np.ndarray, which: slice) -> np.ndarray:
+    """Smallest values of the set under independent multiply-add hashes (40 bits of them)."""
+    multiply, add = _MULTIPLY[which], _ADD[which]
+    best = np.full(len(multiply), np.iinfo(np.uint64).max, np.uint64)
+    step = max(1, 40_000 // len(multiply))
+    for at in range(0, len(hashes), step):
+        part = hashes[at : at + step, None] * multiply + add
         np.minimum(best, part.min(0), out=best)
     return best >> np.uint64(24)
 
@@ -105,14 +110,14 @@ def band_hashes(sample: np.ndarray) -> np.ndarray:
 
 def odd_sketch(sample: np.ndarray) -> np.ndarray:
     """Bit i is the parity of the (position, value) pairs that hash to i; as SKETCH_WORDS signed longs."""
-    bit = _mix(sample * _BASE + np.arange(PERMUTATIONS, dtype=np.uint64)) % np.uint64(SKETCH_BITS)
+    bit = _mix(sample * _BASE + np.arange(len(sample), dtype=np.uint64)) % np.uint64(SKETCH_BITS)
     odd = (np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def _differing_bits(estimate: float) -> int:
     """Set bits of the XOR that a similarity of estimate leads to on average."""
-    differing = 2 * PERMUTATIONS * (1 - estimate)
+    differing = 2 * SAMPLES * (1 - estimate)
     return int(np.ceil(SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** differing) / 2))
 
 
@@ -120,22 +125,14 @@ def _set_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
-            sizes, keys, bands, sketches = [], [], [], []
+            sizes, keys, bands = [], [], []
             for k in range(b.num_rows):
                 h = shingle_hashes(texts[k].as_py(), size)
                 sizes.append(len(h))
-                if not len(h):
-                    keys.append(None), bands.append(None), sketches.append(None)
-                    continue
-                s = samples(h)
                 # Two sums of differently mixed hashes and the size identify the set.
-                keys.append(h.sum().tobytes() + _mix(h + _BASE).sum().tobytes() + len(h).to_bytes(4, "little"))
-                bands.append(band_hashes(s))
-                sketches.append(odd_sketch(s))
-            yield pa.RecordBatch.from_pydict({
-                "id": b.column("id"), "n_shingles": pa.array(sizes, pa.int64()), "key": pa.array(keys, pa.binary()),
-                "bands": pa.array(bands, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.list_(pa.int64())),
-            })
+                keys.append(h.sum().tobytes() + _mix(h + _BASE).sum().tobytes() + len(h).to_bytes(4, "little") if len(h) else None)
+                bands.append(band_hashes(samples(h, FOR_BANDS)) if len(h) else None)
+            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "n_shingles": pa.array(sizes, pa.int64()), "key": pa.array(keys, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64()))})
 
     return run
 
@@ -144,8 +141,12 @@ def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
-            sets = [shingle_hashes(texts[k].as_py(), size).view(np.int64) for k in range(b.num_rows)]
-            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "hashes": pa.array(sets, pa.list_(pa.int64()))})
+            sets, sketches = [], []
+            for k in range(b.num_rows):
+                h = shingle_hashes(texts[k].as_py(), size)
+                sets.append(h.view(np.int64))
+                sketches.append(odd_sketch(samples(h, FOR_SKETCH)))
+            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "hashes": pa.array(sets, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.list_(pa.int64()))})
 
     return run
 
@@ -154,22 +155,16 @@ def _near(a: Column, b: Column, most: int) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x) <= most
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose full sets are similar enough; sketches: (id, n_shingles, sketch) of every class."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose sketches are near and whose full sets are similar enough; sets: (id, hashes, sketch, n)."""
     most = _differing_bits(LEAST_ESTIMATE)
-    first = sketches.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-    second = sketches.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
-    close = pairs.distinct().join(first, "a").join(second, "b").where(
-        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & _near(F.col("sa"), F.col("sb"), most)
-    )
+    one = lambda side, c: sets.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col(c).alias(f"v{side}"))
+    sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    close = pairs.distinct().join(one("a", "sketch"), "a").join(one("b", "sketch"), "b").where(sized & _near(F.col("va"), F.col("vb"), most))
     close = persisted(close.select("a", "b"))
-    wanted = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
-    texts = docs.join(wanted, "id", "left_semi").withColumn("h", F.xxhash64("text")).groupBy("id", "h").agg(F.first("text").alias("text"))
-    sets = persisted(texts.select("id", "text").mapInArrow(_full_sets(size), "id bigint, hashes array<bigint>"))
-    with_b = close.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
-    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
-    shared = F.size(F.array_intersect("ha", "hb"))
-    return both.where(100 * shared >= percent * (F.size("ha") + F.size("hb") - shared)).select("a", "b").distinct()
+    both = close.join(one("b", "hashes"), "b").join(one("a", "hashes"), "a")
+    shared = F.size(F.array_intersect("va", "vb"))
+    return both.where(sized & (100 * shared >= percent * (F.col("na") + F.col("nb") - shared))).select("a", "b").distinct()
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -194,32 +189,35 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _remaining_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) of near sketches in one bucket but in different components; buckets: (bucket, id).
+def _remaining_pairs(buckets: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of near sketches in one bucket but in different components; buckets: (bucket, band, id), members: (id, sketch, bands).
 
-    A bucket is dealt as pairs of blocks of at most BLOCK members on average, so a large one spreads over tasks.
+    A bucket is dealt as pairs of blocks of at most BLOCK members on average, so a large one spreads over tasks. A pair
+    is only reported in the first band that it shares.
     """
     labelled = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where(F.col("low") < F.col("high"))
     open_ = open_.select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.join(open_, "bucket").join(sketches.select("id", "sketch"), "id")
+    rows = labelled.join(open_, "bucket").join(members, "id")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("block", block).withColumn("other", other)
-    rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "sketch")
+    rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "id", "component", "sketch", "bands")
     most = _differing_bits(LEAST_ESTIMATE)
 
     def compare(table: pa.Table) -> pa.Table:
         ids, component, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
-        n = len(ids)
-        sketch = np.array(table.column("sketch").to_pylist(), np.int64).reshape(n, SKETCH_WORDS).view(np.uint64)
+        n, band = len(ids), table.column("band")[0].as_py()
+        flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy().reshape(n, -1)
+        sketch, bands = flat("sketch").view(np.uint64), flat("bands")[:, :band]
         one_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         left, right = [], []
         for k in range(n):
-            far = np.bitwise_count(sketch[k + 1 :] ^ sketch[k]).sum(1)
-            hit = np.flatnonzero((far <= most) & (component[k + 1 :] != component[k]) & ((block[k + 1 :] != block[k]) | one_block)) + k + 1
-            left.append(np.full(len(hit), ids[k]))
-            right.append(ids[hit])
+            rest = np.flatnonzero((component[k + 1 :] != component[k]) & ((block[k + 1 :] != block[k]) | one_block)) + k + 1
+            near = rest[np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1) <= most]
+            new = near[~(bands[near] == bands[k]).any(1)]
+            left.append(np.full(len(new), ids[k]))
+            right.append(ids[new])
         a, b = np.concatenate(left), np.concatenate(right)
         return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
 
@@ -236,32 +234,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each row gets the document's result. An empty table gives an empty result. Other columns are ignored.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    texts = base.where(F.col("id").isNotNull())
-    signed = persisted(base.mapInArrow(_set_rows(shingle_words), "id bigint, n_shingles bigint, key binary, bands array<bigint>, sketch array<bigint>"))
+    signed = persisted(base.mapInArrow(_set_rows(shingle_words), "id bigint, n_shingles bigint, key binary, bands array<bigint>"))
     narrow = signed.select("id", "n_shingles", "key")
-    per_class = signed.where(F.col("key").isNotNull() & F.col("id").isNotNull()).groupBy("key").agg(F.min("id").alias("id"))
-    # The class's own row, once; equal sets have equal bands and sketches.
-    classes = persisted(signed.join(per_class, ["key", "id"]).groupBy("id", "key").agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    sketches = classes.select("id", "n_shingles", "sketch")
+    # Equal sets have equal bands; the class goes by its smallest identifier.
+    classes = persisted(signed.where(F.col("key").isNotNull() & F.col("id").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
     exploded = classes.select("id", F.posexplode("bands").alias("band", "value"))
-    exploded = exploded.select("id", F.xxhash64("band", "value").alias("bucket"))
+    exploded = exploded.select("id", "band", F.xxhash64("band", "value").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("members")).where(F.col("members") > 1)
     buckets = persisted(exploded.join(shared, "bucket"))
-    degree = buckets.groupBy("id").agg(F.sum("members").alias("degree"))
+    degree = persisted(buckets.groupBy("id").agg(F.sum("members").alias("degree")))
+    # Texts of candidates only. The merge hint makes every size go the same way: the list of candidates grows with the documents.
+    texts = base.join(degree.select("id").hint("merge"), "id", "left_semi").withColumn("h", F.xxhash64("text")).groupBy("id", "h").agg(F.first("text").alias("text"))
+    sets = persisted(texts.select("id", "text").mapInArrow(_full_sets(shingle_words), "id bigint, hashes array<bigint>, sketch array<bigint>").withColumn("n", F.size("hashes")))
     ranked = buckets.join(degree, "id")
-    # Best-connected members of every bucket, by a bounded aggregate (max of structs leaves no group in one place).
     small = ranked.where(F.col("members") <= SMALL_BUCKET).groupBy("bucket").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     within = small.select(F.explode(F.flatten(F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 2, SMALL_BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
     large = ranked.where(F.col("members") > SMALL_BUCKET)
+    # The best-connected member, one by hash and the smallest: partial aggregates, so no bucket is gathered.
     centre = large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("top"), F.max_by("id", F.xxhash64("id")).alias("second"), F.min("id").alias("third"))
     centre = centre.select("bucket", F.explode(F.array_distinct(F.array(-F.col("top.less"), "second", "third"))).alias("centre"))
     star = large.select("bucket", "id").join(centre, "bucket").where(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-    links = persisted(_confirmed(within.union(star), sketches, texts, shingle_words, percent))
+    links = persisted(_confirmed(within.union(star), sets, percent))
     labels = components(links)
-    wide = large.select("bucket", "id")
-    rest = persisted(_remaining_pairs(wide, labels, sketches))
+    rest = persisted(_remaining_pairs(large.select("bucket", "band", "id"), labels, sets.select("id", "sketch").join(classes.select("id", "bands"), "id")))
     if not rest.isEmpty():
-        more = persisted(_confirmed(rest, sketches, texts, shingle_words, percent))
+        more = persisted(_confirmed(rest, sets, percent))
         if not more.isEmpty():
             labels = components(links.union(more))
     named = classes.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
