@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import persisted
@@ -46,58 +46,78 @@ def _unit_rows(unit: str):
             for k in range(b.num_rows):
                 units = units_of(texts[k].as_py(), unit)
                 counts.append(len(units))
-                found += units
-            cells = np.array(found, np.int64).reshape(-1, 4)
+                found += [u[3] for u in units]
+            digests = np.array(found, np.int64)
             position = np.concatenate([np.arange(c) for c in counts]) if counts else np.zeros(0)
-            for at in range(0, len(cells), 50_000):
+            rows = np.repeat(np.arange(b.num_rows), counts)
+            for at in range(0, len(digests), 50_000):
                 part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_pydict({
-                    "id": ids.take(pa.array(np.repeat(np.arange(b.num_rows), counts)[part])), "position": pa.array(position[part], pa.int32()),
-                    "start": pa.array(cells[part, 0], pa.int32()), "stop": pa.array(cells[part, 1], pa.int32()), "words": pa.array(cells[part, 2], pa.int32()), "digest": pa.array(cells[part, 3], pa.int64()),
-                })
+                yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array(rows[part])), "position": pa.array(position[part], pa.int32()), "digest": pa.array(digests[part], pa.int64())})
 
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15) -> DataFrame:
-    """(id_col, spans array<struct<start, stop, words>>) of documents with something to remove, in order; one row per identifier.
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause") -> DataFrame:
+    """(id, units array<struct<position, digest>>): the units of each document that occur earlier, by (identifier, position).
 
-    Rows with a null identifier or text take no part. Rows that repeat an identifier are read as they come, and repeats of a unit by
-    the same identifier and position are not repeats of each other.
+    Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    units = persisted(base.mapInArrow(_unit_rows(unit), "id bigint, position int, start int, stop int, words int, digest bigint"))
-    # Only digests that occur again go on: the rank of their earliest occurrence.
-    ranked = units.groupBy("digest").agg(F.min(F.struct("id", "position")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).select("digest", "first")
+    units = persisted(base.mapInArrow(_unit_rows(unit), "id bigint, position int, digest bigint"))
+    # Only digests that occur again go on. Written first, so that the join below deals both sides anew and can split a digest that many documents share.
+    ranked = persisted(units.groupBy("digest").agg(F.min(F.struct("id", "position")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).select("digest", "first"))
     again = units.join(ranked, "digest").where((F.col("id") != F.col("first.id")) | (F.col("position") != F.col("first.position")))
-    again = again.select("id", "position", "start", "stop", "words").distinct()
-    # Neighbouring positions share position minus rank.
-    by_doc = Window.partitionBy("id").orderBy("position")
-    runs = again.withColumn("run", F.col("position") - F.row_number().over(by_doc)).groupBy("id", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"))
-    spans = runs.where(F.col("words") >= least_words).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "words"))).alias("spans"))
-    return spans.select(F.col("id").alias(id_col), "spans")
+    return again.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("position", "digest"))).alias("units"))
+
+
+def _cut(unit: str, least_words: int):
+    def spans_of(text: str, again: list[dict]) -> list[dict]:
+        """Runs of neighbouring repeats with enough words."""
+        known = {(u["position"], u["digest"]) for u in again}
+        runs: list[dict] = []
+        last = -2
+        for k, (start, stop, words, digest) in enumerate(units_of(text, unit)):
+            if (k, digest) in known:
+                if last == k - 1:
+                    runs[-1]["stop"] = stop
+                    runs[-1]["words"] += words
+                else:
+                    runs.append({"start": start, "stop": stop, "words": words})
+                last = k
+        return [r for r in runs if r["words"] >= least_words]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, units = b.column("text"), b.column("units")
+            left, removed, words = [], [], []
+            for k in range(b.num_rows):
+                text, again = texts[k].as_py(), units[k].as_py()
+                spans = spans_of(text, again) if again and text is not None else []
+                if spans:
+                    starts, stops = [0, *(s["stop"] for s in spans)], [*(s["start"] for s in spans), len(text)]
+                    text = "".join(text[i:j] for i, j in zip(starts, stops))
+                left.append(text)
+                removed.append(spans)
+                words.append(sum(s["words"] for s in spans))
+            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "text": pa.array(left, pa.string()), "removed": pa.array(removed, _SPANS), "n_removed_words": pa.array(words, pa.int64())})
+
+    return run
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int64())]))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15) -> DataFrame:
     """(id_col, text_col, removed array<struct<start, stop, words>>, n_removed_words) for every row: the text without its repeats.
 
     unit is "line", "sentence" or "clause". The earliest occurrence by (identifier, position) stays. Offsets are code points of the original text, stop exclusive. Null
-    texts stay null and have nothing removed; so do rows with a null identifier. Repeated rows get the same result. An
+    texts stay null and have nothing removed; so do rows with a null identifier. Repeated rows get the same result; an identifier with several texts
+    is one document with versions, which don't repeat each other at the same position. An
     empty table gives an empty result. Other columns are ignored.
     """
     if unit not in UNITS:
         raise ValueError(f"unit is one of {', '.join(UNITS)}")
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    spans = repeated_spans(docs, id_col, text_col, unit=unit, least_words=least_words).withColumnRenamed(id_col, "id")
-    nothing = F.array().cast("array<struct<start:int,stop:int,words:bigint>>")
-    joined = base.join(spans, "id", "left").withColumn("spans", F.coalesce("spans", nothing))
-    # What stays: the pieces between the spans.
-    stay = F.expr(
-        """CASE WHEN size(spans) = 0 THEN text ELSE array_join(transform(
-            sequence(0, size(spans)),
-            i -> substr(text, IF(i = 0, 0, spans[greatest(i - 1, 0)].stop) + 1, IF(i = size(spans), length(text), spans[least(i, size(spans) - 1)].start) - IF(i = 0, 0, spans[greatest(i - 1, 0)].stop))), '') END"""
-    )
-    return joined.select(
-        F.col("id").alias(id_col), stay.alias(text_col), F.col("spans").alias("removed"),
-        F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["words"]).alias("n_removed_words"),
-    )
+    joined = base.join(repeats(docs, id_col, text_col, unit=unit), "id", "left")
+    out = joined.mapInArrow(_cut(unit, least_words), "id bigint, text string, removed array<struct<start:int,stop:int,words:bigint>>, n_removed_words bigint")
+    return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "removed", "n_removed_words")
