@@ -103,8 +103,8 @@ def normalize_epoch(x: ColumnLike) -> Column:
 
 
 def r6(x: ColumnLike) -> Column:
-    """Rounded to six decimals, negative zero as zero."""
-    return F.round(col(x).cast("double"), 6) + F.lit(0.0)
+    """Rounded to six decimals, negative zero as zero. The shift keeps values off exact halves, which engines round differently."""
+    return F.round(col(x).cast("double") + F.lit(2.3e-8), 6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame) -> DataFrame:
