@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm import oracles
 from barloom.llm.common import is_held_out, table
 from barloom.llm.decontamination import contamination, is_contaminated
 from barloom.llm.exact_dedup import exact_dedup
@@ -82,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_exact_dedup": oracles.EXACT_DEDUP, "op5_decontamination": oracles.DECONTAMINATION, "op8_near_dedup": oracles.NEAR_DEDUP}
