@@ -128,12 +128,12 @@ def predict_language(docs: DataFrame, model: SpectrumKernelModel, id_col: str =
 
     Repeated rows and null identifiers keep a row each; an empty table gives an empty result. Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.landmarks, model.coefficients))  # plain arrays need no class on executors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, letters = b.column("text"), b.column("letters").to_pylist()
-            names, scores = shared.value.predict([spectrum(texts[k].as_py()) if letters[k] else np.zeros(0, np.int16) for k in range(b.num_rows)])
+            names, scores = SpectrumKernelModel(*shared.value).predict([spectrum(texts[k].as_py()) if letters[k] else np.zeros(0, np.int16) for k in range(b.num_rows)])
             names = [n if ok else UNDETERMINED for n, ok in zip(names, letters)]
             scores = np.where(np.array(letters, bool), scores, 0.0)
             yield pa.RecordBatch.from_pydict({"id": b.column("id"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())})

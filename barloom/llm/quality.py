@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Names of the statistics, in the order of a row.
 STATISTICS = (
@@ -158,11 +159,11 @@ def quality_scores(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_c
 
     Repeated rows and null identifiers keep a row each; an empty table gives an empty result. Other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.start, model.feature, model.threshold, model.value))  # plain arrays need no class on executors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def finish(b: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"id": b.column("id"), "score": pa.array(shared.value.score(x), pa.float64())})
+            return pa.RecordBatch.from_pydict({"id": b.column("id"), "score": pa.array(Trees(*shared.value).score(x), pa.float64())})
 
         return _rows(batches, finish)
 
@@ -172,17 +173,15 @@ def quality_scores(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_c
 
 def with_quality(docs: DataFrame, model: Trees, score_col: str, text_col: str = "text") -> DataFrame:
     """All columns of docs and the score, row by row, for use as a filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.start, model.feature, model.threshold, model.value))  # plain arrays need no class on executors
     name = text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(name)
             x = np.array([statistics(texts[k].as_py() or "") for k in range(b.num_rows)], float).reshape(b.num_rows, len(STATISTICS))
-            columns = {n: b.column(n) for n in b.schema.names} | {score_col: pa.array(shared.value.score(x), pa.float64())}
+            columns = {n: b.column(n) for n in b.schema.names} | {score_col: pa.array(Trees(*shared.value).score(x), pa.float64())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields] + [T.StructField(score_col, T.DoubleType(), True)])
     return docs.mapInArrow(run, schema)
