@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions.expr import null_if_zero, prefixed, safe_div
@@ -30,7 +30,7 @@ def universe_stats(df: DataFrame, ts: str = "ts", short: str = "cumret_24", long
     )
 
 
-def over_time(ts: str = "ts") -> Window:
+def over_time(ts: str = "ts") -> WindowSpec:
     """Window over a table with one row per time; one partition, since that table is small whatever the number of keys."""
     return Window.partitionBy(F.lit(0)).orderBy(ts)
 
@@ -86,7 +86,7 @@ def reference_block(df: DataFrame, reference: str, columns: Sequence[str], prefi
     return prefixed(one, prefix, [ts])
 
 
-def with_references(df: DataFrame, blocks: Sequence[DataFrame], ts: str = "ts", most_rows: int = 5_000_000) -> DataFrame:
+def with_references(df: DataFrame, blocks: Sequence[DataFrame], ts: str = "ts") -> DataFrame:
     """df with blocks that have one row per time, left-joined. Whether a block is broadcast is left to the optimizer's size check."""
     for b in blocks:
         df = df.join(b, ts, "left")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.expr import rounded, surrogate_key, text_key
-from barloom.operators import cross as X
 from barloom.operators import quality as Q
+from barloom.operators import rolling as R
 from barloom.operators import universe as U
 from barloom.plans.adapters import HOURLY, RETURNS, TICKS, hourly, load, r6, ticks
 from barloom.plans.events import STATE, WEEKLY, state, universe_bars
@@ -174,7 +174,7 @@ def review_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {STATS}, c AS (SELECT count(*) AS n, count(CASE WHEN NOT (cumret_24 > -1) THEN 1 END) AS a, count(CASE WHEN NOT (dist_high_168 <= 0) THEN 1 END) AS b, count(CASE WHEN NOT (rv_24 < 5) THEN 1 END) AS c, count(CASE WHEN ret IS NOT NULL AND abs(price - before * (1 + ret)) >= 1e-6 THEN 1 END) AS d FROM f)
 SELECT 'cumret_above_minus_one' AS check_name, a AS failing_rows, n AS checked_rows FROM c UNION ALL SELECT 'drawdown_not_positive', b, n FROM c UNION ALL SELECT 'volatility_bound', c, n FROM c UNION ALL SELECT 'return_identity', d, n FROM c""")
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = features(spark, sf_dir).withColumn("before", F.lag("price").over(X.Window.partitionBy("key").orderBy("ts")))
+    df = features(spark, sf_dir).withColumn("before", F.lag("price").over(R.S.ordered))
     return Q.report(df, {
         "cumret_above_minus_one": F.col("cumret_24") > -1, "drawdown_not_positive": F.col("dist_high_168") <= 0, "volatility_bound": F.col("rv_24") < 5,
         "return_identity": F.abs(F.col("price") - F.col("before") * (1 + F.col("ret"))) < 1e-6,
