@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import persisted
+
 # Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
@@ -125,8 +127,8 @@ def _walk(root: Element) -> list[tuple[Element, Element | None]]:
     return out
 
 
-def _kept(root: Element, templates: frozenset[int] = frozenset()) -> set[int]:
-    """id() of the elements that lie in nothing that drops them, given where the article is."""
+def _kept(root: Element, templates: frozenset[int] = frozenset()) -> tuple[set[int], set[int]]:
+    """id() of the elements that lie in nothing that drops them, given where the article is; and of those inside an article."""
     inside: set[int] = set()
     kept: set[int] = {id(root)}
     for here, parent in _walk(root):
@@ -138,7 +140,7 @@ def _kept(root: Element, templates: frozenset[int] = frozenset()) -> set[int]:
         template = here.digest in templates and here.tag not in ("article", "main", "body", "html") and not (in_article and here.tag in TEXT_BLOCKS)
         if id(parent) in kept and not (here.drop or here.outer_drop and not in_article or template):
             kept.add(id(here))
-    return kept
+    return kept, inside
 
 
 def _main(root: Element, kept: set[int]) -> list[Element]:
@@ -198,16 +200,20 @@ def _digest(root: Element) -> None:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, content, digest): every block-level subtree of a page once, under a fingerprint of the page's text."""
+    """(host, content, digest): every block-level subtree of a page that may be deleted, once, under a fingerprint of the page's text."""
     for b in batches:
         hosts, contents, digests = [], [], []
         host, page = b.column("host"), b.column("html")
         for k in range(b.num_rows):
             root = parse(page[k].as_py() or "")
             _digest(root)
-            kept = _kept(root)
+            kept, inside = _kept(root)
             content = xxhash.xxh3_64_intdigest("\n".join(blocks_of(_main(root, kept), kept)).encode("utf-8", "surrogatepass")) - (1 << 63)
-            found = {x.digest for x, _ in _walk(root) if x.tag in BLOCKS and x.tag not in ("html", "body") and x.parts}
+            # Of what can be deleted at all, the outermost: parts of a dropped element go with it, and an article's text blocks stay.
+            found = {
+                x.digest for x, p in _walk(root)
+                if p is not None and id(p) in kept and x.tag in BLOCKS and x.tag not in ("html", "body", "article", "main") and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS)
+            }
             hosts += [host[k].as_py()] * len(found)
             contents += [content] * len(found)
             digests += found
@@ -232,7 +238,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     identifiers keep a row each. An empty table gives an empty result. Other columns are ignored.
     """
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.lower(F.try_parse_url(F.col(url_col), F.lit("HOST"))).alias("host"))
-    templates = site_templates(base.select("host", "html"), least_pages=least_pages, least_share=least_share)
+    # Written first, so that the join below deals both sides anew and can split the pages of a large host.
+    templates = persisted(site_templates(base.select("host", "html"), least_pages=least_pages, least_share=least_share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -242,7 +249,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 known = template[k].as_py()
                 if known:
                     _digest(root)
-                kept = _kept(root, frozenset(known or ()))
+                kept, _ = _kept(root, frozenset(known or ()))
                 texts.append("\n\n".join(blocks_of(_main(root, kept), kept)))
             yield pa.RecordBatch.from_pydict({"id": b.column("id"), "url": b.column("url"), "text": pa.array(texts, pa.string())})
 

@@ -6,7 +6,7 @@ PAGES = "page_id bigint, url string, html string, text string"
 
 def text(page):
     root = parse(page)
-    kept = _kept(root)
+    kept, _ = _kept(root)
     return "\n\n".join(blocks_of(_main(root, kept), kept))
 
 
