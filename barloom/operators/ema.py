@@ -49,9 +49,10 @@ def ema(df: DataFrame, n: int, s: Series = S, of: str = "price", seed: str = "fi
     return df.withColumn(name, F.when(F.col("_i") >= start, total)).drop("_i", "_v", "_k", "_j", "_part", "_carry")
 
 
-def cross_flags(df: DataFrame, fast: str = "ema_21", slow: str = "ema_50", hours: tuple[int, ...] = (6, 24, 168), s: Series = S, exclude_current: bool = False) -> DataFrame:
-    """above and below, and whether the fast average was above ever, always and how often in the last hours (inclusive time windows)."""
-    df = df.withColumns({"above": (F.col(fast) > F.col(slow)).cast("int"), "below": (F.col(fast) < F.col(slow)).cast("int"), "ema_gap": F.col(fast) - F.col(slow)})
+def cross_flags(df: DataFrame, fast: str = "ema_21", slow: str = "ema_50", hours: tuple[int, ...] = (6, 24, 168), s: Series = S, exclude_current: bool = False, noise: float = 1e-12) -> DataFrame:
+    """above and below, and whether the fast average was above ever, always and how often in the last hours (inclusive time windows). Gaps within noise x the slow average are ties."""
+    gap, least = F.col(fast) - F.col(slow), noise * F.abs(slow)
+    df = df.withColumns({"above": (gap > least).cast("int"), "below": (gap < -least).cast("int"), "ema_gap": gap})
     out = {}
     for h in hours:
         w = Window.partitionBy(s.key).orderBy(F.unix_seconds(s.ts)).rangeBetween(-h * 3600, -1 if exclude_current else 0)

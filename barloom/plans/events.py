@@ -184,7 +184,7 @@ def sma_seeded_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(E.ema(grid(spark, sf_dir), 21, seed="sma"), "ema_21")
 
 
-_FLAGS = EMA + ", f AS (SELECT *, CASE WHEN ema_21 > ema_50 THEN 1 ELSE 0 END AS above, CASE WHEN ema_21 < ema_50 THEN 1 ELSE 0 END AS below FROM e)"
+_FLAGS = EMA + ", f AS (SELECT *, CASE WHEN ema_21 - ema_50 > 1e-12 * abs(ema_50) THEN 1 ELSE 0 END AS above, CASE WHEN ema_21 - ema_50 < -1e-12 * abs(ema_50) THEN 1 ELSE 0 END AS below FROM e)"
 
 
 @query(f"WITH {_FLAGS} SELECT key, ts, above, below, {r6('ema_21 - ema_50', 'ema_gap')}, {', '.join(f'max(above) OVER h{n} AS above_any_{n}, min(above) OVER h{n} AS above_all_{n}, ' + r6(f'avg(above) OVER h{n}', f'above_share_{n}') for n in (6, 24, 168))} FROM f WINDOW {', '.join(f'h{n} AS (PARTITION BY key ORDER BY ts RANGE BETWEEN INTERVAL {n} HOUR PRECEDING AND CURRENT ROW)' for n in (6, 24, 168))}")

