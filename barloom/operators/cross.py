@@ -109,20 +109,19 @@ def serving_contract(tokens: DataFrame, stats: DataFrame, references: Sequence[D
     rows without a next price go.
     """
     out = with_references(tokens.join(stats, ts, "left"), references, ts)
-    if not include_edge:
-        out = out.where(F.col("next_price").isNotNull())
     if since is not None:
         out = out.where(F.col(ts) >= since)
+    edge = F.lit(True) if include_edge else F.col("next_price").isNotNull()  # an edge row still counts as present
     if membership is None:
-        return out
+        return out.where(edge)
     week = F.to_date(F.date_trunc("week", ts))
     members = membership.where("member").select(key, "week_start")
     expected = members.groupBy("week_start").agg(F.count("*").alias("expected_members"))
     out = out.withColumn("week_start", week).join(members.withColumn("member", F.lit(True)), [key, "week_start"], "left").join(expected, "week_start", "left")
     out = out.withColumn("member", F.coalesce("member", F.lit(False)))
     if not members_only:
-        return out
+        return out.where(edge)
     served = members.withColumn("week_start", F.explode(F.expr(f"sequence(week_start, week_start + interval {7 * retain_weeks} days, interval 7 days)"))).select(key, "week_start").distinct()
     present = Window.partitionBy(ts)
     out = out.withColumn("_present", F.sum(F.col("member").cast("int")).over(present))
-    return out.join(served, [key, "week_start"], "left_semi").where(F.col("_present") >= least_coverage * F.col("expected_members")).drop("_present")
+    return out.join(served, [key, "week_start"], "left_semi").where(F.col("_present") >= least_coverage * F.col("expected_members")).where(edge).drop("_present")
