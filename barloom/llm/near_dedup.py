@@ -5,11 +5,11 @@
 2. A class gets BANDS x ROWS MinHash samples in BANDS bands. Classes that share a band hash are candidates; only their texts are read
    again, for full sets and for odd sketches: bitmaps in which every one of SAMPLES further (sample position, sample value) pairs flips
    one bit. The XOR of two sketches counts the samples in which they differ, which estimates high similarities precisely.
-3. A small bucket pairs its members; a larger one pairs each member with the bucket's few best-connected members. Pairs whose sketches
+3. A small bucket pairs its members; a larger one pairs each member with the bucket's best-connected member. Pairs whose sketches
    are too far apart go; the rest are confirmed on full sets.
-4. Buckets that still span several components afterwards (few) are compared whole, block by block in numpy on sketches, across
-   components only and each pair in its first common bucket only. What the sketches let through is confirmed on full sets too, so no
-   link is lost to the choice of centres.
+4. Buckets that still span several components afterwards are compared whole, block by block in numpy on sketches, across
+   components only: first members outside the largest component try their nearest partners, then every pair that is left is taken, in its
+   first common bucket. What the sketches let through is confirmed on full sets too, so no link is lost to the choice of centres.
 5. Components come from min-label propagation with pointer jumping on link tables.
 
 With 5 rows in each of 32 bands, a pair at similarity 0.8 shares no band with probability 3e-6; its estimate has a standard deviation
@@ -33,8 +33,10 @@ SAMPLES = 1024
 SKETCH_WORDS = 64
 SKETCH_BITS = 64 * SKETCH_WORDS
 LEAST_ESTIMATE = 0.74
-#: A bucket of at most this many classes pairs its members; a larger one uses CENTRES of them.
-SMALL_BUCKET, CENTRES = 6, 3
+#: A bucket of at most this many classes pairs its members; a larger one pairs each with its centre.
+SMALL_BUCKET = 6
+#: Nearest partners that a member outside its bucket's largest component tries first.
+NEAREST = 3
 #: Members of one block in the comparison of whole buckets.
 BLOCK = 1024
 
@@ -189,11 +191,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _remaining_pairs(buckets: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
+def _remaining_pairs(buckets: DataFrame, labels: DataFrame, members: DataFrame, nearest: int | None) -> DataFrame:
     """Pairs (a, b) of near sketches in one bucket but in different components; buckets: (bucket, band, id), members: (id, sketch, bands).
 
-    A bucket is dealt as pairs of blocks of at most BLOCK members on average, so a large one spreads over tasks. A pair
-    is only reported in the first band that it shares.
+    A bucket is dealt as pairs of blocks of at most BLOCK members on average, so a large one spreads over tasks. With nearest, only
+    that many nearest partners of members outside a group's largest component; else all pairs, each in the first band that it shares.
     """
     labelled = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where(F.col("low") < F.col("high"))
@@ -212,13 +214,22 @@ def _remaining_pairs(buckets: DataFrame, labels: DataFrame, members: DataFrame)
         sketch, bands = flat("sketch").view(np.uint64), flat("bands")[:, :band]
         one_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         left, right = [], []
-        for k in range(n):
+        if nearest is not None:
+            names, sizes = np.unique(component, return_counts=True)
+            for k in np.flatnonzero(component != names[sizes.argmax()]):
+                rest = np.flatnonzero((component != component[k]) & ((block != block[k]) | one_block))
+                far = np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1)
+                best = np.argsort(far, kind="stable")[:nearest]
+                best = rest[best[far[best] <= most]]
+                left.append(np.full(len(best), ids[k]))
+                right.append(ids[best])
+        for k in range(n if nearest is None else 0):
             rest = np.flatnonzero((component[k + 1 :] != component[k]) & ((block[k + 1 :] != block[k]) | one_block)) + k + 1
             near = rest[np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1) <= most]
             new = near[~(bands[near] == bands[k]).any(1)]
             left.append(np.full(len(new), ids[k]))
             right.append(ids[new])
-        a, b = np.concatenate(left), np.concatenate(right)
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
         return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
 
     return rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
@@ -250,17 +261,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = ranked.where(F.col("members") <= SMALL_BUCKET).groupBy("bucket").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     within = small.select(F.explode(F.flatten(F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 2, SMALL_BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
     large = ranked.where(F.col("members") > SMALL_BUCKET)
-    # The best-connected member, one by hash and the smallest: partial aggregates, so no bucket is gathered.
-    centre = large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("top"), F.max_by("id", F.xxhash64("id")).alias("second"), F.min("id").alias("third"))
-    centre = centre.select("bucket", F.explode(F.array_distinct(F.array(-F.col("top.less"), "second", "third"))).alias("centre"))
+    # The best-connected member, by a partial aggregate, so no bucket is gathered.
+    centre = large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("top")).select("bucket", (-F.col("top.less")).alias("centre"))
     star = large.select("bucket", "id").join(centre, "bucket").where(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
     links = persisted(_confirmed(within.union(star), sets, percent))
     labels = components(links)
-    rest = persisted(_remaining_pairs(large.select("bucket", "band", "id"), labels, sets.select("id", "sketch").join(classes.select("id", "bands"), "id")))
-    if not rest.isEmpty():
+    members = sets.select("id", "sketch").join(classes.select("id", "bands"), "id")
+    for nearest in (NEAREST, None):  # the nearest partners settle most members; then all that is left
+        rest = persisted(_remaining_pairs(large.select("bucket", "band", "id"), labels, members, nearest))
+        if rest.isEmpty():
+            break
         more = persisted(_confirmed(rest, sets, percent))
         if not more.isEmpty():
-            labels = components(links.union(more))
+            links = links.union(more)
+            labels = components(links)
     named = classes.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     out = narrow.join(named, "key", "left").withColumn("component", F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"), (F.coalesce(F.col("id") == F.col("component"), F.lit(True))).alias("kept"))
