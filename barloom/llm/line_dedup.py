@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import persisted
@@ -42,32 +42,37 @@ def _unit_rows(unit: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column("id"), b.column("text")
-            counts, found = [], []
+            counts, found, lengths = [], [], []
             for k in range(b.num_rows):
                 units = units_of(texts[k].as_py(), unit)
                 counts.append(len(units))
                 found += [u[3] for u in units]
-            digests = np.array(found, np.int64)
+                lengths += [u[2] for u in units]
+            digests, words = np.array(found, np.int64), np.array(lengths, np.int32)
             position = np.concatenate([np.arange(c) for c in counts]) if counts else np.zeros(0)
             rows = np.repeat(np.arange(b.num_rows), counts)
             for at in range(0, len(digests), 50_000):
                 part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array(rows[part])), "position": pa.array(position[part], pa.int32()), "digest": pa.array(digests[part], pa.int64())})
+                yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array(rows[part])), "position": pa.array(position[part], pa.int32()), "digest": pa.array(digests[part], pa.int64()), "words": pa.array(words[part], pa.int32())})
 
     return run
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause") -> DataFrame:
-    """(id, units array<struct<position, digest>>): the units of each document that occur earlier, by (identifier, position).
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15) -> DataFrame:
+    """(id, units array<struct<position, digest>>): the units of each document that occur earlier, by (identifier, position), in runs of at least least_words words.
 
     Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    units = persisted(base.mapInArrow(_unit_rows(unit), "id bigint, position int, digest bigint"))
+    units = persisted(base.mapInArrow(_unit_rows(unit), "id bigint, position int, digest bigint, words int"))
     # Only digests that occur again go on. Written first, so that the join below deals both sides anew and can split a digest that many documents share.
     ranked = persisted(units.groupBy("digest").agg(F.min(F.struct("id", "position")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).select("digest", "first"))
     again = units.join(ranked, "digest").where((F.col("id") != F.col("first.id")) | (F.col("position") != F.col("first.position")))
-    return again.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("position", "digest"))).alias("units"))
+    # Neighbouring positions share position minus rank; all below is dealt by id once.
+    rank = F.dense_rank().over(Window.partitionBy("id").orderBy("position"))
+    marked = again.select("id", "position", "digest", "words").distinct().withColumn("run", F.col("position") - rank)
+    runs = marked.groupBy("id", "run").agg(F.sum("words").alias("total"), F.collect_list(F.struct("position", "digest")).alias("units")).where(F.col("total") >= least_words)
+    return runs.groupBy("id").agg(F.flatten(F.collect_list("units")).alias("units"))
 
 
 def _cut(unit: str, least_words: int):
@@ -118,6 +123,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if unit not in UNITS:
         raise ValueError(f"unit is one of {', '.join(UNITS)}")
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    joined = base.join(repeats(docs, id_col, text_col, unit=unit), "id", "left")
+    joined = base.join(repeats(docs, id_col, text_col, unit=unit, least_words=least_words), "id", "left")
     out = joined.mapInArrow(_cut(unit, least_words), "id bigint, text string, removed array<struct<start:int,stop:int,words:bigint>>, n_removed_words bigint")
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "removed", "n_removed_words")
