@@ -157,13 +157,15 @@ def _near(a: Column, b: Column, most: int) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x) <= most
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose sketches are near and whose full sets are similar enough; sets: (id, hashes, sketch, n)."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, sketched: bool = False) -> DataFrame:
+    """Distinct pairs (a, b) whose sketches are near and whose full sets are similar enough; sets: (id, hashes, sketch, n). Sketched pairs have near sketches already."""
     most = _differing_bits(LEAST_ESTIMATE)
     one = lambda side, c: sets.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col(c).alias(f"v{side}"))
     sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    close = pairs.distinct().join(one("a", "sketch"), "a").join(one("b", "sketch"), "b").where(sized & _near(F.col("va"), F.col("vb"), most))
-    close = persisted(close.select("a", "b"))
+    close = pairs.distinct()
+    if not sketched:
+        near = close.join(one("a", "sketch"), "a").join(one("b", "sketch"), "b").where(sized & _near(F.col("va"), F.col("vb"), most))
+        close = persisted(near.select("a", "b"))
     both = close.join(one("b", "hashes"), "b").join(one("a", "hashes"), "a")
     shared = F.size(F.array_intersect("va", "vb"))
     return both.where(sized & (100 * shared >= percent * (F.col("na") + F.col("nb") - shared))).select("a", "b").distinct()
@@ -271,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rest = persisted(_remaining_pairs(large.select("bucket", "band", "id"), labels, members, nearest))
         if rest.isEmpty():
             break
-        more = persisted(_confirmed(rest, sets, percent))
+        more = persisted(_confirmed(rest, sets, percent, sketched=True))
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
