@@ -4,7 +4,7 @@ A text is cut into units: lines, or pieces of lines that end at a clause or sent
 a line still has whole units of its own. Units are normalised (A-Z lower-cased; only letters and digits count) and hashed. Digests are
 grouped globally with the earliest rank (identifier, then position); every other occurrence is a repeat. Neighbouring repeats form
 runs, and runs of enough words are removed, with their offsets in the original text retained; shorter ones, such as a stock phrase in
-prose, stay.
+prose, stay. With whole_lines, a line that occurs earlier as a whole line goes as well, however short it is and whatever stands beside it.
 """
 
 from __future__ import annotations
@@ -24,32 +24,51 @@ from barloom.llm.common import persisted
 UNITS = {"line": regex.compile(r"[^\n]+"), "sentence": regex.compile(r"[^\n.?!]+[.?!]*"), "clause": regex.compile(r"[^\n.?!,;:]+[.?!,;:]*")}
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Added to the position of a line's first unit, so that lines have places of their own, in page order.
+LINE = 1 << 30
 
 
-def units_of(text: str, unit: str) -> list[tuple[int, int, int, int]]:
-    """(start, stop, words, digest) of every unit with a word; offsets in code points, white space at both ends left out."""
+def _hash(words: str, seed: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass"), seed) - (1 << 63)
+
+
+def _pieces(text: str, unit: str) -> list[tuple[int, int, int, str]]:
+    """(start, stop, words, normalised text) of every unit with a word."""
     out = []
     for m in UNITS[unit].finditer(text.translate(_LOWER)):
         words = _WORD.findall(m[0])
         if words:
             piece = m[0]
             start = m.start() + len(piece) - len(piece.lstrip())
-            out.append((start, m.start() + len(piece.rstrip()), len(words), xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)))
+            out.append((start, m.start() + len(piece.rstrip()), len(words), " ".join(words)))
     return out
 
 
-def _unit_rows(unit: str):
+def units_of(text: str, unit: str) -> list[tuple[int, int, int, int]]:
+    """(start, stop, words, digest) of every unit with a word; offsets in code points, white space at both ends left out."""
+    return [(start, stop, words, _hash(piece)) for start, stop, words, piece in _pieces(text, unit)]
+
+
+def lines_of(text: str, pieces: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
+    """(first, end, digest) of every line with a word: it consists of the units first to end - 1."""
+    cuts = [0, *(k for k in range(1, len(pieces)) if text.find("\n", pieces[k - 1][1], pieces[k][0]) >= 0), len(pieces)]
+    return [(i, j, _hash(" ".join(p[3] for p in pieces[i:j]), 1)) for i, j in zip(cuts, cuts[1:]) if i < j]
+
+
+def _unit_rows(unit: str, whole_lines: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column("id"), b.column("text")
-            counts, found, lengths = [], [], []
+            counts, places, found, lengths = [], [], [], []
             for k in range(b.num_rows):
-                units = units_of(texts[k].as_py(), unit)
-                counts.append(len(units))
-                found += [u[3] for u in units]
-                lengths += [u[2] for u in units]
-            digests, words = np.array(found, np.int64), np.array(lengths, np.int32)
-            position = np.concatenate([np.arange(c) for c in counts]) if counts else np.zeros(0)
+                text = texts[k].as_py()
+                pieces = _pieces(text, unit)
+                lines = lines_of(text, pieces) if whole_lines else []
+                counts.append(len(pieces) + len(lines))
+                places += [*range(len(pieces)), *(LINE + x[0] for x in lines)]
+                found += [*(_hash(p[3]) for p in pieces), *(x[2] for x in lines)]
+                lengths += [*(p[2] for p in pieces), *(0 for _ in lines)]
+            digests, words, position = np.array(found, np.int64), np.array(lengths, np.int32), np.array(places, np.int32)
             rows = np.repeat(np.arange(b.num_rows), counts)
             for at in range(0, len(digests), 50_000):
                 part = slice(at, at + 50_000)
@@ -58,38 +77,50 @@ def _unit_rows(unit: str):
     return run
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15, whole_lines: bool = False) -> DataFrame:
     """(id, units array<struct<position, digest>>): the units of each document that occur earlier, by (identifier, position), in runs of at least least_words words.
 
+    With whole_lines also all lines that occur earlier, at LINE plus the position of their first unit.
+
     Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    units = persisted(base.mapInArrow(_unit_rows(unit), "id bigint, position int, digest bigint, words int"))
+    units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), "id bigint, position int, digest bigint, words int"))
     # Only digests that occur again go on. Written first, so that the join below deals both sides anew and can split a digest that many documents share.
     ranked = persisted(units.groupBy("digest").agg(F.min(F.struct("id", "position")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).select("digest", "first"))
     again = units.join(ranked, "digest").where((F.col("id") != F.col("first.id")) | (F.col("position") != F.col("first.position")))
-    # Neighbouring positions share position minus rank; all below is dealt by id once.
+    # Neighbouring positions share position minus rank; all below is dealt by id once. Lines rank after units and need no run.
     rank = F.dense_rank().over(Window.partitionBy("id").orderBy("position"))
-    marked = again.select("id", "position", "digest", "words").distinct().withColumn("run", F.col("position") - rank)
-    runs = marked.groupBy("id", "run").agg(F.sum("words").alias("total"), F.collect_list(F.struct("position", "digest")).alias("units")).where(F.col("total") >= least_words)
+    marked = again.select("id", "position", "digest", "words").distinct().withColumn("run", F.when(F.col("position") < LINE, F.col("position") - rank))
+    runs = marked.groupBy("id", "run").agg(F.sum("words").alias("total"), F.collect_list(F.struct("position", "digest")).alias("units")).where((F.col("total") >= least_words) | F.col("run").isNull())
     return runs.groupBy("id").agg(F.flatten(F.collect_list("units")).alias("units"))
 
 
 def _cut(unit: str, least_words: int):
     def spans_of(text: str, again: list[dict]) -> list[dict]:
-        """Runs of neighbouring repeats with enough words."""
+        """Runs of neighbouring repeats with enough words, and repeated lines; what touches is one span."""
         known = {(u["position"], u["digest"]) for u in again}
+        pieces = _pieces(text, unit)
+        gone = np.zeros(len(pieces) + 1, bool)
+        first = total = 0
+        for k, (_, _, words, piece) in enumerate([*pieces, (0, 0, 0, "")]):
+            if k < len(pieces) and (k, _hash(piece)) in known:
+                total += words
+            else:
+                gone[first:k] = total >= least_words
+                first, total = k + 1, 0
+        if any(position >= LINE for position, _ in known):
+            for i, j, digest in lines_of(text, pieces):
+                gone[i:j] |= (LINE + i, digest) in known
         runs: list[dict] = []
-        last = -2
-        for k, (start, stop, words, digest) in enumerate(units_of(text, unit)):
-            if (k, digest) in known:
-                if last == k - 1:
-                    runs[-1]["stop"] = stop
-                    runs[-1]["words"] += words
-                else:
-                    runs.append({"start": start, "stop": stop, "words": words})
-                last = k
-        return [r for r in runs if r["words"] >= least_words]
+        for k in np.flatnonzero(gone):
+            start, stop, words, _ = pieces[k]
+            if k and gone[k - 1]:
+                runs[-1]["stop"] = stop
+                runs[-1]["words"] += words
+            else:
+                runs.append({"start": start, "stop": stop, "words": words})
+        return runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -112,10 +143,10 @@ def _cut(unit: str, least_words: int):
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int64())]))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15, whole_lines: bool = False) -> DataFrame:
     """(id_col, text_col, removed array<struct<start, stop, words>>, n_removed_words) for every row: the text without its repeats.
 
-    unit is "line", "sentence" or "clause". The earliest occurrence by (identifier, position) stays. Offsets are code points of the original text, stop exclusive. Null
+    unit is "line", "sentence" or "clause". whole_lines removes repeated lines without regard to least_words as well. The earliest occurrence by (identifier, position) stays. Offsets are code points of the original text, stop exclusive. Null
     texts stay null and have nothing removed; so do rows with a null identifier. Repeated rows get the same result; an identifier with several texts
     is one document with versions, which don't repeat each other at the same position. An
     empty table gives an empty result. Other columns are ignored.
@@ -123,6 +154,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if unit not in UNITS:
         raise ValueError(f"unit is one of {', '.join(UNITS)}")
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    joined = base.join(repeats(docs, id_col, text_col, unit=unit, least_words=least_words), "id", "left")
+    joined = base.join(repeats(docs, id_col, text_col, unit=unit, least_words=least_words, whole_lines=whole_lines), "id", "left")
     out = joined.mapInArrow(_cut(unit, least_words), "id bigint, text string, removed array<struct<start:int,stop:int,words:bigint>>, n_removed_words bigint")
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "removed", "n_removed_words")

@@ -1,6 +1,6 @@
 import random
 
-from barloom.llm.line_dedup import line_dedup, units_of
+from barloom.llm.line_dedup import _LOWER, _WORD, line_dedup, units_of
 from barloom.llm.queries import op10_line_dedup
 from tests.llm.rows import awkward, empty
 
@@ -54,6 +54,30 @@ def test_passage_inside_lines_goes_once(spark):
     assert got[0].removed == [] and all(got[i].n_removed_words >= 38 for i in range(1, 20)) and all(got[50 + i].removed == [] for i in range(20))
 
 
+def test_repeated_short_lines_go_whatever_stands_beside_them(spark):
+    licence = "This work is licensed under the GNU General Public License, version 3."
+    rows = [(i, f"Own text {i} a.\n{licence}\nOwn text {i} b.") for i in range(5)] + [(7, f"Here {licence}\nStay."), (8, "Stay.\nNew 8\nNEW 8!\nnew, 8"), (9, f"x {licence}\n\n{licence.upper()}\nEnd")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in line_dedup(docs, whole_lines=True).collect()}
+    assert got[0].removed == [] and all(got[i].text == f"Own text {i} a.\n\nOwn text {i} b." and got[i].n_removed_words == 12 for i in range(1, 5))
+    assert got[7].text == rows[5][1] and got[8].text == "\nNew 8\n" and got[8].n_removed_words == 5
+    assert got[9].text == f"x {licence}\n\n\nEnd"
+    assert all(r.removed == [] for r in line_dedup(docs).collect())
+
+
+def test_query_removes_every_repeated_line(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    seen, later = set(), {}
+    for d in sorted(docs):
+        for line in docs[d].split("\n"):
+            key = " ".join(_WORD.findall(line.translate(_LOWER)))
+            if key and key in seen:
+                later[d] = later.get(d, 0) + len(key.split())
+            seen.add(key)
+    got = {r.doc_id: r.n_removed_words for r in op10_line_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert later and all(got[d] >= n for d, n in later.items())
+
+
 def test_awkward_rows_and_empty_table(spark):
     docs = awkward(spark).where("doc_id is null or doc_id <> 5")
     check(docs)
