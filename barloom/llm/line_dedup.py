@@ -5,6 +5,10 @@ a line still has whole units of its own. Units are normalised (A-Z lower-cased;
 grouped globally with the earliest rank (identifier, then position); every other occurrence is a repeat. Neighbouring repeats form
 runs, and runs of enough words are removed, with their offsets in the original text retained; shorter ones, such as a stock phrase in
 prose, stay. With whole_lines, a line that occurs earlier as a whole line goes as well, however short it is and whatever stands beside it.
+
+The unit "passage" finds what was pasted without regard to clauses. Clauses of more than LONG words are cut where a word's hash is the least
+of some WINDOW neighbouring words, which depends on nearby words only. Digests are of two neighbouring pieces, so that those of a run follow each
+other elsewhere too, and both ends of a run go on word by word while the text at the earliest occurrence of its end does.
 """
 
 from __future__ import annotations
@@ -22,16 +26,27 @@ from barloom.llm.common import persisted
 
 # Where units end.
 UNITS = {"line": regex.compile(r"[^\n]+"), "sentence": regex.compile(r"[^\n.?!]+[.?!]*"), "clause": regex.compile(r"[^\n.?!,;:]+[.?!,;:]*")}
+UNITS["passage"] = UNITS["clause"]
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Added to the position of a line's first unit, so that lines have places of their own, in page order.
 LINE = 1 << 30
+#: For passages: words of a clause that isn't cut, words among which one ends a piece, and words to which a run may be extended at either end.
+LONG, WINDOW, REACH = 12, 8, 24
 
 
 def _hash(words: str, seed: int = 0) -> int:
     return xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass"), seed) - (1 << 63)
 
 
+def _ends(words: list[str]) -> list[int]:
+    """Where pieces of a long clause end: after the least word by hash of every WINDOW neighbouring words, all of them if several are equal."""
+    keys = np.array([_hash(w) for w in words])
+    least = np.lib.stride_tricks.sliding_window_view(keys, WINDOW).min(1)
+    ends = {i + j + 1 for j in range(WINDOW) for i in np.flatnonzero(keys[j : j + len(least)] == least).tolist()}
+    return sorted(ends | {len(words)})
+
+
 def _pieces(text: str, unit: str) -> list[tuple[int, int, int, str]]:
     """(start, stop, words, normalised text) of every unit with a word."""
     out = []
@@ -39,11 +54,23 @@ def _pieces(text: str, unit: str) -> list[tuple[int, int, int, str]]:
         words = _WORD.findall(m[0])
         if words:
             piece = m[0]
-            start = m.start() + len(piece) - len(piece.lstrip())
-            out.append((start, m.start() + len(piece.rstrip()), len(words), " ".join(words)))
+            start, stop = m.start() + len(piece) - len(piece.lstrip()), m.start() + len(piece.rstrip())
+            if unit == "passage" and len(words) > LONG:
+                found, ends = list(_WORD.finditer(piece)), _ends(words)
+                for i, j in zip([0, *ends], ends):
+                    out.append((m.start() + found[i].start() if i else start, m.start() + found[j - 1].end() if j < len(words) else stop, j - i, " ".join(words[i:j])))
+            else:
+                out.append((start, stop, len(words), " ".join(words)))
     return out
 
 
+def _digests(pieces: list[tuple[int, int, int, str]], unit: str) -> list[int]:
+    """One digest a piece, or for passages one for every two neighbours."""
+    if unit == "passage":
+        return [_hash(f"{a[3]}\0{b[3]}", 2) for a, b in zip(pieces, pieces[1:])]
+    return [_hash(p[3]) for p in pieces]
+
+
 def units_of(text: str, unit: str) -> list[tuple[int, int, int, int]]:
     """(start, stop, words, digest) of every unit with a word; offsets in code points, white space at both ends left out."""
     return [(start, stop, words, _hash(piece)) for start, stop, words, piece in _pieces(text, unit)]
@@ -59,75 +86,121 @@ def _unit_rows(unit: str, whole_lines: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column("id"), b.column("text")
-            counts, places, found, lengths = [], [], [], []
+            counts, places, found, lengths, after = [], [], [], [], []
             for k in range(b.num_rows):
                 text = texts[k].as_py()
                 pieces = _pieces(text, unit)
                 lines = lines_of(text, pieces) if whole_lines else []
-                counts.append(len(pieces) + len(lines))
-                places += [*range(len(pieces)), *(LINE + x[0] for x in lines)]
-                found += [*(_hash(p[3]) for p in pieces), *(x[2] for x in lines)]
-                lengths += [*(p[2] for p in pieces), *(0 for _ in lines)]
-            digests, words, position = np.array(found, np.int64), np.array(lengths, np.int32), np.array(places, np.int32)
+                units = _digests(pieces, unit)
+                counts.append(len(units) + len(lines))
+                places += [*range(len(units)), *(LINE + x[0] for x in lines)]
+                found += [*units, *(x[2] for x in lines)]
+                lengths += [*(p[2] for p in pieces[: len(units)]), *(0 for _ in lines)]
+                after += [*(p[2] for p in pieces[1:]), *(0 for _ in lines)] if unit == "passage" else [0] * counts[-1]
+            digests, words, position, following = np.array(found, np.int64), np.array(lengths, np.int32), np.array(places, np.int32), np.array(after, np.int32)
             rows = np.repeat(np.arange(b.num_rows), counts)
             for at in range(0, len(digests), 50_000):
                 part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array(rows[part])), "position": pa.array(position[part], pa.int32()), "digest": pa.array(digests[part], pa.int64()), "words": pa.array(words[part], pa.int32())})
+                yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array(rows[part])), "position": pa.array(position[part], pa.int32()), "digest": pa.array(digests[part], pa.int64()), "words": pa.array(words[part], pa.int32()), "following": pa.array(following[part], pa.int32())})
 
     return run
 
 
+def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, position, digest, before, after): the words on either side of two neighbouring pieces."""
+    for b in batches:
+        rows = []
+        for k in range(b.num_rows):
+            text = b.column("text")[k].as_py()
+            pieces = _pieces(text, "passage")
+            digests, words = _digests(pieces, "passage"), _WORD.findall(text.translate(_LOWER))
+            at = np.cumsum([0, *(p[2] for p in pieces)]).tolist()
+            for u in b.column("wanted")[k].as_py():
+                i = u["position"]
+                if i < len(digests) and digests[i] == u["digest"]:  # else it is another version of the document
+                    rows.append({"id": b.column("id")[k].as_py(), "position": i, "digest": u["digest"], "before": " ".join(words[max(0, at[i] - REACH) : at[i]]), "after": " ".join(words[at[i + 2] : at[i + 2] + REACH])})
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("id", pa.int64()), ("position", pa.int32()), ("digest", pa.int64()), ("before", pa.string()), ("after", pa.string())]))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15, whole_lines: bool = False) -> DataFrame:
-    """(id, units array<struct<position, digest>>): the units of each document that occur earlier, by (identifier, position), in runs of at least least_words words.
+    """(id, runs array<struct<units array<struct<position, digest>>, before, after>>): the units of each document that occur earlier, by (identifier, position), in
+    runs of at least least_words words. For passages with the words around the earliest occurrence of a run's ends.
 
     With whole_lines also all lines that occur earlier, at LINE plus the position of their first unit.
-
-    Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places.
+    Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places; for passages also the texts with earliest occurrences of ends.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), "id bigint, position int, digest bigint, words int"))
+    units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), "id bigint, position int, digest bigint, words int, following int"))
     # Only digests that occur again go on. Written first, so that the join below deals both sides anew and can split a digest that many documents share.
     ranked = persisted(units.groupBy("digest").agg(F.min(F.struct("id", "position")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).select("digest", "first"))
     again = units.join(ranked, "digest").where((F.col("id") != F.col("first.id")) | (F.col("position") != F.col("first.position")))
     # Neighbouring positions share position minus rank; all below is dealt by id once. Lines rank after units and need no run.
     rank = F.dense_rank().over(Window.partitionBy("id").orderBy("position"))
-    marked = again.select("id", "position", "digest", "words").distinct().withColumn("run", F.when(F.col("position") < LINE, F.col("position") - rank))
-    runs = marked.groupBy("id", "run").agg(F.sum("words").alias("total"), F.collect_list(F.struct("position", "digest")).alias("units")).where((F.col("total") >= least_words) | F.col("run").isNull())
-    return runs.groupBy("id").agg(F.flatten(F.collect_list("units")).alias("units"))
+    marked = again.select("id", "position", "digest", "words", "following", "first").distinct().withColumn("run", F.when(F.col("position") < LINE, F.col("position") - rank))
+    end = F.struct("first.id", "first.position", "digest")
+    runs = marked.groupBy("id", "run").agg(
+        (F.sum("words") + F.max_by("following", "position")).alias("total"), F.collect_list(F.struct("position", "digest")).alias("units"), F.min_by(end, "position").alias("left"), F.max_by(end, "position").alias("right"),
+    ).where((F.col("total") >= least_words) | F.col("run").isNull())
+    if unit != "passage":
+        return runs.groupBy("id").agg(F.collect_list(F.struct("units", F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"))).alias("runs"))
+    runs = persisted(runs)
+    wanted = runs.where("run is not null").select(F.explode(F.array("left", "right")).alias("end")).select("end.*").distinct().groupBy("id").agg(F.collect_list(F.struct("position", "digest")).alias("wanted"))
+    context = base.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_context, "id bigint, position int, digest bigint, before string, after string")
+    # Versions of a document may stand in other words; one of them is taken.
+    context = persisted(context.groupBy("id", "position", "digest").agg(F.min("before").alias("before"), F.min("after").alias("after")))
+    lefts = context.select(F.struct("id", "position", "digest").alias("left"), "before")
+    rights = context.select(F.struct("id", "position", "digest").alias("right"), "after")
+    known = runs.where("run is not null").join(lefts, "left", "left").join(rights, "right", "left").select("id", "units", "before", "after")
+    lines = runs.where("run is null").select("id", "units", F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"))
+    return known.unionByName(lines).groupBy("id").agg(F.collect_list(F.struct("units", "before", "after")).alias("runs"))
+
+
+def _alike(one: list[str], other: list[str]) -> int:
+    """How many words at the start are the same."""
+    return next((k for k, (a, b) in enumerate(zip(one, other)) if a != b), min(len(one), len(other)))
 
 
 def _cut(unit: str, least_words: int):
+    wide = 2 if unit == "passage" else 1
+
     def spans_of(text: str, again: list[dict]) -> list[dict]:
         """Runs of neighbouring repeats with enough words, and repeated lines; what touches is one span."""
-        known = {(u["position"], u["digest"]) for u in again}
+        known, before, after = set(), {}, {}
+        for r in again:
+            places = sorted((u["position"], u["digest"]) for u in r["units"])
+            known.update(places)
+            before[places[0]], after[places[-1]] = r["before"] or "", r["after"] or ""
         pieces = _pieces(text, unit)
-        gone = np.zeros(len(pieces) + 1, bool)
-        first = total = 0
-        for k, (_, _, words, piece) in enumerate([*pieces, (0, 0, 0, "")]):
-            if k < len(pieces) and (k, _hash(piece)) in known:
-                total += words
-            else:
-                gone[first:k] = total >= least_words
-                first, total = k + 1, 0
+        digests = _digests(pieces, unit)
+        at = np.cumsum([0, *(p[2] for p in pieces)]).tolist()
+        found = list(_WORD.finditer(text.translate(_LOWER))) if unit == "passage" else []
+        words = [m[0] for m in found]
+        gone = np.zeros(at[-1] + 2, bool)  # by word, from 1, with a word that stays at either end
+        first = 0
+        for k in range(len(digests) + 1):
+            if k < len(digests) and (k, digests[k]) in known:
+                continue
+            if first < k and at[k - 1 + wide] - at[first] >= least_words:
+                i, j = at[first], at[k - 1 + wide]
+                if words:
+                    i -= _alike(words[max(0, i - REACH) : i][::-1], before.get((first, digests[first]), "").split()[::-1])
+                    j += _alike(words[j : j + REACH], after.get((k - 1, digests[k - 1]), "").split())
+                gone[i + 1 : j + 1] = True
+            first = k + 1
         if any(position >= LINE for position, _ in known):
             for i, j, digest in lines_of(text, pieces):
-                gone[i:j] |= (LINE + i, digest) in known
-        runs: list[dict] = []
-        for k in np.flatnonzero(gone):
-            start, stop, words, _ = pieces[k]
-            if k and gone[k - 1]:
-                runs[-1]["stop"] = stop
-                runs[-1]["words"] += words
-            else:
-                runs.append({"start": start, "stop": stop, "words": words})
-        return runs
+                if (LINE + i, digest) in known:
+                    gone[at[i] + 1 : at[j] + 1] = True
+        starts, stops = {a: p[0] for a, p in zip(at, pieces)}, {a: p[1] for a, p in zip(at[1:], pieces)}
+        edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
+        return [{"start": starts[i] if i in starts else found[i].start(), "stop": stops[j] if j in stops else found[j - 1].end(), "words": j - i} for i, j in zip(edges[::2], edges[1::2])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, units = b.column("text"), b.column("units")
+            texts, runs = b.column("text"), b.column("runs")
             left, removed, words = [], [], []
             for k in range(b.num_rows):
-                text, again = texts[k].as_py(), units[k].as_py()
+                text, again = texts[k].as_py(), runs[k].as_py()
                 spans = spans_of(text, again) if again and text is not None else []
                 if spans:
                     starts, stops = [0, *(s["stop"] for s in spans)], [*(s["start"] for s in spans), len(text)]
@@ -146,7 +219,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("word
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15, whole_lines: bool = False) -> DataFrame:
     """(id_col, text_col, removed array<struct<start, stop, words>>, n_removed_words) for every row: the text without its repeats.
 
-    unit is "line", "sentence" or "clause". whole_lines removes repeated lines without regard to least_words as well. The earliest occurrence by (identifier, position) stays. Offsets are code points of the original text, stop exclusive. Null
+    unit is "line", "sentence", "clause" or "passage" (see above). whole_lines removes repeated lines without regard to least_words as well. The earliest occurrence by (identifier, position) stays. Offsets are code points of the original text, stop exclusive. Null
     texts stay null and have nothing removed; so do rows with a null identifier. Repeated rows get the same result; an identifier with several texts
     is one document with versions, which don't repeat each other at the same position. An
     empty table gives an empty result. Other columns are ignored.

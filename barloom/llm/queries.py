@@ -70,7 +70,7 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned text as a digest and its length, with every removed span of the original as start:stop."""
-    found = line_dedup(table(spark, sf_dir, "documents"), whole_lines=True)
+    found = line_dedup(table(spark, sf_dir, "documents"), unit="passage", whole_lines=True)
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"])), ",")
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "n_removed_words", spans.alias("removed"), F.length("text").cast("bigint").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
 

@@ -65,6 +65,29 @@ def test_repeated_short_lines_go_whatever_stands_beside_them(spark):
     assert all(r.removed == [] for r in line_dedup(docs).collect())
 
 
+def test_passage_cut_by_long_clauses_goes_to_the_word(spark):
+    rng = random.Random(14)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    passages = [words(52), f"{words(10)} {'it ' * 40}{words(12)}", f"{words(20)}, {words(9)}. {words(30)}"]
+    rows = [(10 * k + i, f"{words(40 + i)} {p} {words(50 - i)}") for k, p in enumerate(passages) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in line_dedup(docs, unit="passage").collect()}
+    for d, text in rows:
+        gone = " ".join(text[s.start : s.stop] for s in got[d].removed)
+        if d != 10:  # which repeats its own words
+            assert gone == (passages[d // 10] if d % 10 else ""), d
+    assert sum(r.n_removed_words for r in line_dedup(docs.where("doc_id < 10")).collect()) == 0
+
+
+def test_clauses_that_never_stood_together_are_no_passage(spark):
+    rng = random.Random(15)
+    clauses = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(6)) + "." for _ in range(8)]
+    rows = [(k, f"Own {k}. {c} Own {k} end.") for k, c in enumerate(clauses)] + [(20, " ".join(clauses))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert all(r.removed == [] for r in line_dedup(docs, unit="passage").collect())
+    assert [r.n_removed_words for r in line_dedup(docs).where("doc_id = 20").collect()] == [48]
+
+
 def test_query_removes_every_repeated_line(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     seen, later = set(), {}
