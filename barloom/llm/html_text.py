@@ -3,7 +3,7 @@
 A page is parsed once into element subtrees. Every block-level subtree is hashed over its tags, classes and text. Spark counts the
 hashes per host, each over pages of different content, and subtrees that recur across many pages of their host are its
 template: they are deleted before the text is read. Elements that name themselves as navigation, header, footer, advert, form, comments and so
-on are deleted as well, since a host with one page shows no recurrence. Where a page marks its article, text blocks right inside it are
+on are deleted as well, since a host with one page shows no recurrence; a name or a form around the marked article, or around most of the paragraphs of a page without one, deletes nothing. Where a page marks its article, text blocks right inside it are
 content even if other pages repeat them.
 """
 
@@ -37,22 +37,23 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 
 _TAG = re.compile(r"""<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(>?))""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>?)")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Element:
-    __slots__ = ("tag", "parts", "names", "drop", "outer_drop", "digest")
+    __slots__ = ("tag", "parts", "names", "drop", "outer_drop", "cued", "digest")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.parts, self.digest = tag, [], 0
-        self.names, self.drop, self.outer_drop = "", tag in DROPPED, tag == "header"
+        self.names, self.drop, self.outer_drop = "", tag in DROPPED and tag != "form", tag == "header"
+        self.cued = tag == "form"  # dropped for a name or as a form, which may also stand around the content
         for m in _ATTRIBUTE.finditer(attributes):
-            name, value = m[1].lower(), (m[2] or "").strip("\"'")
+            name, value = (m[1] or "").lower(), (m[2] or "").strip("\"'")
             if name in ("class", "id"):
                 tokens = {x.lower() for x in _TOKEN.findall(value)}
                 self.names += f" {value}" if name == "class" else ""
-                self.drop |= bool(tokens & CUES) and tag not in ("html", "body", "article", "main")
+                self.cued |= bool(tokens & CUES) and tag not in ("html", "body", "article", "main")
                 self.outer_drop |= bool(tokens & OUTSIDE_CUES) and tag not in ("html", "body", "article", "main")
             elif name == "role":
                 self.drop |= value.lower() in ROLES
@@ -127,18 +128,46 @@ def _walk(root: Element) -> list[tuple[Element, Element | None]]:
     return out
 
 
+def _around_content(root: Element) -> set[int]:
+    """id() of the elements that hold a marked article, or on a page without one over half of the text of paragraphs, in nothing that surely goes; names don't drop them."""
+    order = [(x, p) for x, p in _walk(root) if p is not None]
+    alive, reached = [], {id(root)}
+    for x, p in order:
+        if id(p) in reached and not x.drop:
+            reached.add(id(x))
+            alive.append((x, p))
+    marked = {id(x) for x, _ in alive if x.tag in ("article", "main") and not x.cued}
+    if marked:
+        # Articles inside a cued element (related stories, comments) don't count where others stand outside all cued ones.
+        free = {id(root)}
+        for x, p in alive:
+            if id(p) in free and not (x.cued or x.outer_drop):
+                free.add(id(x))
+        if marked & free:
+            return set()
+    size: dict[int, int] = {}
+    for x, p in reversed(alive):
+        own = 0 if marked else sum(len(" ".join(t.split())) for t in x.parts if isinstance(t, str)) if x.tag in TEXT_BLOCKS else 0
+        size[id(x)] = size.get(id(x), 0) + (int(id(x) in marked) if marked else own)
+        size[id(p)] = size.get(id(p), 0) + size[id(x)]
+    total = size.get(id(root), 0)
+    return {id(x) for x, _ in alive if size[id(x)] and (marked or 2 * size[id(x)] > total)}
+
+
 def _kept(root: Element, templates: frozenset[int] = frozenset()) -> tuple[set[int], set[int]]:
     """id() of the elements that lie in nothing that drops them, given where the article is; and of those inside an article."""
     inside: set[int] = set()
     kept: set[int] = {id(root)}
-    for here, parent in _walk(root):
+    order = _walk(root)
+    around = _around_content(root) if any(x.cued or x.outer_drop for x, _ in order) else set()
+    for here, parent in order:
         if parent is None:
             continue
         if id(parent) in inside or here.tag in ("article", "main"):
             inside.add(id(here))
         in_article = id(parent) in inside
         template = here.digest in templates and here.tag not in ("article", "main", "body", "html") and not (in_article and here.tag in TEXT_BLOCKS)
-        if id(parent) in kept and not (here.drop or here.outer_drop and not in_article or template):
+        if id(parent) in kept and not (here.drop or (here.cued or here.outer_drop and not in_article) and id(here) not in around or template):
             kept.add(id(here))
     return kept, inside
 

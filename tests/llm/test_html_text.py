@@ -31,6 +31,22 @@ def test_unmarked_and_broken_pages():
     assert text("<article>" + "<b>" * 3000 + "deep" + "</b>" * 3000 + "</article>") == "deep"
 
 
+def test_names_around_the_content_delete_nothing():
+    article = "<article><h1>H</h1><p>t</p><div class='share'>s</div></article>"
+    for around in ("div class='content has-sidebar'", "div id='page' class='no-sidebar'", "section class='social-science'", "form action='/'", "div class='top'"):
+        assert text(f"<nav>n</nav><{around}>{article}<div class='ad'>Buy</div></{around.split()[0]}>") == "H\n\nt", around
+    assert text("<div class='no-sidebar'><p>A long enough story.</p><div class='ad'><p>Buy</p></div></div><div class='related'><p>More</p></div>") == "A long enough story."
+    assert text("<article><p>t</p></article><div class='related'><article><p>More</p></article></div>") == "t"
+    assert text("<article><p>t</p></article><aside class='x'><article><p>More</p></article></aside>") == "t"
+
+
+def test_attributes_count_as_whole_names_only():
+    for own in ("title='The hidden river'", "data-state='hidden'", "data-id='ad'", "data-hidden='false'", "data-class=ad", 'title="role=navigation"', "aria-hidden='false'"):
+        assert text(f"<article><p>a</p><p {own}>b</p></article>") == "a\n\nb", own
+    for own in ("hidden", "HIDDEN=''", "aria-hidden=true", "style='display: none'", "class = 'ad'", "data-x='y' id=ad", "role=\"navigation\""):
+        assert text(f"<article><p>a</p><p {own}>b</p></article>") == "a", own
+
+
 def test_templates_are_removed_per_host(spark):
     soup = lambda k: f"<html><body><div class='c1'>Our site for everything</div><div><p>Story {k} begins.</p><p>It ends {k}.</p></div><div class='c2'><p>All rights here</p></div></body></html>"
     pages = [(k, f"http://a.example/{k}", soup(k), "clash") for k in range(12)] + [(100 + k, f"http://b{k}.example/", soup(k), None) for k in range(3)]
