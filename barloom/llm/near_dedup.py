@@ -245,7 +245,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and wordless texts have no shingles and only themselves. Rows with a null identifier take no part: component_id is null
     and kept true. Rows that repeat an identifier are one document that may have several texts: a link of one of them holds for all, and
     each row gets the document's result. An empty table gives an empty result. Other columns are ignored.
+    The bands and LEAST_ESTIMATE are made for 80 percent, so that smaller values, which would lose links, are an error.
     """
+    if percent < 80:
+        raise ValueError("percent is at least 80: bands and sketches would miss links below")
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     signed = persisted(base.mapInArrow(_set_rows(shingle_words), "id bigint, n_shingles bigint, key binary, bands array<bigint>"))
     narrow = signed.select("id", "n_shingles", "key")

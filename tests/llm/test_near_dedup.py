@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from barloom.llm.near_dedup import FOR_SKETCH, LEAST_ESTIMATE, SAMPLES, SKETCH_BITS, components, near_duplicates, odd_sketch, samples, shingle_hashes
 from tests.llm.rows import awkward, empty, lower
@@ -97,3 +98,9 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(order[k], order[k + 1]) for k in range(n - 1)] + [(1000, 1001)], "a bigint, b bigint")
     got = {r.id: r.component for r in components(links).collect()}
     assert got == {k: 0 for k in range(n)} | {1000: 1000, 1001: 1000}
+
+
+def test_similarities_that_the_bands_would_miss_are_refused(spark):
+    with pytest.raises(ValueError):
+        near_duplicates(empty(spark), percent=79)
+    assert near_duplicates(empty(spark), percent=80).collect() == []
