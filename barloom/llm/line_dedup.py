@@ -41,10 +41,10 @@ def _hash(words: str, seed: int = 0) -> int:
 
 def _ends(words: list[str]) -> list[int]:
     """Where pieces of a long clause end: after the least word by hash of every WINDOW neighbouring words, all of them if several are equal."""
-    keys = np.array([_hash(w) for w in words])
-    least = np.lib.stride_tricks.sliding_window_view(keys, WINDOW).min(1)
-    ends = {i + j + 1 for j in range(WINDOW) for i in np.flatnonzero(keys[j : j + len(least)] == least).tolist()}
-    return sorted(ends | {len(words)})
+    keys = [_hash(w) for w in words]
+    least = [min(keys[i : i + WINDOW]) for i in range(len(keys) - WINDOW + 1)]
+    ends = [j + 1 for j, key in enumerate(keys) if key == max(least[max(0, j - WINDOW + 1) : j + 1])]
+    return ends if ends[-1] == len(words) else [*ends, len(words)]
 
 
 def _pieces(text: str, unit: str) -> list[tuple[int, int, int, str]]:
