@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -31,8 +32,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a folder of our own in local mode; an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (found or _own_dir()).rstrip("/")
 
 
@@ -49,5 +52,18 @@ def persisted(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def superseded(*tables: DataFrame) -> None:
+    """Deletes tables that persisted() wrote, once nothing reads them any more."""
+    for df in tables:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            found = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of df as one struct, so that nothing done to it can meet their names; "row.*" of it gives them back."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,10 +7,10 @@
    one bit. The XOR of two sketches counts the samples in which they differ, which estimates high similarities precisely.
 3. A small bucket pairs its members; a larger one pairs each member with the bucket's best-connected member. Pairs whose sketches
    are too far apart go; the rest are confirmed on full sets.
-4. Buckets that still span several components afterwards are compared whole, block by block in numpy on sketches, across
-   components only: first members outside the largest component try their nearest partners, then every pair that is left is taken, in its
-   first common bucket. What the sketches let through is confirmed on full sets too, so no link is lost to the choice of centres.
-5. Components come from min-label propagation with pointer jumping on link tables.
+4. Buckets that still span several components afterwards are compared whole, block by block, across components only, so no link is lost
+   to the choice of centres. The rows of a block hold full sets, so that what its sketches let through is confirmed right there, nearest first; a
+   confirmed link merges two components of the block, and only such links leave the task: fewer than the block has members.
+5. Components come from min-label propagation with pointer jumping on link tables; the links of step 4 are between components.
 
 With 5 rows in each of 32 bands, a pair at similarity 0.8 shares no band with probability 3e-6; its estimate has a standard deviation
 of 0.0135 and is under LEAST_ESTIMATE with probability 5e-6.
@@ -22,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import persisted
+from barloom.llm.common import persisted, superseded
 
 BANDS, ROWS = 32, 5
 #: Samples behind an odd sketch, and its size.
@@ -35,10 +36,10 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 LEAST_ESTIMATE = 0.74
 #: A bucket of at most this many classes pairs its members; a larger one pairs each with its centre.
 SMALL_BUCKET = 6
-#: Nearest partners that a member outside its bucket's largest component tries first.
-NEAREST = 3
-#: Members of one block in the comparison of whole buckets.
-BLOCK = 1024
+#: Members of one block in the comparison of whole buckets, and hashes in their sets; both on average.
+BLOCK, BLOCK_HASHES = 2048, 1 << 21
+#: Partners of a member that are confirmed at once, before those that were linked meanwhile are left out.
+AT_ONCE = 16
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, bool)
@@ -54,13 +55,18 @@ FOR_BANDS, FOR_SKETCH = slice(0, BANDS * ROWS), slice(BANDS * ROWS, None)
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def follow(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a sequence that has hash h so far and goes on with word."""
+    return mix(h * _BASE + word)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_BASE^0..n-1 and their inverses, modulo 2^64; grown by doubling and kept for the task."""
     have = _POWERS.get("up", np.ones(1, np.uint64))
     back = _POWERS.get("down", np.ones(1, np.uint64))
@@ -71,23 +77,31 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[:n], back[:n]
 
 
-def shingle_hashes(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of size words; fewer words make one shingle, none make none."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(_LOWER), np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.uint64)
-    inside = ~_SPACE[raw]
+def byte_keys(raw: np.ndarray) -> np.ndarray:
+    return _BYTE_KEY[raw]
+
+
+def word_hashes(keys: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, stop) of every word: the runs of characters where inside holds, of which keys has random values. A hash depends on the word alone."""
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
+        return np.zeros(0, np.uint64), starts, stops
+    up, down = powers(len(keys))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(keys * up)])
+    return mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64)), starts, stops
+
+
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of size words; fewer words make one shingle, none make none."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").translate(_LOWER), np.uint8)
+    word, _, _ = word_hashes(byte_keys(raw), ~_SPACE[raw])
+    if not len(word):
         return np.zeros(0, np.uint64)
-    up, down = _powers(len(raw))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_KEY[raw] * up)])
-    word = _mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64))
     n = min(size, len(word))
     h = np.full(len(word) - n + 1, n, np.uint64)
     for k in range(n):
-        h = _mix(h * _BASE + word[k : len(word) - n + 1 + k])
+        h = follow(h, word[k : len(word) - n + 1 + k])
     return np.unique(h)
 
 
@@ -106,13 +120,13 @@ def band_hashes(sample: np.ndarray) -> np.ndarray:
     rows = sample.reshape(BANDS, ROWS)
     h = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
-        h = _mix(h * _BASE + rows[:, k])
+        h = follow(h, rows[:, k])
     return h.view(np.int64)
 
 
 def odd_sketch(sample: np.ndarray) -> np.ndarray:
     """Bit i is the parity of the (position, value) pairs that hash to i; as SKETCH_WORDS signed longs."""
-    bit = _mix(sample * _BASE + np.arange(len(sample), dtype=np.uint64)) % np.uint64(SKETCH_BITS)
+    bit = mix(sample * _BASE + np.arange(len(sample), dtype=np.uint64)) % np.uint64(SKETCH_BITS)
     odd = (np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
@@ -123,6 +137,11 @@ def _differing_bits(estimate: float) -> int:
     return int(np.ceil(SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** differing) / 2))
 
 
+def set_key(h: np.ndarray) -> bytes | None:
+    """Identifies a set: two sums of differently mixed hashes and the size; none for an empty one."""
+    return h.sum().tobytes() + mix(h + _BASE).sum().tobytes() + len(h).to_bytes(4, "little") if len(h) else None
+
+
 def _set_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,8 +150,7 @@ def _set_rows(size: int):
             for k in range(b.num_rows):
                 h = shingle_hashes(texts[k].as_py(), size)
                 sizes.append(len(h))
-                # Two sums of differently mixed hashes and the size identify the set.
-                keys.append(h.sum().tobytes() + _mix(h + _BASE).sum().tobytes() + len(h).to_bytes(4, "little") if len(h) else None)
+                keys.append(set_key(h))
                 bands.append(band_hashes(samples(h, FOR_BANDS)) if len(h) else None)
             yield pa.RecordBatch.from_pydict({"id": b.column("id"), "n_shingles": pa.array(sizes, pa.int64()), "key": pa.array(keys, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64()))})
 
@@ -143,12 +161,13 @@ def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
-            sets, sketches = [], []
+            sets, keys, sketches = [], [], []
             for k in range(b.num_rows):
                 h = shingle_hashes(texts[k].as_py(), size)
                 sets.append(h.view(np.int64))
+                keys.append(set_key(h))
                 sketches.append(odd_sketch(samples(h, FOR_SKETCH)))
-            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "hashes": pa.array(sets, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "key": pa.array(keys, pa.binary()), "hashes": pa.array(sets, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.list_(pa.int64()))})
 
     return run
 
@@ -157,18 +176,15 @@ def _near(a: Column, b: Column, most: int) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x) <= most
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, sketched: bool = False) -> DataFrame:
-    """Distinct pairs (a, b) whose sketches are near and whose full sets are similar enough; sets: (id, hashes, sketch, n). Sketched pairs have near sketches already."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose sketches are near and whose full sets are similar enough; sets: (id, hashes, sketch, n)."""
     most = _differing_bits(LEAST_ESTIMATE)
     one = lambda side, c: sets.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col(c).alias(f"v{side}"))
     sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    close = pairs.distinct()
-    if not sketched:
-        near = close.join(one("a", "sketch"), "a").join(one("b", "sketch"), "b").where(sized & _near(F.col("va"), F.col("vb"), most))
-        close = persisted(near.select("a", "b"))
-    both = close.join(one("b", "hashes"), "b").join(one("a", "hashes"), "a")
+    near = pairs.distinct().join(one("a", "sketch"), "a").join(one("b", "sketch"), "b").where(sized & _near(F.col("va"), F.col("vb"), most))
+    both = persisted(near.select("a", "b")).join(one("b", "hashes"), "b").join(one("a", "hashes"), "a")
     shared = F.size(F.array_intersect("va", "vb"))
-    return both.where(sized & (100 * shared >= percent * (F.col("na") + F.col("nb") - shared))).select("a", "b").distinct()
+    return both.where(100 * shared >= percent * (F.col("na") + F.col("nb") - shared)).select("a", "b").distinct()
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -181,60 +197,70 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     both = persisted(links.select("a", "b").union(links.select("b", "a")).distinct().toDF("a", "b"))
     labels = persisted(both.select(F.col("a").alias("id")).distinct().withColumn("component", F.col("id")))
     for _ in range(most_rounds):
-        heard = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
-        heard = labels.join(heard, F.col("id") == F.col("a")).select("id", F.col("component").alias("root"), "near")
+        # The tables grow with the documents: merge joins at every size.
+        heard = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("near")).hint("merge"), "b").groupBy("a").agg(F.min("near").alias("near"))
+        heard = labels.join(heard.hint("merge"), F.col("id") == F.col("a")).select("id", F.col("component").alias("root"), "near")
         offers = heard.select("id", "near").union(heard.select("root", "near")).groupBy("id").agg(F.min("near").alias("near"))
-        step = persisted(labels.join(offers, "id").select("id", F.least("component", "near").alias("next"), F.col("component").alias("old")))
+        step = persisted(labels.join(offers.hint("merge"), "id").select("id", F.least("component", "near").alias("next"), F.col("component").alias("old")))
         jump = step.select(F.col("id").alias("next"), F.col("next").alias("beyond"))
-        moved = persisted(step.join(jump, "next").select("id", F.least("next", "beyond").alias("component"), "old"))
+        moved = persisted(step.join(jump.hint("merge"), "next").select("id", F.least("next", "beyond").alias("component"), "old"))
+        superseded(step, labels)
         labels = moved.select("id", "component")
         if moved.where(F.col("component") != F.col("old")).isEmpty():
+            superseded(both)
             return labels
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _remaining_pairs(buckets: DataFrame, labels: DataFrame, members: DataFrame, nearest: int | None) -> DataFrame:
-    """Pairs (a, b) of near sketches in one bucket but in different components; buckets: (bucket, band, id), members: (id, sketch, bands).
+def _links_between(buckets: DataFrame, labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of labels that buckets contain; buckets: (bucket, band, id), members: (id, sketch, bands, hashes).
 
-    A bucket is dealt as pairs of blocks of at most BLOCK members on average, so a large one spreads over tasks. With nearest, only
-    that many nearest partners of members outside a group's largest component; else all pairs, each in the first band that it shares.
+    A bucket is dealt as pairs of blocks, so a large one spreads over tasks; blocks are bounded in members and in hashes. A pair is confirmed in the
+    first band that it shares, and unless links that were found before in the same blocks join its components.
     """
-    labelled = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")).where(F.col("low") < F.col("high"))
-    open_ = open_.select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.join(open_, "bucket").join(members, "id")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("block", block).withColumn("other", other)
-    rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "id", "component", "sketch", "bands")
+    labelled = buckets.join(labels.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sized = labelled.join(members.select("id", F.size("hashes").alias("n")).hint("merge"), "id")
+    open_ = sized.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum("n").alias("size")).where(F.col("low") < F.col("high"))
+    open_ = persisted(open_.select("bucket", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("size") / BLOCK_HASHES)).cast("int").alias("blocks")))
+    rows = labelled.join(open_.hint("merge"), "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(members.hint("merge"), "id")
+    rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "component", "sketch", "bands", "hashes")
     most = _differing_bits(LEAST_ESTIMATE)
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, component, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
-        n, band = len(ids), table.column("band")[0].as_py()
+        block, n, band = table.column("block").to_numpy(), table.num_rows, table.column("band")[0].as_py()
         flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy().reshape(n, -1)
         sketch, bands = flat("sketch").view(np.uint64), flat("bands")[:, :band]
         one_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        left, right = [], []
-        if nearest is not None:
-            names, sizes = np.unique(component, return_counts=True)
-            for k in np.flatnonzero(component != names[sizes.argmax()]):
-                rest = np.flatnonzero((component != component[k]) & ((block != block[k]) | one_block))
-                far = np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1)
-                best = np.argsort(far, kind="stable")[:nearest]
-                best = rest[best[far[best] <= most]]
-                left.append(np.full(len(best), ids[k]))
-                right.append(ids[best])
-        for k in range(n if nearest is None else 0):
-            rest = np.flatnonzero((component[k + 1 :] != component[k]) & ((block[k + 1 :] != block[k]) | one_block)) + k + 1
-            near = rest[np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1) <= most]
-            new = near[~(bands[near] == bands[k]).any(1)]
-            left.append(np.full(len(new), ids[k]))
-            right.append(ids[new])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        return pa.table({"a": np.minimum(a, b).astype(np.int64), "b": np.maximum(a, b).astype(np.int64)})
-
-    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+        names, component = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        first = component.copy()
+        size = pc.list_value_length(table.column("hashes")).to_numpy().astype(np.int64)
+        stop = size.cumsum()
+        start = stop - size
+        values, code = np.unique(table.column("hashes").combine_chunks().flatten().to_numpy(), return_inverse=True)
+        has = np.zeros(len(values), bool)
+        links = []
+        for k in range(n):
+            rest = k + 1 + np.flatnonzero((component[k + 1 :] != component[k]) & ((block[k + 1 :] != block[k]) | one_block))
+            rest = rest[100 * np.minimum(size[rest], size[k]) >= percent * np.maximum(size[rest], size[k])]
+            far = np.bitwise_count(sketch[rest] ^ sketch[k]).sum(1)
+            rest = rest[np.argsort(far, kind="stable")[: np.count_nonzero(far <= most)]]
+            rest = rest[~(bands[rest] == bands[k]).any(1)]
+            own = code[start[k] : stop[k]]
+            has[own] = True
+            while len(rest):
+                now, rest = rest[:AT_ONCE], rest[AT_ONCE:]
+                shared = np.array([np.count_nonzero(has[code[start[x] : stop[x]]]) for x in now])
+                for x in now[100 * shared >= percent * (size[now] + size[k] - shared)]:
+                    if component[x] != component[k]:
+                        links.append((first[k], first[x]))
+                        component[component == component[x]] = component[k]
+                rest = rest[component[rest] != component[k]]
+            has[own] = False
+        a, b = names[np.array(links, np.int64).reshape(-1, 2).T]
+        return pa.table({"a": a, "b": b})
+
+    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle_words: int = 5, percent: int = 80) -> DataFrame:
@@ -256,30 +282,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = persisted(signed.where(F.col("key").isNotNull() & F.col("id").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
     exploded = classes.select("id", F.posexplode("bands").alias("band", "value"))
     exploded = exploded.select("id", "band", F.xxhash64("band", "value").alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.count("*").alias("members")).where(F.col("members") > 1)
-    buckets = persisted(exploded.join(shared, "bucket"))
+    # Written first, here and below, so that the join deals both sides anew and can split a bucket that many classes share.
+    shared = persisted(exploded.groupBy("bucket").agg(F.count("*").alias("members")).where(F.col("members") > 1))
+    buckets = persisted(exploded.join(shared.hint("merge"), "bucket"))
     degree = persisted(buckets.groupBy("id").agg(F.sum("members").alias("degree")))
     # Texts of candidates only. The merge hint makes every size go the same way: the list of candidates grows with the documents.
     texts = base.join(degree.select("id").hint("merge"), "id", "left_semi").withColumn("h", F.xxhash64("text")).groupBy("id", "h").agg(F.first("text").alias("text"))
-    sets = persisted(texts.select("id", "text").mapInArrow(_full_sets(shingle_words), "id bigint, hashes array<bigint>, sketch array<bigint>").withColumn("n", F.size("hashes")))
-    ranked = buckets.join(degree, "id")
+    sets = persisted(texts.select("id", "text").mapInArrow(_full_sets(shingle_words), "id bigint, key binary, hashes array<bigint>, sketch array<bigint>").withColumn("n", F.size("hashes")))
+    ranked = buckets.join(degree.hint("merge"), "id")
     small = ranked.where(F.col("members") <= SMALL_BUCKET).groupBy("bucket").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     within = small.select(F.explode(F.flatten(F.transform("ids", lambda x, i: F.transform(F.slice("ids", i + 2, SMALL_BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
     large = ranked.where(F.col("members") > SMALL_BUCKET)
     # The best-connected member, by a partial aggregate, so no bucket is gathered.
-    centre = large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("top")).select("bucket", (-F.col("top.less")).alias("centre"))
-    star = large.select("bucket", "id").join(centre, "bucket").where(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-    links = persisted(_confirmed(within.union(star), sets, percent))
-    labels = components(links)
-    members = sets.select("id", "sketch").join(classes.select("id", "bands"), "id")
-    for nearest in (NEAREST, None):  # the nearest partners settle most members; then all that is left
-        rest = persisted(_remaining_pairs(large.select("bucket", "band", "id"), labels, members, nearest))
-        if rest.isEmpty():
-            break
-        more = persisted(_confirmed(rest, sets, percent, sketched=True))
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-    named = classes.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
-    out = narrow.join(named, "key", "left").withColumn("component", F.coalesce("component", "id"))
+    centre = persisted(large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("top")).select("bucket", (-F.col("top.less")).alias("centre")))
+    star = large.select("bucket", "id").join(centre.hint("merge"), "bucket").where(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+    labels = components(_confirmed(within.union(star), sets, percent))
+    members = sets.select("id", "key", "sketch", "hashes").join(classes.select("id", "key", "bands").hint("merge"), ["id", "key"]).drop("key")
+    between = persisted(_links_between(large.select("bucket", "band", "id"), labels, members, percent))
+    named = classes.select("key", "id").join(labels.hint("merge"), "id", "left").select("key", F.coalesce("component", "id").alias("component"))
+    if not between.isEmpty():
+        joined = components(between).select(F.col("id").alias("component"), F.col("component").alias("beyond"))
+        named = named.join(joined.hint("merge"), "component", "left").select("key", F.coalesce("beyond", "component").alias("component"))
+    out = narrow.join(named.hint("merge"), "key", "left").withColumn("component", F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"), (F.coalesce(F.col("id") == F.col("component"), F.lit(True))).alias("kept"))

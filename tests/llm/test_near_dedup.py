@@ -65,6 +65,35 @@ def test_large_group_of_near_copies(spark):
     assert sorted(tuple(r) for r in near_duplicates(docs, shingle_words=2).collect()) == brute(rows, 2)
 
 
+def test_large_group_just_below_the_threshold(spark):
+    """Most pairs are near, but not linked; the links among them are found, and every pair is compared without leaving its block."""
+    rng = np.random.default_rng(12)
+    n, common = 2000, [f"c{k}" for k in range(620)]
+    rows = []
+    for i in range(n):
+        words = list(common)
+        for k in rng.choice(len(words), int(rng.integers(17, 22)), replace=False):
+            words[k] = f"x{i if i % 50 else i % 100}n{k}"
+        rows.append((i, " ".join(words)))
+    sets = [shingles(t, 2) for _, t in rows]
+    names = {x: k for k, x in enumerate(set().union(*sets))}
+    table = np.zeros((n, len(names)), np.float32)
+    for i, found in enumerate(sets):
+        table[i, [names[x] for x in found]] = 1
+    shared, size = table @ table.T, table.sum(1)
+    linked = 100 * shared >= 80 * (size[:, None] + size - shared)
+    similar = shared / (size[:, None] + size - shared)
+    assert 0.74 < np.median(similar) < 0.8 and n < linked.sum() < n * n / 4
+    label = np.arange(n)
+    for _ in range(n):
+        new = np.where(linked, label, n).min(1)
+        if (new == label).all():
+            break
+        label = new
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle_words=2).collect()}
+    assert got == dict(enumerate(label.tolist()))
+
+
 def test_awkward_rows_and_empty_table(spark):
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(awkward(spark), shingle_words=2).collect()}
     assert {(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 3, 5, True), (7, 0, 7, True), (8, 1, 8, True), (9, 1, 9, True), (None, 2, None, True)} <= got
