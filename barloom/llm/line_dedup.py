@@ -1,214 +1,330 @@
-"""Substring dedup by hashing lines, or the clauses of lines.
+"""Substring dedup by hashing lines, or units within lines.
 
-A text is cut into units: lines, or pieces of lines that end at a clause or sentence mark, so that a passage pasted into the middle of
-a line still has whole units of its own. Units are normalised (A-Z lower-cased; only letters and digits count) and hashed. Digests are
-grouped globally with the earliest rank (identifier, then position); every other occurrence is a repeat. Neighbouring repeats form
-runs, and runs of enough words are removed, with their offsets in the original text retained; shorter ones, such as a stock phrase in
-prose, stay. With whole_lines, a line that occurs earlier as a whole line goes as well, however short it is and whatever stands beside it.
+A text is cut into units: lines, or pieces of lines that end at a clause or sentence mark. Units are normalised to their words (runs of letters
+and digits, A-Z lower-cased) and hashed. Digests are grouped globally with the smallest identifier that has them; the first occurrence there is the
+earliest, every other one is a repeat. Neighbouring repeats form runs, and runs of enough words are removed, with their offsets in the original text
+retained; shorter ones, such as a stock phrase in prose, stay. With whole_lines, a line that occurs earlier as a whole line goes as well,
+however short it is and whatever stands beside it.
 
-The unit "passage" finds what was pasted without regard to clauses. Clauses of more than LONG words are cut where a word's hash is the least
-of some WINDOW neighbouring words, which depends on nearby words only. Digests are of two neighbouring pieces, so that those of a run follow each
-other elsewhere too, and both ends of a run go on word by word while the text at the earliest occurrence of its end does.
+The unit "passage" finds what was pasted without regard to marks and lines. Pieces end at words whose hash is the least of some WINDOW neighbouring
+words, which depends on nearby words only. Digests are of two neighbouring pieces, so that those of a run follow each other elsewhere too, and
+both ends of a run go on word by word while the text at the earliest occurrence of its end does.
+
+Texts are taken in chunks, whose code points, words, units and digests are numpy arrays.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import persisted
+from barloom.llm.common import persisted, superseded
+from barloom.llm.near_dedup import mix, powers, word_hashes
 
-# Where units end.
-UNITS = {"line": regex.compile(r"[^\n]+"), "sentence": regex.compile(r"[^\n.?!]+[.?!]*"), "clause": regex.compile(r"[^\n.?!,;:]+[.?!,;:]*")}
-UNITS["passage"] = UNITS["clause"]
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Added to the position of a line's first unit, so that lines have places of their own, in page order.
+# The marks that end a unit.
+MARKS = {"line": "\n", "sentence": "\n.?!", "clause": "\n.?!,;:"}
+UNITS = (*MARKS, "passage")
+#: Added to the number of a line, so that lines have places of their own.
 LINE = 1 << 30
-#: For passages: words of a clause that isn't cut, words among which one ends a piece, and words to which a run may be extended at either end.
-LONG, WINDOW, REACH = 12, 8, 24
-
-
-def _hash(words: str, seed: int = 0) -> int:
-    return xxhash.xxh3_64_intdigest(words.encode("utf-8", "surrogatepass"), seed) - (1 << 63)
-
-
-def _ends(words: list[str]) -> list[int]:
-    """Where pieces of a long clause end: after the least word by hash of every WINDOW neighbouring words, all of them if several are equal."""
-    keys = [_hash(w) for w in words]
-    least = [min(keys[i : i + WINDOW]) for i in range(len(keys) - WINDOW + 1)]
-    ends = [j + 1 for j, key in enumerate(keys) if key == max(least[max(0, j - WINDOW + 1) : j + 1])]
-    return ends if ends[-1] == len(words) else [*ends, len(words)]
-
-
-def _pieces(text: str, unit: str) -> list[tuple[int, int, int, str]]:
-    """(start, stop, words, normalised text) of every unit with a word."""
-    out = []
-    for m in UNITS[unit].finditer(text.translate(_LOWER)):
-        words = _WORD.findall(m[0])
-        if words:
-            piece = m[0]
-            start, stop = m.start() + len(piece) - len(piece.lstrip()), m.start() + len(piece.rstrip())
-            if unit == "passage" and len(words) > LONG:
-                found, ends = list(_WORD.finditer(piece)), _ends(words)
-                for i, j in zip([0, *ends], ends):
-                    out.append((m.start() + found[i].start() if i else start, m.start() + found[j - 1].end() if j < len(words) else stop, j - i, " ".join(words[i:j])))
-            else:
-                out.append((start, stop, len(words), " ".join(words)))
+#: Words among which one ends a piece, and words to which a run may be extended at either end.
+WINDOW, REACH = 10, 24
+#: A digest with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT_SHARE of them.
+HOT_SHARE = 0.001
+#: Code points that are cut at once; a longer text stands alone.
+CHUNK = 1 << 20
+
+_OTHER, _WORD, _SPACE = 0, 1, 2
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """By code point: of a word (letters and numbers), white space, or neither."""
+    every = "".join(map(chr, range(0x110000)))
+    out = np.zeros(len(every), np.uint8)
+    for kind, pattern in ((_WORD, r"[\p{L}\p{N}]+"), (_SPACE, r"\s+")):
+        for m in regex.finditer(pattern, every):
+            out[m.start() : m.end()] = kind
     return out
 
 
-def _digests(pieces: list[tuple[int, int, int, str]], unit: str) -> list[int]:
-    """One digest a piece, or for passages one for every two neighbours."""
-    if unit == "passage":
-        return [_hash(f"{a[3]}\0{b[3]}", 2) for a, b in zip(pieces, pieces[1:])]
-    return [_hash(p[3]) for p in pieces]
+def _sliding(smaller_or_larger: np.ufunc, values: np.ndarray) -> np.ndarray:
+    """The least or greatest of every WINDOW neighbouring values."""
+    n = len(values) - WINDOW + 1
+    out = values[:n].copy()
+    for k in range(1, WINDOW):
+        smaller_or_larger(out, values[k : k + n], out=out)
+    return out
+
+
+@dataclass
+class Cut:
+    """A sequence of units over the words of a chunk: words first to end - 1, of text doc; number counts within the text."""
+
+    first: np.ndarray
+    end: np.ndarray
+    doc: np.ndarray
+    number: np.ndarray
+
+
+class Chunk:
+    """Words of several texts, which stand in one array of code points with a line break after each."""
+
+    def __init__(self, texts: list[str]):
+        self.points = np.frombuffer("".join(f"{t}\n" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.kind = _kinds()[self.points]
+        lower = np.where((self.points >= 65) & (self.points <= 90), self.points + 32, self.points)
+        self.word, self.start, self.stop = word_hashes(mix(lower.astype(np.uint64) + np.uint64(1)), self.kind == _WORD)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        self.offset = np.concatenate([[0], ends[:-1]])
+        self.doc = np.searchsorted(ends, self.start, "right")
+        self.first_word = np.searchsorted(self.doc, np.arange(len(texts) + 1))
+
+    def _split(self, last: np.ndarray) -> Cut:
+        """Units that end with the words where last holds, and with each text."""
+        if len(last):
+            last = last | np.concatenate([self.doc[1:] != self.doc[:-1], [True]])
+        end = np.flatnonzero(last) + 1
+        first = np.concatenate([[0], end[:-1]]).astype(end.dtype)[: len(end)]
+        doc = self.doc[first]
+        return Cut(first, end, doc, np.arange(len(first)) - np.searchsorted(doc, doc))
+
+    def _ends_by(self, marks: str) -> np.ndarray:
+        before = np.isin(self.points, [ord(c) for c in marks]).cumsum()[self.start]
+        return np.concatenate([before[1:] != before[:-1], [True]]) if len(before) else np.zeros(0, bool)
+
+    @functools.cached_property
+    def lines(self) -> Cut:
+        return self._split(self._ends_by("\n"))
+
+    def pieces(self, unit: str) -> Cut:
+        if unit != "passage":
+            return self._split(self._ends_by(MARKS[unit]))
+        n = len(self.word)
+        if n < WINDOW:
+            return self._split(np.zeros(n, bool))
+        least = np.where(self.doc[: n - WINDOW + 1] == self.doc[WINDOW - 1 :], _sliding(np.minimum, self.word), np.uint64(0))
+        none = np.zeros(WINDOW - 1, np.uint64)
+        return self._split(self.word == _sliding(np.maximum, np.concatenate([none, least, none])))
+
+    def units(self, unit: str, pieces: Cut) -> Cut:
+        """What is hashed: the pieces, or for passages every two neighbours."""
+        if unit != "passage":
+            return pieces
+        left = np.flatnonzero(pieces.doc[1:] == pieces.doc[:-1])
+        return Cut(pieces.first[left], pieces.end[left + 1], pieces.doc[left], pieces.number[left])
+
+    def digests(self, of: Cut, seed: int) -> np.ndarray:
+        """Two independent 64-bit hashes of the words of every unit, as (2, units) signed."""
+        up, down = powers(len(self.word))
+        out = []
+        for k in (0, 1):
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.word + np.uint64(k)) * up)])
+            own = (total[of.end] - total[of.first]) * down[of.first]
+            out.append(mix(own + (of.end - of.first).astype(np.uint64) + np.uint64(seed << 32)).view(np.int64))
+        return np.stack(out)
+
+    def spans(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs of words start and stop in the chunk. A span goes from its first word, or the line's first character that isn't white space if no word stands
+        before, to the marks right behind its last word, or the line's last such character if no word follows."""
+        line = np.cumsum(self.points == 10)[self.start]
+        breaks = np.flatnonzero(self.points == 10)
+        ink, edge = np.flatnonzero(self.kind != _SPACE), np.flatnonzero(self.kind != _OTHER)
+        last = end - 1
+        opens = (first == 0) | (line[np.maximum(first - 1, 0)] != line[first])
+        closes = (end == len(line)) | (line[np.minimum(end, len(line) - 1)] != line[last])
+        before = np.where(line[first] > 0, breaks[line[first] - 1] + 1, 0)
+        start = np.where(opens, ink[np.searchsorted(ink, before)], self.start[first])
+        stop = np.where(closes, ink[np.searchsorted(ink, breaks[line[last]]) - 1] + 1, edge[np.minimum(np.searchsorted(edge, self.stop[last]), len(edge) - 1)])
+        return start, stop
+
+
+def _chunks(texts: list[str | None], wanted: list[int]) -> Iterator[tuple[list[int], Chunk]]:
+    """The wanted texts in chunks, with their numbers."""
+    part, held = [], 0
+    for k in wanted:
+        if part and held + len(texts[k]) > CHUNK:
+            yield part, Chunk([texts[i] for i in part])
+            part, held = [], 0
+        part.append(k)
+        held += len(texts[k]) + 1
+    if part:
+        yield part, Chunk([texts[i] for i in part])
+
 
+def _unit_rows(unit: str, whole_lines: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, versions = b.column("id"), b.column("version")
+            for rows, chunk in _chunks(b.column("text").to_pylist(), list(range(b.num_rows))):
+                parts = [(chunk.units(unit, chunk.pieces(unit)), 0, 0)] + ([(chunk.lines, LINE, 1)] if whole_lines else [])
+                digests = [chunk.digests(cut, seed) for cut, _, seed in parts]
+                every = lambda of: np.concatenate([of(cut) for cut, _, _ in parts])
+                doc, first, words = every(lambda c: c.doc), every(lambda c: c.first), every(lambda c: c.end - c.first)
+                position = np.concatenate([cut.number + add for cut, add, _ in parts]).astype(np.int32)
+                one, two = np.concatenate(digests, 1)
+                fresh = np.zeros(len(doc), bool)
+                fresh[np.unique(mix(one.view(np.uint64) + mix(doc.astype(np.uint64))), return_index=True)[1]] = True  # parts stand in page order
+                at = (first - chunk.first_word[doc]).astype(np.int32)
+                row = np.array(rows)[doc] if len(doc) else doc
+                for k in range(0, len(doc), 50_000):
+                    part = slice(k, k + 50_000)
+                    take = pa.array(row[part])
+                    yield pa.RecordBatch.from_pydict({
+                        "id": ids.take(take), "version": versions.take(take), "position": pa.array(position[part]), "at": pa.array(at[part]), "words": pa.array(words[part].astype(np.int32)),
+                        "d1": pa.array(one[part]), "d2": pa.array(two[part]), "fresh": pa.array(fresh[part]),
+                    })
 
-def units_of(text: str, unit: str) -> list[tuple[int, int, int, int]]:
-    """(start, stop, words, digest) of every unit with a word; offsets in code points, white space at both ends left out."""
-    return [(start, stop, words, _hash(piece)) for start, stop, words, piece in _pieces(text, unit)]
+    return run
 
 
-def lines_of(text: str, pieces: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
-    """(first, end, digest) of every line with a word: it consists of the units first to end - 1."""
-    cuts = [0, *(k for k in range(1, len(pieces)) if text.find("\n", pieces[k - 1][1], pieces[k][0]) >= 0), len(pieces)]
-    return [(i, j, _hash(" ".join(p[3] for p in pieces[i:j]), 1)) for i, j in zip(cuts, cuts[1:]) if i < j]
+_UNITS = "id bigint, version bigint, position int, at int, words int, d1 bigint, d2 bigint, fresh boolean"
+_END = "first bigint, d1 bigint, d2 bigint"
+_RUNS = f"id bigint, version bigint, low int, high int, left struct<{_END}>, right struct<{_END}>"
 
 
-def _unit_rows(unit: str, whole_lines: bool):
+def _runs(least_words: int):
+    """(id, version, low, high, left, right): runs of neighbouring places of enough words, with what occurs earlier at either end; lines alone, without ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, texts = b.column("id"), b.column("text")
-            counts, places, found, lengths, after = [], [], [], [], []
-            for k in range(b.num_rows):
-                text = texts[k].as_py()
-                pieces = _pieces(text, unit)
-                lines = lines_of(text, pieces) if whole_lines else []
-                units = _digests(pieces, unit)
-                counts.append(len(units) + len(lines))
-                places += [*range(len(units)), *(LINE + x[0] for x in lines)]
-                found += [*units, *(x[2] for x in lines)]
-                lengths += [*(p[2] for p in pieces[: len(units)]), *(0 for _ in lines)]
-                after += [*(p[2] for p in pieces[1:]), *(0 for _ in lines)] if unit == "passage" else [0] * counts[-1]
-            digests, words, position, following = np.array(found, np.int64), np.array(lengths, np.int32), np.array(places, np.int32), np.array(after, np.int32)
-            rows = np.repeat(np.arange(b.num_rows), counts)
-            for at in range(0, len(digests), 50_000):
-                part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_pydict({"id": ids.take(pa.array(rows[part])), "position": pa.array(position[part], pa.int32()), "digest": pa.array(digests[part], pa.int64()), "words": pa.array(words[part], pa.int32()), "following": pa.array(following[part], pa.int32())})
+            again = b.column("again")
+            doc = np.repeat(np.arange(b.num_rows), np.diff(again.offsets.to_numpy()))
+            flat = again.flatten()
+            position, at, words, first, d1, d2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("position", "at", "words", "first", "d1", "d2"))
+            order = np.lexsort((position, doc))
+            doc, position, at, words, first, d1, d2 = (x[order] for x in (doc, position, at, words, first, d1, d2))
+            head = np.ones(len(doc), bool)
+            head[1:] = (doc[1:] != doc[:-1]) | (position[1:] != position[:-1] + 1) | (position[1:] >= LINE)
+            low = np.flatnonzero(head)
+            high = np.concatenate([low[1:], [len(doc)]])[: len(low)] - 1
+            good = (position[low] >= LINE) | (at[high] + words[high] - at[low] >= least_words)
+            low, high = low[good], high[good]
+            take = pa.array(doc[low])
+
+            def ends(k: np.ndarray) -> pa.StructArray:
+                return pa.StructArray.from_arrays([pa.array(x[k]) for x in (first, d1, d2)], ["first", "d1", "d2"], mask=pa.array(position[k] >= LINE))
+
+            yield pa.RecordBatch.from_pydict({"id": b.column("id").take(take), "version": b.column("version").take(take), "low": pa.array(position[low]), "high": pa.array(position[high]), "left": ends(low), "right": ends(high)})
 
     return run
 
 
 def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, position, digest, before, after): the words on either side of two neighbouring pieces."""
+    """(first, d1, d2, before, after): hashes of the words on either side of the first occurrence of two neighbouring pieces."""
     for b in batches:
-        rows = []
-        for k in range(b.num_rows):
-            text = b.column("text")[k].as_py()
-            pieces = _pieces(text, "passage")
-            digests, words = _digests(pieces, "passage"), _WORD.findall(text.translate(_LOWER))
-            at = np.cumsum([0, *(p[2] for p in pieces)]).tolist()
-            for u in b.column("wanted")[k].as_py():
-                i = u["position"]
-                if i < len(digests) and digests[i] == u["digest"]:  # else it is another version of the document
-                    rows.append({"id": b.column("id")[k].as_py(), "position": i, "digest": u["digest"], "before": " ".join(words[max(0, at[i] - REACH) : at[i]]), "after": " ".join(words[at[i + 2] : at[i + 2] + REACH])})
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([("id", pa.int64()), ("position", pa.int32()), ("digest", pa.int64()), ("before", pa.string()), ("after", pa.string())]))
+        ids, wanted = b.column("id"), b.column("wanted")
+        for rows, chunk in _chunks(b.column("text").to_pylist(), list(range(b.num_rows))):
+            pairs = chunk.units("passage", chunk.pieces("passage"))
+            one, two = chunk.digests(pairs, 0)
+            bounds, out = np.searchsorted(pairs.doc, np.arange(len(rows) + 1)), []
+            for k, row in enumerate(rows):
+                low, high = chunk.first_word[k], chunk.first_word[k + 1]
+                own, order = one[bounds[k] : bounds[k + 1]], None
+                order = np.argsort(own, kind="stable")
+                for x in wanted[row].as_py():
+                    at = np.searchsorted(own[order], x["d1"]) if len(own) else 0
+                    if at < len(own) and own[order[at]] == x["d1"] and two[bounds[k] + order[at]] == x["d2"]:  # else it is another version of the document
+                        i, j = pairs.first[bounds[k] + order[at]], pairs.end[bounds[k] + order[at]]
+                        out.append((ids[row].as_py(), x["d1"], x["d2"], chunk.word[max(low, i - REACH) : i].view(np.int64), chunk.word[j : min(high, j + REACH)].view(np.int64)))
+            columns = list(zip(*out)) or [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds)], ["first", "d1", "d2", "before", "after"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15, whole_lines: bool = False) -> DataFrame:
-    """(id, runs array<struct<units array<struct<position, digest>>, before, after>>): the units of each document that occur earlier, by (identifier, position), in
-    runs of at least least_words words. For passages with the words around the earliest occurrence of a run's ends.
+    """(id, version, runs array<struct<low, high, before, after>>): for each document the runs of units, low to high, that occur earlier and have at least least_words words,
+    for passages with hashes of the words around the earliest occurrence of the run's ends; with whole_lines also all lines that occur earlier, at LINE plus their number.
 
-    With whole_lines also all lines that occur earlier, at LINE plus the position of their first unit.
-    Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places; for passages also the texts with earliest occurrences of ends.
+    version is the hash of the text. Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places; for passages also the texts with earliest
+    occurrences of ends.
     """
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), "id bigint, position int, digest bigint, words int, following int"))
-    # Only digests that occur again go on. Written first, so that the join below deals both sides anew and can split a digest that many documents share.
-    ranked = persisted(units.groupBy("digest").agg(F.min(F.struct("id", "position")).alias("first"), F.count("*").alias("n")).where(F.col("n") > 1).select("digest", "first"))
-    again = units.join(ranked, "digest").where((F.col("id") != F.col("first.id")) | (F.col("position") != F.col("first.position")))
-    # Neighbouring positions share position minus rank; all below is dealt by id once. Lines rank after units and need no run.
-    rank = F.dense_rank().over(Window.partitionBy("id").orderBy("position"))
-    marked = again.select("id", "position", "digest", "words", "following", "first").distinct().withColumn("run", F.when(F.col("position") < LINE, F.col("position") - rank))
-    end = F.struct("first.id", "first.position", "digest")
-    runs = marked.groupBy("id", "run").agg(
-        (F.sum("words") + F.max_by("following", "position")).alias("total"), F.collect_list(F.struct("position", "digest")).alias("units"), F.min_by(end, "position").alias("left"), F.max_by(end, "position").alias("right"),
-    ).where((F.col("total") >= least_words) | F.col("run").isNull())
-    if unit != "passage":
-        return runs.groupBy("id").agg(F.collect_list(F.struct("units", F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"))).alias("runs"))
-    runs = persisted(runs)
-    wanted = runs.where("run is not null").select(F.explode(F.array("left", "right")).alias("end")).select("end.*").distinct().groupBy("id").agg(F.collect_list(F.struct("position", "digest")).alias("wanted"))
-    context = base.join(wanted, "id").select("id", "text", "wanted").mapInArrow(_context, "id bigint, position int, digest bigint, before string, after string")
-    # Versions of a document may stand in other words; one of them is taken.
-    context = persisted(context.groupBy("id", "position", "digest").agg(F.min("before").alias("before"), F.min("after").alias("after")))
-    lefts = context.select(F.struct("id", "position", "digest").alias("left"), "before")
-    rights = context.select(F.struct("id", "position", "digest").alias("right"), "after")
-    known = runs.where("run is not null").join(lefts, "left", "left").join(rights, "right", "left").select("id", "units", "before", "after")
-    lines = runs.where("run is null").select("id", "units", F.lit(None).cast("string").alias("before"), F.lit(None).cast("string").alias("after"))
-    return known.unionByName(lines).groupBy("id").agg(F.collect_list(F.struct("units", "before", "after")).alias("runs"))
-
-
-def _alike(one: list[str], other: list[str]) -> int:
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), _UNITS))
+    # Only digests that occur again go on. Those with a great share of all rows, of which there are few, meet their occurrences by broadcast, so that no task of the join below has many rows of one digest.
+    ranked = persisted(units.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1))
+    is_hot = F.col("n") > HOT_SHARE * units.count()
+    hot = F.broadcast(ranked.where(is_hot).select("d1", "d2", "first"))
+    again = units.join(hot, ["d1", "d2"]).unionByName(units.join(hot, ["d1", "d2"], "left_anti").join(ranked.where(~is_hot).select("d1", "d2", "first").hint("merge"), ["d1", "d2"]))
+    again = again.where((F.col("id") != F.col("first")) | ~F.col("fresh")).select("id", "version", "position", "at", "words", "first", "d1", "d2")
+    # Dealt once. Rows that repeat an identifier and text give the same places.
+    grouped = again.repartition("id", "version").distinct().groupBy("id", "version").agg(F.collect_list(F.struct("position", "at", "words", "first", "d1", "d2")).alias("again"))
+    runs = persisted(grouped.mapInArrow(_runs(least_words), _RUNS))
+    superseded(units, ranked)
+    nothing = F.lit(None).cast("array<bigint>")
+    known = runs.select("id", "version", "low", "high", nothing.alias("before"), nothing.alias("after"))
+    if unit == "passage":
+        ends = runs.where(F.col("left").isNotNull()).select("id", "version", "low", "high", F.explode(F.array(F.struct(F.lit(True).alias("before"), F.col("left").alias("at")), F.struct(F.lit(False).alias("before"), F.col("right").alias("at")))).alias("end"))
+        ends = ends.select("id", "version", "low", "high", F.col("end.before").alias("is_left"), "end.at.*")
+        wanted = ends.select("first", "d1", "d2").distinct().groupBy("first").agg(F.collect_list(F.struct("d1", "d2")).alias("wanted"))
+        texts = base.select("id", "text").join(persisted(wanted.withColumnRenamed("first", "id")).hint("merge"), "id")
+        context = texts.mapInArrow(_context, f"{_END}, before array<bigint>, after array<bigint>")
+        # Versions of a document may stand in other words; one of them is taken.
+        context = persisted(context.groupBy("first", "d1", "d2").agg(F.min("before").alias("before"), F.min("after").alias("after")))
+        around = ends.join(context.hint("merge"), ["first", "d1", "d2"]).select("id", "version", "low", "high", F.when(F.col("is_left"), F.col("before")).alias("before"), F.when(~F.col("is_left"), F.col("after")).alias("after"))
+        known = known.where(F.col("low") >= LINE).unionByName(around)
+    return known.groupBy("id", "version").agg(F.collect_list(F.struct("low", "high", "before", "after")).alias("runs"))
+
+
+def _alike(one: np.ndarray, other: np.ndarray) -> int:
     """How many words at the start are the same."""
-    return next((k for k, (a, b) in enumerate(zip(one, other)) if a != b), min(len(one), len(other)))
+    n = min(len(one), len(other))
+    different = np.flatnonzero(one[:n] != other[:n])
+    return int(different[0]) if len(different) else n
 
 
-def _cut(unit: str, least_words: int):
+def _cut(unit: str):
     wide = 2 if unit == "passage" else 1
 
-    def spans_of(text: str, again: list[dict]) -> list[dict]:
-        """Runs of neighbouring repeats with enough words, and repeated lines; what touches is one span."""
-        known, before, after = set(), {}, {}
-        for r in again:
-            places = sorted((u["position"], u["digest"]) for u in r["units"])
-            known.update(places)
-            before[places[0]], after[places[-1]] = r["before"] or "", r["after"] or ""
-        pieces = _pieces(text, unit)
-        digests = _digests(pieces, unit)
-        at = np.cumsum([0, *(p[2] for p in pieces)]).tolist()
-        found = list(_WORD.finditer(text.translate(_LOWER))) if unit == "passage" else []
-        words = [m[0] for m in found]
-        gone = np.zeros(at[-1] + 2, bool)  # by word, from 1, with a word that stays at either end
-        first = 0
-        for k in range(len(digests) + 1):
-            if k < len(digests) and (k, digests[k]) in known:
-                continue
-            if first < k and at[k - 1 + wide] - at[first] >= least_words:
-                i, j = at[first], at[k - 1 + wide]
-                if words:
-                    i -= _alike(words[max(0, i - REACH) : i][::-1], before.get((first, digests[first]), "").split()[::-1])
-                    j += _alike(words[j : j + REACH], after.get((k - 1, digests[k - 1]), "").split())
-                gone[i + 1 : j + 1] = True
-            first = k + 1
-        if any(position >= LINE for position, _ in known):
-            for i, j, digest in lines_of(text, pieces):
-                if (LINE + i, digest) in known:
-                    gone[at[i] + 1 : at[j] + 1] = True
-        starts, stops = {a: p[0] for a, p in zip(at, pieces)}, {a: p[1] for a, p in zip(at[1:], pieces)}
-        edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
-        return [{"start": starts[i] if i in starts else found[i].start(), "stop": stops[j] if j in stops else found[j - 1].end(), "words": j - i} for i, j in zip(edges[::2], edges[1::2])]
+    def gone_words(chunk: Chunk, known: list[list[dict]]) -> np.ndarray:
+        """By word of the chunk: it is removed."""
+        gone = np.zeros(len(chunk.word), bool)
+        pieces = chunk.pieces(unit)
+        number = np.arange(len(known))
+        piece, line = np.searchsorted(pieces.doc, number), np.searchsorted(chunk.lines.doc, number)
+        hashes = chunk.word.view(np.int64)
+        for k, runs in enumerate(known):
+            low, high = chunk.first_word[k], chunk.first_word[k + 1]
+            for r in runs:
+                if r["low"] >= LINE:
+                    at = line[k] + r["low"] - LINE
+                    gone[chunk.lines.first[at] : chunk.lines.end[at]] = True
+                    continue
+                i, j = pieces.first[piece[k] + r["low"]], pieces.end[piece[k] + r["high"] + wide - 1]
+                if r["before"]:
+                    i -= _alike(hashes[max(low, i - REACH) : i][::-1], np.array(r["before"][::-1]))
+                if r["after"]:
+                    j += _alike(hashes[j : min(high, j + REACH)], np.array(r["after"]))
+                gone[i:j] = True
+        return gone
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, runs = b.column("text"), b.column("runs")
-            left, removed, words = [], [], []
-            for k in range(b.num_rows):
-                text, again = texts[k].as_py(), runs[k].as_py()
-                spans = spans_of(text, again) if again and text is not None else []
-                if spans:
-                    starts, stops = [0, *(s["stop"] for s in spans)], [*(s["start"] for s in spans), len(text)]
-                    text = "".join(text[i:j] for i, j in zip(starts, stops))
-                left.append(text)
-                removed.append(spans)
-                words.append(sum(s["words"] for s in spans))
-            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "text": pa.array(left, pa.string()), "removed": pa.array(removed, _SPANS), "n_removed_words": pa.array(words, pa.int64())})
+            texts, runs = b.column("text").to_pylist(), b.column("runs")
+            removed, words = [[] for _ in texts], [0] * len(texts)
+            touched = [k for k in range(b.num_rows) if runs[k].is_valid and texts[k] is not None]
+            for rows, chunk in _chunks(texts, touched):
+                gone = gone_words(chunk, [runs[k].as_py() for k in rows])
+                edge = np.concatenate([[True], chunk.doc[1:] != chunk.doc[:-1], [True]]) if len(gone) else np.ones(1, bool)  # no span goes on into the next text
+                here, before = np.concatenate([gone, [False]]), np.concatenate([[False], gone])
+                first, end = np.flatnonzero(here & (~before | edge)), np.flatnonzero(before & (~here | edge))
+                if not len(first):
+                    continue
+                start, stop = chunk.spans(first, end)
+                doc = chunk.doc[first]
+                for i, k in enumerate(doc.tolist()):
+                    n = int(end[i] - first[i])
+                    removed[rows[k]].append({"start": int(start[i] - chunk.offset[k]), "stop": int(stop[i] - chunk.offset[k]), "words": n})
+                    words[rows[k]] += n
+            for k in touched:
+                starts, stops = [0, *(s["stop"] for s in removed[k])], [*(s["start"] for s in removed[k]), len(texts[k])]
+                texts[k] = "".join(texts[k][i:j] for i, j in zip(starts, stops))
+            yield pa.RecordBatch.from_pydict({"id": b.column("id"), "text": pa.array(texts, pa.string()), "removed": pa.array(removed, _SPANS), "n_removed_words": pa.array(words, pa.int64())})
 
     return run
 
@@ -219,14 +335,14 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("word
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, unit: str = "clause", least_words: int = 15, whole_lines: bool = False) -> DataFrame:
     """(id_col, text_col, removed array<struct<start, stop, words>>, n_removed_words) for every row: the text without its repeats.
 
-    unit is "line", "sentence", "clause" or "passage" (see above). whole_lines removes repeated lines without regard to least_words as well. The earliest occurrence by (identifier, position) stays. Offsets are code points of the original text, stop exclusive. Null
-    texts stay null and have nothing removed; so do rows with a null identifier. Repeated rows get the same result; an identifier with several texts
-    is one document with versions, which don't repeat each other at the same position. An
-    empty table gives an empty result. Other columns are ignored.
+    unit is "line", "sentence", "clause" or "passage" (see above). whole_lines removes repeated lines without regard to least_words as well. The earliest occurrence stays: the first
+    in the document with the smallest identifier. Offsets are code points of the original text, stop exclusive. Null texts stay null and have nothing removed; so do rows with a null
+    identifier. Repeated rows get the same result; an identifier with several texts is one document with versions, which repeat themselves, but not each other. An empty table gives
+    an empty result. Other columns are ignored.
     """
     if unit not in UNITS:
         raise ValueError(f"unit is one of {', '.join(UNITS)}")
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    joined = base.join(repeats(docs, id_col, text_col, unit=unit, least_words=least_words, whole_lines=whole_lines), "id", "left")
-    out = joined.mapInArrow(_cut(unit, least_words), "id bigint, text string, removed array<struct<start:int,stop:int,words:bigint>>, n_removed_words bigint")
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text"))
+    known = persisted(repeats(docs, id_col, text_col, unit=unit, least_words=least_words, whole_lines=whole_lines))
+    out = base.join(known.hint("merge"), ["id", "version"], "left").mapInArrow(_cut(unit), "id bigint, text string, removed array<struct<start:int,stop:int,words:bigint>>, n_removed_words bigint")
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "removed", "n_removed_words")

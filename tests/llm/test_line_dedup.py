@@ -1,26 +1,66 @@
 import random
+import re
+import unicodedata
 
-from barloom.llm.line_dedup import _LOWER, _WORD, line_dedup, units_of
+from barloom.llm.line_dedup import line_dedup
 from barloom.llm.queries import op10_line_dedup
-from tests.llm.rows import awkward, empty
+from tests.llm.rows import awkward, empty, lower
+
+MARKS = {"line": "\n", "sentence": "\n.?!", "clause": "\n.?!,;:"}
+
+
+def is_word(c):
+    return unicodedata.category(c)[0] in "LN"
+
+
+def units(text, marks):
+    """[(words as (start, stop, lower-cased)), ...] of every unit with a word."""
+    out, k = [[]], 0
+    while k < len(text):
+        if text[k] in marks:
+            out.append([])
+            k += 1
+        elif is_word(text[k]):
+            end = k
+            while end < len(text) and is_word(text[end]):
+                end += 1
+            out[-1].append((k, end, lower(text[k:end])))
+            k = end
+        else:
+            k += 1
+    return [u for u in out if u]
+
+
+def span(text, start, stop):
+    line = text.rfind("\n", 0, start) + 1
+    if not any(map(is_word, text[line:start])):
+        start = line + len(text[line:start]) - len(text[line:start].lstrip())
+    end = text.find("\n", stop)
+    rest = text[stop : len(text) if end < 0 else end]
+    if not any(map(is_word, rest)):
+        return start, stop + len(rest.rstrip())
+    while not text[stop].isspace() and not is_word(text[stop]):
+        stop += 1
+    return start, stop
 
 
 def brute(rows, unit, least):
+    """Every unit as a tuple of words; the first one by (identifier, place) stays."""
     first, out = {}, []
-    for d, t in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
-        for k, u in enumerate(units_of(t, unit)):
-            first.setdefault(u[3], (d, k))
-    for d, t in rows:
-        spans, run = [], None
-        for k, (start, stop, words, digest) in enumerate(units_of(t, unit) if d is not None and t is not None else []):
-            if first[digest] == (d, k):
-                run = None
-            elif run is None:
-                run = [start, stop, words]
-                spans.append(run)
-            else:
-                run[1], run[2] = stop, run[2] + words
-        spans = [tuple(s) for s in spans if s[2] >= least]
+    texts = [(d, t, units(t, MARKS[unit]) if d is not None and t is not None else []) for d, t in rows]
+    for d, _, found in sorted((r for r in texts if r[2]), key=lambda r: r[0]):
+        for k, u in enumerate(found):
+            first.setdefault(tuple(w[2] for w in u), (d, k))
+    for d, t, found in texts:
+        runs, open_ = [], False
+        for k, u in enumerate(found):
+            again = first[tuple(w[2] for w in u)] != (d, k)
+            if again and open_:
+                runs[-1] += u
+            elif again:
+                runs.append(list(u))
+            open_ = again
+        spans = [(*span(t, r[0][0], r[-1][1]), len(r)) for r in runs if len(r) >= least]
         at, kept = 0, []
         for s, e, _ in spans:
             kept.append(t[at:s])
@@ -93,7 +133,7 @@ def test_query_removes_every_repeated_line(spark):
     seen, later = set(), {}
     for d in sorted(docs):
         for line in docs[d].split("\n"):
-            key = " ".join(_WORD.findall(line.translate(_LOWER)))
+            key = " ".join(re.findall(r"[^\W_]+", lower(line)))
             if key and key in seen:
                 later[d] = later.get(d, 0) + len(key.split())
             seen.add(key)
@@ -101,6 +141,36 @@ def test_query_removes_every_repeated_line(spark):
     assert later and all(got[d] >= n for d, n in later.items())
 
 
+def test_query_removes_repeated_passages_and_nothing_else(spark):
+    """Against sets of word windows of all documents: of words in 51-word windows of earlier documents under 1 % stay, and every removed run of words stands in the text of another place."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    words = {d: [(m.start(), m.group()) for m in re.finditer(r"[^\W_]+", lower(t))] for d, t in docs.items()}
+    got = {r.doc_id: r.removed for r in line_dedup(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), unit="passage", whole_lines=True).collect()}
+    seen, due, left, other, lines = set(), 0, 0, 0, set()
+    grams = {}
+    for d in sorted(docs):
+        own = [w for _, w in words[d]]
+        for k in range(len(own) - 7):
+            grams.setdefault(tuple(own[k : k + 8]), []).append((d, k))
+        windows = [tuple(own[k : k + 51]) for k in range(len(own) - 50)]
+        hit = set()
+        for k, w in enumerate(windows):
+            if w in seen:
+                hit |= set(range(k, k + 51))
+        seen.update(windows)
+        gone = {k for k, (at, _) in enumerate(words[d]) for s in got[d] if s.start <= at < s.stop}
+        due, left = due + len(hit), left + len(hit - gone)
+    for d in sorted(docs):
+        own = [w for _, w in words[d]]
+        for s in got[d]:
+            inside = [k for k, (at, _) in enumerate(words[d]) if s.start <= at < s.stop]
+            if s.words >= 15:
+                other += sum(len(grams[tuple(own[k : k + 8])]) < 2 for k in inside[:-7])
+    assert due > 10_000 and left < 0.01 * due
+    total = sum(s.words for spans in got.values() for s in spans)
+    assert other < 0.05 * total, (other, total)  # where runs and lines of several places meet
+
+
 def test_awkward_rows_and_empty_table(spark):
     docs = awkward(spark).where("doc_id is null or doc_id <> 5")
     check(docs)
