@@ -1,8 +1,8 @@
 """Mixing sources to target weights by temperature.
 
 The natural token share p of every source becomes a weight proportional to p^a. The exponent a is bisected between 0 (all sources alike) and
-1 (natural): the largest a whose weights have the target entropy, or the smallest a whose most repeated source stays
-under a repetition limit. The bisection runs on sums over the table of source totals, 32 exponents to a pass, so the number of
+1 (natural): the largest a whose weights have the target entropy, and the smallest a whose most repeated source stays
+under a repetition limit; the larger of the two holds. The bisection runs on sums over the table of source totals, 32 exponents to a pass, so the number of
 sources is not bounded.
 
 A budget of tokens is then dealt by weight. Every source is a permutation of hashed blocks, and each block a permutation of its
@@ -18,10 +18,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import persisted
+from barloom.llm.common import persisted, whole_row
 
 GRID = 32
 PASSES = 9
+#: Blocks of a source at most, so that the blocks of all but a great many sources fit one window task each.
+MOST_BLOCKS = 1 << 15
 
 
 def token_count(text: Column) -> Column:
@@ -36,22 +38,28 @@ def _sums(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]
     return [(row[k], row[k + len(exponents)]) for k in range(len(exponents))]
 
 
-def solve_exponent(shares: DataFrame, *, least_entropy: float | None = None, most_repeats: float | None = None, repeats_at: float = 1.0) -> float:
+def solve_exponent(shares: DataFrame, *, least_entropy: float | None = None, toward_uniform: float | None = None, most_repeats: float | None = None, repeats_at: float | None = 1.0) -> float:
     """The exponent for shares (column share > 0, summing to 1).
 
-    least_entropy: fraction of the largest possible entropy (ln of the number of sources) that the weights must have; the largest such
-    exponent. most_repeats: largest budget over tokens of any source, with a budget of repeats_at x all
-    tokens; the smallest such exponent. With both, the larger of the two exponents, so that the limit holds. No sources: 1.
+    least_entropy: fraction of the largest possible entropy (ln of the number of sources) that the weights must have; toward_uniform: fraction of the way from the natural entropy to
+    the largest. Each asks for the largest such exponent. most_repeats: largest budget over tokens of any source, the smallest such exponent, with a budget of repeats_at x all
+    tokens, or with None the budget at which the source that is repeated least is drawn once. With both, the larger of the exponents, so that the limit holds. No sources: 1.
     """
-    n, smallest = shares.agg(F.count("*"), F.min("share")).first()
+    n, smallest, largest = shares.agg(F.count("*"), F.min("share"), F.max("share")).first()
     if not n:
         return 1.0
+    if toward_uniform is not None:
+        ((z, s),) = _sums(shares, [1.0])
+        natural = math.log(z) - s / z
+        target = (natural + toward_uniform * (math.log(n) - natural)) / math.log(n) if n > 1 else 0.0
+        least_entropy = max(target, least_entropy or 0.0)
 
     def fits_entropy(a: float, z: float, s: float) -> bool:
         return math.log(z) - a * s / z >= least_entropy * math.log(n) - 1e-12
 
     def fits_repeats(a: float, z: float, s: float) -> bool:
-        return repeats_at * smallest ** (a - 1) / z <= most_repeats + 1e-12
+        repeats = (largest / smallest) ** (1 - a) if repeats_at is None else repeats_at * smallest ** (a - 1) / z
+        return repeats <= most_repeats + 1e-12
 
     def bracket(fits, falls: bool) -> float:
         """Entropy falls with the exponent (fits below a point), repetition too (fits above a point)."""
@@ -80,39 +88,39 @@ def solve_exponent(shares: DataFrame, *, least_entropy: float | None = None, mos
 
 
 def _row_hash(seed: int, id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.lit(seed), id_col, text_col)
+    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
 
 
-def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, least_entropy: float | None = 0.97, most_repeats: float | None = 4.0, budget_tokens: float | None = None, block_tokens: int = 200_000, seed: int = 17) -> DataFrame:
-    """(id_col, source, n_tokens, weight, block, position, copies) for every row.
+def _key(source: Column) -> Column:
+    """The source as a string that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
-    weight is that of the source; copies says how often the document is drawn; position is the number of tokens before it in its source's
-    permutation. Without budget_tokens the budget is the smallest at which every document is drawn at least once
+
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, least_entropy: float | None = 0.97, toward_uniform: float | None = None, most_repeats: float | None = 4.0, budget_tokens: float | None = None, budget_share: float | None = None, block_tokens: int = 200_000, seed: int = 17) -> DataFrame:
+    """(id_col, source, n_tokens, weight, block, position, copies, row_hash) for every row.
+
+    weight is that of the source (see solve_exponent for the targets); copies says how often the document is drawn; position is the number of tokens before it in its source's
+    permutation. The budget is budget_tokens, or budget_share x all tokens; without either it is the smallest at which every document is drawn at least once
     (sources below their weight are repeated, none is cut). A null source is a source of its own. Rows without tokens
     are drawn once for each pass over their source and at least once. Repeated rows are drawn separately, and ties of hash and
     identifier are broken arbitrarily. With no tokens at all every row has copies 1. An empty table gives an empty result.
+    Other columns are ignored.
     """
-    key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
-    rows = persisted(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), key.alias("key"), token_count(F.col(text_col)).alias("n_tokens"), _row_hash(seed, id_col, text_col).alias("h")))
+    rows = persisted(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), _key(F.col(source_col)).alias("key"), token_count(F.col(text_col)).alias("n_tokens"), _row_hash(seed, id_col, text_col).alias("h")))
     totals = rows.groupBy("key").agg(F.sum("n_tokens").alias("tokens"))
     everything = totals.agg(F.sum("tokens")).first()[0] or 0
     shares = persisted(totals.withColumn("share", F.col("tokens") / F.lit(float(max(everything, 1)))))
     positive = shares.where(F.col("tokens") > 0)
-    exponent = solve_exponent(positive, least_entropy=least_entropy, most_repeats=None if most_repeats is None or budget_tokens is None else most_repeats, repeats_at=(budget_tokens or everything) / max(everything, 1))
-    if budget_tokens is None and most_repeats is not None:
-        # Here the budget follows the weights: the largest source is drawn once, so the smallest is repeated (largest / smallest) ^ (1 - a) times.
-        spread = positive.agg(F.max("share") / F.min("share")).first()[0] or 1.0
-        if spread > 1:
-            exponent = max(exponent, 1 - math.log(most_repeats) / math.log(spread))
+    budget = budget_share * everything if budget_tokens is None and budget_share is not None else budget_tokens
+    exponent = solve_exponent(positive, least_entropy=least_entropy, toward_uniform=toward_uniform, most_repeats=most_repeats, repeats_at=None if budget is None else budget / max(everything, 1))
     z = positive.agg(F.sum(F.pow("share", F.lit(exponent)))).first()[0] or 1.0
     weighted = shares.withColumn("weight", F.when(F.col("tokens") > 0, F.pow("share", F.lit(exponent)) / z).otherwise(F.lit(0.0)))
-    budget = budget_tokens
     if budget is None:
         budget = weighted.where(F.col("weight") > 0).agg(F.max(F.col("tokens") / F.col("weight"))).first()[0] or 0.0
     # Rounding in the weights must not take a token off a source that is to be drawn whole.
     due = F.floor(F.lit(float(budget)) * F.col("weight") + 0.5).cast("bigint")
     plan = weighted.select(
-        "key", "weight", F.ceil(F.greatest(F.col("tokens"), F.lit(1)) / block_tokens).cast("bigint").alias("blocks"),
+        "key", "weight", F.least(F.lit(MOST_BLOCKS), F.ceil(F.greatest(F.col("tokens"), F.lit(1)) / block_tokens)).cast("bigint").alias("blocks"),
         F.when(F.col("tokens") > 0, F.floor(due / F.col("tokens"))).otherwise(1).cast("bigint").alias("passes"),
         F.when(F.col("tokens") > 0, due % F.col("tokens")).otherwise(0).cast("bigint").alias("rest"),
     )
@@ -131,8 +139,12 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, seed: int = 17, **options) -> DataFrame:
-    """The rows of docs, each as often as mixture() draws it, with all their columns; equal rows share their largest draw."""
-    key, copies = "__mixing_row", "__mixing_copies"
-    drawn = mixture(docs, id_col, text_col, source_col, seed=seed, **options).groupBy(F.col("row_hash").alias(key)).agg(F.max("copies").cast("int").alias(copies)).where(F.col(copies) > 0)
-    rows = docs.withColumn(key, _row_hash(seed, id_col, text_col)).join(drawn, key)
-    return rows.withColumn(copies, F.explode(F.sequence(F.lit(1), copies))).select(docs.columns)
+    """The rows of docs, each as often as mixture() draws it, with all their columns, whatever their names.
+
+    Rows of the same identifier, text and source share their largest draw. Null texts and sources, empty texts, ties and empty tables are as in mixture().
+    """
+    drawn = mixture(docs, id_col, text_col, source_col, seed=seed, **options).where(F.col("copies") > 0)
+    drawn = drawn.groupBy("row_hash", _key(F.col("source")).alias("source_key"), F.col(id_col).alias("drawn_id")).agg(F.max("copies").cast("int").alias("copies"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), _row_hash(seed, id_col, text_col).alias("h"), _key(F.col(source_col)).alias("key"))
+    met = rows.join(drawn, (F.col("h") == F.col("row_hash")) & (F.col("key") == F.col("source_key")) & F.col("id").eqNullSafe(F.col("drawn_id")))
+    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

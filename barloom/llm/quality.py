@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm.common import whole_row
+
 #: Names of the statistics, in the order of a row.
 STATISTICS = (
     "log_bytes", "log_words", "mean_word", "std_word", "longest_word", "upper_share", "digit_share", "punctuation_share", "symbol_share", "bang_share", "pipe_share",
@@ -171,17 +173,19 @@ def quality_scores(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, score double").select(F.col("id").alias(id_col), "score")
 
 
-def with_quality(docs: DataFrame, model: Trees, score_col: str, text_col: str = "text") -> DataFrame:
-    """All columns of docs and the score, row by row, for use as a filter."""
+def accepted(docs: DataFrame, model: Trees, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose score is at least least, with all their columns, whatever their names.
+
+    Null and empty texts are scored by their (zero) statistics, so all of them stay or all go. Repeated rows have the same score. An empty table gives an empty result.
+    """
+    rows = docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast((model.start, model.feature, model.threshold, model.value))  # plain arrays need no class on executors
-    name = text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(name)
-            x = np.array([statistics(texts[k].as_py() or "") for k in range(b.num_rows)], float).reshape(b.num_rows, len(STATISTICS))
-            columns = {n: b.column(n) for n in b.schema.names} | {score_col: pa.array(Trees(*shared.value).score(x), pa.float64())}
-            yield pa.RecordBatch.from_pydict(columns)
-
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields] + [T.StructField(score_col, T.DoubleType(), True)])
-    return docs.mapInArrow(run, schema)
+        def finish(b: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
+            good = pa.array(np.flatnonzero(Trees(*shared.value).score(x) >= least))
+            return pa.RecordBatch.from_arrays([b.column("row").take(good)], ["row"])
+
+        return _rows(batches, finish)
+
+    return rows.mapInArrow(run, T.StructType([T.StructField("row", rows.schema["row"].dataType, True)])).select("row.*")

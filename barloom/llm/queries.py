@@ -39,7 +39,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture(table(spark, sf_dir, "documents")).drop("row_hash")
+    """Weights half way from natural to uniform entropy, no source repeated more than four times, and as many tokens drawn as there are."""
+    return mixture(table(spark, sf_dir, "documents"), least_entropy=None, toward_uniform=0.5, most_repeats=4.0, budget_share=1.0).drop("row_hash")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
