@@ -33,7 +33,7 @@ MARKS = {"line": "\n", "sentence": "\n.?!", "clause": "\n.?!,;:"}
 UNITS = (*MARKS, "passage")
 #: Added to the number of a line, so that lines have places of their own.
 LINE = 1 << 30
-#: Words among which one ends a piece, and words to which a run may be extended at either end.
+#: Words among which one ends a piece, and words to which a run may be extended at either end. Of 5 x WINDOW - 2 pasted words two neighbouring pieces are whole.
 WINDOW, REACH = 10, 24
 #: A digest with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT_SHARE of them.
 HOT_SHARE = 0.001
@@ -120,15 +120,15 @@ class Chunk:
         left = np.flatnonzero(pieces.doc[1:] == pieces.doc[:-1])
         return Cut(pieces.first[left], pieces.end[left + 1], pieces.doc[left], pieces.number[left])
 
-    def digests(self, of: Cut, seed: int) -> np.ndarray:
-        """Two independent 64-bit hashes of the words of every unit, as (2, units) signed."""
+    def digests(self, of: Cut, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Independent hashes of 64 and 32 bits of the words of every unit."""
         up, down = powers(len(self.word))
         out = []
         for k in (0, 1):
             total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.word + np.uint64(k)) * up)])
             own = (total[of.end] - total[of.first]) * down[of.first]
-            out.append(mix(own + (of.end - of.first).astype(np.uint64) + np.uint64(seed << 32)).view(np.int64))
-        return np.stack(out)
+            out.append(mix(own + (of.end - of.first).astype(np.uint64) + np.uint64(seed << 32)))
+        return out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def spans(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where runs of words start and stop in the chunk. A span goes from its first word, or the line's first character that isn't white space if no word stands
@@ -168,7 +168,7 @@ def _unit_rows(unit: str, whole_lines: bool):
                 every = lambda of: np.concatenate([of(cut) for cut, _, _ in parts])
                 doc, first, words = every(lambda c: c.doc), every(lambda c: c.first), every(lambda c: c.end - c.first)
                 position = np.concatenate([cut.number + add for cut, add, _ in parts]).astype(np.int32)
-                one, two = np.concatenate(digests, 1)
+                one, two = (np.concatenate(x) for x in zip(*digests))
                 fresh = np.zeros(len(doc), bool)
                 fresh[np.unique(mix(one.view(np.uint64) + mix(doc.astype(np.uint64))), return_index=True)[1]] = True  # parts stand in page order
                 at = (first - chunk.first_word[doc]).astype(np.int32)
@@ -184,9 +184,9 @@ def _unit_rows(unit: str, whole_lines: bool):
     return run
 
 
-_UNITS = "id bigint, version bigint, position int, at int, words int, d1 bigint, d2 bigint, fresh boolean"
-_END = "first bigint, d1 bigint, d2 bigint"
-_RUNS = f"id bigint, version bigint, low int, high int, left struct<{_END}>, right struct<{_END}>"
+_UNITS = "id bigint, version int, position int, at int, words int, d1 bigint, d2 int, fresh boolean"
+_END = "first bigint, d1 bigint, d2 int"
+_RUNS = f"id bigint, version int, low int, high int, left struct<{_END}>, right struct<{_END}>"
 
 
 def _runs(least_words: int):
@@ -233,7 +233,7 @@ def _context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         i, j = pairs.first[bounds[k] + order[at]], pairs.end[bounds[k] + order[at]]
                         out.append((ids[row].as_py(), x["d1"], x["d2"], chunk.word[max(low, i - REACH) : i].view(np.int64), chunk.word[j : min(high, j + REACH)].view(np.int64)))
             columns = list(zip(*out)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(columns, kinds)], ["first", "d1", "d2", "before", "after"])
 
 
@@ -244,7 +244,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     version is the hash of the text. Rows with a null identifier or text take no part. Texts aren't shuffled, only digests and places; for passages also the texts with earliest
     occurrences of ends.
     """
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.hash(F.col(text_col)).alias("version"), F.col(text_col).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
     units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), _UNITS))
     # Only digests that occur again go on. Those with a great share of all rows, of which there are few, meet their occurrences by broadcast, so that no task of the join below has many rows of one digest.
     ranked = persisted(units.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1))
@@ -342,7 +342,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if unit not in UNITS:
         raise ValueError(f"unit is one of {', '.join(UNITS)}")
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.hash(F.col(text_col)).alias("version"), F.col(text_col).alias("text"))
     known = persisted(repeats(docs, id_col, text_col, unit=unit, least_words=least_words, whole_lines=whole_lines))
     out = base.join(known.hint("merge"), ["id", "version"], "left").mapInArrow(_cut(unit), "id bigint, text string, removed array<struct<start:int,stop:int,words:bigint>>, n_removed_words bigint")
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "removed", "n_removed_words")
