@@ -1,16 +1,19 @@
 """Main text of web pages by site template removal.
 
 A page is parsed once into element subtrees. Every block-level subtree is hashed over its tags, classes and text. Spark counts the
-hashes per host, each over pages of different content, and subtrees that recur across many pages of their host are its
-template: they are deleted before the text is read. Elements that name themselves as navigation, header, footer, advert, form, comments and so
-on are deleted as well, since a host with one page shows no recurrence; a name or a form around the marked article, or around most of the paragraphs of a page without one, deletes nothing. Where a page marks its article, text blocks right inside it are
-content even if other pages repeat them.
+hashes per host, each over pages of different content and before any name is looked at; subtrees that recur across many pages of their
+host are its template and are deleted before the text is read. What changes from page to page, such as adverts, reader comments and
+stories beside the article, or stands on a host with few pages, shows no recurrence: there, elements that name themselves so are deleted. Names are
+taken word by word outside a marked article, and only whole inside one; a name or a form around the article, or around most of the paragraphs of a
+page without one, deletes nothing. Text blocks of a marked article are content even if other pages repeat them.
 """
 
 from __future__ import annotations
 
+import functools
 import html as html_lib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +35,11 @@ CUES = frozenset(
 )
 OUTSIDE_CUES = frozenset("header head top side".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
+#: Whole names of classes and identifiers that delete an element inside an article too.
+INSIDE_CUES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo share sharing social social-share share-buttons newsletter newsletter-signup subscribe signup related related-posts related-articles "
+    "recommended comment comments comment-list reader-comments comments-area disqus disqus_thread respond replies sidebar breadcrumb breadcrumbs pagination cookie-notice".split()
+)
 #: What a start tag closes, up to the nearest of the listed boundaries.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
@@ -42,12 +50,13 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Element:
-    __slots__ = ("tag", "parts", "names", "drop", "outer_drop", "cued", "digest")
+    __slots__ = ("tag", "parts", "names", "drop", "outer_drop", "cued", "inside_cued", "digest")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.parts, self.digest = tag, [], 0
         self.names, self.drop, self.outer_drop = "", tag in DROPPED and tag != "form", tag == "header"
         self.cued = tag == "form"  # dropped for a name or as a form, which may also stand around the content
+        self.inside_cued = tag == "form"
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = (m[1] or "").lower(), (m[2] or "").strip("\"'")
             if name in ("class", "id"):
@@ -55,22 +64,53 @@ class Element:
                 self.names += f" {value}" if name == "class" else ""
                 self.cued |= bool(tokens & CUES) and tag not in ("html", "body", "article", "main")
                 self.outer_drop |= bool(tokens & OUTSIDE_CUES) and tag not in ("html", "body", "article", "main")
+                self.inside_cued |= not INSIDE_CUES.isdisjoint(value.lower().split())
             elif name == "role":
                 self.drop |= value.lower() in ROLES
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
                 self.drop |= tag not in ("html", "body")
 
 
+#: Blocks that a stray inline end tag doesn't close.
+_WALLS = frozenset("article main body table td section div".split())
+
+
+@functools.cache
+def _places(tag: str) -> tuple[str, ...]:
+    """Under which names an open element is found: its tag, and # and a kind."""
+    return (tag, *(["#block"] if tag in BLOCKS or tag == "button" else []), *(["#wall"] if tag in _WALLS else []))
+
+
+class _Open:
+    """The open elements, and where in their stack the last of each tag and kind stands, so that no tag is looked for element by element."""
+
+    def __init__(self, root: Element):
+        self.stack, self.at = [root], defaultdict(list)
+
+    def last(self, *names: str) -> int:
+        return max((self.at[x][-1] for x in names if self.at[x]), default=0)
+
+    def push(self, element: Element) -> None:
+        for name in _places(element.tag):
+            self.at[name].append(len(self.stack))
+        self.stack.append(element)
+
+    def cut(self, k: int) -> None:
+        while len(self.stack) > k:
+            for name in _places(self.stack.pop().tag):
+                self.at[name].pop()
+
+
 def parse(page: str) -> Element:
-    """The page as elements; unclosed tags end where HTML says, an unfinished tag or comment at the end is left out."""
+    """The page as elements, in linear time; unclosed tags end where HTML says, an unfinished tag or comment at the end is left out."""
     root = Element("")
-    stack = [root]
+    open_ = _Open(root)
+    stack = open_.stack
     at, end = 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
         if m is None:
-            tail = page[at:]
-            stack[-1].parts.append(tail)
+            stack[-1].parts.append(page[at:])
             break
         if m.start() > at:
             stack[-1].parts.append(page[at : m.start()])
@@ -86,39 +126,35 @@ def parse(page: str) -> Element:
                 break
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("article", "main", "body", "table", "td", "section", "div") and tag not in BLOCKS:
-                    break  # a stray inline end tag closes no block
+            k = open_.last(tag)
+            if k and (tag in BLOCKS or k > open_.last("#wall")):
+                open_.cut(k)
             continue
-        if tag in BLOCKS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCKS or stack[k].tag == "button":
-                    break
+        if tag in BLOCKS and (k := open_.last("#block")) and stack[k].tag == "p":
+            open_.cut(k)
         if tag in CLOSES:
             ends, bounds = CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ends:
-                    del stack[k:]
-                    break
-                if stack[k].tag in bounds:
-                    break
+            if (k := open_.last(*ends)) > open_.last(*bounds):
+                open_.cut(k)
         element = Element(tag, m[3])
         stack[-1].parts.append(element)
         if tag in RAW:
-            close = re.compile(f"</{tag}", re.I).search(page, at)
+            close = _raw_end(tag).search(page, at)
             at = end if close is None else max(close.start(), at)
         elif tag not in VOID and not m[3].rstrip().endswith("/") or tag in BLOCKS and tag != "hr":
-            stack.append(element)
+            open_.push(element)
     return root
 
 
-def _walk(root: Element) -> list[tuple[Element, Element | None]]:
+@functools.cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(f"</{tag}", re.I)
+
+
+Order = list[tuple[Element, Element | None]]
+
+
+def in_order(root: Element) -> Order:
     """Elements with their parents, parents first."""
     out, todo = [], [(root, None)]
     while todo:
@@ -128,11 +164,11 @@ def _walk(root: Element) -> list[tuple[Element, Element | None]]:
     return out
 
 
-def _around_content(root: Element) -> set[int]:
+def _around_content(order: Order) -> set[int]:
     """id() of the elements that hold a marked article, or on a page without one over half of the text of paragraphs, in nothing that surely goes; names don't drop them."""
-    order = [(x, p) for x, p in _walk(root) if p is not None]
+    root = order[0][0]
     alive, reached = [], {id(root)}
-    for x, p in order:
+    for x, p in order[1:]:
         if id(p) in reached and not x.drop:
             reached.add(id(x))
             alive.append((x, p))
@@ -154,39 +190,42 @@ def _around_content(root: Element) -> set[int]:
     return {id(x) for x, _ in alive if size[id(x)] and (marked or 2 * size[id(x)] > total)}
 
 
-def _kept(root: Element, templates: frozenset[int] = frozenset()) -> tuple[set[int], set[int]]:
+def _kept(order: Order, templates: frozenset[int] = frozenset()) -> tuple[set[int], set[int]]:
     """id() of the elements that lie in nothing that drops them, given where the article is; and of those inside an article."""
     inside: set[int] = set()
-    kept: set[int] = {id(root)}
-    order = _walk(root)
-    around = _around_content(root) if any(x.cued or x.outer_drop for x, _ in order) else set()
-    for here, parent in order:
-        if parent is None:
-            continue
+    kept: set[int] = {id(order[0][0])}
+    around = _around_content(order) if any(x.cued or x.outer_drop for x, _ in order) else set()
+    for here, parent in order[1:]:
         if id(parent) in inside or here.tag in ("article", "main"):
             inside.add(id(here))
         in_article = id(parent) in inside
         template = here.digest in templates and here.tag not in ("article", "main", "body", "html") and not (in_article and here.tag in TEXT_BLOCKS)
-        if id(parent) in kept and not (here.drop or (here.cued or here.outer_drop and not in_article) and id(here) not in around or template):
+        named = here.inside_cued if in_article else here.cued or here.outer_drop
+        if id(parent) in kept and not (here.drop or named and id(here) not in around or template):
             kept.add(id(here))
     return kept, inside
 
 
-def _main(root: Element, kept: set[int]) -> list[Element]:
+def _main(order: Order, kept: set[int]) -> list[Element]:
     """The marked article: main if there is one, a single article inside it, else the outermost articles, else the whole page."""
-    order = [(x, p) for x, p in _walk(root) if id(x) in kept]
-    mains = [x for x, _ in order if x.tag == "main"]
-    within = {id(x) for m in mains for x, _ in _walk(m)}
-    articles, nested = [], set()
-    for x, p in order:
-        if x.tag == "article" or (p is not None and id(p) in nested):
-            if x.tag == "article" and not (p is not None and id(p) in nested):
-                articles.append(x)
-            nested.add(id(x))
+    left = [(x, p) for x, p in order if id(x) in kept]
+
+    def outermost(tag: str) -> tuple[list[Element], set[int]]:
+        tops, nested = [], set()
+        for x, p in left:
+            if p is not None and id(p) in nested:
+                nested.add(id(x))
+            elif x.tag == tag:
+                tops.append(x)
+                nested.add(id(x))
+        return tops, nested
+
+    mains, within = outermost("main")
+    articles, _ = outermost("article")
     if mains:
         own = [a for a in articles if id(a) in within]
         return own if len(own) == 1 else mains
-    return articles or [root]
+    return articles or [order[0][0]]
 
 
 def blocks_of(tops: list[Element], kept: set[int]) -> list[str]:
@@ -219,9 +258,9 @@ def blocks_of(tops: list[Element], kept: set[int]) -> list[str]:
     return out
 
 
-def _digest(root: Element) -> None:
+def _digest(order: Order) -> None:
     """Hashes of all subtrees, children first: tag, classes, child hashes and folded text."""
-    for here, _ in reversed(_walk(root)):
+    for here, _ in reversed(order):
         h = xxhash.xxh3_64(f"{here.tag}\x00{here.names}\x00")
         for x in here.parts:
             h.update(x.digest.to_bytes(8, "little", signed=True) if isinstance(x, Element) else " ".join(x.split()).encode("utf-8", "surrogatepass"))
@@ -229,19 +268,18 @@ def _digest(root: Element) -> None:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, content, digest): every block-level subtree of a page that may be deleted, once, under a fingerprint of the page's text."""
+    """(host, content, digest): every block-level subtree of a page, once, under a fingerprint of the page's text; article and main and the text blocks inside them aren't counted, as they stay."""
     for b in batches:
         hosts, contents, digests = [], [], []
         host, page = b.column("host"), b.column("html")
         for k in range(b.num_rows):
-            root = parse(page[k].as_py() or "")
-            _digest(root)
-            kept, inside = _kept(root)
-            content = xxhash.xxh3_64_intdigest("\n".join(blocks_of(_main(root, kept), kept)).encode("utf-8", "surrogatepass")) - (1 << 63)
-            # Of what can be deleted at all, the outermost: parts of a dropped element go with it, and an article's text blocks stay.
+            order = in_order(parse(page[k].as_py() or ""))
+            _digest(order)
+            kept, inside = _kept(order)
+            content = xxhash.xxh3_64_intdigest("\n".join(blocks_of(_main(order, kept), kept)).encode("utf-8", "surrogatepass")) - (1 << 63)
             found = {
-                x.digest for x, p in _walk(root)
-                if p is not None and id(p) in kept and x.tag in BLOCKS and x.tag not in ("html", "body", "article", "main") and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS)
+                x.digest for x, p in order[1:]
+                if x.tag in BLOCKS and x.tag not in ("html", "body", "article", "main") and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS)
             }
             hosts += [host[k].as_py()] * len(found)
             contents += [content] * len(found)
@@ -249,20 +287,22 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "content": pa.array(contents, pa.int64()), "digest": pa.array(digests, pa.int64())})
 
 
-def site_templates(pages: DataFrame, *, least_pages: int = 4, least_share: float = 0.3) -> DataFrame:
+def site_templates(pages: DataFrame, *, least_pages: int = 4, least_share: float = 0.01) -> DataFrame:
     """(host, templates array<bigint>) from (host, html): subtrees on at least least_pages pages of different content and that share of the host's.
 
-    A page has few subtrees and a template is on a good share of pages, so a host's array holds at most the mean number of subtrees of its pages / least_share.
+    A host's array holds at most the mean number of subtrees of its pages / least_share.
     """
-    found = pages.where(F.col("host").isNotNull()).mapInArrow(_subtrees, "host string, content bigint, digest bigint").distinct()
+    # Written, as pages are parsed here and both sums read it.
+    found = persisted(pages.where(F.col("host").isNotNull()).mapInArrow(_subtrees, "host string, content bigint, digest bigint").distinct())
     sizes = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
     counts = found.groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     return counts.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).groupBy("host").agg(F.collect_list("digest").alias("templates"))
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, least_pages: int = 4, least_share: float = 0.3) -> DataFrame:
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, least_pages: int = 4, least_share: float = 0.01) -> DataFrame:
     """(id_col, url_col, text) for every page: its main text, blocks joined by two line breaks; "" where there is none.
 
+    A page is read without what recurs on at least least_pages pages of different content, and that share of all pages, of its host; see above.
     Null html counts as empty. Pages whose URL is null or has no host are read without a template. Repeated rows and null
     identifiers keep a row each. An empty table gives an empty result. Other columns are ignored.
     """
@@ -274,12 +314,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         for b in batches:
             page, template, texts = b.column("html"), b.column("templates"), []
             for k in range(b.num_rows):
-                root = parse(page[k].as_py() or "")
+                order = in_order(parse(page[k].as_py() or ""))
                 known = template[k].as_py()
                 if known:
-                    _digest(root)
-                kept, _ = _kept(root, frozenset(known or ()))
-                texts.append("\n\n".join(blocks_of(_main(root, kept), kept)))
+                    _digest(order)
+                kept, _ = _kept(order, frozenset(known or ()))
+                texts.append("\n\n".join(blocks_of(_main(order, kept), kept)))
             yield pa.RecordBatch.from_pydict({"id": b.column("id"), "url": b.column("url"), "text": pa.array(texts, pa.string())})
 
     kinds = dict(base.dtypes)

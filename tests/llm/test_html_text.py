@@ -1,13 +1,20 @@
-from barloom.llm.html_text import blocks_of, extract_text, parse, _kept, _main
+import random
+import re
+import time
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from barloom.llm.html_text import blocks_of, extract_text, in_order, parse, site_templates, _digest, _kept, _main
 from barloom.llm.queries import op9_html_text
 
 PAGES = "page_id bigint, url string, html string, text string"
 
 
 def text(page):
-    root = parse(page)
-    kept, _ = _kept(root)
-    return "\n\n".join(blocks_of(_main(root, kept), kept))
+    order = in_order(parse(page))
+    kept, _ = _kept(order)
+    return "\n\n".join(blocks_of(_main(order, kept), kept))
 
 
 def test_marked_article():
@@ -40,6 +47,23 @@ def test_names_around_the_content_delete_nothing():
     assert text("<article><p>t</p></article><aside class='x'><article><p>More</p></article></aside>") == "t"
 
 
+def test_inside_an_article_only_whole_names_count():
+    article = "<article><p>a</p><section class='related-work'><p>b</p></section><table><tr><td class='notice'>c</td></tr></table><p class='social-science'>d</p>{}</article>"
+    for own in ("<div class='ad'>x</div>", "<section class='x comments'><p>x</p></section>", "<article class='comment'><p>x</p></article>", "<form><p>x</p></form>"):
+        assert text(article.format(own)) == "a\n\nb\n\nc\n\nd", own
+    assert text("<form id='aspnetForm'><div>menu</div><article><p>a</p></article></form>") == "a"
+
+
+def test_parsing_takes_linear_time():
+    n = 50_000
+    began = time.process_time()
+    assert text("<b>" * n + "</i>" * n + "x") == "x"
+    assert text("<article>" + "<b><div>" + "<i>" * n + "</b>" * n + "x") == "x"
+    assert text("<main>" * n + "x") == "x" and text("<ul>" + "<li>x" * n).count("x") == n
+    assert time.process_time() - began < 12
+    assert text("<i>a<div>b</i>c</div>d</i>e<p>f<ul><li>g<ul><li>h</ul><li>i") == "a\n\nbc\n\nde\n\nf\n\ng\n\nh\n\ni"
+
+
 def test_attributes_count_as_whole_names_only():
     for own in ("title='The hidden river'", "data-state='hidden'", "data-id='ad'", "data-hidden='false'", "data-class=ad", 'title="role=navigation"', "aria-hidden='false'"):
         assert text(f"<article><p>a</p><p {own}>b</p></article>") == "a\n\nb", own
@@ -61,6 +85,45 @@ def test_templates_are_removed_per_host(spark):
     assert extract_text(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_templates_equal_a_count_per_host(spark):
+    """Against a count of serialised elements of well-formed pages, host by host; what recurs is in no name list, and removal changes the text."""
+    rng = random.Random(4)
+    pages, seen, contents = [], defaultdict(lambda: defaultdict(set)), defaultdict(set)
+    for k in range(120):
+        host = f"h{k % 7 % 3}.example"
+        parts = [f"<div class='k{j}'><p>Part {j} of {host}.</p></div>" for j in range(8) if rng.random() < 0.08 * j]
+        story = f"<div><p>Story {rng.randint(0, 60)} starts.</p></div>"
+        rng.shuffle(parts)
+        html = "<body>" + "".join([*parts[:2], story, *parts[2:]]) + "</body>"
+        pages.append((k, f"http://{host}/{k}", html, None))
+        contents[host].add(html)
+        for part in [*parts, story]:
+            seen[host][part].add(html)
+            seen[host][part[part.index("<p>") : -6]].add(html)
+    least = {(h, part) for h, found in seen.items() for part, where in found.items() if len(where) >= max(4, 0.01 * len(contents[h]))}
+
+    def digest(part):
+        root = parse(part)
+        _digest(in_order(root))
+        return root.parts[0].digest
+
+    df = spark.createDataFrame(pages, PAGES)
+    got = site_templates(df.select(F.regexp_extract("url", "//([^/]+)", 1).alias("host"), "html"))
+    assert {(r.host, d) for r in got.collect() for d in r.templates} == {(h, digest(part)) for h, part in least} and len(least) > 20
+    whole = {r.page_id: r.text for r in extract_text(df, least_pages=10**6).collect()}
+    for r in extract_text(df).collect():
+        html, host = pages[r.page_id][2], pages[r.page_id][1].split("/")[2]
+        left = [t for part, t in re.findall(r"(<div[^>]*><p>([^<]*)</p></div>)", html) if (host, part) not in least and (host, f"<p>{t}</p>") not in least]
+        assert r.text == "\n\n".join(left)
+    assert sum(len(whole[r.page_id]) > len(r.text) for r in extract_text(df).collect()) > 60
+
+
+def test_recurring_parts_of_the_given_pages_are_templates(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = site_templates(pages.select(F.lower(F.try_parse_url("url", F.lit("HOST"))).alias("host"), "html"))
+    assert got.agg(F.sum(F.size("templates"))).first()[0] > 100
+
+
 def test_query_returns_articles_whole(spark):
     got = op9_html_text(spark, "/root/testdata/sf0.01")
     assert got.columns == ["page_id", "url", "text", "n_chars"]
