@@ -1,24 +1,31 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search over words.
 
 The alphabet is words, and the patterns are the benchmark's windows (13 consecutive words; a shorter item is one
-pattern). Patterns of one length share a shift table on their last two words of every alignment: a block that occurs in no pattern lets
-the search jump over almost a whole window. Where the shift is zero, the suffix hash bucket lists the patterns that end in
-that block, and a direct comparison of all words confirms an occurrence.
-
-The benchmark is cut into blocks of bounded size by whole windows; each block is broadcast and passed over
-all documents, and a document carries the hit spans found so far from one block's pass to the next, so neither the size of the
-benchmark nor a popular passage gathers rows in one place.
+pattern). Patterns of one length share a shift table on the last two words of every alignment, indexed by their hash: a block that occurs in no pattern lets
+the search jump over almost a whole window. Where the shift is zero, a bucket by the hash of the suffix block and of the first block of
+the window lists the patterns, and a direct comparison of all words confirms an occurrence.
+
+The benchmark is cut into blocks of bounded size by whole windows; a block is broadcast as text, built into tables once a worker, and passed
+over all documents. The tables are bytes and sorted numbers that point into the benchmark's text: some 10 bytes a byte of block_bytes, and as much again while they
+are built. With several blocks a document carries the hit spans found so far from one pass to the next; in between the documents are
+written, so that a worker never holds more than one block's tables.
 """
 
 from __future__ import annotations
 
+import uuid
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm.common import persisted, superseded, whole_row
+
 # Word characters are 0-9, a-z (after lower-casing A-Z) and everything beyond ASCII.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -29,51 +36,71 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class WuManber:
-    """Occurrences of word sequences. Patterns map a tuple of words to the identifiers that own it."""
-
-    def __init__(self, patterns: dict[tuple[bytes, ...], list]):
-        self.by_length: list[tuple[int, int, dict, dict]] = []
-        lengths: dict[int, list[tuple[bytes, ...]]] = {}
-        for p in patterns:
-            lengths.setdefault(len(p), []).append(p)
-        for m, group in sorted(lengths.items()):
-            block = min(2, m)
-            shift: dict[tuple[bytes, ...], int] = {}
-            buckets: dict[tuple[bytes, ...], list] = {}
-            for p in group:
-                for end in range(block, m + 1):
-                    key = p[end - block : end]
-                    shift[key] = min(shift.get(key, m), m - end)
-                buckets.setdefault(p[m - block :], []).append((p, patterns[p]))
-            self.by_length.append((m, block, shift, buckets))
-
-    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
-        """(spans of words that lie in an occurrence, merged and in order; identifiers that occur)."""
-        spans: list[tuple[int, int]] = []
-        owners: set = set()
-        n = len(words)
-        for m, block, shift, buckets in self.by_length:
-            jump = m - block + 1
-            at = m  # end of the window, exclusive
-            if block == 2:
-                while at <= n:
-                    key = (words[at - 2], words[at - 1])
-                    step = shift.get(key, jump)
-                    if step:
-                        at += step
-                        continue
-                    window = tuple(words[at - m : at])
-                    for pattern, own in buckets.get(key, ()):
-                        if pattern == window:
+    """Occurrences of the windows of items (identifier or None, text) of the benchmark."""
+
+    def __init__(self, items: list[tuple[str | None, bytes]], size: int):
+        self.names = [name for name, _ in items]
+        room: dict[int, int] = {}
+        for _, text in items:
+            if m := min(size, len(words_of(text))):
+                room[m] = room.get(m, 0) + len(text)
+        shifts, found, texts, at = {}, {}, [], 0
+        for m, held in room.items():
+            slots = 1 << max(8, held.bit_length())
+            shifts[m] = bytearray(bytes([min(255, m - min(2, m) + 1)]) * slots)
+            found[m] = array("q"), array("i"), array("i"), array("i")
+        for owner, (_, text) in enumerate(items):
+            words = words_of(text)
+            m, n = min(size, len(words)), len(words)
+            if not m:
+                continue
+            shift, (keys, starts, stops, owners) = shifts[m], found[m]
+            block, mask, start, stop = min(2, m), len(shift) - 1, at, at - 1
+            begins = []
+            for end in range(1, n + 1):
+                begins.append(stop + 1)
+                stop += 1 + len(words[end - 1])
+                if end >= block:
+                    slot = hash(tuple(words[end - block : end])) & mask
+                    shift[slot] = min(shift[slot], max(0, m - end))
+                if end >= m:
+                    first = end - m
+                    keys.append(hash((*words[end - block : end], *words[first : first + block])))
+                    starts.append(begins[first])
+                    stops.append(stop)
+                    owners.append(owner)
+            texts.append(b" ".join(words))
+            at = stop + 1
+        self.text = b" ".join(texts)
+        self.tables = []
+        for m in sorted(found):
+            keys, *rest = (np.frombuffer(x, x.typecode) for x in found.pop(m))
+            order = np.argsort(keys, kind="stable")
+            self.tables.append((m, min(2, m), shifts[m], array("q", keys[order].tobytes()), *(array("i", x[order].tobytes()) for x in rest)))
+
+    def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """(spans of words that lie in an occurrence, merged and in order; items that occur)."""
+        n, spans, found = len(words), [], set()
+        for m, block, shift, keys, starts, stops, owners in self.tables:
+            mask, at = len(shift) - 1, m  # at is the end of the window, exclusive
+            while at <= n:
+                suffix = words[at - 2 : at] if block == 2 else words[at - 1 : at]
+                step = shift[hash((*suffix,)) & mask]
+                if step:
+                    at += step
+                    continue
+                key = hash((*suffix, *words[at - m : at - m + block]))
+                k = bisect_left(keys, key)
+                if k < len(keys) and keys[k] == key:
+                    window = b" ".join(words[at - m : at])
+                    while k < len(keys) and keys[k] == key:
+                        if self.text[starts[k] : stops[k]] == window:
                             spans.append((at - m, at))
-                            owners.update(own)
-                    at += 1
-            else:
-                for k, word in enumerate(words):
-                    for _, own in buckets.get((word,), ()):
-                        spans.append((k, k + 1))
-                        owners.update(own)
-        return merged(spans), owners
+                            found.add(self.names[owners[k]])
+                        k += 1
+                at += 1
+        found.discard(None)
+        return merged(spans), found
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -88,24 +115,25 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def window_patterns(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
-    if len(words) < size:
-        return {tuple(words)} if words else set()
-    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
+_HITS = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
 
 
-_HITS = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
+_BUILT: dict[str, WuManber] = {}
 
 
-def _pass(block, size: int, hand_on_text: bool):
+def _built(name: str, items: list[tuple[str | None, bytes]], size: int) -> WuManber:
+    """The tables of a block, built once in a worker that serves several tasks; those of an earlier block go."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = WuManber(items, size)
+    return _BUILT[name]
+
+
+def _pass(name: str, block, size: int, hand_on_text: bool):
     """Adds one block's spans and items to (text, n_words, spans, items), which come last in each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns: dict[tuple[bytes, ...], list] = {}
-        for item, text in block.value:
-            for p in window_patterns(words_of(text), size):
-                patterns.setdefault(p, []).extend([item] if item is not None else [])
-        search = WuManber(patterns).search
+        search = _built(name, block.value, size).search
         for b in batches:
             counts, spans, items = [], [], []
             text, had_spans, had_items = b.column("text"), b.column("spans"), b.column("items")
@@ -122,22 +150,39 @@ def _pass(block, size: int, hand_on_text: bool):
     return run
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The benchmark's rows in lists of at most most_bytes of text (a longer single item stands alone)."""
+def _pieces(text: bytes, size: int, most_bytes: int) -> Iterator[bytes]:
+    """The text, or if it is longer than most_bytes pieces that share size - 1 words, so that each window lies in one of them."""
+    if len(text) <= most_bytes:
+        yield text
+        return
+    words, held = [], 0
+    for word in words_of(text):
+        words.append(word)
+        held += len(word) + 1
+        if held > most_bytes and len(words) > 2 * size:
+            yield b" ".join(words)
+            words = words[1 - size :] if size > 1 else []
+            held = sum(map(len, words)) + len(words)
+    if len(words) >= size:
+        yield b" ".join(words)
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, most_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The benchmark's rows in lists of about most_bytes of text."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).where(F.length("text") > 0)
     part, held = [], 0
     for row in rows.toLocalIterator():
-        text = bytes(row.text)
-        if part and held + len(text) > most_bytes:
-            yield part
-            part, held = [], 0
-        part.append((row.item, text))
-        held += len(text)
+        for text in _pieces(bytes(row.text), size, most_bytes):
+            if part and held + len(text) > most_bytes:
+                yield part
+                part, held = [], 0
+            part.append((row.item, text))
+            held += len(text)
     if part:
         yield part
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = 13, block_bytes: int = 8 << 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = 13, block_bytes: int = 16 << 20) -> DataFrame:
     """(id_col, n_words, spans array<struct<start, stop>> of hit words, items array<string>, n_hit) for every row of docs.
 
     An item of fewer than window words is one pattern; null or wordless texts on either side match nothing. Items with
@@ -156,13 +201,21 @@ def _searched(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_co
         F.array().cast("array<struct<start:int,stop:int>>").alias("spans"), F.array().cast("array<string>").alias("items"),
     )
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in state.schema.fields])
-    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    blocks = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
     block = next(blocks, [])
+    written = None
     while block is not None:
         after = next(blocks, None)
         if after is None:  # the last pass needn't hand on the texts
             schema = T.StructType([f for f in schema.fields if f.name != "text"])
-        state = state.mapInArrow(_pass(spark.sparkContext.broadcast(block), window, after is not None), schema)
+        shared = spark.sparkContext.broadcast(block)
+        state = state.mapInArrow(_pass(uuid.uuid4().hex, shared, window, after is not None), schema)
+        if after is not None:
+            state, before = persisted(state), written
+            shared.destroy()
+            if before is not None:
+                superseded(before)
+            written = state
         block = after
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + (s["stop"] - s["start"]))
     return state.withColumn("n_hit", n_hit)
@@ -173,8 +226,10 @@ def is_contaminated(share: int = 20):
     return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = 13, share: int = 20, block_bytes: int = 8 << 20) -> DataFrame:
-    """The rows of docs that aren't contaminated, with all their columns; the hit spans of a row come from the same passes as in contamination()."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = _searched(docs.select(row.alias("id"), F.col(text_col).cast("binary").alias("text")), benchmark, item_col, item_text_col, window, block_bytes)
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = 13, share: int = 20, block_bytes: int = 16 << 20) -> DataFrame:
+    """The rows of docs that aren't contaminated, with all their columns, whatever their names; the hit spans of a row come from the same passes as in contamination().
+
+    Rows with a null, empty or wordless text are clean. Repeated rows have the same fate. An empty benchmark leaves every row; an empty table gives an empty result.
+    """
+    found = _searched(docs.select(whole_row(docs).alias("id"), F.col(text_col).cast("binary").alias("text")), benchmark, item_col, item_text_col, window, block_bytes)
     return found.where(~is_contaminated(share)).select("id.*")

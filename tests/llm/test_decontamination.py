@@ -1,7 +1,10 @@
 import random
 import re
+import tracemalloc
 
-from barloom.llm.decontamination import contamination
+import pandas as pd
+
+from barloom.llm.decontamination import WuManber, contamination
 from tests.llm.rows import awkward, empty, lower
 
 BENCH = "item_id bigint, text string, spans string"
@@ -43,6 +46,36 @@ def test_against_brute_force(spark):
     check(docs, bench)
 
 
+def test_tables_stay_in_bounds_for_a_large_benchmark(spark):
+    """50 MB in blocks: tables take at most 10 bytes a byte of a block, while they are built at most twice as much, and all blocks and ends of items are searched."""
+    rng = random.Random(8)
+    vocabulary = [f"w{rng.randint(0, 10**6)}" for _ in range(50_000)]
+    items = [(str(i), " ".join(rng.choices(vocabulary, k=1800)).encode()) for i in range(3500)]
+    assert 45e6 < sum(len(t) for _, t in items) < 60e6
+    part = items[: len(items) // 10]
+    size = sum(len(t) for _, t in part)
+    tracemalloc.start()
+    built = WuManber(part, 13)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 10 * size and peak < 20 * size
+    ends = [(i, f"before {' '.join(t.decode().split()[-13:])} after") for i, t in enumerate(t for _, t in items[::100])]
+    assert built.search(ends[0][1].encode().split()) == ([(1, 14)], {"0"})
+    docs = spark.createDataFrame([*ends, (99, " ".join(rng.choices(vocabulary, k=5000)))], "doc_id bigint, text string")
+    bench = spark.createDataFrame(pd.DataFrame([(i, t.decode()) for i, t in items], columns=["item_id", "text"]))
+    got = {r.doc_id: (r.n_hit, list(r["items"])) for r in contamination(docs, bench).collect()}
+    assert got == {i: (13, [items[100 * i][0]]) for i in range(len(ends))} | {99: (0, [])}
+
+
+def test_a_long_item_is_cut_by_whole_windows(spark):
+    rng = random.Random(9)
+    item = " ".join(str(rng.randint(0, 999)) for _ in range(700))
+    words_ = item.split()
+    docs = spark.createDataFrame([(k, " ".join(words_[k : k + 13])) for k in range(0, 688)] + [(1000, " ".join(words_[20:32]))], "doc_id bigint, text string")
+    got = contamination(docs, spark.createDataFrame([("x", item)], "item_id string, text string"), block_bytes=900).collect()
+    assert {r.doc_id for r in got if r.n_hit == 13 and list(r["items"]) == ["x"]} == set(range(688)) and {r.doc_id for r in got if not r.n_hit} == {1000}
+
+
 def test_awkward_rows_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, "Alpha, beta", "s"), (2, "word " * 14, "s"), (2, "word " * 14, "s")], BENCH)
     check(awkward(spark), bench)
