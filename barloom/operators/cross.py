@@ -101,6 +101,15 @@ def breadth(df: DataFrame, ts: str = "ts", n: int = 720) -> DataFrame:
     )
 
 
+def candle_breadth(df: DataFrame, ts: str = "ts", short: int = 24, exact: bool = True) -> DataFrame:
+    """Medians of close location, flow imbalance, range ratio and spread, and shares of true breakouts and squeezes, per time; from the candle operators."""
+    share = lambda c: F.avg(F.col(c).cast("double"))
+    return df.groupBy(ts).agg(
+        median(f"clv_mean_{short}", exact).alias("breadth_clv"), median(f"flow_imbalance_{short}", exact).alias("breadth_flow"), share(f"true_break_high_{short}").alias("breadth_break_high"), share(f"true_break_low_{short}").alias("breadth_break_low"),
+        median("atr_ratio", exact).alias("breadth_atr_ratio"), F.avg(F.when(F.col("squeeze_rank") < 0.25, 1.0).otherwise(0.0)).alias("breadth_squeezed"), median(f"cs_spread_{short}", exact).alias("breadth_spread"),
+    )
+
+
 def serving_contract(tokens: DataFrame, stats: DataFrame, references: Sequence[DataFrame], membership: DataFrame | None = None, *, key: str = "key", ts: str = "ts", members_only: bool = False, least_coverage: float = 0.9, include_edge: bool = True, since: Column | None = None, retain_weeks: int = 0) -> DataFrame:
     """Features of tokens with universe statistics, references and weekly membership, filtered for serving.
 

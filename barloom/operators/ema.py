@@ -14,8 +14,8 @@ from barloom.operators.rolling import S, Series
 BLOCK = 256
 
 
-def ema(df: DataFrame, n: int, s: Series = S, of: str = "price", seed: str = "first", name: str | None = None) -> DataFrame:
-    """Exponential average with weight 2 / (n + 1), exact, without Python and without a fold over whole series.
+def ema(df: DataFrame, n: int = 0, s: Series = S, of: str = "price", seed: str = "first", name: str | None = None, keep: float | None = None) -> DataFrame:
+    """Exponential average with weight 2 / (n + 1), or 1 - keep, exact, without Python and without a fold over whole series.
 
     seed="first" normalises the weights from row 1. seed="sma" starts at row n with the simple average of the first n
     rows and is null before. Inside a block of rows the recurrence is a running sum of scaled values; the blocks' ends are folded per key and
@@ -24,7 +24,8 @@ def ema(df: DataFrame, n: int, s: Series = S, of: str = "price", seed: str = "fi
     if seed not in ("first", "sma"):
         raise ValueError("seed is 'first' or 'sma'")
     name = name or f"ema_{n}"
-    a, r = 2 / (n + 1), 1 - 2 / (n + 1)
+    r = 1 - 2 / (n + 1) if keep is None else keep
+    a = 1 - r
     df = df.withColumn("_i", F.row_number().over(s.ordered) - 1)
     value, start = F.col(of).cast("double"), 0
     if seed == "sma":
@@ -93,15 +94,22 @@ def event_features(df: DataFrame, fast: str = "ema_21", slow: str = "ema_50", s:
 
 
 def nearest_levels(events: DataFrame, levels: DataFrame, *, key: str = "key", ts: str = "ts", price: str = "close", level: str = "level", known: str = "known_ts") -> DataFrame:
-    """Distance of each event's price to the nearest level above and below that was known by its day."""
-    pairs = events.select(key, ts, price).join(levels.select(key, level, known), key).where(F.to_date(known) <= F.to_date(ts))
-    near = pairs.groupBy(key, ts).agg(F.min(F.when(F.col(level) >= F.col(price), F.col(level))).alias("_up"), F.max(F.when(F.col(level) <= F.col(price), F.col(level))).alias("_down"))
-    out = events.join(near, [key, ts], "left")
+    """Distance of each event's price to the nearest level above and below that was known by its day.
+
+    The levels of a key, which are few, are one array that each of its events looks through: one row an event, and no pairs are dealt or grouped.
+    """
+    listed = levels.where(F.col(level).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(F.struct(F.col(level).alias("level"), F.to_date(known).alias("known")))).alias("_levels"))
+    known_by = lambda x: x["known"] <= F.to_date(ts)
+    nearest = lambda beyond, pick: pick(F.transform(F.filter("_levels", lambda x: known_by(x) & beyond(x["level"], F.col(price))), lambda x: x["level"]))
+    out = events.join(listed, key, "left").withColumns({"_up": nearest(lambda x, p: x >= p, F.array_min), "_down": nearest(lambda x, p: x <= p, F.array_max)}).drop("_levels")
     return out.withColumns({"resistance_distance": safe_div(F.col("_up") - F.col(price), price), "support_distance": safe_div(F.col(price) - F.col("_down"), price)}).drop("_up", "_down")
 
 
-def impute_medians(df: DataFrame, columns: list[str], *, key: str = "key", instead: float = 0.0, exact: bool = True) -> DataFrame:
-    """Nulls become the key's median, else the overall median, else a constant."""
+def impute_medians(df: DataFrame, columns: list[str], *, key: str = "key", instead: float = 0.0, exact: bool = False) -> DataFrame:
+    """Nulls become the key's median, else the overall median, else a constant.
+
+    Medians are approximate, as exact ones gather all distinct values in one task; exact=True is for comparisons.
+    """
     middle = (lambda c: F.percentile(c, 0.5)) if exact else (lambda c: F.percentile_approx(c, 0.5, 10_000))
     own = df.groupBy(key).agg(*[middle(c).alias(f"_own_{c}") for c in columns])
     everyone = df.agg(*[middle(c).alias(f"_all_{c}") for c in columns])  # one row

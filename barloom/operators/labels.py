@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.expr import null_if_zero, safe_corr, safe_div, safe_ln
-from barloom.operators.joins import interval_join
+from barloom.operators.joins import interval_join, next_event
 from barloom.operators.rolling import S, Series
 
 #: Sentinel of a threshold that is never met.
@@ -125,6 +125,31 @@ def target_before_stop(entries: DataFrame, bars: DataFrame, target: float, stop:
     return out.withColumn("label", F.when(won, 1).otherwise(0))
 
 
+def target_before_close(df: DataFrame, target: float, stop: float, hours: int, *, s: Series = S, entry: str = "entry", close: str = "close_signal", price: str = "price") -> DataFrame:
+    """(key, entry_ts, entry_price, next_close_ts, boundary_ts, gain_ts, loss_ts, label): the first entry flag after each close flag, up to the next close or `hours`, whichever is first.
+
+    label 1 where the price gains the target before it loses the stop, both at once counting as a gain. Entries that follow an entry before any close are suppressed.
+    """
+    closed = F.col(close) == 1
+    rows = next_event(df.withColumn("_closed", F.max(F.when(closed, F.col(s.ts))).over(s.past)), closed, key=[s.key], ts=s.ts, name="next_close_ts")
+    first = F.row_number().over(Window.partitionBy(s.key, "_closed").orderBy(s.ts)) == 1
+    entries = rows.where(F.col(entry) == 1).withColumn("_first", first).where("_first").select(s.key, F.col(s.ts).alias("entry_ts"), F.col(price).alias("entry_price"), "next_close_ts")
+    entries = entries.withColumn("boundary_ts", F.least("next_close_ts", F.col("entry_ts") + F.expr(f"INTERVAL {hours} HOURS")))
+    pairs = interval_join(entries, df.select(s.key, s.ts, price), key=[s.key], left_ts="entry_ts", right_ts=s.ts, low_seconds=0, high_seconds=hours * 3600).where(F.col(s.ts) <= F.col("boundary_ts"))
+    hit = lambda cond: F.min(F.when(cond, F.col(s.ts)))
+    found = pairs.groupBy(s.key, "entry_ts", "entry_price", "next_close_ts", "boundary_ts").agg(hit(F.col(price) >= F.col("entry_price") * (1 + target)).alias("gain_ts"), hit(F.col(price) <= F.col("entry_price") * (1 - stop)).alias("loss_ts"))
+    won = F.col("gain_ts").isNotNull() & (F.col("loss_ts").isNull() | (F.col("gain_ts") <= F.col("loss_ts")))
+    return found.withColumn("label", F.when(won, 1).otherwise(0))
+
+
+def acquisition_peaks(bars: DataFrame, acquired: DataFrame, days: int = 7, least: float = 0.25, *, key: str = "key", ts: str = "ts", price: str = "price") -> DataFrame:
+    """(key, acquired_ts, acquired_price, max_price, gain, label_peak): the highest price in the days after each acquisition, and whether it gains at least `least`."""
+    pairs = interval_join(acquired.select(key, "acquired_ts", "acquired_price"), bars.where(F.col(price).isNotNull()).select(key, ts, price), key=[key], left_ts="acquired_ts", right_ts=ts, low_seconds=0, high_seconds=days * 86_400)
+    found = pairs.groupBy(key, "acquired_ts", "acquired_price").agg(F.max(price).alias("max_price"))
+    found = found.withColumn("gain", safe_div(F.col("max_price") - F.col("acquired_price"), "acquired_price"))
+    return found.withColumn("label_peak", F.when(F.col("gain") >= least, 1).otherwise(0))
+
+
 def around_acquisition(bars: DataFrame, acquired: DataFrame, days: int = 7, *, key: str = "key", ts: str = "ts", price: str = "price") -> DataFrame:
     """Bars within days of each acquisition (key, acquired_ts), with the side and the price change; the change divides by the later of the two prices."""
     pairs = interval_join(acquired, bars.select(key, ts, price), key=[key], left_ts="acquired_ts", right_ts=ts, low_seconds=-days * 86_400, high_seconds=days * 86_400)

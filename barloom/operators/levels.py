@@ -44,10 +44,10 @@ def level_bins(bars: DataFrame, as_of: Column, *, lookback_days: int = 180, bin_
 
 def strongest_levels(bins: DataFrame, key: str = "key") -> DataFrame:
     """Levels whose score reaches a percentile of their key's scores; dispersed or dense scores ask for a higher one (0.5 to 0.8)."""
-    w = Window.partitionBy(key)
-    slots = F.round(safe_div(F.max("level").over(w) - F.min("level").over(w), F.col("bin_size")))
-    spread, density = F.least(F.lit(2.0), safe_div(F.stddev_samp("score").over(w), F.avg("score").over(w))), F.least(F.lit(2.0), safe_div(F.count("*").over(w), F.nullif(slots, F.lit(1.0))))
+    found = bins.groupBy(key).agg(
+        F.round(safe_div(F.max("level") - F.min("level"), F.max("bin_size"))).alias("_slots"), safe_div(F.stddev_samp("score"), F.avg("score")).alias("_spread"), F.count("*").alias("_n"), F.array_sort(F.collect_list("score")).alias("_scores"),
+    )
+    spread, density = F.least(F.lit(2.0), F.col("_spread")), F.least(F.lit(2.0), safe_div("_n", F.nullif("_slots", F.lit(1.0))))
     share = F.greatest(F.lit(0.5), F.least(F.lit(0.8), 0.6 + 0.15 * F.coalesce(spread, F.lit(0.0)) + 0.1 * F.coalesce(density, F.lit(0.0))))
-    scored = bins.withColumns({"_share": share, "_scores": F.array_sort(F.collect_list("score").over(w))})
-    cut = F.element_at("_scores", (F.round(F.col("_share") * (F.size("_scores") - 1)) + 1).cast("int"))
-    return scored.where(F.col("score") >= cut).drop("_share", "_scores")
+    cuts = found.select(key, F.element_at("_scores", (F.round(share * (F.size("_scores") - 1)) + 1).cast("int")).alias("_cut"))  # one row a key
+    return bins.join(cuts, key).where(F.col("score") >= F.col("_cut")).drop("_cut")

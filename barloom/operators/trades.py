@@ -46,7 +46,7 @@ def extract_trades(bars: DataFrame, entry: Column, exit_: Column, *, stop: float
 
     exit_rule "close" tests and fills at closes; "level" tests the stop on lows and the target on highs and fills at those levels (the stop first).
     """
-    entries = bars.where(entry).select(s.key, F.col(s.ts).alias("entry_ts"), F.col("close").alias("entry_price"))
+    entries = bars.where(entry).select(s.key, F.col(s.ts).alias("entry_ts"), F.col("close").alias("entry_price"), F.col("low").alias("_entry_low"))
     later = bars.select(s.key, s.ts, "close", "high", "low", exit_.alias("_exit"))
     pairs = interval_join(entries, later, key=[s.key], left_ts="entry_ts", right_ts=s.ts, low_seconds=0, high_seconds=days * 86_400 - 1, low_open=True)
     move = safe_div(F.col("close") - F.col("entry_price"), "entry_price")
@@ -56,21 +56,20 @@ def extract_trades(bars: DataFrame, entry: Column, exit_: Column, *, stop: float
     hit = F.lit(False) if target is None else move >= target if exit_rule == "close" else F.col("high") >= target_price
     reason = F.when(stopped, "stop").when(hit, "target").when(F.col("_exit"), "signal")
     fill = F.col("close") if exit_rule == "close" else F.when(stopped, stop_price).when(hit, target_price if target is not None else F.lit(None)).otherwise(F.col("close"))
-    marked = pairs.withColumns({"_reason": reason, "_fill": fill})
-    ends = marked.where(F.col("_reason").isNotNull()).groupBy(s.key, "entry_ts", "entry_price").agg(F.min_by(F.struct(F.col(s.ts).alias("exit_ts"), F.col("_fill").alias("exit_price"), F.col("_reason").alias("reason")), s.ts).alias("e"))
-    trades = ends.select(s.key, "entry_ts", "entry_price", "e.*")
-    # The window's worst low from entry to exit, from the same bars (the entry bar included).
-    worst = interval_join(trades.select(s.key, "entry_ts", "exit_ts"), bars.select(s.key, s.ts, "low"), key=[s.key], left_ts="entry_ts", right_ts=s.ts, low_seconds=0, high_seconds=days * 86_400 - 1)
-    worst = worst.where(F.col(s.ts) <= F.col("exit_ts")).groupBy(s.key, "entry_ts").agg(F.min("low").alias("worst_low"))
-    out = trades.join(worst, [s.key, "entry_ts"])
+    # The worst low from entry to exit is a running minimum over the same pairs (the entry bar included).
+    so_far = Window.partitionBy(s.key, "entry_ts").orderBy(s.ts).rowsBetween(Window.unboundedPreceding, 0)
+    marked = pairs.withColumns({"_reason": reason, "_fill": fill, "_worst": F.least("_entry_low", F.min("low").over(so_far))})
+    ends = marked.where(F.col("_reason").isNotNull()).groupBy(s.key, "entry_ts", "entry_price").agg(F.min_by(F.struct(F.col(s.ts).alias("exit_ts"), F.col("_fill").alias("exit_price"), F.col("_reason").alias("reason"), F.col("_worst").alias("worst_low")), s.ts).alias("e"))
+    out = ends.select(s.key, "entry_ts", "entry_price", "e.*")
     return out.withColumns({
         "trade_id": surrogate_key(s.key, F.unix_seconds("entry_ts")), "realized": safe_div(F.col("exit_price") - F.col("entry_price"), "entry_price"), "drawdown": safe_div(F.col("worst_low") - F.col("entry_price"), "entry_price"),
         "hours": F.floor((F.unix_seconds("exit_ts") - F.unix_seconds("entry_ts")) / 3600),
     })
 
 
-def trades_to_close(df: DataFrame, s: Series = S, entry: str = "entry", close: str = "close_signal", price: str = "price") -> DataFrame:
-    """Trades from each entry flag to the next close flag of its key: realised return, run-up, pullback, drawdown and bars.
+def trades_to_close(df: DataFrame, s: Series = S, entry: str = "entry", close: str = "close_signal", price: str = "price", at_entry: Sequence[str] = (), largest: Sequence[str] = (), mean: Sequence[str] = ()) -> DataFrame:
+    """Trades from each entry flag to the next close flag of its key: realised return, run-up, pullback, drawdown and bars; at_entry columns as the entry has them, and the largest and mean values
+    of columns from entry to close.
 
     Windows give every row's next close and number it; bars between an entry and its close are met by that number, so no row scans its
     key's future. Overlapping entries of one close are separate trades.
@@ -81,15 +80,28 @@ def trades_to_close(df: DataFrame, s: Series = S, entry: str = "entry", close: s
     rows = rows.withColumn("_span", F.count(F.when(F.col(close) == 1, 1)).over(until))
     # Extremes from a row to the end of its span: the rows of a span end with the close itself.
     span = Window.partitionBy(s.key, "_span").orderBy(F.desc(s.ts)).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({"_max": F.max(price).over(span), "_min": F.min(price).over(span), "_left": F.row_number().over(Window.partitionBy(s.key, "_span").orderBy(F.desc(s.ts))) - 1})
+    rows = rows.withColumns({"_max": F.max(price).over(span), "_min": F.min(price).over(span), "_left": F.row_number().over(Window.partitionBy(s.key, "_span").orderBy(F.desc(s.ts))) - 1, **{f"max_{c}": F.max(c).over(span) for c in largest}, **{f"mean_{c}": F.avg(c).over(span) for c in mean}})
     out = rows.where((F.col(entry) == 1) & F.col("close_ts").isNotNull() & (F.col(close) != 1))
     exit_price = F.col(f"_price_at.{price}")
     return out.select(
         s.key, F.col(s.ts).alias("entry_ts"), F.col(price).alias("entry_price"), "close_ts", exit_price.alias("exit_price"), F.col("_left").cast("bigint").alias("bars"), safe_div(exit_price - F.col(price), price).alias("realized"),
         safe_div(F.col("_max") - F.col(price), price).alias("runup"), safe_div(exit_price - F.col("_max"), "_max").alias("pullback"), safe_div(F.col("_min") - F.col(price), price).alias("drawdown"),
+        *at_entry, *[f"max_{c}" for c in largest], *[f"mean_{c}" for c in mean],
     )
 
 
+def trend_regime(df: DataFrame, *, atr_share: tuple[float, float] = (0.01, 0.15), least_month: float = 0.10, volume: tuple[float, float] = (0.5, 5.0), most_atr: float = 0.20, s: Series = S, price: str = "close") -> DataFrame:
+    """in_regime, entry and close_signal of a strong trend, from trend_features(): the fast average crosses up in an uptrend with moderate range and volume and a good month; the trend ends when it crosses
+    down, the uptrend breaks or the range explodes."""
+    w = s.ordered
+    fast, slow, share = F.col("ema_21"), F.col("ema_50"), safe_div("atr_14", price)
+    before = F.lag("ema_21").over(w), F.lag("ema_50").over(w)
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    df = df.withColumn("atr_share", share).withColumn("in_regime", yes(F.col("is_uptrend") & F.col("atr_share").between(*atr_share) & (F.col("ret_month") > least_month) & F.col("volume_spike_week").between(*volume)))
+    ends = yes((fast < slow) & (before[0] >= before[1])) | yes(~F.col("is_uptrend")) | yes(F.col("atr_share") > most_atr)
+    return df.withColumns({"entry": F.when(yes((fast > slow) & (before[0] <= before[1])) & F.col("in_regime"), 1).otherwise(0), "close_signal": F.when(ends, 1).otherwise(0)})
+
+
 def gain_until_close(df: DataFrame, s: Series = S, entry: str = "entry", close: str = "close_signal", price: str = "close", high: str = "high") -> DataFrame:
     """trade_id counts entries of the key; max_gain is the best high from the entry to its first close flag (or the trade's end) over the entry price."""
     df = df.withColumn("trade_id", F.sum(F.when(F.col(entry) == 1, 1).otherwise(0)).over(s.past)).withColumn("_i", F.row_number().over(s.ordered))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.operators import bars as B
@@ -40,6 +40,36 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.resample_bars(t, "day", tie=["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "volume"])
 
 
+#: Bars of one shape for each remainder of the key by 12, as SQL over the close x = close / 1500 and the number i of the bar, for patterns that plain prices don't show:
+#: (open, high, low, close, volume). The last has the bars as they are.
+SHAPES = (
+    ("105 * exp(-i / 100e0)", "105 * exp(-i / 100e0)", "100 * exp(-i / 100e0)", "100 * exp(-i / 100e0)", "volume"),
+    ("100 + 10 * x", "101 + 10 * x", "CASE WHEN i % 50 = 0 THEN 1e0 ELSE 99 + 10 * x END", "100 + 10 * x", "volume"),
+    ("50e0", "51e0", "50e0", "CASE WHEN i % 10 = 0 THEN 51e0 ELSE 50e0 END", "volume"),
+    ("(100 + i % 20 + least(x, 1)) * (CASE WHEN i % 2 = 0 THEN 1.001e0 ELSE 0.999e0 END)", "(100 + i % 20 + least(x, 1)) * 1.02e0", "(100 + i % 20 + least(x, 1)) * 0.98e0", "100 + i % 20 + least(x, 1)", "volume"),
+    ("CASE WHEN i = 2 THEN 10e0 ELSE 100e0 END", "100e0", "10e0", "CASE WHEN i = 2 THEN 10e0 ELSE 100e0 END", "volume"),
+    ("10 * x", "300e0", "9 * x", "CASE WHEN i % 20 = 0 THEN 300e0 ELSE 10 * x END", "volume"),
+    ("(10 + i / 5e0) * 0.99e0", "11 + i / 5e0", "9 + i / 5e0", "10 + i / 5e0", "volume"),
+    ("1e0", "1.003e0", "0.999e0", "1 + (i % 3) / 1000e0", "volume"),
+    ("50 * x", "65 * x", "35 * x", "50 * x", "CASE WHEN i % 2 = 0 THEN 0e0 ELSE volume END"),
+    ("20e0", "20.1e0", "19.9e0", "20 + x / 10", "CASE WHEN i % 100 = 0 THEN 90000e0 ELSE volume END"),
+    ("51 * x", "65 * x", "40 * x", "50 * x", "volume"),
+    ("open", "high", "low", "close", "volume"),
+)
+
+
+def shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of the suppliers, reshaped by SHAPES."""
+    rows = daily(spark, sf_dir).withColumns({"i": F.row_number().over(Window.partitionBy("key").orderBy("ts")), "x": F.col("close") / 1500})
+    pick = lambda n: F.expr("CASE " + " ".join(f"WHEN key % 12 = {k} THEN CAST({shape[n]} AS DOUBLE)" for k, shape in enumerate(SHAPES)) + " END")
+    return rows.select("key", "ts", *[pick(n).alias(c) for n, c in enumerate(("open", "high", "low", "close", "volume"))])
+
+
+def daily_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, ts, price, volume) of the daily bars: a series for each supplier, more of them at every scale factor."""
+    return daily(spark, sf_dir).select("key", "ts", F.col("close").alias("price"), "volume")
+
+
 # SQL twins. Each is a list of CTEs; they build on each other in this order.
 TICKS = "ticks AS (SELECT event_type AS key, ts, value AS price, CAST(event_id % 10 + 1 AS DOUBLE) AS volume, event_id FROM events)"
 USER_TICKS = "ticks AS (SELECT user_id AS key, ts, value AS price, CAST(event_id % 10 + 1 AS DOUBLE) AS volume, event_id FROM events)"
@@ -59,6 +89,11 @@ DAILY = """days AS (SELECT l_suppkey AS key, date_trunc('day', l_shipdate) AS ts
 daily AS (SELECT key, CAST(ts AS TIMESTAMP) AS ts, first(price ORDER BY l_shipdate, l_orderkey, l_partkey, l_linenumber, l_extendedprice, volume) AS open, max(price) AS high, min(price) AS low,
   last(price ORDER BY l_shipdate, l_orderkey, l_partkey, l_linenumber, l_extendedprice, volume) AS close, sum(volume) AS volume FROM days GROUP BY key, ts)"""
 
+SHAPED = DAILY + """,
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts) AS i, close / 1500 AS x FROM daily),
+bars AS (SELECT key, ts, """ + ", ".join("CASE " + " ".join(f"WHEN key % 12 = {k} THEN CAST({shape[n]} AS DOUBLE)" for k, shape in enumerate(SHAPES)) + f" END AS {c}" for n, c in enumerate(("open", "high", "low", "close", "volume"))) + " FROM numbered)"
+DAILY_RETURNS = DAILY + ",\ngrid AS (SELECT key, ts, close AS price, volume FROM daily)" + RETURNS.removeprefix(GRID)
+
 
 def w(name: str, n: int, key: str = "key", ts: str = "ts") -> str:
     """Named window of the last n rows."""

@@ -15,7 +15,7 @@ from barloom.operators import sampling as A
 from barloom.operators import sessions as Z
 from barloom.operators import trades as T
 from barloom.operators import universe as U
-from barloom.plans.adapters import DAILY, GRID, HOURLY, RETURNS, daily, grid, hourly, load, r6, w
+from barloom.plans.adapters import DAILY, GRID, HOURLY, RETURNS, SHAPED, USER_TICKS, daily, grid, hourly, load, r6, shaped, user_ticks, w
 from barloom.plans.registry import query
 from barloom.plans.series import base, out
 
@@ -161,6 +161,14 @@ def around_acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(L.around_acquisition(b, acquired, price="close"))
 
 
+@query(f"""WITH {USER_TICKS}, a AS (SELECT key, min(ts) AS acquired_ts, first(price ORDER BY ts, event_id) AS acquired_price FROM ticks GROUP BY key), p AS (SELECT a.key, acquired_ts, acquired_price, max(price) AS max_price FROM a JOIN ticks t ON t.key = a.key AND t.ts BETWEEN acquired_ts AND acquired_ts + INTERVAL 7 DAY WHERE price IS NOT NULL GROUP BY ALL)
+SELECT key, acquired_ts, {r6('acquired_price', 'acquired_price')}, {r6('max_price', 'max_price')}, {r6('(max_price - acquired_price) / nullif(acquired_price, 0)', 'gain')}, CASE WHEN (max_price - acquired_price) / nullif(acquired_price, 0) >= 0.25 THEN 1 ELSE 0 END AS label_peak FROM p""")
+def acquisition_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = user_ticks(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    acquired = t.groupBy("key").agg(F.min("ts").alias("acquired_ts"), F.min_by("price", F.struct("ts", "event_id")).alias("acquired_price"))
+    return rounded(L.acquisition_peaks(t, acquired))
+
+
 # Averages and crosses.
 EMA = "RECURSIVE " + GRID + f""",
 n AS (SELECT key, ts, price, volume, row_number() OVER {O} AS i FROM grid),
@@ -205,6 +213,14 @@ def cross_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(crosses(spark, sf_dir), "entry", "close_signal")
 
 
+@query(f"""WITH {CROSSES}, tg AS (SELECT *, max(CASE WHEN close_signal = 1 THEN ts END) OVER {PAST} AS closed, min(CASE WHEN close_signal = 1 THEN ts END) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_close_ts FROM cl),
+en AS (SELECT key, ts AS entry_ts, price AS entry_price, next_close_ts, least(next_close_ts, ts + INTERVAL 48 HOUR) AS boundary_ts FROM tg WHERE entry = 1 QUALIFY row_number() OVER (PARTITION BY key, closed ORDER BY ts) = 1),
+hi AS (SELECT en.*, (SELECT min(x.ts) FROM cl x WHERE x.key = en.key AND x.ts BETWEEN entry_ts AND boundary_ts AND x.price >= entry_price * 1.5) AS gain_ts, (SELECT min(x.ts) FROM cl x WHERE x.key = en.key AND x.ts BETWEEN entry_ts AND boundary_ts AND x.price <= entry_price * 0.5) AS loss_ts FROM en)
+SELECT key, entry_ts, {r6('entry_price', 'entry_price')}, next_close_ts, boundary_ts, gain_ts, loss_ts, CASE WHEN gain_ts IS NOT NULL AND (loss_ts IS NULL OR gain_ts <= loss_ts) THEN 1 ELSE 0 END AS label FROM hi""")
+def target_before_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(L.target_before_close(crosses(spark, sf_dir), 0.5, 0.5, 48))
+
+
 _EVENT_BARS = HOURLY + f""",
 x AS (SELECT *, avg(close) OVER w21 AS ema_21, avg(close) OVER w50 AS ema_50, greatest(high - low, abs(high - coalesce(lag(close) OVER {O}, close)), abs(low - coalesce(lag(close) OVER {O}, close))) AS tr FROM bars WINDOW {w('w21', 21)}, {w('w50', 50)})"""
 _EVENT = {
@@ -236,7 +252,7 @@ def nearest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT x.key, x.ts, {r6('coalesce(v, o.m, a.m, 0)', 'v')} FROM x JOIN o USING (key) CROSS JOIN a""")
 def imputed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = hourly(spark, sf_dir).withColumn("v", F.when((F.hour("ts") % 4 != 0) & (F.col("key") != "view"), F.col("close")))
-    return out(E.impute_medians(x.select("key", "ts", "v"), ["v"]), "v")
+    return out(E.impute_medians(x.select("key", "ts", "v"), ["v"], exact=True), "v")
 
 
 _TF = {
@@ -252,6 +268,30 @@ def strong_trend_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(E.trend_features(sma_bars(spark, sf_dir), 40, 120), *_TF, "is_uptrend", "breaks_20", "breaks_50")
 
 
+_REGIME = DAILY + f""",
+x AS (SELECT *, avg(close) OVER w21 AS ema_21, avg(close) OVER w50 AS ema_50, avg(close) OVER w200 AS ema_200, CASE WHEN lag(close) OVER {O} IS NOT NULL THEN greatest(high - low, abs(high - lag(close) OVER {O}), abs(low - lag(close) OVER {O})) END AS str FROM daily WINDOW {w('w21', 21)}, {w('w50', 50)}, {w('w200', 200)}),
+y AS (SELECT *, ema_21 > ema_50 AND ema_50 > ema_200 AS up, avg(str) OVER w14 / nullif(close, 0) AS atr_share, close / nullif(first_value(close) OVER w30, 0) - 1 AS ret_month, volume / nullif(avg(volume) OVER w7, 0) AS spike, lag(ema_21) OVER {O} AS f0, lag(ema_50) OVER {O} AS s0 FROM x WINDOW {w('w7', 7)}, {w('w14', 14)}, {w('w30', 30)}),
+z AS (SELECT *, coalesce(up AND atr_share BETWEEN 0.01 AND 0.6 AND ret_month > -0.3 AND spike BETWEEN 0.2 AND 5, false) AS in_regime FROM y),
+sg AS (SELECT *, CASE WHEN coalesce(ema_21 > ema_50 AND f0 <= s0, false) AND in_regime THEN 1 ELSE 0 END AS entry, CASE WHEN coalesce(ema_21 < ema_50 AND f0 >= s0, false) OR coalesce(NOT up, false) OR coalesce(atr_share > 0.9, false) THEN 1 ELSE 0 END AS close_signal FROM z)"""
+
+
+def regime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = daily(spark, sf_dir).withColumns({f"ema_{n}": F.avg("close").over(R.S.rows(n)) for n in (21, 50, 200)})
+    return T.trend_regime(E.trend_features(d, 7, 30), atr_share=(0.01, 0.6), least_month=-0.3, volume=(0.2, 5.0), most_atr=0.9)
+
+
+@query(f"WITH {_REGIME} SELECT key, ts, {r6('atr_share', 'atr_share')}, in_regime, entry, close_signal FROM sg")
+def trend_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(regime(spark, sf_dir), "atr_share", "in_regime", "entry", "close_signal")
+
+
+@query(f"""WITH {_REGIME}, t AS (SELECT e.*, (SELECT min(n.ts) FROM sg n WHERE n.key = e.key AND n.ts > e.ts AND n.close_signal = 1) AS close_ts FROM sg e WHERE entry = 1),
+g AS (SELECT t.key, t.ts AS entry_ts, t.close AS entry_price, close_ts, t.ret_month, t.in_regime, count(*) - 1 AS bars, max(x.close) AS hi, min(x.close) AS lo, max(x.atr_share) AS max_atr_share, avg(x.atr_share) AS mean_atr_share, max(CASE WHEN x.ts = close_ts THEN x.close END) AS exit_price FROM t JOIN sg x ON x.key = t.key AND x.ts BETWEEN t.ts AND close_ts GROUP BY ALL)
+SELECT key, entry_ts, {r6('entry_price', 'entry_price')}, close_ts, {r6('exit_price', 'exit_price')}, bars, {r6('exit_price / nullif(entry_price, 0) - 1', 'realized')}, {r6('hi / nullif(entry_price, 0) - 1', 'runup')}, {r6('exit_price / nullif(hi, 0) - 1', 'pullback')}, {r6('lo / nullif(entry_price, 0) - 1', 'drawdown')}, {r6('ret_month', 'ret_month')}, in_regime, {r6('max_atr_share', 'max_atr_share')}, {r6('mean_atr_share', 'mean_atr_share')} FROM g""")
+def regime_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(T.trades_to_close(regime(spark, sf_dir), price="close", at_entry=["ret_month", "in_regime"], largest=["atr_share"], mean=["atr_share"]))
+
+
 # Trades.
 BANDS = DAILY + f""",
 b1 AS (SELECT *, avg(close) OVER w20 AS sma_20, stddev_samp(close) OVER w20 AS std_20, avg(close) OVER w50 AS trend, avg(volume) OVER w20 AS vs, CASE WHEN close > lag(close) OVER {O} THEN close - lag(close) OVER {O} ELSE 0 END AS g, CASE WHEN close < lag(close) OVER {O} THEN lag(close) OVER {O} - close ELSE 0 END AS l FROM daily WINDOW {w('w20', 20)}, {w('w50', 50)}),
@@ -388,7 +428,7 @@ def strongest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(V.strongest_levels(level_bins(spark, sf_dir)).select("key", "level", "touches", "score"))
 
 
-PATTERN = HOURLY + f""",
+PATTERN = SHAPED + f""",
 p1 AS (SELECT *, high - low AS span, abs(close - open) AS body, close >= open AS green, (close - lag(close) OVER {O}) / nullif(lag(close) OVER {O}, 0) AS move FROM bars),
 p2 AS (SELECT *, body / nullif(span, 0) AS bs, CASE WHEN lag(green) OVER {O} IS NOT NULL THEN CASE WHEN green <> lag(green) OVER {O} THEN 1.0 ELSE 0.0 END END AS turn FROM p1),
 p3 AS (SELECT key, count(*) AS n, quantile_cont(close, 0.5) AS median_close, stddev_samp(close) AS std_close, min(close) AS min_close, max(close) AS max_close, quantile_cont(close, 0.01) AS p01_close, quantile_cont(close, 0.99) AS p99_close, quantile_cont(low, 0.01) AS p01_low, max(volume) AS max_volume, quantile_cont(volume, 0.5) AS median_volume,
@@ -400,30 +440,43 @@ _PF = ["median_close", "std_close", "p01_close", "p99_close", "zero_volume_share
 
 @query(f"WITH {PATTERN} SELECT key, n, {', '.join(r6(c, c) for c in _PF)} FROM p4")
 def distribution_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(P.distribution_features(hourly(spark, sf_dir), least_rows=100).select("key", "n", *_PF))
-
-
-_TESTS = {name: " AND ".join([f"{f} {r} {b}" for f, r, b in tests] + (["(green_share >= 0.85 OR green_share <= 0.15)"] if name == "side" else [])) for name, tests in P.PATTERNS.items()}
+    return rounded(P.distribution_features(shaped(spark, sf_dir), least_rows=100).select("key", "n", *_PF))
+
+
+# The patterns' conditions, stated here for themselves.
+_TESTS = {
+    "decay": "max_to_min >= 10 AND green_share <= 0.35 AND p01_close / nullif(max_close, 0) <= 0.15",
+    "flash": "p01_low / nullif(median_close, 0) <= 0.10 AND p01_close / nullif(p99_close, 0) >= 0.40",
+    "frozen": "close_vol_ratio <= 0.02 AND tiny_move_share >= 0.70",
+    "micro": "turn_share >= 0.60 AND median_body_share <= 0.10 AND p95_span / nullif(p05_span, 0) <= 5 AND close_vol_ratio BETWEEN 0.01 AND 0.20",
+    "park": "max_to_min >= 8 AND close_vol_ratio <= 0.05 AND green_share >= 0.60",
+    "pump": "max_to_min >= 15 AND big_move_share >= 0.02 AND p01_close / nullif(max_close, 0) <= 0.20",
+    "side": "(green_share >= 0.85 OR green_share <= 0.15) AND max_to_min >= 5",
+    "stable": "close_vol_ratio <= 0.01 AND max_to_min <= 1.05",
+    "thin": "span_ratio >= 0.30 AND zero_volume_share >= 0.40",
+    "wash": "close_vol_ratio <= 0.03 AND volume_peak_ratio >= 10 AND zero_volume_share <= 0.10",
+    "wicks": "wick_share >= 0.70 AND mean_body_share <= 0.20 AND span_ratio >= 0.30",
+}
 
 
 @query(f"WITH {PATTERN} SELECT key, {', '.join(f'coalesce({t}, false) AS {n}' for n, t in _TESTS.items())} FROM p4")
 def pattern_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.pattern_flags(P.distribution_features(hourly(spark, sf_dir), least_rows=100)).select("key", *P.PATTERNS)
+    return P.pattern_flags(P.distribution_features(shaped(spark, sf_dir), least_rows=100)).select("key", *P.PATTERNS)
 
 
-_DETECT = "dt AS (SELECT l_suppkey AS key, l_returnflag AS pattern, CAST(l_shipdate AS DATE) AS window_start FROM lineitem WHERE l_quantity > 45)"
+_DETECT = "dt AS (SELECT l_suppkey AS key, l_returnflag AS pattern, CAST(l_shipdate AS DATE) AS window_start FROM lineitem)"
 
 
-@query(f"WITH {_DETECT} SELECT key, pattern FROM dt GROUP BY key, pattern HAVING date_diff('day', min(window_start), max(window_start)) > 2000 UNION ALL SELECT s_suppkey, 'manual:' || s_name FROM supplier WHERE s_suppkey < 3")
+@query(f"WITH {_DETECT} SELECT key, pattern FROM dt GROUP BY key, pattern HAVING date_diff('day', min(window_start), max(window_start)) > 2450 UNION ALL SELECT s_suppkey, 'manual:' || s_name FROM supplier WHERE s_suppkey < 3")
 def hardened_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = load(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("key"), F.col("l_returnflag").alias("pattern"), F.to_date("l_shipdate").alias("window_start"))
+    d = load(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("key"), F.col("l_returnflag").alias("pattern"), F.to_date("l_shipdate").alias("window_start"))
     manual = load(spark, sf_dir, "supplier").where("s_suppkey < 3").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("notes"))
-    return P.hardened_exclusions(d, manual, 2000)
+    return P.hardened_exclusions(d, manual, 2450)
 
 
-@query("""SELECT user_id AS key, bool_or(value > 480) AS high, bool_or(value < 5) AS low, max(ts) AS processed_at, arg_max(value > 480, ts) AS latest_high, arg_max(value < 5, ts) AS latest_low FROM events GROUP BY user_id""")
+@query("""SELECT user_id AS key, bool_or(value > 150) AS high, bool_or(value < 1) AS low, max(ts) AS processed_at, arg_max(value > 150, ts) AS latest_high, arg_max(value < 1, ts) AS latest_low FROM events GROUP BY user_id""")
 def flag_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events").select(F.col("user_id").alias("key"), (F.col("value") > 480).alias("high"), (F.col("value") < 5).alias("low"), F.col("ts").alias("processed_at"))
+    e = load(spark, sf_dir, "events").select(F.col("user_id").alias("key"), (F.col("value") > 150).alias("high"), (F.col("value") < 1).alias("low"), F.col("ts").alias("processed_at"))
     return P.flag_rollup(e)
 
 

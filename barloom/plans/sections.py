@@ -254,6 +254,16 @@ def market_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(X.breadth(R.horizons(base(spark, sf_dir), (96,), 480), n=96))
 
 
+_CANDLES = _SPREAD + f""", q AS (SELECT key, ts, i, cs24, {_FLOW['clv_mean_24']} AS clv24, {_FLOW['flow_imbalance_24']} AS flow24, {_TRUE['true_break_high_24']} AS bh, {_TRUE['true_break_low_24']} AS bl, {_ATR[24]} AS atr, {_ATR[168]} AS atr_long FROM d WINDOW {W24}, {W168}, {prior('p24', 24)}),
+v AS (SELECT *, list_filter(list(atr) OVER w240, lambda x: x IS NOT NULL) AS a240 FROM q WINDOW {w('w240', 240)}), sq AS (SELECT *, CASE WHEN len(a240) >= 240 AND atr IS NOT NULL THEN len(list_filter(a240, lambda x: x <= atr)) / 240.0 END AS squeeze FROM v)"""
+
+
+@query(f"WITH {MOVES}{_CANDLES} SELECT ts, {r6('median(clv24)', 'breadth_clv')}, {r6('median(flow24)', 'breadth_flow')}, {r6('avg(bh)', 'breadth_break_high')}, {r6('avg(bl)', 'breadth_break_low')}, {r6('median(atr / nullif(atr_long, 0))', 'breadth_atr_ratio')}, {r6('avg(CASE WHEN squeeze < 0.25 THEN 1.0 ELSE 0.0 END)', 'breadth_squeezed')}, {r6('median(cs24)', 'breadth_spread')} FROM sq GROUP BY ts")
+def candle_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = C.flows(C.true_extremes(C.range_volatility(C.spreads(moves(spark, sf_dir)))))
+    return rounded(X.candle_breadth(C.compression(m, long=240)))
+
+
 @query(f"""WITH {STATS}, nx AS (SELECT *, lead(price) OVER (PARTITION BY key ORDER BY ts) AS next_price FROM f), ref AS (SELECT ts, cumret_24 AS ref_cumret_24 FROM f WHERE key = 'view')
 SELECT nx.key, nx.ts, {r6('nx.price', 'price')}, {r6('next_price', 'next_price')}, univ_n, {r6('univ_median_short', 'univ_median_short')}, {r6('ref_cumret_24', 'ref_cumret_24')} FROM nx LEFT JOIN u USING (ts) LEFT JOIN ref USING (ts)
 WHERE next_price IS NOT NULL AND nx.ts >= TIMESTAMP '2024-01-20' AND nx.key <> 'error' AND (SELECT count(*) FROM f g WHERE g.ts = nx.ts AND g.key <> 'error') >= 0.9 * (SELECT count(DISTINCT g.key) FROM f g WHERE g.key <> 'error' AND date_trunc('week', g.ts) = date_trunc('week', nx.ts))""")
@@ -327,11 +337,11 @@ def feature_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(J.star(df.select("key", "ts"), blocks))
 
 
-@query(f"WITH {GRID} SELECT key, ts, min(CASE WHEN price > 400 THEN ts END) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_ts FROM grid")
+@query(f"WITH {GRID} SELECT key, ts, min(CASE WHEN price > 100 THEN ts END) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_ts FROM grid")
 def next_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     from barloom.plans.adapters import grid
 
-    return J.next_event(grid(spark, sf_dir), F.col("price") > 400, key=["key"], ts="ts").select("key", "ts", "next_ts")
+    return J.next_event(grid(spark, sf_dir), F.col("price") > 100, key=["key"], ts="ts").select("key", "ts", "next_ts")
 
 
 @query(f"""WITH {RETURNS}, edges AS (SELECT DISTINCT date_trunc('week', ts) AS run_ts, key, CASE WHEN key = 'view' THEN 'click' ELSE 'view' END AS leader FROM r UNION SELECT DISTINCT date_trunc('week', ts), key, 'purchase' FROM r WHERE key <> 'purchase'),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.functions.expr import rounded
 from barloom.operators import bars as B
 from barloom.operators import rolling as R
-from barloom.plans.adapters import DAILY, GRID, HOURLY, RETURNS, TICKS, daily, grid, hourly, hours, load, prior, r6, ticks, w
+from barloom.plans.adapters import DAILY, DAILY_RETURNS, GRID, HOURLY, RETURNS, TICKS, daily, daily_grid, grid, hourly, hours, load, prior, r6, ticks, w
 from barloom.plans.registry import query
 
 
@@ -16,14 +16,19 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.returns(grid(spark, sf_dir)).withColumn("dollar_volume", F.coalesce("volume", F.lit(0.0)) * F.coalesce("price", F.lit(0.0)))
 
 
+def daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over one series for each supplier."""
+    return R.returns(daily_grid(spark, sf_dir)).withColumn("dollar_volume", F.coalesce("volume", F.lit(0.0)) * F.coalesce("price", F.lit(0.0)))
+
+
 def out(df: DataFrame, *columns: str) -> DataFrame:
     return rounded(df.select("key", "ts", *columns))
 
 
-def over_r(columns: dict[str, str], *windows: str, more: str = "", source: str = "r") -> str:
+def over_r(columns: dict[str, str], *windows: str, more: str = "", source: str = "r", ctes: str = RETURNS) -> str:
     """SELECT of rounded expressions over the returns CTE."""
     named = f" WINDOW {', '.join(windows)}" if windows else ""
-    return f"WITH {RETURNS}{more} SELECT key, ts, {', '.join(r6(x, n) for n, x in columns.items())} FROM {source}{named}"
+    return f"WITH {ctes}{more} SELECT key, ts, {', '.join(r6(x, n) for n, x in columns.items())} FROM {source}{named}"
 
 
 @query(f"WITH {HOURLY} SELECT key, ts, {', '.join(r6(c, c) for c in ('open', 'high', 'low', 'close', 'volume'))} FROM bars")
@@ -110,9 +115,19 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(base(spark, sf_dir), "ret", "logret", "prev_ret")
 
 
+@query(over_r({"ret": "ret", "logret": "logret", "prev_ret": "prev_ret"}, ctes=DAILY_RETURNS))
+def daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(daily_base(spark, sf_dir), "ret", "logret", "prev_ret")
+
+
 _N = (4, 12, 24, 48, 72, 168)
 
 
+@query(over_r({f"{p}_{n}": f"{f}(ret) OVER w{n}" for n in _N for p, f in (("mean", "avg"), ("std", "stddev_samp"))}, *[w(f"w{n}", n) for n in _N], ctes=DAILY_RETURNS))
+def daily_mean_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(R.mean_std(daily_base(spark, sf_dir), _N), *[f"{p}_{n}" for n in _N for p in ("mean", "std")])
+
+
 @query(over_r({f"{p}_{n}": f"{f}(ret) OVER w{n}" for n in _N for p, f in (("mean", "avg"), ("std", "stddev_samp"))}, *[w(f"w{n}", n) for n in _N]))
 def rolling_mean_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(R.mean_std(base(spark, sf_dir), _N), *[f"{p}_{n}" for n in _N for p in ("mean", "std")])
@@ -182,6 +197,11 @@ def _rsi(n: int) -> str:
     return f"CASE WHEN {lo} IS NULL OR {lo} = 0 THEN 100 ELSE 100 - 100 / (1 + coalesce(({g}) / ({lo}), 0)) END"
 
 
+@query(over_r({"rsi_6": _rsi(6), "rsi_14": _rsi(14)}, w("w6", 6), w("w14", 14), ctes=DAILY_RETURNS))
+def daily_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(R.rsi(daily_base(spark, sf_dir), (6, 14)), "rsi_6", "rsi_14")
+
+
 @query(over_r({"rsi_6": _rsi(6), "rsi_14": _rsi(14)}, w("w6", 6), w("w14", 14)))
 def relative_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(R.rsi(base(spark, sf_dir), (6, 14)), "rsi_6", "rsi_14")
@@ -273,6 +293,11 @@ def trend_sql(n: int) -> dict[str, str]:
 _INDEXED = ", m AS (SELECT *, CAST(row_number() OVER (PARTITION BY key ORDER BY ts) AS DOUBLE) AS i FROM r)"
 
 
+@query(over_r(trend_sql(24) | trend_sql(168), w("w24", 24), w("w168", 168), more=_INDEXED, source="m", ctes=DAILY_RETURNS))
+def daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(R.ols_trend(R.log_price(daily_base(spark, sf_dir)), (24, 168)), *trend_sql(24), *trend_sql(168))
+
+
 @query(over_r(trend_sql(24) | trend_sql(168), w("w24", 24), w("w168", 168), more=_INDEXED, source="m"))
 def log_price_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(R.ols_trend(R.log_price(base(spark, sf_dir)), (24, 168)), *trend_sql(24), *trend_sql(168))

@@ -125,10 +125,12 @@ def look_ahead_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.no_look_ahead(used, "used").select("key", "week_start", "used")
 
 
-@query("SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(DISTINCT event_type) AS n_version FROM events WHERE event_type IN ('view', 'click') AND (event_type = 'view' OR ts > TIMESTAMP '2024-01-20') GROUP BY 1 HAVING count(DISTINCT event_type) > 1")
+@query("SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, CAST(2 AS BIGINT) AS n_version FROM events GROUP BY 1 HAVING bool_or(date_diff('day', DATE '2024-01-04', CAST(ts AS DATE)) >= 8 * (user_id % 3)) AND bool_or(date_diff('day', DATE '2024-01-04', CAST(ts AS DATE)) < 8 * (user_id % 3))")
 def version_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events").where("event_type = 'view' OR (event_type = 'click' AND ts > timestamp_ntz '2024-01-20')")
-    return Q.single_version(e.select(F.to_date(F.date_trunc("week", "ts")).alias("week_start"), F.col("event_type").alias("version")), ["version"])
+    """Every third of the users changes to version 2 eight days after the one before."""
+    e = load(spark, sf_dir, "events")
+    version = F.when(F.datediff(F.to_date("ts"), F.lit("2024-01-04").cast("date")) >= 8 * (F.col("user_id") % 3), 2).otherwise(1)
+    return Q.single_version(e.select(F.to_date(F.date_trunc("week", "ts")).alias("week_start"), version.alias("version")), ["version"])
 
 
 @query(f"WITH {_COUNTS} SELECT week_start, members, entered, exited, before, {r6('(entered + exited) / nullif(before, 0)::DOUBLE', 'turnover')} FROM sb WHERE (entered + exited) / nullif(before, 0)::DOUBLE > 0.1")
