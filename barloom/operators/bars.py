@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.expr import zero
+from barloom.operators.joins import interval_join
 
 
 def resample_bars(ticks: DataFrame, unit: str = "hour", *, key: str = "key", ts: str = "ts", price: str = "price", volume: str = "volume", tie: Sequence[str] = ()) -> DataFrame:
@@ -72,9 +73,12 @@ def clean_universe(bars: DataFrame, gaps: DataFrame, excluded: DataFrame, *, key
 def anchored_windows(bars: DataFrame, *, anchor_hour: int = 5, min_cap: float = 0.0, hours: int = 1680, key: str = "key", ts: str = "ts", cap: str = "mktcap", distinct: bool = False) -> DataFrame:
     """Rows in the `hours` up to an anchor: a bar at exactly anchor_hour whose cap suffices. A row repeats for every anchor unless distinct."""
     at = (F.hour(ts) == anchor_hour) & (F.minute(ts) == 0) & (F.second(ts) == 0)
+    if distinct:  # an anchor at the row's time or later, within the hours: one window, no pairs
+        ahead = Window.partitionBy(key).orderBy(F.unix_seconds(ts)).rangeBetween(0, hours * 3600 - 1)
+        return bars.withColumn("_anchored", F.max(at & (F.col(cap) >= min_cap)).over(ahead)).where("_anchored").drop("_anchored").distinct()
     anchors = bars.where(at & (F.col(cap) >= min_cap)).select(key, F.col(ts).alias("anchor"))
-    out = bars.join(anchors, key).where((F.col(ts) <= F.col("anchor")) & (F.col(ts) > F.col("anchor") - F.expr(f"INTERVAL {hours} HOURS")))
-    return out.drop("anchor").distinct() if distinct else out
+    pairs = interval_join(anchors, bars, key=[key], left_ts="anchor", right_ts=ts, low_seconds=-hours * 3600, high_seconds=0, low_open=True)
+    return pairs.select(*bars.columns, "anchor")
 
 
 def wallet_token_filter(holdings: DataFrame, *, min_wallets: int, active_days: int, as_of: Column, token: str = "token", wallet: str = "wallet", last: str = "last_ts") -> DataFrame:

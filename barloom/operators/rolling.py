@@ -170,11 +170,10 @@ def volume_weighted_decay(df: DataFrame, alphas: Mapping[str, float] | None = No
     for name, a in alphas.items():
         if decay == "reference":
             weight = F.pow(F.lit(a), n)
-        elif decay == "recent":  # running sums in logarithms of the age would overflow; 1024 rows hold all weight that a double can tell
-            w = s.rows(1024)
-            pairs = F.collect_list(F.coalesce(volume, F.lit(0.0))).over(w)
-            merged = F.aggregate(pairs, F.struct(F.lit(0.0).alias("v"), F.lit(0.0).alias("w")), lambda acc, x: F.struct((acc["v"] * a + x).alias("v"), (acc["w"] * a + 1).alias("w")))
-            out[f"volume_ema_{name}"] = safe_div(merged["v"], merged["w"])
+        elif decay == "recent":
+            from barloom.operators.ema import ema  # which builds on this module
+
+            df = ema(df.withColumn("_filled", F.coalesce(volume, F.lit(0.0))), s=s, of="_filled", keep=a, name=f"volume_ema_{name}").drop("_filled")
             continue
         else:
             raise ValueError("decay is 'reference' or 'recent'")

@@ -39,11 +39,15 @@ def extend_sessions(df: DataFrame, back_days: int = 7, ahead_days: int = 7, s: S
 
     A row that the extensions of several sessions hold goes to the one it is part of, else to the nearest, else to the first.
     """
-    bounds = df.where(F.col("session").isNotNull()).groupBy(s.key, F.col("session").alias("of_session")).agg(F.min(s.ts).alias("session_start"), F.max(s.ts).alias("session_end"))
-    bounds = bounds.withColumns({"extended_start": F.col("session_start") - F.expr(f"INTERVAL {back_days} DAYS"), "extended_end": F.col("session_end") + F.expr(f"INTERVAL {ahead_days} DAYS")})
-    at = F.col(s.ts)
-    rows = df.drop("session").join(bounds, s.key).where(at.between(F.col("extended_start"), F.col("extended_end")))
+    bounds = df.where(F.col("session").isNotNull()).groupBy(s.key, "session").agg(F.min(s.ts).alias("session_start"), F.max(s.ts).alias("session_end"))
+    bounds = bounds.withColumn("_b", F.struct(F.col("session").alias("of_session"), "session_start", "session_end", (F.col("session_start") - F.expr(f"INTERVAL {back_days} DAYS")).alias("extended_start"), (F.col("session_end") + F.expr(f"INTERVAL {ahead_days} DAYS")).alias("extended_end")))
+    # Sessions are runs of rows, so a row outside them has its nearest ones just before and after it: two windows, and no row meets all sessions of its key.
+    at, w = F.col(s.ts), Window.partitionBy(s.key).orderBy(s.ts)
+    rows = df.join(bounds.select(s.key, "session", "_b"), [s.key, "session"], "left")
+    rows = rows.withColumns({"_before": F.last("_b", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)), "_after": F.first("_b", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))})
+    since, until = F.unix_seconds(s.ts) - F.unix_seconds("_before.session_end"), F.unix_seconds("_after.session_start") - F.unix_seconds(s.ts)
+    near = F.when(at <= F.col("_before.extended_end"), since), F.when(at >= F.col("_after.extended_start"), until)
+    chosen = F.when(F.col("_b").isNotNull(), F.col("_b")).when(near[0].isNotNull() & (near[1].isNull() | (near[0] <= near[1])), F.col("_before")).when(near[1].isNotNull(), F.col("_after"))
+    rows = rows.withColumn("_b", chosen).where(F.col("_b").isNotNull()).select(*[c for c in df.columns if c != "session"], "_b.*")
     rows = rows.withColumns({"in_pre": at < F.col("session_start"), "in_core": at.between(F.col("session_start"), F.col("session_end")), "in_post": at > F.col("session_end")})
-    away = F.greatest(F.unix_seconds("session_start") - F.unix_seconds(s.ts), F.unix_seconds(s.ts) - F.unix_seconds("session_end"), F.lit(0))
-    w = Window.partitionBy(s.key, s.ts).orderBy(F.when(F.col("in_core"), 0).otherwise(1), away, "of_session")
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n").withColumnRenamed("of_session", "session")
+    return rows.withColumnRenamed("of_session", "session")

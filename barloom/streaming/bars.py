@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,17 +37,48 @@ def without_late_copies(rows: DataFrame, keys: Sequence[str], ts: str = "ts", la
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def upsert_batches(folder: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that keeps an upserted table as numbered Parquet versions in folder.
+def _versions(spark: SparkSession, folder: str) -> dict[int, list[int]]:
+    """Versions of every bucket in folder, by the names of its directories."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found: dict[int, list[int]] = {}
+    for x in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "v=*/_bucket=*")) or ():
+        version, bucket = (part.split("=")[1] for part in x.getPath().toString().split("/")[-2:])
+        found.setdefault(int(bucket), []).append(int(version))
+    return found
 
-    Version n is built from version n - 1 and batch n - 1, and writing it again gives the same, so a replayed batch does no harm. Within a batch
-    the last row by `order` stands for its key.
+
+def upserted(spark: SparkSession, folder: str, below: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    """The table that upsert_batches() keeps in folder: the newest version (under `below`) of every bucket; None without any."""
+    newest = {b: max(own) for b, vs in _versions(spark, folder).items() if (buckets is None or b in buckets) and (own := [v for v in vs if below is None or v < below])}
+    paths = [f"{folder}/v={v}/_bucket={b}" for b, v in sorted(newest.items())]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def upsert_batches(folder: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that keeps an upserted table in folder, in buckets by the hash of the keys.
+
+    Batch n writes version n + 1 of the buckets that it touches, from the newest older versions, and no others; writing it again gives the same, so a replayed
+    batch does no harm. Of each bucket the versions before its last but one are deleted. Within a batch the last row by `order` stands for its key.
     """
     def run(batch: DataFrame, number: int) -> None:
-        last = batch.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(*order)).alias("r")).select("r.*")
         spark = batch.sparkSession
-        target = spark.read.parquet(f"{folder}/v={number}") if number else last.limit(0)
-        upsert(target, last, keys).write.mode("overwrite").parquet(f"{folder}/v={number + 1}")
+        last = batch.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(*order)).alias("r")).select("r.*").withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        last = last.persist()
+        try:
+            touched = [r[0] for r in last.select("_bucket").distinct().collect()]  # at most `buckets` numbers
+            if not touched:
+                return
+            target = upserted(spark, folder, number + 1, touched)
+            rows = last.drop("_bucket")
+            merged = rows if target is None else upsert(target, rows, keys)
+            merged.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).repartition("_bucket").write.partitionBy("_bucket").mode("overwrite").parquet(f"{folder}/v={number + 1}")
+        finally:
+            last.unpersist()
+        for b, versions in _versions(spark, folder).items():
+            for v in sorted(versions)[:-2]:
+                old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v={v}/_bucket={b}")
+                old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
 
     return run
 
