@@ -195,9 +195,9 @@ def sma_seeded_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FLAGS = EMA + ", f AS (SELECT *, CASE WHEN ema_21 - ema_50 > 1e-12 * abs(ema_50) THEN 1 ELSE 0 END AS above, CASE WHEN ema_21 - ema_50 < -1e-12 * abs(ema_50) THEN 1 ELSE 0 END AS below FROM e)"
 
 
-@query(f"WITH {_FLAGS} SELECT key, ts, above, below, {r6('ema_21 - ema_50', 'ema_gap')}, {', '.join(f'max(above) OVER h{n} AS above_any_{n}, min(above) OVER h{n} AS above_all_{n}, ' + r6(f'avg(above) OVER h{n}', f'above_share_{n}') for n in (6, 24, 168))} FROM f WINDOW {', '.join(f'h{n} AS (PARTITION BY key ORDER BY ts RANGE BETWEEN INTERVAL {n} HOUR PRECEDING AND CURRENT ROW)' for n in (6, 24, 168))}")
+@query(f"WITH {_FLAGS} SELECT key, ts, above, below, {r6('ema_21 - ema_50', 'ema_gap')}, {', '.join(f'max(above) OVER h{n} AS above_any_{n}, min(above) OVER h{n} AS above_all_{n}, ' + r6(f'avg(above) OVER h{n}', f'above_share_{n}') for n in (6, 24, 30))} FROM f WINDOW {', '.join(f'h{n} AS (PARTITION BY key ORDER BY ts RANGE BETWEEN INTERVAL {n} HOUR PRECEDING AND CURRENT ROW)' for n in (6, 24, 30))}")
 def cross_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(E.cross_flags(averages(spark, sf_dir)), "above", "below", "ema_gap", *[f"above_{k}_{n}" for n in (6, 24, 168) for k in ("any", "all", "share")])
+    return out(E.cross_flags(averages(spark, sf_dir), hours=(6, 24, 30)), "above", "below", "ema_gap", *[f"above_{k}_{n}" for n in (6, 24, 30) for k in ("any", "all", "share")])
 
 
 CROSSES = EMA + f""",
@@ -294,15 +294,17 @@ def regime_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Trades.
 BANDS = DAILY + f""",
-b1 AS (SELECT *, avg(close) OVER w20 AS sma_20, stddev_samp(close) OVER w20 AS std_20, avg(close) OVER w50 AS trend, avg(volume) OVER w20 AS vs, CASE WHEN close > lag(close) OVER {O} THEN close - lag(close) OVER {O} ELSE 0 END AS g, CASE WHEN close < lag(close) OVER {O} THEN lag(close) OVER {O} - close ELSE 0 END AS l FROM daily WINDOW {w('w20', 20)}, {w('w50', 50)}),
+b1 AS (SELECT *, avg(close) OVER w20 AS sma_20, stddev_samp(close) OVER w20 AS std_20, avg(close) OVER w50 AS trend, avg(volume) OVER w20 AS vs, CASE WHEN close > lag(close) OVER {O} THEN close - lag(close) OVER {O} ELSE 0 END AS g, CASE WHEN close < lag(close) OVER {O} THEN lag(close) OVER {O} - close ELSE 0 END AS l FROM (SELECT key, ts, 100 * ln(close) AS close, volume FROM daily) WINDOW {w('w20', 20)}, {w('w50', 50)}),
 b2 AS (SELECT *, CASE WHEN avg(l) OVER w14 = 0 THEN 100 ELSE 100 - 100 / (1 + avg(g) OVER w14 / avg(l) OVER w14) END AS rsi_14, lag(trend, 24) OVER {O} AS trend_before, sma_20 + 2 * std_20 AS band_high, sma_20 - 2 * std_20 AS band_low, CASE WHEN vs > 0 THEN volume / vs ELSE 0 END AS volume_ratio, CASE WHEN close > 0 THEN (sma_20 - close) / close ELSE 0 END AS reward FROM b1 WINDOW {w('w14', 14)})"""
 
 
 def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.bollinger_indicators(daily(spark, sf_dir), trend=50, least_volume=0.5, most_rsi=45.0)
+    """On log prices, as prices are so skewed that none lies below its band; the variant without a price over its trend, which no bar below its band has."""
+    logged = daily(spark, sf_dir).withColumn("close", 100 * F.ln("close"))
+    return T.bollinger_indicators(logged, trend=50, least_volume=0.2, most_rsi=60.0, variant="uptrend")
 
 
-@query(f"""WITH {BANDS} SELECT key, ts, {', '.join(r6(c, c) for c in ('sma_20', 'std_20', 'rsi_14', 'band_high', 'band_low', 'volume_ratio', 'reward'))}, close > trend AND trend > trend_before AND close < band_low AND volume_ratio > 0.5 AND rsi_14 < 45 AND reward > 0.04 AS signal_entry, close >= sma_20 AS signal_exit FROM b2""")
+@query(f"""WITH {BANDS} SELECT key, ts, {', '.join(r6(c, c) for c in ('sma_20', 'std_20', 'rsi_14', 'band_high', 'band_low', 'volume_ratio', 'reward'))}, trend > trend_before AND close < band_low AND volume_ratio > 0.2 AND rsi_14 < 60 AS signal_entry, close >= sma_20 AS signal_exit FROM b2""")
 def bollinger_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(bands(spark, sf_dir), "sma_20", "std_20", "rsi_14", "band_high", "band_low", "volume_ratio", "reward", "signal_entry", "signal_exit")
 
@@ -480,18 +482,18 @@ def flag_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.flag_rollup(e)
 
 
-_WRAP = GRID + ", wg AS (SELECT key, ts, price FROM grid UNION ALL SELECT 'wrapped', ts, price * 1.25 FROM grid WHERE key = 'view' UNION ALL SELECT 'coin', ts, 1 + hour(ts) * 1e-6 FROM grid WHERE key = 'view')"
+_WRAP = GRID + ", wg AS (SELECT key, ts, price FROM grid UNION ALL SELECT 'wrapped ' || key, ts, price * (1 + length(key) / 16.0) FROM grid UNION ALL SELECT 'coin ' || key, ts, 1 + hour(ts) * length(key) * 1e-6 FROM grid)"
 
 
 def wrapped_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = grid(spark, sf_dir).select("key", "ts", "price")
-    v = g.where("key = 'view'")
-    return g.unionByName(v.select(F.lit("wrapped").alias("key"), "ts", (F.col("price") * 1.25).alias("price"))).unionByName(v.select(F.lit("coin").alias("key"), "ts", (1 + F.hour("ts") * 1e-6).alias("price")))
+    wrapped = g.select(F.concat(F.lit("wrapped "), "key").alias("key"), "ts", (F.col("price") * (1 + F.length("key") / 16)).alias("price"))
+    return g.unionByName(wrapped).unionByName(g.select(F.concat(F.lit("coin "), "key").alias("key"), "ts", (1 + F.hour("ts") * F.length("key") * 1e-6).alias("price")))
 
 
-@query(f"WITH {_WRAP} SELECT a.key, b.key AS reference, count(*) AS n, {r6('avg(a.price / b.price)', 'mean_ratio')} FROM wg a JOIN wg b ON b.ts = a.ts AND b.key IN ('view', 'click') AND a.key <> b.key WHERE a.price > 0 AND b.price > 0 GROUP BY a.key, b.key HAVING count(*) >= 200 AND stddev_samp(ln(a.price / b.price)) < 0.01 AND avg(a.price / b.price) BETWEEN 0.5 AND 3")
+@query(f"WITH {_WRAP} SELECT a.key, b.key AS reference, count(*) AS n, {r6('avg(a.price / b.price)', 'mean_ratio')} FROM wg a JOIN wg b ON b.ts = a.ts AND b.key IN ('view', 'click', 'purchase') AND a.key <> b.key WHERE a.price > 0 AND b.price > 0 GROUP BY a.key, b.key HAVING count(*) >= 200 AND stddev_samp(ln(a.price / b.price)) < 0.01 AND avg(a.price / b.price) BETWEEN 0.5 AND 3")
 def wrapped_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(P.wrapped_assets(wrapped_grid(spark, sf_dir), ["view", "click"]).drop("ratio_std"))
+    return rounded(P.wrapped_assets(wrapped_grid(spark, sf_dir), ["view", "click", "purchase"]).drop("ratio_std"))
 
 
 @query(f"WITH {_WRAP}, m AS (SELECT key, ln(price / nullif(lag(price) OVER {O}, 0)) AS r FROM wg WHERE price > 0) SELECT key, count(*) AS n, {r6('stddev_samp(r) * 100', 'vol_pct')} FROM m GROUP BY key HAVING count(*) >= 200 AND stddev_samp(r) * 100 < 0.10")

@@ -389,9 +389,9 @@ _DV = "sum(dollar_volume) OVER w24"
 _FEE = "least(exp(-0.371 + 0.573 * ln(250.0) + 0.424 * ln(greatest(250.0 / greatest(dv, 1.0), 1e-10)) + 0.218 * ln(greatest(dv / 5000.0, 1e-10)) + 0.149 * ln(greatest(dv, 1.0)) - 0.069 * ln(5000.0)) / 250.0 * 10000, 500.0)"
 
 
-@query(f"WITH {RETURNS}, m AS (SELECT key, ts, {_DV} AS dv FROM r WINDOW {w('w24', 24)}) SELECT key, ts, {r6(_FEE, 'fee_bps')}, CASE WHEN 250.0 / greatest(dv, 1.0) > 0.005 THEN 300.0::DOUBLE WHEN 250.0 / greatest(dv, 1.0) > 0.0005 THEN 50.0::DOUBLE ELSE 10.0::DOUBLE END AS slippage_bps FROM m")
+@query(f"WITH {RETURNS}, m AS (SELECT key, ts, 2000 * {_DV} AS dv FROM r WINDOW {w('w24', 24)}) SELECT key, ts, {r6(_FEE, 'fee_bps')}, CASE WHEN 250.0 / greatest(dv, 1.0) > 0.005 THEN 300.0::DOUBLE WHEN 250.0 / greatest(dv, 1.0) > 0.0005 THEN 50.0::DOUBLE ELSE 10.0::DOUBLE END AS slippage_bps FROM m")
 def trading_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(R.cost_model(R.liquidity(base(spark, sf_dir)).withColumn("mktcap", F.lit(5000.0))), "fee_bps", "slippage_bps")
+    return out(R.cost_model(R.liquidity(base(spark, sf_dir).withColumn("volume", 2000 * F.col("volume"))).withColumn("mktcap", F.lit(5000.0))), "fee_bps", "slippage_bps")
 
 
 @query(over_r({"slippage_vol_bps": f"least(greatest({_RV24} * 50, 5), 300)"}, w("w24", 24)))
