@@ -60,6 +60,20 @@ def superseded(*tables: DataFrame) -> None:
             found.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(found, True)
 
 
+#: A key with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT_SHARE of them.
+HOT_SHARE = 0.001
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, on: Callable[[DataFrame], Column], total: int) -> DataFrame:
+    """Inner join of rows with counted, whose column n says how many of the total rows each of its rows meets; on gives the condition.
+
+    What meets a great share of all rows goes by broadcast, the rest by a merge join in which no task has many rows of one key.
+    """
+    is_hot = F.col("n") > HOT_SHARE * total
+    hot, rest = F.broadcast(counted.where(is_hot).drop("n")), counted.where(~is_hot).drop("n").hint("merge")
+    return rows.join(hot, on(hot)).unionByName(rows.join(hot, on(hot), "left_anti").join(rest, on(rest)))
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of df as one struct, so that nothing done to it can meet their names; "row.*" of it gives them back."""
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])

@@ -1,7 +1,8 @@
 """Exact dedup with Patricia tries.
 
 Texts are dealt by (length, SHA-256); the task that owns a partition inserts the full byte strings into
-compressed radix tries, so equality is decided on bytes and never on a digest alone. A terminal node stores the
+compressed radix tries, so equality is decided on bytes and never on a digest alone; rows find their owner by digest only where the tries hold one
+text of that digest, else by the text. A terminal node stores the
 identifier that stays and the number of rows. A trie over its byte budget spills its heaviest subtree to a task-local
 temporary file, and that subtree is finished from the file afterwards. Before the shuffle each task already merges
 its own equal texts in such a trie, so a text that holds a third of all rows is shuffled once per input task.
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import ascii_lower
+from barloom.llm.common import ascii_lower, join_counted, persisted
 
 _LABEL, _KIDS, _ENTRY, _FILE = range(4)
 
@@ -135,12 +136,12 @@ def _records(file) -> Iterator[tuple]:
 
 
 _TEXTS = "length int, sha binary, text binary, keep_id bigint, group_size bigint"
-_OWNERS = "sha binary, keep_id bigint, group_size bigint"
+_OWNERS = "length int, sha binary, keep_id bigint, group_size bigint"
 
 
 def _out(rows: Iterable[tuple[bytes, list]], with_text: bool) -> Iterator[pa.RecordBatch]:
     def batch(part: list) -> pa.RecordBatch:
-        arrays = {"length": pa.array([e[2][0] for _, e in part], pa.int32())} if with_text else {}
+        arrays = {"length": pa.array([e[2][0] for _, e in part], pa.int32())}
         arrays["sha"] = pa.array([e[2][1] for _, e in part], pa.binary())
         if with_text:
             arrays["text"] = pa.array([t for t, _ in part], pa.binary())
@@ -159,7 +160,7 @@ def _out(rows: Iterable[tuple[bytes, list]], with_text: bool) -> Iterator[pa.Rec
         yield batch(part)
 
 
-def _merger(budget: int, largest: bool, before_shuffle: bool):
+def _merger(budget: int, largest: bool, before_shuffle: bool, with_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = PatriciaOwners(budget, largest)
         for b in batches:
@@ -168,30 +169,46 @@ def _merger(budget: int, largest: bool, before_shuffle: bool):
                 trie.insert(texts[i].as_py(), keeps[i].as_py(), rows[i].as_py(), (lengths[i].as_py(), shas[i].as_py()))
                 if before_shuffle and trie.held > budget // 2:  # a partial merge may be cut anywhere
                     yield from _out(trie.entries(), True)
-        yield from _out(trie.entries(), before_shuffle)
+        yield from _out(trie.entries(), before_shuffle or with_text)
 
     return run
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, normalise: Column | None = None, keep: str = "largest", budget_bytes: int = 64 << 20) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, normalise: Column | None = None, keep: str = "largest", budget_bytes: int = 64 << 20, digest_bytes: int = 32) -> DataFrame:
     """Group of equal texts for every row: (id_col, keep_id, group_size, kept, text_sha256).
 
     Texts are equal when their normalised forms (A-Z lower-cased; null counts as empty) have the same bytes.
     keep is "largest" or "smallest" identifier. Rows whose identifier is null count in group_size and are never
     kept; a group of such rows only has a null keep_id. A repeated row (same identifier and text) is reported as often as
     it occurs, each time with the same decision. An empty table gives an empty result. Other columns are ignored.
+    digest_bytes of the SHA-256 are used; the result is the same for any number.
     """
     if keep not in ("largest", "smallest"):
         raise ValueError("keep is 'largest' or 'smallest'")
     norm = ascii_lower(F.col(text_col)) if normalise is None else normalise
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), norm.alias("norm"))
-    keyed = base.select("id", F.octet_length("norm").alias("length"), F.unhex(F.sha2("norm", 256)).alias("sha"), F.col("norm").cast("binary").alias("text"))
-    rows = keyed.select("length", "sha", "text", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
-    merged = rows.mapInArrow(_merger(budget_bytes, keep == "largest", True), _TEXTS)
-    owners = merged.repartition("length", "sha").mapInArrow(_merger(budget_bytes, keep == "largest", False), _OWNERS)
-    out = keyed.select("id", "sha").join(owners, "sha", "left")
+    keyed = base.select("id", F.octet_length("norm").alias("bytes"), F.unhex(F.sha2("norm", 256)).alias("digest"), F.col("norm").cast("binary").alias("text"))
+    short = F.substring("digest", 1, digest_bytes)
+    rows = keyed.select(F.col("bytes").alias("length"), short.alias("sha"), "text", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
+    largest = keep == "largest"
+    merged = rows.mapInArrow(_merger(budget_bytes, largest, True), _TEXTS)
+    owners = persisted(merged.repartition("length", "sha").mapInArrow(_merger(budget_bytes, largest, False), _OWNERS))
+    narrow = keyed.select("id", "bytes", "digest")
+    total = owners.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    same = lambda x: (F.col("bytes") == x["length"]) & (short == x["sha"])
+    counted = owners.withColumn("n", F.col("group_size"))
+    # Digests of which a trie holds several texts.
+    clashes = persisted(owners.groupBy("length", "sha").agg(F.count("*").alias("texts")).where(F.col("texts") > 1).select("length", "sha"))
+    if clashes.isEmpty():
+        out = join_counted(narrow, counted, same, total)
+    else:
+        out = join_counted(narrow.join(clashes, same(clashes), "left_anti"), counted.join(clashes, ["length", "sha"], "left_anti"), same, total)
+        texts = merged.join(clashes, ["length", "sha"], "left_semi").select("length", "sha", "text", "keep_id", "group_size")
+        texts = persisted(texts.repartition("length", "sha").mapInArrow(_merger(budget_bytes, largest, False, True), _TEXTS)).withColumnRenamed("text", "owned").withColumn("n", F.col("group_size"))
+        by_text = join_counted(keyed.join(clashes, same(clashes), "left_semi"), texts, lambda x: same(x) & (F.col("text") == x["owned"]), total)
+        out = out.select("id", "digest", "keep_id", "group_size").unionByName(by_text.select("id", "digest", "keep_id", "group_size"))
     return out.select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         F.coalesce(F.col("id") == F.col("keep_id"), F.lit(False)).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )

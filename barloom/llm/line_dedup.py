@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import persisted, superseded
+from barloom.llm.common import join_counted, persisted, superseded
 from barloom.llm.near_dedup import mix, powers, word_hashes
 
 # The marks that end a unit.
@@ -35,8 +35,6 @@ UNITS = (*MARKS, "passage")
 LINE = 1 << 30
 #: Words among which one ends a piece, and words to which a run may be extended at either end. Of 5 x WINDOW - 2 pasted words two neighbouring pieces are whole.
 WINDOW, REACH = 10, 24
-#: A digest with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT_SHARE of them.
-HOT_SHARE = 0.001
 #: Code points that are cut at once; a longer text stands alone.
 CHUNK = 1 << 20
 
@@ -248,9 +246,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     units = persisted(base.mapInArrow(_unit_rows(unit, whole_lines), _UNITS))
     # Only digests that occur again go on. Those with a great share of all rows, of which there are few, meet their occurrences by broadcast, so that no task of the join below has many rows of one digest.
     ranked = persisted(units.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where(F.col("n") > 1))
-    is_hot = F.col("n") > HOT_SHARE * units.count()
-    hot = F.broadcast(ranked.where(is_hot).select("d1", "d2", "first"))
-    again = units.join(hot, ["d1", "d2"]).unionByName(units.join(hot, ["d1", "d2"], "left_anti").join(ranked.where(~is_hot).select("d1", "d2", "first").hint("merge"), ["d1", "d2"]))
+    same = lambda x: (F.col("one") == x["d1"]) & (F.col("two") == x["d2"])
+    again = join_counted(units.withColumnsRenamed({"d1": "one", "d2": "two"}), ranked, same, units.count())
     again = again.where((F.col("id") != F.col("first")) | ~F.col("fresh")).select("id", "version", "position", "at", "words", "first", "d1", "d2")
     # Dealt once. Rows that repeat an identifier and text give the same places.
     grouped = again.repartition("id", "version").distinct().groupBy("id", "version").agg(F.collect_list(F.struct("position", "at", "words", "first", "d1", "d2")).alias("again"))

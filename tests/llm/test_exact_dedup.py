@@ -36,6 +36,13 @@ def test_hot_group_and_tiny_budget(spark):
     check(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7), budget_bytes=2000)
 
 
+def test_texts_of_one_digest_stay_apart(spark):
+    rng = random.Random(3)
+    rows = [(i, "hot" if i % 3 == 0 else "".join(rng.choices("abA", k=rng.randint(1, 6)))) for i in range(900)] + [(None, "hot"), (5, None), (6, "")]
+    for n in (0, 1, 2):
+        check(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), digest_bytes=n)
+
+
 def test_spilled_subtrees_hold_everything():
     rng = random.Random(2)
     texts = ["".join(rng.choices("ab", k=rng.randint(0, 12))).encode() for _ in range(4000)]
