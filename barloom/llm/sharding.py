@@ -1,9 +1,10 @@
 """Sharding by minimax contiguous partition, in DataFrame functions only.
 
-Rows with equal texts form an atomic group. Groups are ordered by a hash of the text and gathered into at most SLICES
+Rows with equal texts form an atomic group. Groups are ordered by a hash of the text, but very large ones come first, and gathered into at most SLICES
 slices of that order; a group as large as an average slice is an atom of its own, every other slice is one. The atoms
-(at most twice SLICES, whatever the input) are one ordered array. Atoms above the fair share take a shard each; over the rest, the smallest feasible
-shard capacity is found by binary search, each step a greedy check of the array, and the cuts are made at that capacity.
+(at most twice SLICES, whatever the input) are one ordered array, and every shard is a contiguous part of it. Atoms above the fair share are
+a shard each, in their place; the smallest feasible capacity of the others is found by binary search, each step a greedy check of the array, and
+the cuts are made at that capacity.
 
 Slots are ranks within small bins of an atom plus the rows of all bins before, so no shard and no group of copies is
 ever sorted in one task.
@@ -11,6 +12,8 @@ ever sorted in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +31,7 @@ def text_bytes(text: Column) -> Column:
 
 
 def minimax_cuts(atoms: DataFrame, shards: int) -> DataFrame:
-    """Shard of every atom: (position, rows, shard) from (position, size, rows), whose order is that of position.
+    """Shard of every atom: (position, rows, shard) from (position, size, rows), whose order is that of position; shards are contiguous.
 
     atoms has a bounded number of rows. Everything below is one array and folds over it.
     """
@@ -37,55 +40,44 @@ def minimax_cuts(atoms: DataFrame, shards: int) -> DataFrame:
     fields = lambda **c: F.struct(*[v.alias(k) for k, v in c.items()])
 
     def alone(listed: Column, total: Column) -> Column:
-        """Positions of atoms larger than the fair share of what is left, taken from the largest: each is a shard of its own."""
-        largest = F.slice(F.array_sort(F.transform(listed, lambda a: fields(less=-a["size"], position=a["position"]))), 1, max(1, shards - 1))
+        """Positions of atoms larger than the fair share of what is left, taken from the largest: each is a shard of its own. There are so few that the parts between them fit in the other shards."""
+        largest = F.slice(F.array_sort(F.transform(listed, lambda a: fields(less=-a["size"], position=a["position"]))), 1, max(1, (shards - 1) // 2))
 
         def take(s: Column, t: Column) -> Column:
-            fits = s["open"] & (-t["less"] * s["shards"] > s["left"]) & (s["shards"] > 1)
+            fits = s["open"] & (-t["less"] * s["shards"] > s["left"]) & (s["shards"] > 2)
             return F.when(fits, fields(left=s["left"] + t["less"], shards=s["shards"] - 1, open=F.lit(True), found=F.concat(s["found"], F.array(t["position"])))).otherwise(
                 fields(left=s["left"], shards=s["shards"], open=F.lit(False), found=s["found"])
             )
 
         return F.aggregate(largest, fields(left=total, shards=number(shards), open=F.lit(True), found=longs), take, lambda s: s["found"])
 
-    def needed(sizes: Column, capacity: Column) -> Column:
-        """Shards that the greedy check fills at this capacity."""
-        def add(g: Column, x: Column) -> Column:
-            over = g["fill"] + x > capacity
-            return fields(used=g["used"] + F.when(over, number(1)).otherwise(number(0)), fill=F.when(over, x).otherwise(g["fill"] + x))
+    def greedy(marked: Column, capacity: Column, start: Column, opened: Callable[[Column, Column], Column]) -> Column:
+        """Fills shards in order; a lone atom opens a shard, and so does the atom after it."""
+        def add(g: Column, a: Column) -> Column:
+            opens = a["alone"] | g["closed"] | (g["fill"] + a["size"] > capacity)
+            return fields(fill=F.when(opens, a["size"]).otherwise(g["fill"] + a["size"]), closed=a["alone"], out=F.when(opens, opened(g["out"], a)).otherwise(g["out"]))
 
-        return F.aggregate(sizes, fields(used=number(1), fill=number(0)), add, lambda g: g["used"])
+        return F.aggregate(marked, fields(fill=number(0), closed=F.lit(True), out=start), add, lambda g: g["out"])
 
-    def smallest(sizes: Column, n: Column) -> Column:
+    def smallest(marked: Column) -> Column:
         """Binary search: the result always suffices, one less never does."""
         def halve(s: Column, _: Column) -> Column:
             mid = F.floor((s["low"] + s["high"]) / 2).cast("bigint")
-            tried = let(mid, lambda m: F.when(needed(sizes, m) <= n, fields(low=s["low"], high=m)).otherwise(fields(low=m + 1, high=s["high"])))
+            needed = lambda m: greedy(marked, m, number(0), lambda n, a: n + 1)
+            tried = let(mid, lambda m: F.when(needed(m) <= shards, fields(low=s["low"], high=m)).otherwise(fields(low=m + 1, high=s["high"])))
             return F.when(s["low"] >= s["high"], s).otherwise(tried)
 
-        total, most = F.aggregate(sizes, number(0), lambda t, x: t + x), F.coalesce(F.array_max(sizes), number(0))
-        fair = F.ceil(total / n).cast("bigint")
-        return let(fields(low=F.greatest(most, fair), high=fair + most), lambda start: F.aggregate(F.sequence(F.lit(1), F.lit(62)), start, halve, lambda s: s["high"]))
-
-    def starts(rest: Column, capacity: Column) -> Column:
-        """Positions at which the greedy cut opens a shard."""
-        def add(g: Column, a: Column) -> Column:
-            opens = (g["fill"] + a["size"] > capacity) | (F.size(g["found"]) == 0)
-            return F.when(opens, fields(fill=a["size"], found=F.concat(g["found"], F.array(a["position"])))).otherwise(fields(fill=g["fill"] + a["size"], found=g["found"]))
-
-        return F.aggregate(rest, fields(fill=number(0), found=longs), add, lambda g: g["found"])
-
-    def placed(listed: Column, own: Column, opened: Column) -> Column:
-        def shard(a: Column) -> Column:
-            return F.when(F.array_contains(own, a["position"]), F.array_position(own, a["position"]) - 1).otherwise(F.size(own) + F.size(F.filter(opened, lambda p: p <= a["position"])) - 1)
+        rest = F.transform(F.filter(marked, lambda a: ~a["alone"]), lambda a: a["size"])
+        start = let(rest, lambda r: fields(low=F.coalesce(F.array_max(r), number(0)), high=F.aggregate(r, number(0), lambda t, x: t + x)))
+        return let(start, lambda s: F.aggregate(F.sequence(F.lit(1), F.lit(62)), s, halve, lambda s: s["high"]))
 
-        return F.transform(listed, lambda a: fields(position=a["position"], rows=a["rows"], shard=shard(a).cast("int")))
+    def placed(marked: Column) -> Column:
+        starts = let(smallest(marked), lambda c: greedy(marked, c, longs, lambda found, a: F.concat(found, F.array(a["position"]))))
+        return let(starts, lambda opened: F.transform(marked, lambda a: fields(position=a["position"], rows=a["rows"], shard=(F.size(F.filter(opened, lambda p: p <= a["position"])) - 1).cast("int"))))
 
     def cut(s: Column) -> Column:
-        listed, own = s["listed"], s["own"]
-        rest = F.filter(listed, lambda a: ~F.array_contains(own, a["position"]))
-        with_rest = let(fields(rest=rest, sizes=F.transform(rest, lambda a: a["size"]), n=shards - F.size(own)), lambda r: let(smallest(r["sizes"], r["n"]), lambda c: starts(r["rest"], c)))
-        return let(with_rest, lambda opened: placed(listed, own, opened))
+        marked = F.transform(s["listed"], lambda a: fields(position=a["position"], size=a["size"], rows=a["rows"], alone=F.array_contains(s["own"], a["position"])))
+        return let(marked, placed)
 
     one = atoms.agg(F.array_sort(F.collect_list(F.struct("position", "size", "rows"))).alias("listed"), F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("total"))
     return one.select(F.explode(let(fields(listed=F.col("listed"), own=alone(F.col("listed"), F.col("total"))), cut)).alias("a")).select("a.*")
@@ -111,7 +103,9 @@ def shard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken = large.groupBy(slice_of.alias("slice")).agg(F.sum("size").alias("less"), F.sum("rows").alias("fewer"))
     rest = small.join(taken, "slice", "left").select("slice", (F.col("size") - F.coalesce("less", F.lit(0))).alias("size"), (F.col("rows") - F.coalesce("fewer", F.lit(0))).alias("rows")).where(F.col("rows") > 0)
     atoms = rest.select("slice", F.lit(None).cast("bigint").alias("own"), "size", "rows").unionByName(large.select(slice_of.alias("slice"), F.col("h").alias("own"), "size", "rows"))
-    order = Window.orderBy("slice", F.col("own").asc_nulls_first())
+    # Groups of the order of a fair share come first, largest first, so that a lone one leaves no small remainder on either side.
+    atoms = atoms.crossJoin(F.broadcast(total)).withColumn("first", F.when(F.col("own").isNotNull() & (4 * shards * F.col("size") > F.col("total")), F.col("size"))).drop("total")
+    order = Window.orderBy(F.col("first").desc_nulls_last(), "slice", F.col("own").asc_nulls_first())
     numbered = atoms.withColumn("position", F.row_number().over(order).cast("bigint"))
     placed = persisted(minimax_cuts(numbered, shards).join(F.broadcast(numbered.select("position", "slice", "own")), "position"))
     # Both broadcasts have at most twice `slices` rows.
