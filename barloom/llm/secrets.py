@@ -1,12 +1,17 @@
 """Secret scans by patterns and by a randomness test battery, in DataFrame functions only.
 
 Known formats are found by pattern. Other secrets are found by how random they are: every run of 20 or more token
-characters that mixes letters and digits gets an inferred encoding (hex, base32, lower-case base36 or base64), and three tests of
-"independent uniform symbols of that alphabet": chi-squared on symbol counts, a runs test about the middle of the alphabet
-and lag-1 serial correlation. Fisher's method joins the three p-values. Over the whole corpus, and separately in every
-length class (short tokens give weak tests, so they must not share a cut with long ones), the Benjamini-Hochberg rule at
-level q picks the tokens that are proven not random; a token that stays and carries enough bits is reported as random.
-The cut comes from a histogram of p-values, so the table that is broadcast has one row for each length class.
+characters outside those, that mixes letters with digits or small letters with capitals, gets an inferred encoding (hex, base32, lower-case base36 or
+base64), and three tests of "independent uniform symbols of that alphabet": chi-squared on the counts of symbols and, as short tokens
+have few of each, of kinds of symbols (capitals, small letters, digits and signs); a runs test about the middle of the alphabet; and lag-1
+serial correlation. Fisher's method joins the three p-values, unless the least of them says more (Bonferroni's). Over the whole corpus, and separately in every class of length and
+of tokens with and without digits (short tokens give weak tests, so they must not share a cut with long ones), the Benjamini-Hochberg rule at
+level q picks the tokens that are proven not random; a token that stays and carries enough bits is reported as random. So of truly random tokens
+about a share q at most is lost. What share of the reported ones is ordinary isn't bounded by the rule; the tests measure it on paths, identifiers, UUIDs
+and words. Encoded data of high entropy counts as random.
+
+The texts are read once; spans and scores go to a narrow table. The cuts come from a histogram of p-values, so the table that is broadcast has one row for
+each class.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import let
+from barloom.llm.common import let, persisted
 
 # The patterns of the known formats. Kinds are listed in the order that breaks ties.
 KINDS = ("assign", "access", "hex", "random")
@@ -32,8 +37,12 @@ ALPHABETS = {
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+#: Where kinds of symbols begin and end in an alphabet.
+KINDS_AT = {"hex": (0, 10, 16), "base32": (0, 26, 32), "base36": (0, 10, 36), "base64": (0, 26, 52, 64)}
 #: Upper ends of the length classes (characters); longer tokens share the last class.
 LENGTH_CLASSES = (24, 32, 48, 64, 128)
+#: Matches that are folded into one array at once.
+PART = 256
 #: Histogram bins for each unit of -ln p, and the largest -ln p that is told apart.
 BINS, MOST = 20, 600
 
@@ -45,26 +54,46 @@ def _literal(text: str) -> str:
 def found(text: str, pattern: str, group: int = 0) -> Column:
     """array<struct<start, stop, value>> of the leftmost non-overlapping matches; code points, stop exclusive; [] without any.
 
-    Positions are running sums over the pieces that split() leaves and the matches between them.
+    Positions are running sums over the pieces that split() leaves and the matches between them, PART matches to an array, so that many matches take time in proportion.
     """
     p = _literal(pattern)
+    kind = "array<struct<start:int,stop:int,value:string>>"
     return F.expr(
         f"""CASE WHEN {text} RLIKE {p} THEN aggregate(
-            arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group})),
-            named_struct('at', 0, 'out', CAST(array() AS array<struct<start:int,stop:int,value:string>>)),
-            (a, x) -> IF(x['1'] IS NULL, a, named_struct(
-                'at', a.at + length(x['0']) + length(x['1']),
-                'out', concat(a.out, array(named_struct('start', a.at + length(x['0']), 'stop', a.at + length(x['0']) + length(x['1']), 'value', x['2']))))),
-            a -> a.out)
-        ELSE CAST(array() AS array<struct<start:int,stop:int,value:string>>) END"""
+            transform(array(arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group}))),
+                m -> transform(sequence(0, CAST((size(m) - 1) / {PART} AS int)), g -> slice(m, g * {PART} + 1, {PART})))[0],
+            named_struct('at', 0, 'done', CAST(array() AS array<{kind}>)),
+            (a, part) -> aggregate(part,
+                named_struct('at', a.at, 'done', a.done, 'out', CAST(array() AS {kind})),
+                (b, x) -> IF(x['1'] IS NULL, b, named_struct(
+                    'at', b.at + length(x['0']) + length(x['1']), 'done', b.done,
+                    'out', concat(b.out, array(named_struct('start', b.at + length(x['0']), 'stop', b.at + length(x['0']) + length(x['1']), 'value', x['2']))))),
+                b -> named_struct('at', b.at, 'done', concat(b.done, array(b.out)))),
+            a -> flatten(a.done))
+        ELSE CAST(array() AS {kind}) END"""
     )
 
 
+def outside(tokens: Column, known: Column) -> Column:
+    """The tokens, in order of start, that overlap none of known; each part of PART tokens looks at the known spans near it only."""
+    def free(part: Column) -> Column:
+        near = F.filter(known, lambda b: (b["start"] < part[F.size(part) - 1]["stop"]) & (b["stop"] > part[0]["start"]))
+        return let(near, lambda near: F.filter(part, lambda x: ~F.exists(near, lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"]))))
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / PART).cast("int")), lambda g: F.slice(tokens, g * PART + 1, PART))
+    return F.when(F.size(tokens) > 0, F.flatten(F.transform(parts, free))).otherwise(tokens)
+
+
+def is_candidate(value: Column) -> Column:
+    """Letters mixed with digits, or small letters with capitals."""
+    return value.rlike("[A-Za-z]") & (value.rlike("[0-9]") | value.rlike("[a-z]") & value.rlike("[A-Z]"))
+
+
 def inferred_encoding(value: Column) -> Column:
-    """Name of the narrowest alphabet that covers the token; null for tokens without both letters and digits."""
+    """Name of the narrowest alphabet that covers the token; null for tokens that are no candidates."""
     body = F.regexp_replace(value, "=+$", "")
     return (
-        F.when(~(body.rlike("[0-9]") & body.rlike("[A-Za-z]")), F.lit(None))
+        F.when(~is_candidate(body), F.lit(None))
         .when(body.rlike("^[0-9a-f]+$") | body.rlike("^[0-9A-F]+$"), F.lit("hex"))
         .when(body.rlike("^[A-Z2-7]+$"), F.lit("base32"))
         .when(body.rlike("^[0-9a-z]+$") | body.rlike("^[0-9A-Z]+$"), F.lit("base36"))
@@ -89,18 +118,19 @@ def _neighbours(values: Column, n: Column, both: Callable[[Column, Column], Colu
 
 
 def battery(value: Column) -> Column:
-    """struct<encoding, symbols, p_chi2, p_runs, p_serial, log_p, bits> of a token; log_p is -ln of Fisher's joined p.
+    """struct<encoding, symbols, p_chi2, p_runs, p_serial, log_p, bits> of a token; log_p is -ln of the joined p.
 
     Tokens without an inferred encoding, or of fewer than two symbols, have null p-values, log_p and bits.
     """
     least = F.lit(1e-200)
     sizes = F.create_map(*[F.lit(x) for name, symbols in ALPHABETS.items() for x in (name, len(symbols))])
     alphabets = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])
+    edges = F.create_map(*[x for name, ends in KINDS_AT.items() for x in (F.lit(name), F.array(*[F.struct(F.lit(float(a)).alias("low"), F.lit(float(b)).alias("high")) for a, b in zip(ends, ends[1:])]))])
 
     def coded(e: Column) -> Column:
         plain = F.regexp_replace(F.translate(value, "-_", "+/"), "=+$", "")
         plain = F.when(e.isin("hex", "base36"), F.lower(plain)).otherwise(plain)
-        x = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: (F.instr(alphabets[e], c) - 1).cast("double"))
+        x = F.filter(F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: (F.instr(alphabets[e], c) - 1).cast("double")), lambda k: k >= 0)  # signs of no alphabet, such as = inside, are no symbols
         return F.struct(e.alias("e"), F.coalesce(sizes[e], F.lit(64)).cast("double").alias("size"), x.alias("x"))
 
     def sums(s: Column) -> Column:
@@ -108,6 +138,7 @@ def battery(value: Column) -> Column:
         return F.struct(
             s["e"].alias("e"), size.alias("size"), count.alias("count"), x.alias("x"),
             F.aggregate(F.sequence(F.lit(0), size.cast("int") - 1), F.lit(0.0), lambda a, k: a + F.pow(F.size(F.filter(x, lambda y: y == k)).cast("double"), F.lit(2.0))).alias("squares"),
+            F.coalesce(edges[s["e"]], F.array().cast("array<struct<low:double,high:double>>")).alias("kinds"),
             F.size(F.filter(x, lambda y: y >= size / 2)).cast("double").alias("high"),
             F.size(F.filter(_neighbours(x, count, lambda a, b: (a >= size / 2) != (b >= size / 2)), lambda d: d)).cast("double").alias("turns"),
             F.try_divide(_total(x), count.cast("double")).alias("mean"),
@@ -116,8 +147,14 @@ def battery(value: Column) -> Column:
     def scores(s: Column) -> Column:
         n, size, high = s["count"].cast("double"), s["size"], s["high"]
         df, low = size - 1, n - high
-        chi2 = F.greatest(s["squares"] * size / n - n, F.lit(0.0))
-        z_chi2 = (F.pow(chi2 / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        z_of = lambda chi2, df: (F.pow(chi2 / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        z_chi2 = z_of(F.greatest(s["squares"] * size / n - n, F.lit(0.0)), df)
+
+        def of_kind(k: Column) -> Column:
+            due = n * (k["high"] - k["low"]) / size
+            return F.pow(F.size(F.filter(s["x"], lambda y: (y >= k["low"]) & (y < k["high"]))) - due, F.lit(2.0)) / due
+
+        z_kinds = z_of(_total(F.transform(s["kinds"], of_kind)), F.greatest(F.size(s["kinds"]) - 1, F.lit(1)).cast("double"))
         mean_runs = 1 + 2 * high * low / n
         var_runs = (mean_runs - 1) * (mean_runs - 2) / (n - 1)
         z_runs = F.when(var_runs > 0, (s["turns"] + 1 - mean_runs) / F.sqrt(var_runs))
@@ -126,7 +163,7 @@ def battery(value: Column) -> Column:
         z_serial = F.try_divide(lagged, spread) * F.sqrt(n) + 1 / F.sqrt(n)
         bounded = lambda p: F.greatest(F.least(F.coalesce(p, least), F.lit(1.0)), least)
         return F.struct(
-            bounded(_upper_tail(z_chi2)).alias("chi2"), bounded(2 * _upper_tail(F.abs(z_runs))).alias("runs"), bounded(2 * _upper_tail(F.abs(z_serial))).alias("serial"),
+            bounded(2 * F.least(_upper_tail(z_chi2), _upper_tail(z_kinds))).alias("chi2"), bounded(2 * _upper_tail(F.abs(z_runs))).alias("runs"), bounded(2 * _upper_tail(F.abs(z_serial))).alias("serial"),
             (n * F.log2(size)).alias("bits"),
         )
 
@@ -135,9 +172,11 @@ def battery(value: Column) -> Column:
 
         def out(p: Column) -> Column:
             half = -(F.ln(p["chi2"]) + F.ln(p["runs"]) + F.ln(p["serial"]))
+            least = F.least(p["chi2"], p["runs"], p["serial"])
             return F.struct(
                 s["e"].alias("encoding"), s["count"].alias("symbols"), p["chi2"].alias("p_chi2"), p["runs"].alias("p_runs"), p["serial"].alias("p_serial"),
-                (half - F.ln(1 + half + half * half / 2)).alias("log_p"), p["bits"].alias("bits"),
+                # One strong deviation must not be diluted by the other tests: the better of Fisher's and Bonferroni's rule.
+                F.greatest(F.greatest(half - F.ln(1 + half + half * half / 2), -F.ln(3 * least)) - F.ln(F.lit(2.0)), F.lit(0.0)).alias("log_p"), p["bits"].alias("bits"),
             )
 
         nothing = F.lit(None).cast("double")
@@ -147,25 +186,26 @@ def battery(value: Column) -> Column:
     return let(inferred_encoding(value), lambda e: let(coded(e), lambda c: let(sums(c), joined)))
 
 
-def length_class(symbols: Column) -> Column:
+def token_class(symbols: Column, value: Column) -> Column:
+    """Classes of length, and again for tokens without a digit."""
     out = F.lit(len(LENGTH_CLASSES))
     for k, most in reversed(list(enumerate(LENGTH_CLASSES))):
         out = F.when(symbols <= most, F.lit(k)).otherwise(out)
-    return out
+    return out + F.when(value.rlike("[0-9]"), 0).otherwise(len(LENGTH_CLASSES) + 1)
 
 
 def not_random_cuts(tested: DataFrame, q: float) -> DataFrame:
-    """(length_class, cut): tokens with log_p >= cut are proven not random at false-discovery rate q within their class.
+    """(class, cut) from (class, log_p): tokens with log_p >= cut are proven not random at false-discovery rate q within their class.
 
     Works on counts by class and bin of log_p: at most (classes) x (BINS * MOST) rows reach the window. A bin counts with
     its largest p-value, so the rate is held.
     """
-    binned = tested.select(length_class(F.col("symbols")).alias("length_class"), F.floor(F.least(F.col("log_p"), F.lit(float(MOST))) * BINS).cast("int").alias("bin"))
-    counts = binned.groupBy("length_class", "bin").count()
-    by_class = Window.partitionBy("length_class")
+    binned = tested.select("class", F.floor(F.least(F.col("log_p"), F.lit(float(MOST))) * BINS).cast("int").alias("bin"))
+    counts = binned.groupBy("class", "bin").count()
+    by_class = Window.partitionBy("class")
     ranked = counts.withColumn("rank", F.sum("count").over(by_class.orderBy(F.desc("bin")))).withColumn("total", F.sum("count").over(by_class))
     passed = ranked.where(F.exp(-F.col("bin") / F.lit(float(BINS))) <= q * F.col("rank") / F.col("total"))
-    return passed.groupBy("length_class").agg((F.min("bin") / F.lit(float(BINS))).alias("cut"))
+    return passed.groupBy("class").agg((F.min("bin") / F.lit(float(BINS))).alias("cut"))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, q: float = 0.05, least_bits: float = 96.0) -> DataFrame:
@@ -176,11 +216,6 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     other columns are ignored. A text of any length is scanned whole.
     """
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    mixed = F.filter(F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0)), lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]"))
-    candidates = base.where(F.col("t").rlike(TOKEN)).select(F.explode(mixed).alias("value"))
-    tested = candidates.select(battery(F.col("value")).alias("b")).select("b.symbols", "b.log_p").where(F.col("log_p").isNotNull())
-    # One row, with at most one cut for each length class.
-    cuts = not_random_cuts(tested, q).agg(F.map_from_entries(F.collect_list(F.struct("length_class", "cut"))).alias("cuts"))
 
     def tagged(name: str, spans: Column) -> Column:
         return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(name)).alias("k"), x["stop"].alias("stop"), x["value"].alias("value")))
@@ -188,16 +223,19 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known = base.select(
         "id",
         F.concat(tagged("assign", F.filter(found("t", ASSIGN, 2), lambda x: F.length(x["value"]) >= 6)), tagged("access", found("t", ACCESS)), tagged("hex", found("t", HEX))).alias("known"),
-        F.filter(found("t", TOKEN), lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")).alias("tokens"),
+        F.filter(found("t", TOKEN), lambda x: is_candidate(x["value"])).alias("tokens"),
     )
-    free = known.select("id", "known", F.filter("tokens", lambda x: ~F.exists(F.col("known"), lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"]))).alias("free"))
-    judged = free.crossJoin(F.broadcast(cuts))
 
-    def passes(x: Column) -> Column:
-        b = battery(x["value"])
-        return let(b, lambda b: F.coalesce((b["bits"] >= least_bits) & (b["log_p"] < F.coalesce(F.col("cuts")[length_class(b["symbols"])], F.lit(float("inf")))), F.lit(False)))
+    def scored(x: Column) -> Column:
+        return let(battery(x["value"]), lambda b: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value"), token_class(b["symbols"], x["value"]).alias("class"), b["log_p"].alias("log_p"), b["bits"].alias("bits")))
 
-    spans = F.array_sort(F.concat("known", tagged("random", F.filter("free", passes))))
+    tokens = persisted(known.select("id", "known", F.transform(outside(F.col("tokens"), F.col("known")), scored).alias("tokens")))
+    tested = tokens.select(F.explode("tokens").alias("x")).select("x.class", "x.log_p").where(F.col("log_p").isNotNull())
+    # One row, with at most one cut for each class.
+    cuts = not_random_cuts(tested, q).agg(F.map_from_entries(F.collect_list(F.struct("class", "cut"))).alias("cuts"))
+    judged = tokens.crossJoin(F.broadcast(cuts))
+    random = F.filter("tokens", lambda x: F.coalesce((x["bits"] >= least_bits) & (x["log_p"] < F.coalesce(F.col("cuts")[x["class"]], F.lit(float("inf")))), F.lit(False)))
+    spans = F.array_sort(F.concat("known", tagged("random", random)))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     return judged.select(
         F.col("id").alias(id_col),
