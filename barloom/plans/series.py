@@ -416,6 +416,21 @@ def activity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(R.activity_features(base(spark, sf_dir), ["volume"]), *ACTIVITY)
 
 
+_SHORT = (4, 6, 12, 24, 72)
+RATIOS = (
+    {f"volume_growth_{n}": f"volume / nullif(lag(volume, {n}) OVER o, 0) - 1" for n in (6, 24)}
+    | {f"volume_rel_{name}_{n}": f"{f}(volume) OVER w{n} / nullif({f}(volume) OVER w168, 0)" for n in _SHORT for name, f in (("mean", "avg"), ("std", "stddev_samp"), ("cum", "sum"))}
+    | {f"volume_sharpe_{n}": f"avg(volume) OVER w{n} / nullif(stddev_samp(volume) OVER w{n}, 0)" for n in (4, 6, 12, 24)}
+    | {f"volume_z_{n}": f"(volume - avg(volume) OVER w{n}) / nullif(stddev_samp(volume) OVER w{n}, 0)" for n in (6, 12, 24)}
+    | {f"volume_vol_ratio_{a}_{b}": f"stddev_samp(volume) OVER w{a} / nullif(stddev_samp(volume) OVER w{b}, 0)" for a, b in ((6, 24), (12, 72), (24, 168))}
+)
+
+
+@query(over_r(RATIOS, "o AS (PARTITION BY key ORDER BY ts)", *[w(f"w{n}", n) for n in (*_SHORT, 168)], ctes=DAILY_RETURNS))
+def activity_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return out(R.activity_ratios(daily_base(spark, sf_dir), ["volume"]), *RATIOS)
+
+
 @query(over_r({"volume_acf1_24": _corr("volume", "vb", "h24")}, hours("h24", 24), more=", m AS (SELECT *, lag(volume) OVER (PARTITION BY key ORDER BY ts) AS vb FROM r)", source="m"))
 def volume_autocorrelation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(R.volume_autocorrelation(base(spark, sf_dir)), "volume_acf1_24")
