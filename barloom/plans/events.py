@@ -555,6 +555,11 @@ def membership_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state(spark, sf_dir).select("key", "week_start", "low_cap_streak", "bad_volume_streak", "member", "entered", "exited")
 
 
+@query(f"WITH {STATE} SELECT key, week_start, member, 'v2' AS rule_version FROM us")
+def versioned_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return U.membership("v2", universe_bars(spark, sf_dir), rules=SCALED).select("key", "week_start", "member", "rule_version")
+
+
 @query(f"WITH {WEEKLY}, xc AS (SELECT DISTINCT user_id AS key, CASE WHEN user_id % 2 = 0 THEN NULL ELSE DATE '2024-01-29' END AS f FROM events WHERE user_id % 5 = 0) SELECT um.key, week_start, trailing_bars FROM um LEFT JOIN xc USING (key) WHERE xc.key IS NULL OR (f IS NOT NULL AND week_start < f)")
 def dated_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = universe_bars(spark, sf_dir)
@@ -572,6 +577,23 @@ def undersampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.undersample(e, "y", ["event_id"])
 
 
+@query(f"""WITH e AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS y, value AS f1, CAST(event_id % 10 + 1 AS DOUBLE) AS f2, CAST(hour(ts) AS DOUBLE) AS f3 FROM events WHERE value IS NOT NULL),
+c AS (SELECT y, count(*) AS n, sum(f1) AS s1, sum(f2) AS s2, sum(f3) AS s3 FROM e GROUP BY y),
+m AS (SELECT y, ln(n + 1) - ln((SELECT sum(n) FROM c) + 2) AS a0, ln(s1 + 1) - ln(s1 + s2 + s3 + 3) AS a1, ln(s2 + 1) - ln(s1 + s2 + s3 + 3) AS a2, ln(s3 + 1) - ln(s1 + s2 + s3 + 3) AS a3 FROM c),
+z AS (SELECT event_id, 1 / (1 + exp((n.a0 + f1 * n.a1 + f2 * n.a2 + f3 * n.a3) - (p.a0 + f1 * p.a1 + f2 * p.a2 + f3 * p.a3))) AS p1 FROM e, m n, m p WHERE n.y = 0 AND p.y = 1)
+SELECT event_id, {r6('p1', 'p1')} FROM z WHERE p1 >= 0.33""")
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A naive Bayes pipeline, fitted and applied: the one Spark ML classifier whose scores SQL can state."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import VectorAssembler
+
+    e = load(spark, sf_dir, "events").where("value IS NOT NULL")
+    e = e.select("event_id", F.when(F.col("user_id") % 3 == 0, 1.0).otherwise(0.0).alias("label"), F.col("value").alias("f1"), (F.col("event_id") % 10 + 1).cast("double").alias("f2"), F.hour("ts").cast("double").alias("f3"))
+    model = Pipeline(stages=[VectorAssembler(inputCols=["f1", "f2", "f3"], outputCol="features"), NaiveBayes()]).fit(e)
+    return rounded(A.score(e, model, 0.33).select("event_id", "p1"))
+
+
 @query(f"""WITH {HOURLY}, pk AS (SELECT key, ts AS decision_ts, close / 500 AS p1 FROM bars WHERE close / 500 >= 0.4), ex AS (SELECT pk.key, decision_ts, p1, b.ts, b.close, CAST((epoch(b.ts) - epoch(decision_ts)) / 3600 AS BIGINT) AS h FROM pk JOIN bars b ON b.key = pk.key AND b.ts >= decision_ts AND b.ts <= decision_ts + INTERVAL 6 HOUR)
 SELECT key, decision_ts, {r6('p1', 'p1')}, ts, {r6('close', 'close')}, h, md5(key || '-' || CAST(CAST(epoch(decision_ts) AS BIGINT) AS VARCHAR)) AS pick_id FROM ex""")
 def scored_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

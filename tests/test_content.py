@@ -17,7 +17,7 @@ CONSTANT = {
     "activity_report.tokens": GRID, "anchored_rows.key": "one key has an anchor with enough capitalisation", "around_acquisition.acquired_ts": "one acquisition time for all keys", "count_violations.low": BOUND, "count_violations.high": BOUND,
     "incomplete_hours.expected": BOUND, "path_summaries.n_points": FULL, "path_summaries.max_h": FULL, "path_summaries.is_full": FULL, "pegged_assets.n": GRID, "rank_correlations.n": GRID, "regime_trades.in_regime": "an entry needs the regime",
     "serving_contract.univ_n": GRID, "two_horizon_labels.full_entry": FULL, "two_horizon_labels.full_manage": FULL, "universe_statistics.univ_n": GRID, "validation_report.checked_rows": "the number of rows of the table that is checked",
-    "varying_columns.cumret_24": GRID, "version_violations.n_version": "there are two versions", "wrapped_assets.n": GRID,
+    "varying_columns.cumret_24": GRID, "version_violations.n_version": "there are two versions", "versioned_members.rule_version": "the version that was asked for", "wrapped_assets.n": GRID,
 }
 #: Queries of one or two rows.
 FEW = {"combined_strategies": "the events fill one month"}
