@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from barloom.llm.common import persisted, whole_row
 
 GRID = 32
-PASSES = 9
+PASSES = 7
 #: Blocks of a source at most, so that the blocks of all but a great many sources fit one window task each.
 MOST_BLOCKS = 1 << 15
 
@@ -33,9 +33,11 @@ def token_count(text: Column) -> Column:
 
 def _sums(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
     """For every exponent: the sum of p^a and the sum of p^a ln p."""
-    logs = F.ln("share")
-    row = shares.agg(*[F.sum(F.exp(a * logs)) for a in exponents], *[F.sum(F.exp(a * logs) * logs) for a in exponents]).first()
-    return [(row[k], row[k + len(exponents)]) for k in range(len(exponents))]
+    # Exponents are rows, not expressions, so that every pass runs the same code; at most 2 x (GRID + 1) rows come back.
+    each = shares.select(F.posexplode(F.lit(exponents)).alias("k", "a"), F.ln("share").alias("log"))
+    power = F.exp(F.col("a") * F.col("log"))
+    found = {r[0]: (r[1], r[2]) for r in each.groupBy("k").agg(F.sum(power), F.sum(power * F.col("log"))).collect()}
+    return [found[k] for k in range(len(exponents))]
 
 
 def solve_exponent(shares: DataFrame, *, least_entropy: float | None = None, toward_uniform: float | None = None, most_repeats: float | None = None, repeats_at: float | None = 1.0) -> float:
@@ -61,29 +63,26 @@ def solve_exponent(shares: DataFrame, *, least_entropy: float | None = None, tow
         repeats = (largest / smallest) ** (1 - a) if repeats_at is None else repeats_at * smallest ** (a - 1) / z
         return repeats <= most_repeats + 1e-12
 
-    def bracket(fits, falls: bool) -> float:
-        """Entropy falls with the exponent (fits below a point), repetition too (fits above a point)."""
-        low, high = 0.0, 1.0
-        for _ in range(PASSES):
-            grid = [low + (high - low) * k / GRID for k in range(GRID + 1)]
-            good = [fits(a, *zs) for a, zs in zip(grid, _sums(shares, grid))]
-            if falls:
-                last = max((k for k in range(GRID + 1) if good[k]), default=0)
-                if last == GRID:
-                    return high
-                low, high = grid[last], grid[last + 1]
-            else:
-                first = min((k for k in range(GRID + 1) if good[k]), default=GRID)
-                if first == 0:
-                    return low
-                low, high = grid[first - 1], grid[first]
-        return low if falls else high
-
-    found = []
-    if least_entropy is not None:
-        found.append(bracket(fits_entropy, True))
-    if most_repeats is not None:
-        found.append(bracket(fits_repeats, False))
+    def narrower(low: float, high: float, good: list[bool], falls: bool) -> tuple[float, float]:
+        """Where the fits change: entropy falls with the exponent (fits below a point), repetition too (fits above a point)."""
+        at = lambda k: low + (high - low) * k / GRID
+        if falls:
+            last = max((k for k in range(GRID + 1) if good[k]), default=0)
+            return (high, high) if last == GRID else (at(last), at(last + 1))
+        first = min((k for k in range(GRID + 1) if good[k]), default=GRID)
+        return (low, low) if first == 0 else (at(first - 1), at(first))
+
+    # Both searches go on together, a pass over the totals for each step.
+    searches = [(fits, falls) for fits, falls, wanted in ((fits_entropy, True, least_entropy), (fits_repeats, False, most_repeats)) if wanted is not None]
+    ends = [(0.0, 1.0)] * len(searches)
+    for _ in range(PASSES):
+        if all(low == high for low, high in ends):
+            break
+        grids = [[low + (high - low) * k / GRID for k in range(GRID + 1)] for low, high in ends]
+        sums = iter(_sums(shares, [a for grid in grids for a in grid]))
+        good = [[fits(a, *next(sums)) for a in grid] for (fits, _), grid in zip(searches, grids)]
+        ends = [narrower(low, high, g, falls) if low < high else (low, high) for (_, falls), (low, high), g in zip(searches, ends, good)]
+    found = [low if falls else high for (_, falls), (low, high) in zip(searches, ends)]
     return max(found, default=1.0)
 
 

@@ -197,13 +197,13 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     both = persisted(links.select("a", "b").union(links.select("b", "a")).distinct().toDF("a", "b"))
     labels = persisted(both.select(F.col("a").alias("id")).distinct().withColumn("component", F.col("id")))
     for _ in range(most_rounds):
-        # The tables grow with the documents: merge joins at every size.
-        heard = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("near")).hint("merge"), "b").groupBy("a").agg(F.min("near").alias("near"))
-        heard = labels.join(heard.hint("merge"), F.col("id") == F.col("a")).select("id", F.col("component").alias("root"), "near")
+        # Whether a side is broadcast is left to Spark's own size check.
+        heard = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
+        heard = labels.join(heard, F.col("id") == F.col("a")).select("id", F.col("component").alias("root"), "near")
         offers = heard.select("id", "near").union(heard.select("root", "near")).groupBy("id").agg(F.min("near").alias("near"))
-        step = persisted(labels.join(offers.hint("merge"), "id").select("id", F.least("component", "near").alias("next"), F.col("component").alias("old")))
+        step = persisted(labels.join(offers, "id").select("id", F.least("component", "near").alias("next"), F.col("component").alias("old")))
         jump = step.select(F.col("id").alias("next"), F.col("next").alias("beyond"))
-        moved = persisted(step.join(jump.hint("merge"), "next").select("id", F.least("next", "beyond").alias("component"), "old"))
+        moved = persisted(step.join(jump, "next").select("id", F.least("next", "beyond").alias("component"), "old"))
         superseded(step, labels)
         labels = moved.select("id", "component")
         if moved.where(F.col("component") != F.col("old")).isEmpty():
@@ -218,11 +218,11 @@ def _links_between(buckets: DataFrame, labels: DataFrame, members: DataFrame, pe
     A bucket is dealt as pairs of blocks, so a large one spreads over tasks; blocks are bounded in members and in hashes. A pair is confirmed in the
     first band that it shares, and unless links that were found before in the same blocks join its components.
     """
-    labelled = buckets.join(labels.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     sized = labelled.join(members.select("id", F.size("hashes").alias("n")).hint("merge"), "id")
     open_ = sized.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum("n").alias("size")).where(F.col("low") < F.col("high"))
     open_ = persisted(open_.select("bucket", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("size") / BLOCK_HASHES)).cast("int").alias("blocks")))
-    rows = labelled.join(open_.hint("merge"), "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = labelled.join(open_, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(members.hint("merge"), "id")
     rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "component", "sketch", "bands", "hashes")
     most = _differing_bits(LEAST_ESTIMATE)
@@ -295,13 +295,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     large = ranked.where(F.col("members") > SMALL_BUCKET)
     # The best-connected member, by a partial aggregate, so no bucket is gathered.
     centre = persisted(large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("less"))).alias("top")).select("bucket", (-F.col("top.less")).alias("centre")))
-    star = large.select("bucket", "id").join(centre.hint("merge"), "bucket").where(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+    star = large.select("bucket", "id").join(centre, "bucket").where(F.col("id") != F.col("centre")).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
     labels = components(_confirmed(within.union(star), sets, percent))
     members = sets.select("id", "key", "sketch", "hashes").join(classes.select("id", "key", "bands").hint("merge"), ["id", "key"]).drop("key")
     between = persisted(_links_between(large.select("bucket", "band", "id"), labels, members, percent))
-    named = classes.select("key", "id").join(labels.hint("merge"), "id", "left").select("key", F.coalesce("component", "id").alias("component"))
+    superseded(sets, buckets, shared, degree, centre)
+    named = classes.select("key", "id").join(labels, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     if not between.isEmpty():
         joined = components(between).select(F.col("id").alias("component"), F.col("component").alias("beyond"))
-        named = named.join(joined.hint("merge"), "component", "left").select("key", F.coalesce("beyond", "component").alias("component"))
+        named = named.join(joined, "component", "left").select("key", F.coalesce("beyond", "component").alias("component"))
     out = narrow.join(named.hint("merge"), "key", "left").withColumn("component", F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"), (F.coalesce(F.col("id") == F.col("component"), F.lit(True))).alias("kept"))
