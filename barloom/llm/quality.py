@@ -7,7 +7,7 @@ value of every leaf), so that a batch of documents walks all trees with vectoris
 
 from __future__ import annotations
 
-from collections import Counter
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.common import whole_row
+from barloom.llm.near_dedup import follow, mix, powers, word_hashes
 
 #: Names of the statistics, in the order of a row.
 STATISTICS = (
@@ -27,35 +28,97 @@ STATISTICS = (
 )
 
 
-def statistics(text: str) -> list[float]:
-    """Statistics of one whole text; an empty text has zeros."""
-    raw = text.encode("utf-8", "surrogatepass")
-    words = text.split()
-    if not words:
-        return [float(np.log1p(len(raw)))] + [0.0] * (len(STATISTICS) - 1)
-    by_byte = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    total = len(raw)
-    upper, lower, digits = by_byte[65:91].sum(), by_byte[97:123].sum(), by_byte[48:58].sum()
-    space = by_byte[9:14].sum() + by_byte[32]
-    beyond = by_byte[128:].sum()
-    symbols = sum(int(by_byte[ord(c)]) for c in "#$%&*@^~<>{}[]\\_=+")
-    punctuation = total - upper - lower - digits - space - beyond
-    n = len(words)
-    lengths = np.fromiter(map(len, words), np.int64, n)
-    counts = Counter(words)
-    top = [c for _, c in counts.most_common(5)]
-    pairs = len(set(zip(words, words[1:])))
-    echo = sum(map(str.__eq__, words, words[1:]))
-    echo_two = sum(map(str.__eq__, words, words[2:]))
-    lines = [x for x in text.split("\n") if x.strip()]
-    shouted = sum(map(str.isupper, words))
-    capital = sum(w[0].isupper() for w in words)
-    bare = sum(not any(map(str.isalnum, w)) for w in counts)
-    return [
-        float(np.log1p(total)), float(np.log1p(n)), float(lengths.mean()), float(lengths.std()), float(lengths.max()), upper / total, digits / total, punctuation / total, symbols / total,
-        by_byte[33] / total, by_byte[124] / total, beyond / total, space / total, len(counts) / n, top[0] / n, sum(top) / n, 1 - pairs / max(1, n - 1), echo / n, float(np.log1p(len(lines))),
-        1 - len(set(lines)) / max(1, len(lines)), n / max(1, len(lines)), by_byte[46] / n, shouted / n, capital / n, bare / len(counts), echo_two / n,
+#: Code points whose statistics are taken at once; a longer text stands alone.
+CHUNK = 1 << 18
+_SPACE, _UPPER, _LOWER, _ALNUM = 1, 2, 4, 8
+#: Kinds of ASCII characters: capital, small letter, digit, white space, symbol, !, |, full stop, other; all else is beyond.
+_ASCII_KINDS = 10
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: flags of str.isspace, isupper, islower (or title case) and isalnum; and the ASCII kind."""
+    flags = np.fromiter((_SPACE * c.isspace() + _UPPER * c.isupper() + _LOWER * (c.islower() or c.istitle() and not c.isupper()) + _ALNUM * c.isalnum() for c in map(chr, range(0x110000))), np.uint8, 0x110000)
+    kind = np.full(0x110000, _ASCII_KINDS - 1, np.int8)
+    kind[:128] = 8
+    for k, chars in enumerate(("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", "\t\n\v\f\r ", "#$%&*@^~<>{}[]\\_=+", "!", "|", ".")):
+        kind[[ord(c) for c in chars]] = k
+    return flags, kind
+
+
+def _distinct(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, count, place of one) of every different hash of a text, by text."""
+    key = (doc.astype(np.uint64) << np.uint64(45)) | (hashes >> np.uint64(19))  # a chunk has fewer than 2^19 texts
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    return (key[first] >> np.uint64(45)).astype(np.int64), np.diff(first, append=len(key)), order[first]
+
+
+def _chunk_statistics(texts: list[str]) -> np.ndarray:
+    m = len(texts)
+    flags_of, kind_of = _tables()
+    point = np.frombuffer("".join(f"{t}\n" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    own = np.repeat(np.arange(m), np.diff(ends, prepend=0))
+    flags = flags_of[point]
+    kinds = np.bincount(own * _ASCII_KINDS + kind_of[point], minlength=m * _ASCII_KINDS).reshape(m, _ASCII_KINDS).astype(float)
+    kinds[:, 3] -= 1  # the line break after each text
+    beyond = np.bincount(own, 1.0 * (point > 127) + (point > 0x7FF) + (point > 0xFFFF) + (point > 127), m)  # bytes of characters beyond ASCII
+    total = kinds[:, :-1].sum(1) + beyond
+    keys = mix(point.astype(np.uint64) + np.uint64(1))
+    word, start, stop = word_hashes(keys, (flags & _SPACE) == 0)
+    out = np.zeros((m, len(STATISTICS)))
+    out[:, 0] = np.log1p(total)
+    if not len(word):
+        return out
+    doc = own[start]
+    n = np.bincount(doc, minlength=m).astype(float)
+    some = n > 0
+    n[~some] = 1  # those rows are blanked at the end
+    of = lambda d, weights=None: np.bincount(d, weights, m).astype(float)
+    size = (stop - start).astype(float)
+    mean = of(doc, size) / n
+    longest = np.zeros(m)
+    np.maximum.at(longest, doc, size)
+    d, times, place = _distinct(doc, word)
+    rank = np.lexsort((-times, d))
+    nth = np.arange(len(d)) - np.searchsorted(d, d)  # d is in order, and so is d[rank]
+    same = doc[1:] == doc[:-1]
+    pair = follow(word[:-1], word[1:])[same]
+    in_word = lambda flag: np.add.reduceat((flags & flag) > 0, start, dtype=np.int64)  # noqa: E731  white space up to the next word has none of these flags
+    upper, lower, alnum = in_word(_UPPER), in_word(_LOWER), in_word(_ALNUM)
+    # Lines that have a word, by the number of line breaks before it; a line's hash takes in its white space.
+    breaks = np.flatnonzero(point == 10)
+    line = np.unique(np.searchsorted(breaks, start))
+    up, down = powers(len(point))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(keys * up)])
+    low, high = np.where(line > 0, breaks[line - 1] + 1, 0), breaks[line]
+    line_doc, line_hash = own[high], mix((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64))
+    lines, different = of(line_doc), of(_distinct(line_doc, line_hash)[0])
+    upper_share, lower_share, digit_share, space_share = (kinds[:, k] / np.maximum(total, 1) for k in range(4))
+    types = np.maximum(of(d), 1)
+    columns = [
+        np.log1p(n), mean, np.sqrt(of(doc, (size - mean[doc]) ** 2) / n), longest, upper_share, digit_share, (total - kinds[:, :4].sum(1) - beyond) / np.maximum(total, 1), kinds[:, 4] / np.maximum(total, 1),
+        kinds[:, 5] / np.maximum(total, 1), kinds[:, 6] / np.maximum(total, 1), beyond / np.maximum(total, 1), space_share, of(d) / n, of(d[rank][nth == 0], times[rank][nth == 0]) / n, of(d[rank][nth < 5], times[rank][nth < 5]) / n,
+        1 - of(_distinct(doc[1:][same], pair)[0]) / np.maximum(1, n - 1), of(doc[1:][same & (word[1:] == word[:-1])]) / n, np.log1p(lines), 1 - different / np.maximum(1, lines), n / np.maximum(1, lines), kinds[:, 7] / n,
+        of(doc[(upper > 0) & (lower == 0)]) / n, of(doc[(flags[start] & _UPPER) > 0]) / n, of(d[alnum[place] == 0]) / types, of(doc[2:][(doc[2:] == doc[:-2]) & (word[2:] == word[:-2])]) / n,
     ]
+    out[:, 1:] = np.stack(columns, 1)
+    out[~some, 1:] = 0
+    return out
+
+
+def statistics(texts: list[str]) -> np.ndarray:
+    """(texts, STATISTICS) of whole texts; a text without words has zeros but for its length. Words are told apart by hashes of 45 bits within a text."""
+    parts, part, held = [np.zeros((0, len(STATISTICS)))], [], 0
+    for text in texts:
+        if part and held + len(text) > CHUNK:
+            parts.append(_chunk_statistics(part))
+            part, held = [], 0
+        part.append(text)
+        held += len(text) + 1
+    return np.concatenate([*parts, _chunk_statistics(part)] if part else parts)
 
 
 @dataclass(frozen=True)
@@ -121,9 +184,7 @@ def grow(x: np.ndarray, y: np.ndarray, *, trees: int = 120, depth: int = 4, rate
 
 def _rows(batches: Iterator[pa.RecordBatch], finish) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = b.column("text")
-        x = np.array([statistics(texts[k].as_py() or "") for k in range(b.num_rows)], float).reshape(b.num_rows, len(STATISTICS))
-        yield finish(b, x)
+        yield finish(b, statistics([t or "" for t in b.column("text").to_pylist()]))
 
 
 def statistics_of(docs: DataFrame, keep: list[str]) -> DataFrame:
