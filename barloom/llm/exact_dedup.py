@@ -193,7 +193,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     largest = keep == "largest"
     merged = rows.mapInArrow(_merger(budget_bytes, largest, True), _TEXTS)
     owners = persisted(merged.repartition("length", "sha").mapInArrow(_merger(budget_bytes, largest, False), _OWNERS))
-    narrow = keyed.select("id", "bytes", "digest")
+    narrow = persisted(keyed.select("id", "bytes", "digest"))  # read twice below
     total = owners.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
     same = lambda x: (F.col("bytes") == x["length"]) & (short == x["sha"])
     counted = owners.withColumn("n", F.col("group_size"))
