@@ -19,6 +19,7 @@ from barloom.llm.near_dedup import near_duplicates
 from barloom.llm.quality import fit_quality, quality_scores
 from barloom.llm.secrets import secret_spans, span_text
 from barloom.llm.sharding import shard_rows
+from barloom.llm.whitening import whitened_components
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +77,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "n_removed_words", spans.alias("removed"), F.length("text").cast("bigint").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
-OPERATORS = (op1_exact_dedup, op2_secret_scan, op3_quality, op4_mixing, op5_decontamination, op6_sharding, op7_language, op8_near_dedup, op9_html_text, op10_line_dedup)
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's deviation is a decimal of 38 digits; one that no long holds is an error here."""
+    return whitened_components(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+OPERATORS = (op1_exact_dedup, op2_secret_scan, op3_quality, op4_mixing, op5_decontamination, op6_sharding, op7_language, op8_near_dedup, op9_html_text, op10_line_dedup, op13_whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
