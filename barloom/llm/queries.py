@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import oracles
+from barloom.llm.alignment import alignment
 from barloom.llm.common import is_held_out, table
 from barloom.llm.decontamination import contamination, is_contaminated
 from barloom.llm.exact_dedup import exact_dedup
@@ -77,12 +78,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "n_removed_words", spans.alias("removed"), F.length("text").cast("bigint").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The operator's deviation is a decimal of 38 digits; one that no long holds is an error here."""
     return whitened_components(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
-OPERATORS = (op1_exact_dedup, op2_secret_scan, op3_quality, op4_mixing, op5_decontamination, op6_sharding, op7_language, op8_near_dedup, op9_html_text, op10_line_dedup, op13_whitening)
+OPERATORS = (op1_exact_dedup, op2_secret_scan, op3_quality, op4_mixing, op5_decontamination, op6_sharding, op7_language, op8_near_dedup, op9_html_text, op10_line_dedup, op12_alignment, op13_whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
