@@ -26,3 +26,17 @@ e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, u.b FROM r JOIN u ON u.a = r.b),
 m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)"""
+
+#: Bytes as pairs of hexadecimal digits. Runs of windows that start earlier, then maximal runs of removed bytes.
+SUFFIX_DEDUP = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(len(h) // 2 AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+m AS (SELECT s, min({'d': doc_id, 'i': i}) AS f FROM w GROUP BY s HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM w JOIN m USING (s) WHERE f != {'d': doc_id, 'i': i}),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS first FROM r),
+k AS (SELECT doc_id, i, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+p AS (SELECT doc_id, k, min(i) AS low, max(i) + 100 AS high FROM k GROUP BY doc_id, k),
+q AS (SELECT doc_id, h, n, coalesce(low, n) AS low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS before, lead(low) OVER (PARTITION BY doc_id ORDER BY low) AS after FROM d LEFT JOIN p USING (doc_id))
+SELECT doc_id, any_value(n) AS n_bytes, CAST(coalesce(sum(high - low), 0) AS BIGINT) AS n_removed, count(high) AS n_spans,
+  sha256(unhex(string_agg(substr(h, 2 * before + 1, 2 * (low - before)) || CASE WHEN after IS NULL AND high IS NOT NULL THEN substr(h, 2 * high + 1) ELSE '' END, '' ORDER BY low))) AS kept_sha256,
+  coalesce(string_agg(low || ':' || high, ',' ORDER BY low) FILTER (high IS NOT NULL), '') AS removed
+FROM q GROUP BY doc_id"""

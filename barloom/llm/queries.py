@@ -20,6 +20,7 @@ from barloom.llm.near_dedup import near_duplicates
 from barloom.llm.quality import fit_quality, quality_scores
 from barloom.llm.secrets import secret_spans, span_text
 from barloom.llm.sharding import shard_rows
+from barloom.llm.suffix_dedup import suffix_dedup
 from barloom.llm.whitening import whitened_components
 
 
@@ -78,6 +79,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), "n_removed_words", spans.alias("removed"), F.length("text").cast("bigint").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays as a digest, and how much goes."""
+    found = suffix_dedup(table(spark, sf_dir, "documents"), length=100)
+    n_removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["stop"])), ",")
+    return found.select("doc_id", (F.length("kept") + n_removed).alias("n_bytes"), n_removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), spans.alias("removed"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(table(spark, sf_dir, "documents"))
 
@@ -87,7 +96,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_components(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
-OPERATORS = (op1_exact_dedup, op2_secret_scan, op3_quality, op4_mixing, op5_decontamination, op6_sharding, op7_language, op8_near_dedup, op9_html_text, op10_line_dedup, op12_alignment, op13_whitening)
+OPERATORS = (op1_exact_dedup, op2_secret_scan, op3_quality, op4_mixing, op5_decontamination, op6_sharding, op7_language, op8_near_dedup, op9_html_text, op10_line_dedup, op11_suffix_dedup, op12_alignment, op13_whitening)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -95,4 +104,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": oracles.EXACT_DEDUP, "op5_decontamination": oracles.DECONTAMINATION, "op8_near_dedup": oracles.NEAR_DEDUP}
+    return {"op1_exact_dedup": oracles.EXACT_DEDUP, "op5_decontamination": oracles.DECONTAMINATION, "op8_near_dedup": oracles.NEAR_DEDUP, "op11_suffix_dedup": oracles.SUFFIX_DEDUP}
