@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ TOKENIZERS = "/opt/tokenizers"
 #: Pairs of a block, levels of its hash at most, and bits of a level for each pair left.
 BLOCK_PAIRS, LEVELS, GAMMA = 1 << 14, 200, 1.5
 #: A task forgets the parts that it has aligned beyond so many parts or bytes of them.
-MOST_PARTS, MOST_PART_BYTES = 1 << 19, 1 << 25
+MOST_PARTS, MOST_PART_BYTES = 1 << 18, 1 << 24
+#: Bytes of text that are taken at once.
+AT_ONCE = 1 << 20
 #: Ways in which the vectors of a block are summed before they are summed to one.
 BRANCHES = 16
 
@@ -85,8 +88,6 @@ class Tokenizers:
         import tiktoken
         import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_buffer(a)
-        self.a.encode_special_tokens = True
         content, letters = json.loads(a), _byte_letters()
         vocabulary = content["model"]["vocab"]
         as_bytes = {t: bytes(letters[c] for c in t) for t in vocabulary}
@@ -97,6 +98,10 @@ class Tokenizers:
         plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         by_rank = content["pre_tokenizer"] == plain and content["normalizer"] is None and all(vocabulary[x + y] == 256 + k for k, (x, y) in enumerate(merges))
         self.ranks = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks={as_bytes[t]: k for t, k in vocabulary.items()}, special_tokens={}) if by_rank else None
+        self.a = None
+        if self.ranks is None:
+            self.a = tokenizers.Tokenizer.from_buffer(a)
+            self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
@@ -108,7 +113,7 @@ class Tokenizers:
 
     def encode(self, lines: list[str]) -> list[list[list[int]]]:
         """[ids of A for every line, ids of B]; lines start with a space."""
-        by_a = self.ranks.encode_ordinary_batch(lines, num_threads=1) if self.ranks else [e.ids for e in self.a.encode_batch(lines, add_special_tokens=False)]
+        by_a = self.ranks.encode_ordinary_batch(lines, num_threads=1) if self.a is None else [e.ids for e in self.a.encode_batch(lines, add_special_tokens=False)]
         return [by_a, self.b.encode([x[1:] for x in lines], num_threads=1)]
 
     def same(self, line: str, a: list[int], b: list[int]) -> bool:
@@ -272,6 +277,16 @@ class Parts:
         return keys >> 32, keys & 0xFFFFFFFF, links
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about AT_ONCE bytes of text, so that what a task holds at once doesn't depend on the size of Spark's batches."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)) // AT_ONCE
+        cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), b.num_rows]
+        for i, j in itertools.pairwise(cuts):
+            if j > i:
+                yield b.slice(i, j - i)
+
+
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of the stretches of values that begin at first."""
     total = np.concatenate([np.zeros((1, *values.shape[1:]), np.int64), np.cumsum(values, axis=0)])
@@ -301,7 +316,7 @@ def _count_pairs(files):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = counts = None
-        for b in batches:
+        for b in _slices(batches):
             parts = parts or Parts(Tokenizers(*files.value))
             flat, first, _ = _without(parts, *parts.of(b.column("text").to_pylist()))
             _, pair, _ = parts.document_pairs(flat, first)
@@ -442,7 +457,7 @@ def _report(files, table):
     """Figures of every text; n_best and count_sum by look-up, null without a table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = known = None
-        for b in batches:
+        for b in _slices(batches):
             if parts is None or parts.full():
                 parts = Parts(parts.tokenizers if parts else Tokenizers(*files.value), True)
                 by_pair = np.zeros((0, 2), np.int64)
@@ -476,7 +491,7 @@ def _document_links(files):
     """(id, version, pair, links): distinct pairs of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = None
-        for b in batches:
+        for b in _slices(batches):
             if parts is None or parts.full():
                 parts = Parts(parts.tokenizers if parts else Tokenizers(*files.value))
             flat, first, _ = _without(parts, *parts.of(b.column("text").to_pylist()))

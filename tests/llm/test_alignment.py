@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from barloom.llm import alignment as al
 from barloom.llm import queries
@@ -17,14 +18,17 @@ FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_s
 
 @pytest.fixture(scope="module")
 def tokenizers():
-    return al.Tokenizers(open(f"{al.TOKENIZERS}/byte_bpe_50k.json", "rb").read(), open(f"{al.TOKENIZERS}/piece_bpe_32k.model", "rb").read())
+    found = al.Tokenizers(open(f"{al.TOKENIZERS}/byte_bpe_50k.json", "rb").read(), open(f"{al.TOKENIZERS}/piece_bpe_32k.model", "rb").read())
+    found.whole = Tokenizer.from_file(f"{al.TOKENIZERS}/byte_bpe_50k.json")
+    found.whole.encode_special_tokens = True
+    return found
 
 
 def encoded(tokenizers, text):
     """(A's tokens, B's tokens) of the whole text as (id, bytes), or None."""
     if not text:
         return None
-    a = [(k, tokenizers.a_bytes[k]) for k in tokenizers.a.encode(" " + text, add_special_tokens=False).ids]
+    a = [(k, tokenizers.a_bytes[k]) for k in tokenizers.whole.encode(" " + text, add_special_tokens=False).ids]
     b = [(k, tokenizers.b_bytes[k]) for k in tokenizers.b.encode(text)]
     same = b"".join(x for _, x in a) == b"".join(x for _, x in b) == (" " + text).encode()
     return (a, b) if same else None
@@ -96,7 +100,7 @@ def test_ranks_give_the_ids_of_the_vocabulary(tokenizers):
     odd = "abcdefABCDEF0123456789+/=.,;:!?'\"-_#é漢한́\U0001f600ﬁ\u200b\xa0 \t\r\n"
     texts = [" " + "".join(rng.choice(entries) for _ in range(rng.randint(1, 6))) for _ in range(20_000)] + [" " + "".join(rng.choice(odd) for _ in range(rng.randint(1, 40))) for _ in range(20_000)]
     assert tokenizers.ranks is not None
-    assert tokenizers.encode(texts)[0] == [e.ids for e in tokenizers.a.encode_batch(texts, add_special_tokens=False)]
+    assert tokenizers.encode(texts)[0] == [e.ids for e in tokenizers.whole.encode_batch(texts, add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("most_pairs", [1 << 22, 150])
