@@ -77,6 +77,7 @@ def test_awkward_rows_and_columns_pass_every_stage(spark, tmp_path):
 
 def test_files_that_are_left_out_are_no_error_but_broken_ones_are(tmp_path):
     import importlib.util
+    import os
     import shutil
     import subprocess
     import sys
@@ -84,8 +85,9 @@ def test_files_that_are_left_out_are_no_error_but_broken_ones_are(tmp_path):
     root = importlib.util.find_spec("corpus_pipeline").origin.rpartition("/")[0]
     for part in ("barloom", "__spark_entry__.py"):
         (shutil.copytree if part == "barloom" else shutil.copy)(f"{root}/{part}", tmp_path / part)
-    say = lambda: subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sum(n.startswith('op') for n in e.queries()), 'pipeline' in e.queries())"], cwd=tmp_path, capture_output=True, text=True)
-    assert say().stdout.split() == ["10", "False"]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}  # which may lead to the repository
+    say = lambda: subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sum(n.startswith('op') for n in e.queries()), 'pipeline' in e.queries())"], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert say().stdout.split() == ["13", "False"]
     module = tmp_path / "barloom/llm/secrets.py"
     module.write_text(module.read_text() + "\nimport no_such_module\n")
     assert "no_such_module" in say().stderr

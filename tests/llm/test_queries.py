@@ -22,5 +22,5 @@ def test_query_equals_sql(spark, name):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 14)} and "pipeline" in names
     assert set(queries.oracle_sql()) <= names
