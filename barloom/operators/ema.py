@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,44 +11,43 @@ from pyspark.sql import functions as F
 from barloom.functions.expr import safe_div, safe_ln, strict_greatest
 from barloom.operators.rolling import S, Series
 
-#: Rows of a block: r^-256 stays in double range for every length, and a key's blocks are folded as one short array.
-BLOCK = 256
+#: What stays of a value after a block of rows is e^-DECAY: too little to count in a double two blocks later, while its inverse stays in range.
+DECAY = 128
 
 
-def ema(df: DataFrame, n: int = 0, s: Series = S, of: str = "price", seed: str = "first", name: str | None = None, keep: float | None = None) -> DataFrame:
-    """Exponential average with weight 2 / (n + 1), or 1 - keep, exact, without Python and without a fold over whole series.
+def ema(df: DataFrame, n: int | Sequence[int] = 0, s: Series = S, of: str = "price", seed: str = "first", name: str | None = None, keep: float | None = None) -> DataFrame:
+    """Exponential averages with weight 2 / (n + 1), or 1 - keep, without Python, a fold over whole series or a self-join; n may be several lengths, which share one exchange.
 
     seed="first" normalises the weights from row 1. seed="sma" starts at row n with the simple average of the first n
-    rows and is null before. Inside a block of rows the recurrence is a running sum of scaled values; the blocks' ends are folded per key and
-    joined back as carry. Values must not be null.
+    rows and is null before. Inside a block of rows the recurrence is a running sum of scaled values; what the block before has left at its end is carried on,
+    and older blocks weigh less than e^-DECAY of it. Values must not be null.
     """
     if seed not in ("first", "sma"):
         raise ValueError("seed is 'first' or 'sma'")
-    name = name or f"ema_{n}"
-    r = 1 - 2 / (n + 1) if keep is None else keep
-    a = 1 - r
+    lengths = [n] if isinstance(n, int) else list(n)
+    if name is not None and len(lengths) > 1:
+        raise ValueError("several lengths have names of their own")
     df = df.withColumn("_i", F.row_number().over(s.ordered) - 1)
-    value, start = F.col(of).cast("double"), 0
-    if seed == "sma":
-        start = n - 1
-        value = F.when(F.col("_i") == start, F.avg(of).over(s.rows(n))).otherwise(value)
-    df = df.withColumns({"_v": F.when(F.col("_i") >= start, value), "_k": F.floor((F.col("_i") - start) / BLOCK), "_j": (F.col("_i") - start) % BLOCK})
-    # Numerator and, for normalised weights, denominator of sum(r^age * v) / sum(r^age).
-    first = (F.col("_i") == start) & F.lit(seed == "sma")
-    scaled = F.col("_v") * F.when(first, 1.0).otherwise(a if seed == "sma" else 1.0) * F.pow(F.lit(r), -F.col("_j"))
-    inside = Window.partitionBy(s.key, "_k").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_part", F.sum(scaled).over(inside) * F.pow(F.lit(r), F.col("_j")))
-    ends = df.where((F.col("_j") == BLOCK - 1) & F.col("_v").isNotNull()).groupBy(s.key).agg(F.array_sort(F.collect_list(F.struct("_k", "_part"))).alias("_ends"))
-    step = r**BLOCK
-    carries = ends.select(s.key, F.explode(F.expr(
-        f"""aggregate(_ends, named_struct('carry', 0.0D, 'out', CAST(array() AS array<struct<_k:bigint,_carry:double>>)),
-            (acc, x) -> named_struct('carry', acc.carry * {step!r}D + x._part, 'out', concat(acc.out, array(named_struct('_k', x._k + 1, '_carry', acc.carry * {step!r}D + x._part)))), acc -> acc.out)"""
-    )).alias("_c")).select(s.key, "_c._k", "_c._carry")
-    df = df.join(carries, [s.key, "_k"], "left")
-    total = F.col("_part") + F.coalesce("_carry", F.lit(0.0)) * F.pow(F.lit(r), F.col("_j") + 1)
-    if seed == "first":
-        total = total / ((1 - F.pow(F.lit(r), F.col("_i") + 1)) / (1 - r))
-    return df.withColumn(name, F.when(F.col("_i") >= start, total)).drop("_i", "_v", "_k", "_j", "_part", "_carry")
+    for m in lengths:
+        r = 1 - 2 / (m + 1) if keep is None else keep
+        block = max(1, math.ceil(-DECAY / math.log(r))) if r > 0 else 1
+        value, start, a = F.col(of).cast("double"), 0, 1.0
+        if seed == "sma":
+            start, a = m - 1, 1 - r
+            value = F.when(F.col("_i") == start, F.avg(of).over(s.past)).otherwise(value * a)
+        at = F.col("_i") - start
+        df = df.withColumns({"_k": F.floor(at / block), "_j": at % block, "_v": F.when(F.col("_i") >= start, value)})
+        inside = Window.partitionBy(s.key, "_k").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+        scale = F.pow(F.lit(r), F.col("_j")) if r > 0 else F.lit(1.0)
+        df = df.withColumn("_part", F.sum(F.col("_v") / scale).over(inside) * scale)
+        before = Window.partitionBy(s.key).orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+        carry = F.last(F.when((F.col("_j") == block - 1) & (F.col("_i") >= start), F.col("_part")), ignorenulls=True).over(before)
+        df = df.withColumn("_carry", F.coalesce(carry, F.lit(0.0)))
+        total = F.col("_part") + F.col("_carry") * scale * r
+        if seed == "first":
+            total = total / ((1 - F.pow(F.lit(r), F.col("_i") + 1)) / (1 - r))
+        df = df.withColumn(name or f"ema_{m}", F.when(F.col("_i") >= start, total)).drop("_v", "_k", "_j", "_part", "_carry")
+    return df.drop("_i")
 
 
 def cross_flags(df: DataFrame, fast: str = "ema_21", slow: str = "ema_50", hours: tuple[int, ...] = (6, 24, 168), s: Series = S, exclude_current: bool = False, noise: float = 1e-12) -> DataFrame:

@@ -88,8 +88,8 @@ def star(base: DataFrame, blocks: Iterable[tuple[DataFrame, Sequence[str]]]) ->
 
 
 def next_event(df: DataFrame, flag: Column, *, key: Sequence[str], ts: str, name: str = "next_ts") -> DataFrame:
-    """Time of the first later row of the key where flag holds."""
-    w = Window.partitionBy(*key).orderBy(ts).rowsBetween(1, Window.unboundedFollowing)
+    """Time of the first later row of the key where flag holds: a running minimum from the end, as a frame that is open towards the future would be scanned anew for each row."""
+    w = Window.partitionBy(*key).orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn(name, F.min(F.when(flag, F.col(ts))).over(w))
 
 

@@ -41,10 +41,10 @@ def extend_sessions(df: DataFrame, back_days: int = 7, ahead_days: int = 7, s: S
     """
     bounds = df.where(F.col("session").isNotNull()).groupBy(s.key, "session").agg(F.min(s.ts).alias("session_start"), F.max(s.ts).alias("session_end"))
     bounds = bounds.withColumn("_b", F.struct(F.col("session").alias("of_session"), "session_start", "session_end", (F.col("session_start") - F.expr(f"INTERVAL {back_days} DAYS")).alias("extended_start"), (F.col("session_end") + F.expr(f"INTERVAL {ahead_days} DAYS")).alias("extended_end")))
-    # Sessions are runs of rows, so a row outside them has its nearest ones just before and after it: two windows, and no row meets all sessions of its key.
-    at, w = F.col(s.ts), Window.partitionBy(s.key).orderBy(s.ts)
+    # Sessions are runs of rows, so a row outside them has its nearest ones just before and after it: two windows, one from either end, and no row meets all sessions of its key.
+    at, w = F.col(s.ts), Window.partitionBy(s.key)
     rows = df.join(bounds.select(s.key, "session", "_b"), [s.key, "session"], "left")
-    rows = rows.withColumns({"_before": F.last("_b", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)), "_after": F.first("_b", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))})
+    rows = rows.withColumns({"_before": F.last("_b", ignorenulls=True).over(w.orderBy(s.ts).rangeBetween(Window.unboundedPreceding, 0)), "_after": F.last("_b", ignorenulls=True).over(w.orderBy(F.desc(s.ts)).rangeBetween(Window.unboundedPreceding, 0))})
     since, until = F.unix_seconds(s.ts) - F.unix_seconds("_before.session_end"), F.unix_seconds("_after.session_start") - F.unix_seconds(s.ts)
     near = F.when(at <= F.col("_before.extended_end"), since), F.when(at >= F.col("_after.extended_start"), until)
     chosen = F.when(F.col("_b").isNotNull(), F.col("_b")).when(near[0].isNotNull() & (near[1].isNull() | (near[0] <= near[1])), F.col("_before")).when(near[1].isNotNull(), F.col("_after"))

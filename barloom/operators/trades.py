@@ -75,9 +75,9 @@ def trades_to_close(df: DataFrame, s: Series = S, entry: str = "entry", close: s
     key's future. Overlapping entries of one close are separate trades.
     """
     df = next_event(df, F.col(close) == 1, key=[s.key], ts=s.ts, name="close_ts")
-    until = s.ordered.rowsBetween(0, Window.unboundedFollowing)
-    rows = df.withColumn("_price_at", F.min(F.when(F.col(close) == 1, F.struct(s.ts, price))).over(s.ordered.rowsBetween(1, Window.unboundedFollowing)))
-    rows = rows.withColumn("_span", F.count(F.when(F.col(close) == 1, 1)).over(until))
+    back = Window.partitionBy(s.key).orderBy(F.desc(s.ts))
+    rows = df.withColumn("_price_at", F.min(F.when(F.col(close) == 1, F.struct(s.ts, price))).over(back.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("_span", F.count(F.when(F.col(close) == 1, 1)).over(back.rowsBetween(Window.unboundedPreceding, 0)))
     # Extremes from a row to the end of its span: the rows of a span end with the close itself.
     span = Window.partitionBy(s.key, "_span").orderBy(F.desc(s.ts)).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumns({"_max": F.max(price).over(span), "_min": F.min(price).over(span), "_left": F.row_number().over(Window.partitionBy(s.key, "_span").orderBy(F.desc(s.ts))) - 1, **{f"max_{c}": F.max(c).over(span) for c in largest}, **{f"mean_{c}": F.avg(c).over(span) for c in mean}})

@@ -178,7 +178,7 @@ e AS (SELECT key, ts, i, price, volume, n21 / d21 AS ema_21, n50 / d50 AS ema_50
 
 
 def averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.ema(E.ema(grid(spark, sf_dir), 21), 50)
+    return E.ema(grid(spark, sf_dir), (21, 50))
 
 
 @query(f"WITH {EMA} SELECT key, ts, {r6('ema_21', 'ema_21')}, {r6('ema_50', 'ema_50')} FROM e")
@@ -221,8 +221,14 @@ def target_before_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(L.target_before_close(crosses(spark, sf_dir), 0.5, 0.5, 48))
 
 
+def ema_sql(n: int) -> str:
+    """Exponential average of close over row numbers i: weights that grow by 1 / r a row, which doubles hold for the lengths of these tables."""
+    grow = f"pow({1 / (1 - 2 / (n + 1))!r}, i)"
+    return f"sum(close * {grow}) OVER {O} / sum({grow}) OVER {O}"
+
+
 _EVENT_BARS = HOURLY + f""",
-x AS (SELECT *, avg(close) OVER w21 AS ema_21, avg(close) OVER w50 AS ema_50, greatest(high - low, abs(high - coalesce(lag(close) OVER {O}, close)), abs(low - coalesce(lag(close) OVER {O}, close))) AS tr FROM bars WINDOW {w('w21', 21)}, {w('w50', 50)})"""
+x AS (SELECT *, {ema_sql(21)} AS ema_21, {ema_sql(50)} AS ema_50, greatest(high - low, abs(high - coalesce(lag(close) OVER {O}, close)), abs(low - coalesce(lag(close) OVER {O}, close))) AS tr FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts) AS i FROM bars))"""
 _EVENT = {
     "ema_spread": "(ema_21 - ema_50) / nullif(ema_50, 0)", "ema_spread_slope": f"((ema_21 - ema_50) - lag(ema_21 - ema_50, 6) OVER {O}) / nullif(6 * ema_50, 0)", "ema_distance": "(close - ema_50) / nullif(ema_50, 0)", "atr_share": "avg(tr) OVER w14 / nullif(close, 0)",
     "band_width": "4 * stddev_samp(close) OVER w20 / nullif(avg(close) OVER w20, 0)", "place_24": "(close - min(low) OVER w25) / nullif(max(high) OVER w25 - min(low) OVER w25, 0)", "choppiness_24": "ln(nullif(sum(tr) OVER w25 / nullif(max(high) OVER w25 - min(low) OVER w25, 0), 0)) * 100 / ln(24)",
@@ -230,13 +236,13 @@ _EVENT = {
 }
 
 
-def sma_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly(spark, sf_dir).withColumns({"ema_21": F.avg("close").over(R.S.rows(21)), "ema_50": F.avg("close").over(R.S.rows(50)), "ema_200": F.avg("close").over(R.S.rows(200))})
+def ema_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.ema(hourly(spark, sf_dir), (21, 50, 200), of="close")
 
 
 @query(f"WITH {_EVENT_BARS} SELECT key, ts, {', '.join(r6(v, k) for k, v in _EVENT.items())} FROM x WINDOW {w('w14', 14)}, {w('w20', 20)}, {w('w25', 25)}")
 def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(E.event_features(sma_bars(spark, sf_dir)), *_EVENT)
+    return out(E.event_features(ema_bars(spark, sf_dir)), *_EVENT)
 
 
 @query(f"""WITH {HOURLY}, ev AS (SELECT key, ts, close FROM bars WHERE hour(ts) = 10), lv AS (SELECT key, date_trunc('day', ts) AS known_ts, max(high) AS level FROM bars GROUP BY key, date_trunc('day', ts)),
@@ -261,22 +267,22 @@ _TF = {
 }
 
 
-@query(f"""WITH {HOURLY}, x AS (SELECT *, avg(close) OVER w21 AS ema_21, avg(close) OVER w50 AS ema_50, avg(close) OVER w200 AS ema_200, CASE WHEN lag(close) OVER {O} IS NOT NULL THEN greatest(high - low, abs(high - lag(close) OVER {O}), abs(low - lag(close) OVER {O})) END AS str FROM bars WINDOW {w('w21', 21)}, {w('w50', 50)}, {w('w200', 200)})
+@query(f"""WITH {HOURLY}, x AS (SELECT *, {ema_sql(21)} AS ema_21, {ema_sql(50)} AS ema_50, {ema_sql(200)} AS ema_200, CASE WHEN lag(close) OVER {O} IS NOT NULL THEN greatest(high - low, abs(high - lag(close) OVER {O}), abs(low - lag(close) OVER {O})) END AS str FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts) AS i FROM bars))
 SELECT key, ts, {', '.join(r6(v, k) for k, v in _TF.items())}, ema_21 > ema_50 AND ema_50 > ema_200 AS is_uptrend, coalesce(close > max(high) OVER p20, false) AS breaks_20, coalesce(close > max(high) OVER p50, false) AS breaks_50
 FROM x WINDOW {w('w14', 14)}, {w('w40', 40)}, {w('w120', 120)}, p20 AS (PARTITION BY key ORDER BY ts ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), p50 AS (PARTITION BY key ORDER BY ts ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)""")
 def strong_trend_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(E.trend_features(sma_bars(spark, sf_dir), 40, 120), *_TF, "is_uptrend", "breaks_20", "breaks_50")
+    return out(E.trend_features(ema_bars(spark, sf_dir), 40, 120), *_TF, "is_uptrend", "breaks_20", "breaks_50")
 
 
 _REGIME = DAILY + f""",
-x AS (SELECT *, avg(close) OVER w21 AS ema_21, avg(close) OVER w50 AS ema_50, avg(close) OVER w200 AS ema_200, CASE WHEN lag(close) OVER {O} IS NOT NULL THEN greatest(high - low, abs(high - lag(close) OVER {O}), abs(low - lag(close) OVER {O})) END AS str FROM daily WINDOW {w('w21', 21)}, {w('w50', 50)}, {w('w200', 200)}),
+x AS (SELECT *, {ema_sql(21)} AS ema_21, {ema_sql(50)} AS ema_50, {ema_sql(200)} AS ema_200, CASE WHEN lag(close) OVER {O} IS NOT NULL THEN greatest(high - low, abs(high - lag(close) OVER {O}), abs(low - lag(close) OVER {O})) END AS str FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts) AS i FROM daily)),
 y AS (SELECT *, ema_21 > ema_50 AND ema_50 > ema_200 AS up, avg(str) OVER w14 / nullif(close, 0) AS atr_share, close / nullif(first_value(close) OVER w30, 0) - 1 AS ret_month, volume / nullif(avg(volume) OVER w7, 0) AS spike, lag(ema_21) OVER {O} AS f0, lag(ema_50) OVER {O} AS s0 FROM x WINDOW {w('w7', 7)}, {w('w14', 14)}, {w('w30', 30)}),
 z AS (SELECT *, coalesce(up AND atr_share BETWEEN 0.01 AND 0.6 AND ret_month > -0.3 AND spike BETWEEN 0.2 AND 5, false) AS in_regime FROM y),
 sg AS (SELECT *, CASE WHEN coalesce(ema_21 > ema_50 AND f0 <= s0, false) AND in_regime THEN 1 ELSE 0 END AS entry, CASE WHEN coalesce(ema_21 < ema_50 AND f0 >= s0, false) OR coalesce(NOT up, false) OR coalesce(atr_share > 0.9, false) THEN 1 ELSE 0 END AS close_signal FROM z)"""
 
 
 def regime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = daily(spark, sf_dir).withColumns({f"ema_{n}": F.avg("close").over(R.S.rows(n)) for n in (21, 50, 200)})
+    d = E.ema(daily(spark, sf_dir), (21, 50, 200), of="close")
     return T.trend_regime(E.trend_features(d, 7, 30), atr_share=(0.01, 0.6), least_month=-0.3, volume=(0.2, 5.0), most_atr=0.9)
 
 
