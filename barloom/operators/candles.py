@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.expr import gated, null_if_zero, safe_div, safe_ln, strict_greatest, strict_least, zero
+from barloom.operators.frames import Frame, add_frames
 from barloom.operators.rolling import S, Series, zscore
 
 
@@ -107,22 +108,18 @@ def true_extremes(bars: DataFrame, windows: Iterable[int] = (24, 168), s: Series
     return bars.withColumns(out)
 
 
-def window_share_at_most(x: str, n: int, s: Series = S) -> Column:
-    """Share of the last n values of x, present ones only, that are at most the present value; null until there are n of them."""
-    values = F.collect_list(x).over(s.rows(n))
-    return F.when((F.size(values) >= n) & F.col(x).isNotNull(), F.size(F.filter(values, lambda v: v <= F.col(x))) / n)
-
-
 def compression(bars: DataFrame, n: int = 24, long: int = 720, s: Series = S) -> DataFrame:
-    """z-score of the relative range, its rank in n rows, and the rank of the average true range in a long window; from range_volatility()."""
-    return bars.withColumns({"range_z": _full(n, zscore("rel_span", s.rows(n))), "narrow_rank": window_share_at_most("rel_span", n, s), "squeeze_rank": window_share_at_most(f"atr_{n}", long, s)})
+    """z-score of the relative range, its rank in n rows, and the rank of the average true range in a long window; from range_volatility(). Ranks are shares of values that are at most
+    the present one, null until all of the frame are there."""
+    bars = bars.withColumn("range_z", _full(n, zscore("rel_span", s.rows(n))))
+    return add_frames(bars, [Frame("narrow_rank", "rel_span", n, "share_at_most"), Frame("squeeze_rank", f"atr_{n}", long, "share_at_most")], s)
 
 
 def since_high(bars: DataFrame, n: int = 168, s: Series = S) -> DataFrame:
-    """Rows since the last true high of n rows, over n; 0 is now."""
-    values = F.collect_list(F.coalesce("high", F.lit(-1.0))).over(s.rows(n))
-    back = F.array_position(F.reverse(values), F.array_max(values)) - 1
-    return bars.withColumn(f"since_high_{n}", F.when(F.size(values) >= n, back / n))
+    """Rows since the last true high of n rows, over n; 0 is now. A null high counts as -1."""
+    bars = bars.withColumns({"_high": F.coalesce("high", F.lit(-1.0)), "_full": F.row_number().over(s.ordered) >= n})
+    bars = add_frames(bars, [Frame("_since", "_high", n, "since_max")], s)
+    return bars.withColumn(f"since_high_{n}", F.when(F.col("_full"), F.col("_since") / n)).drop("_high", "_full", "_since")
 
 
 def inside_run(bars: DataFrame, most: int = 6, s: Series = S) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions.expr import null_if_zero, prefixed, safe_div
+from barloom.operators.frames import Frame, add_frames
+from barloom.operators.rolling import Series
 
 
 def median(x: str | Column, exact: bool = True) -> Column:
@@ -35,18 +37,21 @@ def over_time(ts: str = "ts") -> WindowSpec:
     return Window.partitionBy(F.lit(0)).orderBy(ts)
 
 
+def _as_series(per_ts: DataFrame, frames: list[Frame], ts: str) -> DataFrame:
+    """Frames over a table with one row per time, whatever the number of keys: one series, which one task reads batch by batch."""
+    return add_frames(per_ts.withColumn("_one", F.lit(0)), frames, Series("_one", ts)).drop("_one")
+
+
 def regime_z(per_ts: DataFrame, column: str = "univ_median_rv", n: int = 720, ts: str = "ts") -> DataFrame:
     """z-score of a per-time column over n rows, null until there are n."""
-    w = over_time(ts).rowsBetween(-(n - 1), 0)
-    z = safe_div(F.col(column) - F.avg(column).over(w), null_if_zero(F.stddev_samp(column).over(w)))
-    return per_ts.withColumn(f"{column}_z_{n}", F.when(F.count(column).over(w) == n, z))
+    rows = _as_series(per_ts, [Frame(f"_{what}", column, n, what) for what in ("mean", "std", "count")], ts)
+    z = safe_div(F.col(column) - F.col("_mean"), null_if_zero("_std"))
+    return rows.withColumn(f"{column}_z_{n}", F.when(F.col("_count") == n, z)).drop("_mean", "_std", "_count")
 
 
 def trailing_percentile(per_ts: DataFrame, column: str, n: int = 2160, ts: str = "ts") -> DataFrame:
     """Share of the other values of the last n rows that are smaller than the present one; null until there are n."""
-    w = over_time(ts).rowsBetween(-(n - 1), 0)
-    values = F.collect_list(column).over(w)
-    return per_ts.withColumn(f"{column}_pct_{n}", F.when((F.size(values) == n) & F.col(column).isNotNull(), F.size(F.filter(values, lambda v: v < F.col(column))) / (n - 1)))
+    return _as_series(per_ts, [Frame(f"{column}_pct_{n}", column, n, "share_below")], ts)
 
 
 def percent_ranks(df: DataFrame, columns: Sequence[str], ts: str = "ts") -> DataFrame:

@@ -43,6 +43,19 @@ class Series:
 
 S = Series()
 
+#: Frames of more rows than this go to frames.add_frames(), where a row's cost doesn't grow with them; shorter ones are cheaper as windows of Spark.
+LONG = 48
+_NATIVE = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
+
+
+def last_rows(df: DataFrame, wanted: Mapping[str, tuple[str, str, int]], s: Series = S) -> DataFrame:
+    """A column for each name: (mean, std, sum, max, min or count, column, n) of the last n rows."""
+    from barloom.operators.frames import Frame, add_frames  # which builds on this module
+
+    native = {name: _NATIVE[what](of).over(s.rows(n)) for name, (what, of, n) in wanted.items() if n <= LONG}
+    long = [Frame(name, of, n, what) for name, (what, of, n) in wanted.items() if n > LONG]
+    return add_frames(df.withColumns(native) if native else df, long, s)
+
 
 def returns(df: DataFrame, s: Series = S, price: str = "price") -> DataFrame:
     """ret, logret (null unless both prices are positive) and the return before."""
@@ -52,7 +65,7 @@ def returns(df: DataFrame, s: Series = S, price: str = "price") -> DataFrame:
 
 
 def mean_std(df: DataFrame, windows: Iterable[int] = (4, 12, 24, 48, 72, 168), s: Series = S, of: str = "ret", prefix: str = "") -> DataFrame:
-    return df.withColumns({f"{prefix}{name}_{n}": f(of).over(s.rows(n)) for n in windows for name, f in (("mean", F.avg), ("std", F.stddev_samp))})
+    return last_rows(df, {f"{prefix}{what}_{n}": (what, of, n) for n in windows for what in ("mean", "std")}, s)
 
 
 def realized_vol(df: DataFrame, windows: Iterable[int] = (4, 12, 24, 48, 72, 168), s: Series = S) -> DataFrame:
@@ -86,7 +99,7 @@ FIBONACCI = (5, 8, 13, 21, 34, 55, 89, 144, 233, 377, 610)
 def moving_averages(df: DataFrame, windows: Iterable[int] = (6, 12, 24, 26, 72, 168), s: Series = S, price: str = "price", macd: tuple[int, int] | None = (12, 26), spread: tuple[int, int] | None = (6, 24)) -> DataFrame:
     """sma_n, distance of the price to it, and on request a fast less slow average and a difference of distances."""
     windows = tuple(windows)
-    df = df.withColumns({f"sma_{n}": F.avg(price).over(s.rows(n)) for n in windows})
+    df = last_rows(df, {f"sma_{n}": ("mean", price, n) for n in windows}, s)
     df = df.withColumns({f"dist_sma_{n}": safe_div(price, f"sma_{n}") - 1 for n in windows})
     if macd:
         df = df.withColumn(f"macd_{macd[0]}_{macd[1]}", F.col(f"sma_{macd[0]}") - F.col(f"sma_{macd[1]}"))
@@ -102,11 +115,12 @@ def slopes(df: DataFrame, columns: Sequence[str], lag: int, s: Series = S) -> Da
 
 def extremes(df: DataFrame, windows: Iterable[int] = (4, 12, 24, 48, 168), s: Series = S, price: str = "price") -> DataFrame:
     """Distance to the high (the drawdown) and to the low, and the place in the range."""
-    out = {}
+    out, windows = {}, tuple(windows)
+    df = last_rows(df, {f"_{what}_{n}": (what, price, n) for n in windows for what in ("max", "min")}, s)
     for n in windows:
-        high, low = F.max(price).over(s.rows(n)), F.min(price).over(s.rows(n))
+        high, low = F.col(f"_max_{n}"), F.col(f"_min_{n}")
         out |= {f"dist_high_{n}": safe_div(price, high) - 1, f"dist_low_{n}": safe_div(price, low) - 1, f"range_place_{n}": safe_div(F.col(price) - low, null_if_zero(high - low))}
-    return df.withColumns(out)
+    return df.withColumns(out).drop(*[f"_{what}_{n}" for n in windows for what in ("max", "min")])
 
 
 def breakouts(df: DataFrame, windows: Iterable[int] = (24,), s: Series = S, price: str = "price") -> DataFrame:
@@ -190,16 +204,17 @@ def vwap(df: DataFrame, windows: Iterable[int] = (4, 24), s: Series = S, price:
 
 def liquidity(df: DataFrame, n: int = 24, s: Series = S, price: str = "price", volume: str = "volume") -> DataFrame:
     """Amihud by unit and by dollar volume, Roll's effective spread in basis points, and dollar volume sum, variation, minimum and tenth percentile."""
+    from barloom.operators.frames import Frame, add_frames
+
     df = df.withColumn("dollar_volume", zero(volume) * zero(price))
     w = s.rows(n)
     moved = F.abs(zero("ret"))
     cov = F.covar_samp(zero("ret"), F.col("prev_ret")).over(w)
-    values = F.array_sort(F.collect_list("dollar_volume").over(w))
+    df = add_frames(df, [Frame(f"dollar_volume_p10_{n}", "dollar_volume", n, "kth", 0.1)], s)
     return df.withColumns({
         f"amihud_{n}": F.avg(safe_div(moved, volume)).over(w), f"dollar_amihud_{n}": F.avg(safe_div(moved, "dollar_volume")).over(w),
         f"spread_bps_{n}": F.when(cov < 0, 2 * F.sqrt(-cov) * 10_000).otherwise(0.0), f"dollar_volume_{n}": F.sum("dollar_volume").over(w),
         f"dollar_volume_cv_{n}": safe_div(F.stddev_samp("dollar_volume").over(w), F.avg("dollar_volume").over(w)), f"dollar_volume_min_{n}": F.min("dollar_volume").over(w),
-        f"dollar_volume_p10_{n}": F.element_at(values, F.floor((F.size(values) - 1) * 0.1).cast("int") + 1),
     })
 
 
@@ -237,9 +252,9 @@ def trend_state(df: DataFrame, n: int) -> DataFrame:
 
 def log_gaps(df: DataFrame, n: int = 720, s: Series = S) -> DataFrame:
     """Distance of the cumulative log return from its highest and lowest value of n rows; null until there are n."""
-    df = df.withColumn("_cum", F.sum(zero("logret")).over(s.past))
-    w = s.rows(n)
-    return df.withColumns({f"log_gap_high_{n}": gated(F.col("_cum") - F.max("_cum").over(w), w, n), f"log_gap_low_{n}": gated(F.col("_cum") - F.min("_cum").over(w), w, n)}).drop("_cum")
+    df = df.withColumns({"_cum": F.sum(zero("logret")).over(s.past), "_full": F.row_number().over(s.ordered) >= n})
+    df = last_rows(df, {"_high": ("max", "_cum", n), "_low": ("min", "_cum", n)}, s)
+    return df.withColumns({f"log_gap_{k}_{n}": F.when(F.col("_full"), F.col("_cum") - F.col(f"_{k}")) for k in ("high", "low")}).drop("_cum", "_full", "_high", "_low")
 
 
 def band_widths(df: DataFrame, windows: Iterable[int] = (24, 168), s: Series = S, price: str = "price") -> DataFrame:
@@ -377,14 +392,14 @@ def horizons(df: DataFrame, windows: Iterable[int] = (336, 720), gap: int = 2160
     """Long returns, drawdowns and distances to averages, gaps to highs, and how long ago the record high was; null until the window is full."""
     df = df.withColumns({"_i": F.row_number().over(s.ordered), "_cum": F.sum(zero("logret")).over(s.past), "_record": F.max(price).over(s.past)})
     full = lambda n, x: F.when(F.col("_i") >= n, x)
-    out = {}
+    out, windows = {}, tuple(windows)
+    df = last_rows(df, {f"_{what}_{n}": (what, price, n) for n in windows for what in ("max", "mean")} | {"_gap": ("max", "_cum", gap)}, s)
     for n in windows:
-        w = s.rows(n)
         cum = F.col("_cum") - F.coalesce(F.lag("_cum", n).over(s.ordered), F.lit(0.0))
-        out |= {f"cumret_{n}": full(n, F.exp(cum) - 1), f"drawdown_{n}": full(n, safe_div(price, F.max(price).over(w)) - 1), f"dist_sma_{n}": full(n, safe_div(price, F.avg(price).over(w)) - 1)}
-    out |= {f"log_gap_high_{gap}": full(gap, F.col("_cum") - F.max("_cum").over(s.rows(gap))), "log_gap_record": F.col("_cum") - F.max("_cum").over(s.past)}
+        out |= {f"cumret_{n}": full(n, F.exp(cum) - 1), f"drawdown_{n}": full(n, safe_div(price, f"_max_{n}") - 1), f"dist_sma_{n}": full(n, safe_div(price, f"_mean_{n}") - 1)}
+    out |= {f"log_gap_high_{gap}": full(gap, F.col("_cum") - F.col("_gap")), "log_gap_record": F.col("_cum") - F.max("_cum").over(s.past)}
     out["record_age"] = F.when(F.col("_i") > 1, safe_div(F.col("_i") - F.max(F.when(F.col(price) >= F.col("_record"), F.col("_i"))).over(s.past), F.col("_i") - 1))
-    return df.withColumns(out).drop("_i", "_cum", "_record")
+    return df.withColumns(out).drop("_i", "_cum", "_record", "_gap", *[f"_{what}_{n}" for n in windows for what in ("max", "mean")])
 
 
 def quality_features(df: DataFrame, s: Series = S, pullback: int = 720, align: int = 168, up: int = 72) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.functions.expr import rounded
 from barloom.operators import bars as B
 from barloom.operators import rolling as R
+from barloom.operators.frames import Frame, add_frames, running
 from barloom.plans.adapters import DAILY, DAILY_RETURNS, GRID, HOURLY, RETURNS, TICKS, daily, daily_grid, grid, hourly, hours, load, prior, r6, ticks, w
 from barloom.plans.registry import query
 
@@ -510,3 +511,19 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks to hourly bars, a filled grid, returns, cumulative returns, breakouts and completeness."""
     df = R.completeness(R.breakouts(R.cumulative_return(base(spark, sf_dir), (24,))), (24,))
     return out(df, *FLAGSHIP, "has_24")
+
+
+_ONE = TICKS + """,
+one AS (SELECT event_id, ts, price, volume, sum(volume) OVER o AS total, max(price) OVER o AS record, row_number() OVER o AS i FROM ticks WINDOW o AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+_ONE_FRAMES = {"mean_500": "avg(price) OVER w500", "std_500": "stddev_samp(price) OVER w500", "high_2000": "max(price) OVER w2000", "low_2000": "min(price) OVER w2000", "place_500": "CASE WHEN i >= 500 THEN list_count(list_filter(list(price) OVER w500, lambda v: v <= price)) / 500 END"}
+
+
+@query(f"""WITH {_ONE} SELECT event_id, ts, {', '.join(r6(v, k) for k, v in _ONE_FRAMES.items())}, {r6('total', 'total')}, {r6('record', 'record')} FROM one
+WINDOW w500 AS (ORDER BY ts, event_id ROWS BETWEEN 499 PRECEDING AND CURRENT ROW), w2000 AS (ORDER BY ts, event_id ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)""")
+def one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ticks as one series, which is split over tasks by blocks with halos; running values go on from chunk to chunk."""
+    wanted = [Frame("mean_500", "price", 500, "mean"), Frame("std_500", "price", 500, "std"), Frame("high_2000", "price", 2000, "max"), Frame("low_2000", "price", 2000, "min"), Frame("place_500", "price", 500, "share_at_most")]
+    s = R.Series("series", "ts")
+    rows = running(ticks(spark, sf_dir).withColumn("series", F.lit(0)), {"total": "volume"}, {"record": "price"}, s, ["event_id"])
+    rows = add_frames(rows, wanted, s, ["event_id"], split=5000)
+    return rounded(rows.select("event_id", "ts", *_ONE_FRAMES, "total", "record"))
