@@ -8,6 +8,7 @@ A window is a string of length bytes. Each byte of a window that also starts ear
 3. Pieces that differ but share a key are cut from their texts and dealt by key, in document order. A task takes them in batches. Each batch gets a suffix array,
    which is merge-scanned against the levels of its index: sorted arrays of the distinct windows so far. What isn't found becomes a new level, and levels of about equal size
    merge, so there are logarithmically many. Windows are compared byte by byte.
+   Many pieces of one key are dealt in two parts first: windows that hold what follows the anchor, by anchor and that, and the others, which hold what stands before it, by both.
 4. A key with very many different pieces is cut to single windows, which are grouped by hash like the pieces of step 2.
 
 Documents are ordered by identifier; texts of one identifier that differ are documents of their own, in the order of a hash.
@@ -27,9 +28,11 @@ from barloom.llm.common import join_counted, persisted, superseded
 from barloom.llm.near_dedup import byte_keys, mix, powers
 
 #: Bytes of texts that are hashed at once; a longer text is cut into stretches whose windows overlap in nothing but bytes. Places take 24 bits.
-CHUNK, PLACE = 1 << 22, np.uint64((1 << 24) - 1)
-#: A key with more different pieces than this is cut to windows. Pieces of one batch, and of one task on average.
-MOST_PIECES, BATCH, PER_TASK = 1 << 14, 1 << 13, 1 << 16
+CHUNK, PLACE = 1 << 20, np.uint64((1 << 24) - 1)
+#: Pieces of a key with more different ones than WIDE are dealt by what stands beside the anchor, too; those of a key with more than MOST_PIECES are cut to windows.
+WIDE, MOST_PIECES = 64, 1 << 14
+#: Pieces of one batch, and of one task on average.
+BATCH, PER_TASK = 1 << 13, 1 << 16
 #: Windows that are compared at once in a merge scan.
 SCAN = 1 << 15
 #: Comes after every identifier.
@@ -151,13 +154,35 @@ def _piece_rows(length: int):
 _STRINGS = "key bigint, content bigint, id bigint, version int, start int, n int, string binary"
 
 
+def _beside(text: bytes, start: int, n: int, key: int, length: int) -> list[tuple[int, int, int]]:
+    """(key, start, windows) of the two parts of a piece: windows that hold the size bytes behind the anchor, and those that hold as many before it. size is a third of length at most."""
+    size = _anchor(length)
+    raw = np.frombuffer(text, np.uint8)[start : start + n + length - 1]
+    up, down = powers(len(raw))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(byte_keys(raw) * up)])
+    hash_of = lambda i, k: mix((total[i + k] - total[i]) * down[i])
+    anchor = int(np.argmax(hash_of(np.arange(len(raw) - size + 1), size).view(np.int64) == key))
+    first = min(max(anchor - (length - 2 * size), 0), n)  # from here on windows reach over what follows
+    out = []
+    if first < n:
+        out.append((hash_of(np.array([anchor]), 2 * size), first, n - first))
+    if first > 0:
+        out.append((mix(hash_of(np.array([anchor - size]), 2 * size)), 0, first))
+    return [(int(h.view(np.int64)[0]), start + at, windows) for h, at, windows in out]
+
+
 def _strings(length: int):
-    """The bytes of the wanted pieces; of hot ones, the hash of every window in place of its bytes."""
+    """The bytes of the wanted pieces, wide ones in two parts; of hot ones, the hash of every window in place of its bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in range(b.num_rows):
                 text, wanted = b.column("raw")[row].as_py(), b.column("wanted")[row].values
-                start, n, key, hot = (wanted.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n", "key", "hot"))
+                start, n, key, hot, wide = (wanted.field(c).to_numpy(zero_copy_only=False) for c in ("start", "n", "key", "hot", "wide"))
+                if (wide & ~hot).any():
+                    parts = [p for k in np.flatnonzero(wide & ~hot).tolist() for p in _beside(text, int(start[k]), int(n[k]), int(key[k]), length)]
+                    rest = hot | ~wide
+                    key, start, n = (np.concatenate([x[rest], np.array(y, x.dtype)]) for x, y in zip((key, start, n), zip(*parts)))
+                    hot = np.concatenate([hot[rest], np.zeros(len(parts), bool)])
                 raw, cold = np.frombuffer(text, np.uint8), np.flatnonzero(~hot)
                 strings = [text[i : i + k + length - 1] for i, k in zip(start[cold].tolist(), n[cold].tolist())]
                 content = np.zeros(len(cold), np.int64)
@@ -299,10 +324,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     copies = _later(rows)
     # Keys with several kinds of pieces; the earliest of each kind goes to the suffix arrays.
     kinds = persisted(rows.groupBy("key", "content").agg(F.min(F.struct("id", "version", "start", "n")).alias("at")).select("key", "at.*"))
-    mixed = persisted(kinds.groupBy("key").agg(F.count("*").alias("n"), F.lit(None).cast("int").alias("none")).where(F.col("n") > 1).select(F.col("key").alias("k"), "n", (F.col("n") > MOST_PIECES).alias("hot")))
+    mixed = persisted(kinds.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(F.col("key").alias("k"), "n", (F.col("n") > MOST_PIECES).alias("hot"), (F.col("n") > WIDE).alias("wide")))
     total = mixed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     wanted = join_counted(kinds.withColumnRenamed("n", "windows"), mixed, lambda x: F.col("key") == x["k"], total)
-    wanted = persisted(wanted.groupBy("id", "version").agg(F.collect_list(F.struct("start", F.col("windows").alias("n"), "key", "hot")).alias("wanted")))
+    wanted = persisted(wanted.groupBy("id", "version").agg(F.collect_list(F.struct("start", F.col("windows").alias("n"), "key", "hot", "wide")).alias("wanted")))
     superseded(rows, kinds, mixed)
     texts = base.hint("merge").join(wanted.withColumnsRenamed({"id": "i", "version": "v"}), (F.col("id") == F.col("i")) & (F.col("version") == F.col("v")))
     strings = persisted(texts.select("id", "version", "raw", "wanted").mapInArrow(_strings(length), _STRINGS).dropDuplicates(["id", "version", "start"]))

@@ -68,6 +68,9 @@ def test_hot_keys_and_small_batches(spark, monkeypatch):
     monkeypatch.setattr(sd, "BATCH", 8)
     monkeypatch.setattr(sd, "SCAN", 16)
     check(spark, rows, 60)
+    monkeypatch.setattr(sd, "WIDE", 2)
+    for length in (60, 50):
+        check(spark, rows, length)
     monkeypatch.setattr(sd, "MOST_PIECES", 5)
     check(spark, rows, 60)
 
