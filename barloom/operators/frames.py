@@ -12,18 +12,23 @@ Tasks hold a batch of rows and one halo.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from barloom.operators.rolling import S, Series
 
+# What runs in tasks travels by value, so that executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Rows that are worked on at once, for each row of the longest frame and at least.
 TIMES, LEAST = 3, 8192
 KINDS = ("count", "sum", "mean", "std", "max", "min", "since_max", "share_at_most", "share_below", "kth")

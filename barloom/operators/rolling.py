@@ -43,8 +43,8 @@ class Series:
 
 S = Series()
 
-#: Frames of more rows than this go to frames.add_frames(), where a row's cost doesn't grow with them; shorter ones are cheaper as windows of Spark.
-LONG = 48
+#: With a frame of more rows than this, all go to frames.add_frames(), where a row's cost doesn't grow with them; shorter ones are left to Spark's windows.
+LONG = 12
 _NATIVE = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
 
 
@@ -52,9 +52,9 @@ def last_rows(df: DataFrame, wanted: Mapping[str, tuple[str, str, int]], s: Seri
     """A column for each name: (mean, std, sum, max, min or count, column, n) of the last n rows."""
     from barloom.operators.frames import Frame, add_frames  # which builds on this module
 
-    native = {name: _NATIVE[what](of).over(s.rows(n)) for name, (what, of, n) in wanted.items() if n <= LONG}
-    long = [Frame(name, of, n, what) for name, (what, of, n) in wanted.items() if n > LONG]
-    return add_frames(df.withColumns(native) if native else df, long, s)
+    if all(n <= LONG for _, _, n in wanted.values()):
+        return df.withColumns({name: _NATIVE[what](of).over(s.rows(n)) for name, (what, of, n) in wanted.items()})
+    return add_frames(df, [Frame(name, of, n, what) for name, (what, of, n) in wanted.items()], s)
 
 
 def returns(df: DataFrame, s: Series = S, price: str = "price") -> DataFrame:
