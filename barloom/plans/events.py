@@ -11,6 +11,7 @@ from barloom.operators import labels as L
 from barloom.operators import levels as V
 from barloom.operators import patterns as P
 from barloom.operators import rolling as R
+from barloom.operators import sketches as K
 from barloom.operators import sampling as A
 from barloom.operators import sessions as Z
 from barloom.operators import trades as T
@@ -451,6 +452,18 @@ def distribution_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(P.distribution_features(shaped(spark, sf_dir), least_rows=100).select("key", "n", *_PF))
 
 
+_MERGED = {"median_close": "quantile_disc(close, 0.5)", "p01_close": "quantile_disc(close, 0.01)", "p99_close": "quantile_disc(close, 0.99)", "median_volume": "quantile_disc(volume, 0.5)", "p95_span": "quantile_disc(span, 0.95)"}
+
+
+@query(f"""WITH {PATTERN.replace('FROM bars)', "FROM (SELECT * FROM bars WHERE ts >= TIMESTAMP '1993-01-01' AND ts < TIMESTAMP '1996-07-01'))", 1)}
+SELECT key, n, {', '.join(r6(c, c) for c in ('std_close', 'max_to_min', 'mean_span', 'green_share', 'tiny_move_share', 'turn_share', 'zero_volume_share'))}, {', '.join(r6(f'(SELECT {x} FROM p2 WHERE p2.key = p3.key)', c) for c, x in _MERGED.items())} FROM (SELECT *, max_close / nullif(min_close, 0) AS max_to_min FROM p3) p3""")
+def merged_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of some years from monthly states with quantile sketches, which are exact for so few rows of a key."""
+    states = K.period_states(shaped(spark, sf_dir), "month")
+    found = K.distribution_of(states, since=F.lit("1993-01-01").cast("timestamp"), until=F.lit("1996-07-01").cast("timestamp"), least_rows=100)
+    return rounded(found.select("key", "n", "std_close", "max_to_min", "mean_span", "green_share", "tiny_move_share", "turn_share", "zero_volume_share", *_MERGED))
+
+
 # The patterns' conditions, stated here for themselves.
 _TESTS = {
     "decay": "max_to_min >= 10 AND green_share <= 0.35 AND p01_close / nullif(max_close, 0) <= 0.15",
