@@ -255,11 +255,11 @@ def nearest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(E.nearest_levels(b.where(F.hour("ts") == 10).select("key", "ts", "close"), levels), "resistance_distance", "support_distance")
 
 
-@query(f"""WITH {HOURLY}, x AS (SELECT key, ts, CASE WHEN hour(ts) % 4 = 0 THEN NULL WHEN key = 'view' THEN NULL ELSE close END AS v FROM bars), o AS (SELECT key, median(v) AS m FROM x GROUP BY key), a AS (SELECT median(v) AS m FROM x)
+@query(f"""WITH {HOURLY}, x AS (SELECT key, ts, CASE WHEN hour(ts) % 4 = 0 THEN NULL WHEN key = 'view' THEN NULL ELSE close END AS v FROM bars), o AS (SELECT key, quantile_disc(v, 0.5) AS m FROM x GROUP BY key), a AS (SELECT quantile_disc(v, 0.5) AS m FROM x)
 SELECT x.key, x.ts, {r6('coalesce(v, o.m, a.m, 0)', 'v')} FROM x JOIN o USING (key) CROSS JOIN a""")
 def imputed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = hourly(spark, sf_dir).withColumn("v", F.when((F.hour("ts") % 4 != 0) & (F.col("key") != "view"), F.col("close")))
-    return out(E.impute_medians(x.select("key", "ts", "v"), ["v"], exact=True), "v")
+    return out(E.impute_medians(x.select("key", "ts", "v"), ["v"]), "v")
 
 
 _TF = {
