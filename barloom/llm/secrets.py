@@ -4,13 +4,15 @@ Known formats are found by pattern. Other secrets are found by how random they a
 characters outside those, that mixes letters with digits or small letters with capitals, gets an inferred encoding (hex, base32, lower-case base36 or
 base64), and three tests of "independent uniform symbols of that alphabet": chi-squared on the counts of symbols and, as short tokens
 have few of each, of kinds of symbols (capitals, small letters, digits and signs); a runs test about the middle of the alphabet; and lag-1
-serial correlation. Fisher's method joins the three p-values, unless the least of them says more (Bonferroni's). Over the whole corpus, and separately in every class of length and
-of tokens with and without digits (short tokens give weak tests, so they must not share a cut with long ones), the Benjamini-Hochberg rule at
-level q picks the tokens that are proven not random; a token that stays and carries enough bits is reported as random. So of truly random tokens
-about a share q at most is lost. What share of the reported ones is ordinary isn't bounded by the rule; the tests measure it on paths, identifiers, UUIDs
-and words. Encoded data of high entropy counts as random.
+serial correlation. Fisher's method joins the three p-values, unless the least of them says more (Bonferroni's).
 
-The texts are read once; spans and scores go to a narrow table. The cuts come from a histogram of p-values, so the table that is broadcast has one row for
+False discoveries are controlled over the whole corpus, separately in every class of length and
+of tokens with and without digits (short tokens give weak tests, so they must not share a cut with long ones): ordinary tokens have small p-values, so the tokens with large ones, where
+EVIDENCE of random tokens lie, say how many random ones there are (Storey's estimate). How the battery's p-values of random tokens are distributed is measured on CALIBRATION tokens of each class
+that are drawn uniformly. A class reports the tokens below the largest cut at which at most a share q of them is estimated to be ordinary, and that carry enough bits. The tests
+measure the share on paths, identifiers, UUIDs and words. Encoded data of high entropy counts as random.
+
+The texts are read once; places and scores go to a narrow table, which never holds a secret itself. The cuts come from a histogram of p-values, so the table that is broadcast has one row for
 each class.
 """
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import let, persisted
@@ -43,6 +45,8 @@ KINDS_AT = {"hex": (0, 10, 16), "base32": (0, 26, 32), "base36": (0, 10, 36), "b
 LENGTH_CLASSES = (24, 32, 48, 64, 128)
 #: Matches that are folded into one array at once.
 PART = 256
+#: Random tokens of each class that are drawn, and the share of random tokens that counts as evidence.
+CALIBRATION, EVIDENCE = 1024, 0.8
 #: Histogram bins for each unit of -ln p, and the largest -ln p that is told apart.
 BINS, MOST = 20, 600
 
@@ -194,22 +198,39 @@ def token_class(symbols: Column, value: Column) -> Column:
     return out + F.when(value.rlike("[0-9]"), 0).otherwise(len(LENGTH_CLASSES) + 1)
 
 
-def not_random_cuts(tested: DataFrame, q: float) -> DataFrame:
-    """(class, cut) from (class, log_p): tokens with log_p >= cut are proven not random at false-discovery rate q within their class.
+def random_tokens(spark: SparkSession) -> DataFrame:
+    """(class, value): CALIBRATION tokens of every class, of independent uniform symbols of base64, without digits in the classes of such tokens."""
+    ends = [19, *LENGTH_CLASSES, 2 * LENGTH_CLASSES[-1]]
+    n = len(LENGTH_CLASSES) + 1
+    number = F.col("id") % n
+    low, high = (F.element_at(F.array(*[F.lit(x) for x in xs]), (number + 1).cast("int")) for xs in (ends[:-1], ends[1:]))
+    length = low + 1 + F.pmod(F.xxhash64("id"), high - low)
+    every = ALPHABETS["base64"]
+    letters = "".join(c for c in every if not c.isdigit())
+    draw = lambda symbols: F.array_join(F.transform(F.sequence(F.lit(1), length.cast("int")), lambda k: F.substring(F.lit(symbols), (F.pmod(F.xxhash64(F.lit(7), "id", k), F.lit(len(symbols))) + 1).cast("int"), 1)), "")
+    plain = F.floor(F.col("id") / n) % 2 == 0
+    return spark.range(2 * n * CALIBRATION).select(F.when(plain, number).otherwise(number + n).cast("int").alias("class"), F.when(plain, draw(every)).otherwise(draw(letters)).alias("value"))
+
+
+def report_cuts(tested: DataFrame, drawn: DataFrame, q: float) -> DataFrame:
+    """(class, cut) from (class, log_p) of the tokens and of random ones: below cut at most a share q of a class's tokens is estimated to be ordinary. Classes without such a cut have no row.
 
-    Works on counts by class and bin of log_p: at most (classes) x (BINS * MOST) rows reach the window. A bin counts with
-    its largest p-value, so the rate is held.
+    Works on counts by class and bin of log_p: at most (classes) x (BINS * MOST) rows reach the windows.
     """
-    binned = tested.select("class", F.floor(F.least(F.col("log_p"), F.lit(float(MOST))) * BINS).cast("int").alias("bin"))
-    counts = binned.groupBy("class", "bin").count()
+    binned = lambda df, name: df.select("class", F.floor(F.least(F.col("log_p"), F.lit(float(MOST))) * BINS).cast("int").alias("bin")).groupBy("class", "bin").agg(F.count("*").alias(name))
+    counts = binned(tested, "seen").join(binned(drawn, "random"), ["class", "bin"], "full")
     by_class = Window.partitionBy("class")
-    ranked = counts.withColumn("rank", F.sum("count").over(by_class.orderBy(F.desc("bin")))).withColumn("total", F.sum("count").over(by_class))
-    passed = ranked.where(F.exp(-F.col("bin") / F.lit(float(BINS))) <= q * F.col("rank") / F.col("total"))
-    return passed.groupBy("class").agg((F.min("bin") / F.lit(float(BINS))).alias("cut"))
+    up = by_class.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    rows = counts.withColumns({"seen": F.coalesce(F.sum("seen").over(up), F.lit(0)), "random": F.coalesce(F.sum("random").over(up), F.lit(0)), "all": F.coalesce(F.sum("random").over(by_class), F.lit(0))})
+    is_evidence = F.col("random") <= EVIDENCE * F.col("all")
+    rows = rows.withColumns({"evidence": F.max(F.when(is_evidence, F.col("seen"))).over(by_class), "weight": F.max(F.when(is_evidence, F.col("random"))).over(by_class)})
+    estimate = F.try_divide(F.col("evidence") * F.col("random"), F.col("weight"))
+    passed = rows.where((F.col("seen") > 0) & (estimate >= (1 - q) * F.col("seen")))
+    return passed.groupBy("class").agg(((F.max("bin") + 1) / F.lit(float(BINS))).alias("cut"))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, q: float = 0.05, least_bits: float = 96.0) -> DataFrame:
-    """(id_col, spans array<struct<kind, start, stop, value>>) for every row, in order of start, then of KINDS.
+    """(id_col, spans array<struct<kind, start, stop>>) for every row, in order of start, then of KINDS; code points, stop exclusive.
 
     Pattern spans always stay; random spans are added where they overlap none of them. Null text counts as
     empty and has no spans. Repeated rows and null identifiers get their own result row. An empty table gives an empty result;
@@ -218,7 +239,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
 
     def tagged(name: str, spans: Column) -> Column:
-        return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(name)).alias("k"), x["stop"].alias("stop"), x["value"].alias("value")))
+        return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(KINDS.index(name)).alias("k"), x["stop"].alias("stop")))
 
     known = base.select(
         "id",
@@ -227,19 +248,20 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
     def scored(x: Column) -> Column:
-        return let(battery(x["value"]), lambda b: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value"), token_class(b["symbols"], x["value"]).alias("class"), b["log_p"].alias("log_p"), b["bits"].alias("bits")))
+        return let(battery(x["value"]), lambda b: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), token_class(b["symbols"], x["value"]).alias("class"), b["log_p"].alias("log_p"), b["bits"].alias("bits")))
 
     tokens = persisted(known.select("id", "known", F.transform(outside(F.col("tokens"), F.col("known")), scored).alias("tokens")))
     tested = tokens.select(F.explode("tokens").alias("x")).select("x.class", "x.log_p").where(F.col("log_p").isNotNull())
+    drawn = random_tokens(docs.sparkSession).select("class", battery(F.col("value"))["log_p"].alias("log_p"))
     # One row, with at most one cut for each class.
-    cuts = not_random_cuts(tested, q).agg(F.map_from_entries(F.collect_list(F.struct("class", "cut"))).alias("cuts"))
+    cuts = report_cuts(tested, drawn, q).agg(F.map_from_entries(F.collect_list(F.struct("class", "cut"))).alias("cuts"))
     judged = tokens.crossJoin(F.broadcast(cuts))
-    random = F.filter("tokens", lambda x: F.coalesce((x["bits"] >= least_bits) & (x["log_p"] < F.coalesce(F.col("cuts")[x["class"]], F.lit(float("inf")))), F.lit(False)))
+    random = F.filter("tokens", lambda x: F.coalesce((x["bits"] >= least_bits) & (x["log_p"] < F.coalesce(F.col("cuts")[x["class"]], F.lit(0.0))), F.lit(False)))
     spans = F.array_sort(F.concat("known", tagged("random", random)))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     return judged.select(
         F.col("id").alias(id_col),
-        F.transform(spans, lambda x: F.struct(kinds[x["k"]].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value"))).alias("spans"),
+        F.transform(spans, lambda x: F.struct(kinds[x["k"]].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"))).alias("spans"),
     )
 
 
