@@ -17,8 +17,9 @@ def trades_stream(bars: DataFrame, entry: Column, exit_: Column, *, stop: float
     """
     if exit_rule not in ("close", "level"):
         raise ValueError("exit_rule is 'close' or 'level'")
-    entries = bars.where(entry).select(s.key, F.col(s.ts).alias("entry_ts"), F.col("close").alias("entry_price"), F.col("low").alias("entry_low")).withWatermark("entry_ts", late)
-    later = bars.select(F.col(s.key).alias("_key"), F.col(s.ts).alias("_ts"), F.col("close").alias("_close"), F.col("high").alias("_high"), F.col("low").alias("_low"), exit_.alias("_exit")).withWatermark("_ts", late)
+    bars = bars.withWatermark(s.ts, late)  # before the filter: bars that are no entries move the entries' watermark on, too
+    entries = bars.where(entry).select(s.key, F.col(s.ts).alias("entry_ts"), F.col("close").alias("entry_price"), F.col("low").alias("entry_low"))
+    later = bars.select(F.col(s.key).alias("_key"), F.col(s.ts).alias("_ts"), F.col("close").alias("_close"), F.col("high").alias("_high"), F.col("low").alias("_low"), exit_.alias("_exit"))
     within = (F.col(s.key) == F.col("_key")) & (F.col("_ts") > F.col("entry_ts")) & (F.col("_ts") < F.col("entry_ts") + F.expr(f"INTERVAL {days} DAYS"))
     pairs = entries.join(later, within, "leftOuter")
     move = safe_div(F.col("_close") - F.col("entry_price"), "entry_price")

@@ -34,8 +34,9 @@ def test_stream_equals_batch(spark, tmp_path, rule, target):
     chunk = F.floor((F.unix_seconds("ts") - F.unix_seconds(F.lit(first))) / 3600 / (hours / 5))
     for k in range(5):  # in order of time, a file a batch
         df.where(chunk == k).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    far = spark.createDataFrame([("clock", 100.0)], "key string, close double").select("key", F.timestamp_seconds(F.unix_seconds(F.lit(first)) + 3600 * 2000).alias("ts"), "close", F.col("close").alias("high"), F.col("close").alias("low"))
-    far.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    for late in (2000, 2001):  # the watermark passes the last day, and a further batch sees it
+        far = spark.createDataFrame([("clock", 100.0)], "key string, close double").select("key", F.timestamp_seconds(F.unix_seconds(F.lit(first)) + 3600 * late).alias("ts"), "close", F.col("close").alias("high"), F.col("close").alias("low"))
+        far.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     query = trades_stream(stream, F.expr(ENTRY), F.expr(EXIT), **options).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
