@@ -21,12 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import persisted
+from barloom.llm.common import join_counted, persisted, superseded
 
 # Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
-DROPPED = frozenset("script style noscript template iframe svg canvas object embed form button input select textarea nav footer aside dialog menu head title audio video map".split())
+MARKUP = frozenset("script style noscript template iframe svg canvas object embed head title audio video map".split())
+DROPPED = MARKUP | frozenset("form button input select textarea nav footer aside dialog menu".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th caption figcaption summary address".split())
 BLOCKS = TEXT_BLOCKS | frozenset("html body div section article main header footer nav aside ul ol dl table thead tbody tfoot tr form fieldset figure details hr center".split())
 CUES = frozenset(
@@ -190,10 +191,15 @@ def _around_content(order: Order) -> set[int]:
     return {id(x) for x, _ in alive if size[id(x)] and (marked or 2 * size[id(x)] > total)}
 
 
-def _kept(order: Order, templates: frozenset[int] = frozenset()) -> tuple[set[int], set[int]]:
-    """id() of the elements that lie in nothing that drops them, given where the article is; and of those inside an article."""
+def _kept(order: Order, templates: frozenset[int] = frozenset(), names: bool = True) -> tuple[set[int], set[int]]:
+    """id() of the elements that lie in nothing that drops them, given where the article is; and of those inside an article. Without names recurrence alone decides."""
     inside: set[int] = set()
     kept: set[int] = {id(order[0][0])}
+    if not names:
+        for here, parent in order[1:]:
+            if id(parent) in kept and here.tag not in MARKUP and (here.digest not in templates or here.tag in ("body", "html")):
+                kept.add(id(here))
+        return kept, inside
     around = _around_content(order) if any(x.cued or x.outer_drop for x, _ in order) else set()
     for here, parent in order[1:]:
         if id(parent) in inside or here.tag in ("article", "main"):
@@ -267,48 +273,73 @@ def _digest(order: Order) -> None:
         here.digest = h.intdigest() - (1 << 63)
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, content, digest): every block-level subtree of a page, once, under a fingerprint of the page's text; article and main and the text blocks inside them aren't counted, as they stay."""
-    for b in batches:
-        hosts, contents, digests = [], [], []
-        host, page = b.column("host"), b.column("html")
-        for k in range(b.num_rows):
-            order = in_order(parse(page[k].as_py() or ""))
-            _digest(order)
-            kept, inside = _kept(order)
-            content = xxhash.xxh3_64_intdigest("\n".join(blocks_of(_main(order, kept), kept)).encode("utf-8", "surrogatepass")) - (1 << 63)
-            found = {
-                x.digest for x, p in order[1:]
-                if x.tag in BLOCKS and x.tag not in ("html", "body", "article", "main") and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS)
-            }
-            hosts += [host[k].as_py()] * len(found)
-            contents += [content] * len(found)
-            digests += found
-        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "content": pa.array(contents, pa.int64()), "digest": pa.array(digests, pa.int64())})
-
-
-def site_templates(pages: DataFrame, *, least_pages: int = 4, least_share: float = 0.01) -> DataFrame:
+def _text(order: Order, kept: set[int], names: bool) -> str:
+    return "\n\n".join(blocks_of(_main(order, kept) if names else [order[0][0]], kept))
+
+
+def _subtrees(names: bool):
+    """(host, page, content, digest): every block-level subtree of a page, once, under a fingerprint of the page's text; article and main and the text blocks inside them aren't counted, as they stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts, numbers, contents, digests = [], [], [], []
+            host, number, page = b.column("host"), b.column("page"), b.column("html")
+            for k in range(b.num_rows):
+                order = in_order(parse(page[k].as_py() or ""))
+                _digest(order)
+                kept, inside = _kept(order, names=names)
+                content = xxhash.xxh3_64_intdigest(_text(order, kept, names).encode("utf-8", "surrogatepass")) - (1 << 63)
+                whole = ("html", "body", "article", "main") if names else ("html", "body")
+                found = {x.digest for x, p in order[1:] if x.tag in BLOCKS and x.tag not in whole and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS)}
+                hosts += [host[k].as_py()] * len(found)
+                numbers += [number[k].as_py()] * len(found)
+                contents += [content] * len(found)
+                digests += found
+            yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "page": pa.array(numbers, pa.int64()), "content": pa.array(contents, pa.int64()), "digest": pa.array(digests, pa.int64())})
+
+    return run
+
+
+def _found(pages: DataFrame, names: bool) -> DataFrame:
+    """The distinct subtrees of (host, page, html); written, as pages are parsed here and several sums read it."""
+    return persisted(pages.where(F.col("host").isNotNull()).select("host", "page", "html").mapInArrow(_subtrees(names), "host string, page bigint, content bigint, digest bigint").distinct())
+
+
+def _recurring(found: DataFrame, least_pages: int, least_share: float) -> DataFrame:
+    """(host, digest, n): subtrees on n pages of different content of their host, where these are enough."""
+    contents = found.select("host", "content", "digest").distinct()
+    sizes = contents.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
+    counts = contents.groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    return counts.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "digest", "n")
+
+
+def site_templates(pages: DataFrame, *, least_pages: int = 4, least_share: float = 0.01, names: bool = True) -> DataFrame:
     """(host, templates array<bigint>) from (host, html): subtrees on at least least_pages pages of different content and that share of the host's.
 
     A host's array holds at most the mean number of subtrees of its pages / least_share.
     """
-    # Written, as pages are parsed here and both sums read it.
-    found = persisted(pages.where(F.col("host").isNotNull()).mapInArrow(_subtrees, "host string, content bigint, digest bigint").distinct())
-    sizes = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    counts = found.groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-    return counts.join(sizes, "host").where(F.col("n") >= least_share * F.col("pages")).groupBy("host").agg(F.collect_list("digest").alias("templates"))
+    found = _found(pages.withColumn("page", F.xxhash64("html")), names)
+    return _recurring(found, least_pages, least_share).groupBy("host").agg(F.collect_list("digest").alias("templates"))
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, least_pages: int = 4, least_share: float = 0.01) -> DataFrame:
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, least_pages: int = 4, least_share: float = 0.01, names: bool = True) -> DataFrame:
     """(id_col, url_col, text) for every page: its main text, blocks joined by two line breaks; "" where there is none.
 
     A page is read without what recurs on at least least_pages pages of different content, and that share of all pages, of its host; see above.
+    Without names no tag, role, class or marked article says anything: recurrence alone decides, and only scripts, styles, heads and media go besides.
     Null html counts as empty. Pages whose URL is null or has no host are read without a template. Repeated rows and null
     identifiers keep a row each. An empty table gives an empty result. Other columns are ignored.
+
+    A page meets the digests of its own templates only, joined by host and a hash of the page, so that neither a large host nor its list of
+    templates is a key or a value of that join. (Pages of one host that share a hash share their templates, which does no harm.)
     """
-    base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.lower(F.try_parse_url(F.col(url_col), F.lit("HOST"))).alias("host"))
-    # Written first, so that the join below deals both sides anew and can split the pages of a large host.
-    templates = persisted(site_templates(base.select("host", "html"), least_pages=least_pages, least_share=least_share))
+    base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.lower(F.try_parse_url(F.col(url_col), F.lit("HOST"))).alias("host")).withColumn("page", F.xxhash64("html"))
+    found = _found(base, names)
+    templates = persisted(_recurring(found, least_pages, least_share).select(F.col("host").alias("on_host"), F.col("digest").alias("template"), "n"))
+    met = join_counted(found.select("host", "page", "digest"), templates, lambda t: (F.col("host") == t["on_host"]) & (F.col("digest") == t["template"]), found.count())
+    # Written first, so that the join below deals both sides anew and can split what many copies of a page share.
+    own = persisted(met.groupBy("host", "page").agg(F.collect_set("digest").alias("templates")))
+    superseded(found, templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -318,10 +349,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 known = template[k].as_py()
                 if known:
                     _digest(order)
-                kept, _ = _kept(order, frozenset(known or ()))
-                texts.append("\n\n".join(blocks_of(_main(order, kept), kept)))
+                kept, _ = _kept(order, frozenset(known or ()), names)
+                texts.append(_text(order, kept, names))
             yield pa.RecordBatch.from_pydict({"id": b.column("id"), "url": b.column("url"), "text": pa.array(texts, pa.string())})
 
     kinds = dict(base.dtypes)
-    out = base.join(templates, "host", "left").select("id", "url", "html", "templates").mapInArrow(run, f"id {kinds['id']}, url string, text string")
+    out = base.join(own, ["host", "page"], "left").select("id", "url", "html", "templates").mapInArrow(run, f"id {kinds['id']}, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

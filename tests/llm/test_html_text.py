@@ -2,6 +2,7 @@ import random
 import re
 import time
 from collections import defaultdict
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
@@ -130,3 +131,71 @@ def test_query_returns_articles_whole(spark):
     rows = got.collect()
     assert len(rows) == 250 and all(r.n_chars == len(r.text) > 0 for r in rows)
     assert not any("<p>" in r.text or "track(" in r.text or "©" in r.text for r in rows)
+
+
+class Articles(HTMLParser):
+    """A twin of its own for the given pages: the text between <article> and </article> without what is marked as an advert, a form, comments or a list of links, read by the standard parser."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.gone, self.blocks, self.piece = 0, [], [], ""
+        self.feed(page)
+        self.close()
+
+    def cut(self):
+        if words := self.piece.split():
+            self.blocks.append(" ".join(words))
+        self.piece = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.depth += 1
+        if tag == "br":
+            self.piece += " "
+        elif tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.cut()
+        if self.gone:
+            self.gone += [tag] * (tag == self.gone[0])
+        elif tag in ("script", "style", "nav", "form", "aside", "footer") or {"ad", "comments", "share", "related"} & set((dict(attrs).get("class") or "").split()):
+            self.gone = [tag]
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.cut()
+        if self.gone and tag == self.gone[0]:
+            self.gone.pop()
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth > 0 and not self.gone:
+            self.piece += data
+
+
+def test_query_equals_another_parser(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()}
+    got = op9_html_text(spark, "/root/testdata/sf0.1").collect()
+    assert len(got) == len(pages) > 2000
+    assert [r.page_id for r in got if r.text != "\n\n".join(Articles(pages[r.page_id]).blocks)] == []
+
+
+def test_recurrence_alone_removes_templates_of_the_given_pages(spark):
+    """With all names off, removal changes pages, and a block of text only goes where at least four pages of its host hold it."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    host = {r.page_id: r.host for r in pages.select("page_id", F.lower(F.try_parse_url("url", F.lit("HOST"))).alias("host")).collect()}
+    whole = {r.page_id: r.text.split("\n\n") for r in extract_text(pages, names=False, least_pages=10**6).collect()}
+    found = {r.page_id: r.text.split("\n\n") for r in extract_text(pages, names=False).collect()}
+    on = defaultdict(int)
+    for k, blocks in whole.items():
+        for block in set(blocks):
+            on[host[k], block] += 1
+    lost = {k: set(blocks) - set(found[k]) for k, blocks in whole.items()}
+    assert sum(bool(x) for x in lost.values()) > 500
+    assert all(on[host[k], block] >= 4 for k, blocks in lost.items() for block in blocks)
+
+
+def test_pages_of_one_host_share_no_list_of_templates(spark):
+    """A page meets the digests that it holds itself, copies and pages of equal text included."""
+    page = lambda k, j: f"<body><div><p>Welcome {j}</p></div><div><p>Story {k}</p></div></body>"
+    rows = [(k, "http://a.example/", page(k, k % 5), None) for k in range(40)] + [(100 + k, "http://a.example/", page(7, 2), None) for k in range(30)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {**{k: f"Story {k}" for k in range(40)}, **{100 + k: "Story 7" for k in range(30)}}
