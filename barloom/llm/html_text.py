@@ -273,12 +273,29 @@ def _digest(order: Order) -> None:
         here.digest = h.intdigest() - (1 << 63)
 
 
-def _text(order: Order, kept: set[int], names: bool) -> str:
-    return "\n\n".join(blocks_of(_main(order, kept) if names else [order[0][0]], kept))
+def _tops(order: Order, kept: set[int], names: bool) -> list[Element]:
+    return _main(order, kept) if names else [order[0][0]]
+
+
+def _telling(order: Order, kept: set[int], tops: list[Element]) -> set[int]:
+    """id() of the elements without which the page may have another text: kept ones in the main text; all kept ones if an article could go with what holds it, as the main text is then elsewhere."""
+    holds, within = set(), {id(x) for x in tops}
+    for x, p in reversed(order):
+        if p is not None and (id(x) in holds or x.tag in ("article", "main")):
+            holds.add(id(p))
+    if any(id(x) in holds and id(x) in kept and x.tag not in ("html", "body", "article", "main") for x, _ in order[1:]):
+        return kept
+    for x, p in order[1:]:
+        if id(p) in within:
+            within.add(id(x))
+    return kept & within
 
 
 def _subtrees(names: bool):
-    """(host, page, content, digest): every block-level subtree of a page, once, under a fingerprint of the page's text; article and main and the text blocks inside them aren't counted, as they stay."""
+    """(host, page, content, digest): every block-level subtree of a page, once, under a fingerprint of the page's text; article and main and the text blocks inside them aren't counted, as they stay.
+
+    The page is null where the subtree counts for its host, but the page's text is the same without it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -288,11 +305,16 @@ def _subtrees(names: bool):
                 order = in_order(parse(page[k].as_py() or ""))
                 _digest(order)
                 kept, inside = _kept(order, names=names)
-                content = xxhash.xxh3_64_intdigest(_text(order, kept, names).encode("utf-8", "surrogatepass")) - (1 << 63)
+                tops = _tops(order, kept, names)
+                telling = _telling(order, kept, tops)
+                content = xxhash.xxh3_64_intdigest("\n".join(blocks_of(tops, kept)).encode("utf-8", "surrogatepass")) - (1 << 63)
                 whole = ("html", "body", "article", "main") if names else ("html", "body")
-                found = {x.digest for x, p in order[1:] if x.tag in BLOCKS and x.tag not in whole and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS)}
+                found: dict[int, int | None] = {}
+                for x, p in order[1:]:
+                    if x.tag in BLOCKS and x.tag not in whole and x.parts and not (id(p) in inside and x.tag in TEXT_BLOCKS):
+                        found[x.digest] = number[k].as_py() if id(x) in telling else found.get(x.digest)
                 hosts += [host[k].as_py()] * len(found)
-                numbers += [number[k].as_py()] * len(found)
+                numbers += found.values()
                 contents += [content] * len(found)
                 digests += found
             yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "page": pa.array(numbers, pa.int64()), "content": pa.array(contents, pa.int64()), "digest": pa.array(digests, pa.int64())})
@@ -301,8 +323,8 @@ def _subtrees(names: bool):
 
 
 def _found(pages: DataFrame, names: bool) -> DataFrame:
-    """The distinct subtrees of (host, page, html); written, as pages are parsed here and several sums read it."""
-    return persisted(pages.where(F.col("host").isNotNull()).select("host", "page", "html").mapInArrow(_subtrees(names), "host string, page bigint, content bigint, digest bigint").distinct())
+    """The subtrees of (host, page, html); written, as pages are parsed here and several sums read it."""
+    return persisted(pages.where(F.col("host").isNotNull()).select("host", "page", "html").mapInArrow(_subtrees(names), "host string, page bigint, content bigint, digest bigint"))
 
 
 def _recurring(found: DataFrame, least_pages: int, least_share: float) -> DataFrame:
@@ -330,13 +352,14 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     Null html counts as empty. Pages whose URL is null or has no host are read without a template. Repeated rows and null
     identifiers keep a row each. An empty table gives an empty result. Other columns are ignored.
 
-    A page meets the digests of its own templates only, joined by host and a hash of the page, so that neither a large host nor its list of
-    templates is a key or a value of that join. (Pages of one host that share a hash share their templates, which does no harm.)
+    A page meets the digests of those of its own templates that bear on its text, joined by host and a hash of the page: neither a large host nor its list of
+    templates is a key or a value of that join, and where pages mark their articles hardly any page has a partner. (Pages of one host that share a hash share their templates, which does no harm.)
     """
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.lower(F.try_parse_url(F.col(url_col), F.lit("HOST"))).alias("host")).withColumn("page", F.xxhash64("html"))
     found = _found(base, names)
     templates = persisted(_recurring(found, least_pages, least_share).select(F.col("host").alias("on_host"), F.col("digest").alias("template"), "n"))
-    met = join_counted(found.select("host", "page", "digest"), templates, lambda t: (F.col("host") == t["on_host"]) & (F.col("digest") == t["template"]), found.count())
+    telling = found.where(F.col("page").isNotNull()).select("host", "page", "digest")
+    met = join_counted(telling, templates, lambda t: (F.col("host") == t["on_host"]) & (F.col("digest") == t["template"]), telling.count())
     # Written first, so that the join below deals both sides anew and can split what many copies of a page share.
     own = persisted(met.groupBy("host", "page").agg(F.collect_set("digest").alias("templates")))
     superseded(found, templates)
@@ -350,7 +373,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                 if known:
                     _digest(order)
                 kept, _ = _kept(order, frozenset(known or ()), names)
-                texts.append(_text(order, kept, names))
+                texts.append("\n\n".join(blocks_of(_tops(order, kept, names), kept)))
             yield pa.RecordBatch.from_pydict({"id": b.column("id"), "url": b.column("url"), "text": pa.array(texts, pa.string())})
 
     kinds = dict(base.dtypes)

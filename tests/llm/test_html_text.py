@@ -199,3 +199,20 @@ def test_pages_of_one_host_share_no_list_of_templates(spark):
     rows = [(k, "http://a.example/", page(k, k % 5), None) for k in range(40)] + [(100 + k, "http://a.example/", page(7, 2), None) for k in range(30)]
     got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
     assert got == {**{k: f"Story {k}" for k in range(40)}, **{100 + k: "Story 7" for k in range(30)}}
+
+
+def test_subtrees_that_do_not_bear_on_the_text_are_rightly_left_out(spark):
+    """Pages with all host templates at hand have the text that the join of own and telling ones gives."""
+    rng = random.Random(9)
+    bits = ["<nav><ul><li>a</li></ul></nav>", "<div class='x'><article><p>T</p></article></div>", "<article><h1>H</h1><ul><li>s</li></ul><p>{}</p></article>", "<div><p>all {}</p></div>", "<main><div><p>m</p></div><article><p>{}</p></article></main>", "<section><div>u</div><p>{}</p></section>", "<footer><p>f</p></footer>", "<div class='ad'><p>b</p></div>"]
+    rows = [(k, f"http://h{k % 3}.example/{k}", "<body>" + "".join(rng.choice(bits).format(rng.randint(0, 40)) for _ in range(rng.randint(1, 6))) + "</body>", None) for k in range(200)]
+    df = spark.createDataFrame(rows, PAGES)
+    known = {r.host: frozenset(r.templates) for r in site_templates(df.select(F.regexp_extract("url", "//([^/]+)", 1).alias("host"), "html")).collect()}
+    changed = 0
+    for r in extract_text(df).collect():
+        order = in_order(parse(rows[r.page_id][2]))
+        _digest(order)
+        kept, _ = _kept(order, known[f"h{r.page_id % 3}.example"])
+        assert r.text == "\n\n".join(blocks_of(_main(order, kept), kept)), rows[r.page_id]
+        changed += r.text != text(rows[r.page_id][2])
+    assert changed > 50
