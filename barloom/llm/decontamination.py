@@ -7,8 +7,8 @@ the window lists the patterns, and a direct comparison of all words confirms an
 
 The benchmark is cut into blocks of bounded size by whole windows; a block is broadcast as text, built into tables once a worker, and passed
 over all documents. The tables are bytes and sorted numbers that point into the benchmark's text: some 10 bytes a byte of block_bytes, and as much again while they
-are built. With several blocks a document carries the hit spans found so far from one pass to the next; in between the documents are
-written, so that a worker never holds more than one block's tables.
+are built. With several blocks each pass reads the source anew and writes only the spans of texts that are hit, under a digest of the text; the last
+pass meets them there. No text is written, and a worker never holds more than one block's tables.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import uuid
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -129,8 +130,8 @@ def _built(name: str, items: list[tuple[str | None, bytes]], size: int) -> WuMan
     return _BUILT[name]
 
 
-def _pass(name: str, block, size: int, hand_on_text: bool):
-    """Adds one block's spans and items to (text, n_words, spans, items), which come last in each batch."""
+def _pass(name: str, block, size: int):
+    """Adds one block's spans and items to (text, n_words, spans, items), which come last in each batch; the text goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = _built(name, block.value, size).search
@@ -142,14 +143,32 @@ def _pass(name: str, block, size: int, hand_on_text: bool):
                 found, owners = search(words)
                 counts.append(len(words))
                 before = had_spans[k].as_py()
-                spans.append([{"start": x, "stop": y} for x, y in (merged(found + [(s["start"], s["stop"]) for s in before]) if before else found)])
+                spans.append(_as_rows(merged(found + [(s["start"], s["stop"]) for s in before]) if before else found))
                 items.append(sorted(owners.union(had_items[k].as_py())))
-            columns = {name: b.column(name) for name in b.schema.names if hand_on_text or name != "text"} | {"n_words": pa.array(counts, pa.int64()), "spans": pa.array(spans, pa.list_(_HITS)), "items": pa.array(items, pa.list_(pa.string()))}
+            columns = {name: b.column(name) for name in b.schema.names if name != "text"} | {"n_words": pa.array(counts, pa.int64()), "spans": pa.array(spans, pa.list_(_HITS)), "items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
+def _as_rows(spans: list[tuple[int, int]]) -> list[dict]:
+    return [{"start": x, "stop": y} for x, y in spans]
+
+
+def _hits(name: str, block, size: int):
+    """(digest, spans, items) of the texts (digest, text) that one block hits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = _built(name, block.value, size).search
+        for b in batches:
+            text, digest = b.column("text"), b.column("digest")
+            found = [(digest[k].as_py(), *search(words_of(text[k].as_py() or b""))) for k in range(b.num_rows)]
+            found = [x for x in found if x[1]]
+            yield pa.RecordBatch.from_pydict({"digest": pa.array([x[0] for x in found], pa.binary()), "spans": pa.array([_as_rows(x[1]) for x in found], pa.list_(_HITS)), "items": pa.array([sorted(x[2]) for x in found], pa.list_(pa.string()))})
+
+    return run
+
+
 def _pieces(text: bytes, size: int, most_bytes: int) -> Iterator[bytes]:
     """The text, or if it is longer than most_bytes pieces that share size - 1 words, so that each window lies in one of them."""
     if len(text) <= most_bytes:
@@ -196,27 +215,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def _searched(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> DataFrame:
     """(id, n_words, spans, items, n_hit) from (id, text as UTF-8 bytes)."""
     spark = rows.sparkSession
-    state = rows.select(
-        "id", "text", F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<struct<start:int,stop:int>>").alias("spans"), F.array().cast("array<string>").alias("items"),
-    )
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in state.schema.fields])
     blocks = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
-    block = next(blocks, [])
-    written = None
-    while block is not None:
-        after = next(blocks, None)
-        if after is None:  # the last pass needn't hand on the texts
-            schema = T.StructType([f for f in schema.fields if f.name != "text"])
+    block, after, earlier = next(blocks, []), next(blocks, None), []
+    none = {"spans": F.array().cast("array<struct<start:int,stop:int>>"), "items": F.array().cast("array<string>")}
+    if after is not None:
+        rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    while after is not None:
         shared = spark.sparkContext.broadcast(block)
-        state = state.mapInArrow(_pass(uuid.uuid4().hex, shared, window, after is not None), schema)
-        if after is not None:
-            state, before = persisted(state), written
-            shared.destroy()
-            if before is not None:
-                superseded(before)
-            written = state
-        block = after
+        hits = rows.select("digest", "text").mapInArrow(_hits(uuid.uuid4().hex, shared, window), "digest binary, spans array<struct<start:int,stop:int>>, items array<string>")
+        earlier.append(persisted(hits.dropDuplicates(["digest"])))
+        shared.destroy()
+        block, after = after, next(blocks, None)
+    if earlier:
+        found = reduce(DataFrame.unionAll, earlier).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+        found = persisted(found)
+        superseded(*earlier)
+        rows = rows.join(found, "digest", "left").withColumns({c: F.coalesce(c, none[c]) for c in none})
+    state = rows.select("id", "text", F.lit(0).cast("bigint").alias("n_words"), *(list(none) if earlier else [x.alias(c) for c, x in none.items()]))
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in state.schema.fields if f.name != "text"])
+    state = state.mapInArrow(_pass(uuid.uuid4().hex, spark.sparkContext.broadcast(block), window), schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + (s["stop"] - s["start"]))
     return state.withColumn("n_hit", n_hit)
 

@@ -4,6 +4,8 @@ import tracemalloc
 
 import pandas as pd
 
+from barloom.llm import decontamination
+from barloom.llm.common import persisted
 from barloom.llm.decontamination import WuManber, contamination
 from tests.llm.rows import awkward, empty, lower
 
@@ -81,3 +83,15 @@ def test_awkward_rows_and_empty_tables(spark):
     check(awkward(spark), bench)
     check(awkward(spark), bench.limit(0))
     check(empty(spark), bench)
+
+
+def test_passes_write_hits_and_no_texts(spark, monkeypatch):
+    """Between the passes of many blocks only hit texts leave a row, one for all copies; the table of all of them goes by digest."""
+    written = []
+    monkeypatch.setattr(decontamination, "persisted", lambda df: written.append(persisted(df)) or written[-1])
+    docs = spark.createDataFrame([(k, "x y z copied") for k in range(500)] + [(1000 + k, f"plain {k}") for k in range(500)] + [(2000, "q r s and x y z"), (2001, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "x y z"), (2, "q r s"), (3, "never seen here"), (4, "x y z")], "item_id bigint, text string")
+    monkeypatch.setattr(decontamination, "superseded", lambda *tables: None)
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in contamination(docs, bench, window=3, block_bytes=6).collect()}
+    assert len(got) == 1002 and got[7] == (4, 3, ["1", "4"]) and got[2000] == (7, 6, ["1", "2", "4"]) and got[1003] == (2, 0, []) and got[2001] == (0, 0, [])
+    assert len(written) == 4 and all("text" not in t.columns and t.count() <= 2 for t in written)
