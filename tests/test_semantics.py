@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -270,3 +271,24 @@ def test_flat_candles(spark):
     df = C.directional(C.flows(C.spreads(C.bar_moves(C.scalars(bars)))))
     last = df.orderBy(F.desc("ts")).first()
     assert (last.clv, last.body, last.cs_spread_24, last.mfi_24, last.adx_24, last.efficiency_24) == (0.0, 0.0, 0.0, None, None, None)
+
+
+def test_grid_equals_a_walk_over_hours(spark):
+    """Gaps, bars off the steps, repeated bars, nulls and several keys against a walk from the first to the last bar of each key."""
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1, 0, 30)
+    rows = [(k, start + dt.timedelta(minutes=60 * h + 17 * (rng.random() < 0.1)), rng.choice([None, float(rng.randint(1, 9))]), rng.choice([None, 2.0])) for k in "abc" for h in sorted(rng.sample(range(1, 90), 30)) + [0]]
+    rows += [rows[0], ("a", None, 1.0, 1.0)]
+    got = B.fill_grid(spark.createDataFrame(rows, "key string, ts timestamp, price double, volume double"))
+    expected = []
+    for k in "abc":
+        mine = sorted((r for r in rows if r[0] == k and r[1]), key=lambda r: r[1])
+        at, price = mine[0][1], None
+        while at <= mine[-1][1]:
+            here = [r for r in mine if r[1] == at]
+            for r in here:
+                price = r[2] if r[2] is not None else price
+            expected += [(k, at, price, r[3] or 0.0) for r in here] or [(k, at, price, 0.0)]
+            at += dt.timedelta(hours=1)
+    last = {k: max(r[1] for r in rows if r[0] == k and r[1] and (r[1] - min(x[1] for x in rows if x[0] == k and x[1])) % dt.timedelta(hours=1) == dt.timedelta(0)) for k in "abc"}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((r for r in expected if r[1] <= last[r[0]]), key=str)
