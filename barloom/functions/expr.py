@@ -46,6 +46,12 @@ def safe_ln(x: ColumnLike) -> Column:
     return F.when(col(x) > 0, F.ln(col(x)))
 
 
+def ieee_ln(x: ColumnLike) -> Column:
+    """Natural logarithm as of doubles: -Infinity for 0, NaN below."""
+    x = col(x).cast("double")
+    return F.when(x == 0, float("-inf")).when(x < 0, float("nan")).otherwise(F.ln(x))
+
+
 def zero(x: ColumnLike) -> Column:
     """Null becomes 0.0."""
     return F.coalesce(col(x).cast("double"), F.lit(0.0))
