@@ -46,6 +46,13 @@ def safe_ln(x: ColumnLike) -> Column:
     return F.when(col(x) > 0, F.ln(col(x)))
 
 
+def ieee_div(a: ColumnLike, b: ColumnLike) -> Column:
+    """a / b as doubles divide: infinite for a zero divisor, NaN for 0 / 0; null only for a null argument."""
+    a, b = col(a).cast("double"), col(b).cast("double")
+    by_zero = F.when(F.isnan(a) | (a == 0), float("nan")).when(a > 0, float("inf")).when(a < 0, float("-inf"))
+    return F.when(b == 0, by_zero).otherwise(F.try_divide(a, b))
+
+
 def ieee_ln(x: ColumnLike) -> Column:
     """Natural logarithm as of doubles: -Infinity for 0, NaN below."""
     x = col(x).cast("double")
