@@ -267,12 +267,13 @@ def band_widths(df: DataFrame, windows: Iterable[int] = (24, 168), s: Series = S
 
 
 def persistence(df: DataFrame, windows: Iterable[int] = (24, 72), s: Series = S) -> DataFrame:
-    """Counts of rising and falling rows, their difference over all, and choppiness (path over net move, held to 100)."""
+    """Counts of rising and falling rows, their difference over all, and choppiness (path over net move, held to 100; null without a net move, for which rounding isn't taken)."""
     out = {}
     for n in windows:
         w = s.rows(n)
+        path, net = F.sum(F.abs("logret")).over(w), F.abs(F.sum("logret").over(w))
         up, down = (F.sum(F.when(cond, 1).otherwise(0)).over(w) for cond in (F.col("ret") > 0, F.col("ret") < 0))
-        out |= {f"up_count_{n}": up, f"down_count_{n}": down, f"momentum_run_{n}": safe_div(up - down, n), f"chop_{n}": clip(safe_div(F.sum(F.abs("logret")).over(w), F.abs(F.sum("logret").over(w))), 0, 100)}
+        out |= {f"up_count_{n}": up, f"down_count_{n}": down, f"momentum_run_{n}": safe_div(up - down, n), f"chop_{n}": clip(F.when(net > 1e-12 * path, safe_div(path, net)), 0, 100)}
     return df.withColumns(out)
 
 
