@@ -23,11 +23,11 @@ def snap(x: Column, least: float = 1e-12) -> Column:
 
 
 def universe_stats(df: DataFrame, ts: str = "ts", short: str = "cumret_24", long: str = "cumret_168", drawdown: str = "dist_high_168", deep: float = -0.1, exact: bool = True) -> DataFrame:
-    """One row per time: count, median, mean and dispersion of returns, and shares of keys that rise, stand above averages or lie deep below their high."""
+    """One row per time: count, median, mean and dispersion of returns, and shares of keys that rise, stand above averages (by more than rounding) or lie deep below their high."""
     share = lambda cond: F.avg(F.when(cond, 1.0).otherwise(0.0))
     return df.groupBy(ts).agg(
         F.count("*").alias("univ_n"), snap(median(short, exact)).alias("univ_median_short"), snap(F.avg(short)).alias("univ_mean_short"), snap(F.stddev_samp(short)).alias("univ_dispersion_short"), snap(median(long, exact)).alias("univ_median_long"),
-        share(F.col(short) > 0).alias("univ_share_up"), share(F.col("dist_sma_24") > 0).alias("univ_share_above_24"), share(F.col("dist_sma_168") > 0).alias("univ_share_above_168"),
+        share(snap(F.col(short)) > 0).alias("univ_share_up"), share(snap(F.col("dist_sma_24")) > 0).alias("univ_share_above_24"), share(snap(F.col("dist_sma_168")) > 0).alias("univ_share_above_168"),
         share(F.col(drawdown) < deep).alias("univ_share_deep"), snap(median("rv_24", exact)).alias("univ_median_rv"),
     )
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from barloom.operators import cross as K
 from barloom.operators import rolling as R
 
 T0 = dt.datetime(2024, 3, 1)
@@ -18,3 +19,11 @@ def test_a_round_trip_has_no_choppiness(spark):
     got = R.persistence(features(spark), (3,)).where("ts = '2024-03-01 03:00:00'").collect()
     assert len(got) == len(ROUND_TRIPS) and all(r.chop_3 is None for r in got)
     assert all(r.chop_3 is not None for r in R.persistence(features(spark), (3,)).where("ts = '2024-03-01 02:00:00'").collect())
+
+
+def test_a_round_trip_does_not_rise(spark):
+    df = R.cumulative_return(features(spark), (3,)).where("ts = '2024-03-01 03:00:00'")
+    for c in ("dist_sma_24", "dist_sma_168", "dist_high_168", "rv_24"):
+        df = df.withColumn(c, df.cumret_3)
+    got = K.universe_stats(df, short="cumret_3", long="cumret_3").first()
+    assert got.univ_n == len(ROUND_TRIPS) and (got.univ_share_up, got.univ_share_above_24, got.univ_share_above_168) == (0.0, 0.0, 0.0)
