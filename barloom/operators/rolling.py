@@ -366,9 +366,12 @@ def activity_features(df: DataFrame, columns: Sequence[str], n: int = 168, s: Se
 def activity_ratios(df: DataFrame, columns: Sequence[str], short: Sequence[int] = (4, 6, 12, 24, 72), long: int = 168, spreads: Sequence[tuple[int, int]] = ((6, 24), (12, 72), (24, 168)), s: Series = S) -> DataFrame:
     """For each activity column: growth over 6 and 24 rows, means, deviations and sums of short windows against the long one, ratios of deviations, means over deviations up to 24 rows, and z-scores of 6 to 24."""
     out = {}
+    df = df.withColumns({f"{c}_growth_{n}": safe_div(c, F.lag(c, n).over(s.ordered)) - 1 for c in columns for n in (6, 24)})
+    lengths = sorted({*short, long, *(n for pair in spreads for n in pair)})
+    frames = {f"_{what}_{c}_{n}": (what, c, n) for c in columns for n in lengths for what in ("mean", "std", "sum")}
+    df = last_rows(df, frames, s)
     for c in columns:
-        mean, std, total = ((lambda n, f=f: f(c).over(s.rows(n))) for f in (F.avg, F.stddev_samp, F.sum))
-        out |= {f"{c}_growth_{n}": safe_div(c, F.lag(c, n).over(s.ordered)) - 1 for n in (6, 24)}
+        mean, std, total = ((lambda n, what=what: F.col(f"_{what}_{c}_{n}")) for what in ("mean", "std", "sum"))
         for n in short:
             out |= {f"{c}_rel_mean_{n}": safe_div(mean(n), mean(long)), f"{c}_rel_std_{n}": safe_div(std(n), std(long)), f"{c}_rel_cum_{n}": safe_div(total(n), total(long))}
             if n <= 24:
@@ -376,7 +379,7 @@ def activity_ratios(df: DataFrame, columns: Sequence[str], short: Sequence[int]
             if 6 <= n <= 24:
                 out[f"{c}_z_{n}"] = safe_div(F.col(c) - mean(n), std(n))
         out |= {f"{c}_vol_ratio_{a}_{b}": safe_div(std(a), std(b)) for a, b in spreads}
-    return df.withColumns(out)
+    return df.withColumns(out).drop(*frames)
 
 
 def volume_autocorrelation(df: DataFrame, hours: int = 24, s: Series = S, volume: str = "volume") -> DataFrame:

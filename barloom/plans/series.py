@@ -429,7 +429,7 @@ RATIOS = (
 
 @query(over_r(RATIOS, "o AS (PARTITION BY key ORDER BY ts)", *[w(f"w{n}", n) for n in (*_SHORT, 168)], ctes=DAILY_RETURNS))
 def activity_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(R.activity_ratios(daily_base(spark, sf_dir), ["volume"]), *RATIOS)
+    return out(R.activity_ratios(daily_grid(spark, sf_dir).select("key", "ts", "volume"), ["volume"]), *RATIOS)
 
 
 @query(over_r({"volume_acf1_24": _corr("volume", "vb", "h24")}, hours("h24", 24), more=", m AS (SELECT *, lag(volume) OVER (PARTITION BY key ORDER BY ts) AS vb FROM r)", source="m"))
