@@ -6,7 +6,8 @@
    the rank of a pair's bit is its index. The pairs stand in a list by index, so that a look-up is verified.
 3. Tasks add their counts to dense vectors by index, and vectors of the same block are summed in a tree of two levels. Indexes are taken in slices
    of at most most_pairs, of which one at a time is broadcast.
-4. A second pass aligns the documents again and looks their pairs up. Beyond one slice, the pairs of documents meet the counts in a join instead.
+4. The first pass also writes the figures of every document with its distinct pairs; a second one over these looks the pairs up, so that texts are encoded once. Beyond one
+   slice, the pairs of documents meet the counts in a join instead.
 
 Texts are taken apart where both tokenizers are bound to end a token: before a single space, and before a single line break, between characters that aren't
 white space; A never joins those, and B only if one of its pieces did (checked when it is loaded; otherwise texts stay whole). A task aligns a repeated part once,
@@ -277,10 +278,10 @@ class Parts:
         return keys >> 32, keys & 0xFFFFFFFF, links
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows in batches of about AT_ONCE bytes of text, so that what a task holds at once doesn't depend on the size of Spark's batches."""
     for b in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)) // AT_ONCE
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)) // AT_ONCE
         cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), b.num_rows]
         for i, j in itertools.pairwise(cuts):
             if j > i:
@@ -306,28 +307,56 @@ def spread(pairs: np.ndarray) -> np.ndarray:
     return (mix(pairs.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)).astype(np.int64)
 
 
-def _count_pairs(files):
-    """(pair, spread, n): documents of this task that link the pair; a pair may have several rows."""
-    def batch(parts: Parts, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The stretches of values between the bounds, as bytes."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _figures(parts: Parts, flat: np.ndarray, first: np.ndarray) -> dict[str, pa.Array]:
+    """What of the contract's figures needs no counts."""
+    figures, numbers = _sums(parts.figures[flat], first), flat.tolist()
+    shas = [hashlib.sha256("".join(map(parts.groups.__getitem__, numbers[i:j]))[:-1].encode()).hexdigest() if j > i else "" for i, j in itertools.pairwise(first.tolist())]
+    columns = {name: pa.array(figures[:, k]) for k, name in enumerate(("n_a", "n_b", "n_groups"))}
+    return columns | {"n_links": pa.array(_sums(np.diff(parts.first_link)[flat], first)), "groups_sha256": pa.array(shas, pa.string())}
+
+
+#: Columns of _align() behind the id.
+_ALIGNED = {
+    "version": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string(), "pairs": pa.binary(), "links": pa.binary(),
+    "pair": pa.int64(), "spread": pa.int64(), "n": pa.int64(),
+}
+_ALIGNED_SQL = ", ".join(f"{c} { {pa.int64(): 'bigint', pa.string(): 'string', pa.binary(): 'binary'}[t] }" for c, t in _ALIGNED.items())
+
+
+def _align(files):
+    """Rows of two kinds. Every text: its figures, distinct pairs (8 bytes each) and how often it links each (4 bytes). And with a pair: documents of this task that link it; a pair may have several rows."""
+    def rows(id_type: pa.DataType, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_pydict({c: columns[c] if c in columns else pa.nulls(n, t) for c, t in ({"id": id_type} | _ALIGNED).items()})
+
+    def counted(id_type: pa.DataType, parts: Parts, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         pairs = parts.pairs()
         for k in range(0, len(pairs), 100_000):
             own = pairs[k : k + 100_000]
-            yield pa.RecordBatch.from_pydict({"pair": pa.array(own), "spread": pa.array(spread(own)), "n": pa.array(counts[k : k + 100_000])})
+            yield rows(id_type, {"pair": pa.array(own), "spread": pa.array(spread(own)), "n": pa.array(counts[k : k + 100_000])})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = counts = None
+        parts = counts = id_type = None
         for b in _slices(batches):
-            parts = parts or Parts(Tokenizers(*files.value))
+            parts, id_type = parts or Parts(Tokenizers(*files.value), True), b.column("id").type
             flat, first, _ = _without(parts, *parts.of(b.column("text").to_pylist()))
-            _, pair, _ = parts.document_pairs(flat, first)
+            doc, pair, links = parts.document_pairs(flat, first)
             new = np.bincount(pair, minlength=len(parts.pair_number))
             new[: 0 if counts is None else len(counts)] += 0 if counts is None else counts
             counts = new
+            bounds = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            yield rows(id_type, {"id": b.column("id"), "version": b.column("version"), "pairs": _cut(parts.pairs()[pair], bounds), "links": _cut(links.astype(np.int32), bounds)} | _figures(parts, flat, first))
             if parts.full():
-                yield from batch(parts, counts)
-                parts, counts = Parts(parts.tokenizers), None
+                yield from counted(id_type, parts, counts)
+                parts, counts = Parts(parts.tokenizers, True), None
         if counts is not None:
-            yield from batch(parts, counts)
+            yield from counted(id_type, parts, counts)
 
     return run
 
@@ -453,55 +482,37 @@ def _add_up(counted: DataFrame, table: tuple[int, list], blocks: int, low: int,
 _OUT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
-def _report(files, table):
-    """Figures of every text; n_best and count_sum by look-up, null without a table."""
+def _score(table):
+    """Figures of every text, with n_best and count_sum by look-up of its pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = known = None
-        for b in _slices(batches):
-            if parts is None or parts.full():
-                parts = Parts(parts.tokenizers if parts else Tokenizers(*files.value), True)
-                by_pair = np.zeros((0, 2), np.int64)
-            if known is None and table is not None:
+        known = None
+        for b in _slices(batches, "pairs"):
+            if known is None:
                 content, counts, tops = table.value
                 known = PairTable(*content)
-            texts = b.column("text").to_pylist()
-            flat, first, differs = _without(parts, *parts.of(texts))
-            figures = _sums(parts.figures[flat], first)
-            n_links = _sums(np.diff(parts.first_link)[flat], first)
-            columns = {"id": b.column("id")} | {name: pa.array(figures[:, k]) for k, name in enumerate(("n_a", "n_b", "n_groups"))} | {"n_links": pa.array(n_links)}
-            if known is None:
-                columns |= {name: pa.nulls(len(texts), pa.int64()) for name in ("n_best", "count_sum")}
-            else:
-                fresh = parts.pairs()[len(by_pair) :]
-                index = known.find(fresh)
-                if (index < 0).any():
-                    raise ValueError("a pair has no count: the documents have changed between the passes")
-                by_pair = np.concatenate([by_pair, np.column_stack([counts[index] == tops[fresh >> 32], counts[index]]).astype(np.int64)])
-                by_part = _sums(by_pair[parts.links], parts.first_link)
-                sums = _sums(by_part[flat], first)
-                columns |= {"n_best": pa.array(sums[:, 0]), "count_sum": pa.array(sums[:, 1])}
-            numbers = flat.tolist()
-            shas = [hashlib.sha256("".join(map(parts.groups.__getitem__, numbers[i:j]))[:-1].encode()).hexdigest() if j > i else "" for i, j in itertools.pairwise(first.tolist())]
-            yield pa.RecordBatch.from_pydict(columns | {"groups_sha256": pa.array(shas, pa.string())})
+            pairs, links, first = _stored(b)
+            count = counts[known.find(pairs)]
+            sums = _sums(np.column_stack([np.where(count == tops[pairs >> 32], links, 0), links * count]), first)
+            columns = {c: b.column(c) for c in ("id", "n_a", "n_b", "n_groups", "n_links")} | {"n_best": pa.array(sums[:, 0]), "count_sum": pa.array(sums[:, 1])}
+            yield pa.RecordBatch.from_pydict(columns | {"groups_sha256": b.column("groups_sha256")})
 
     return run
 
 
-def _document_links(files):
-    """(id, version, pair, links): distinct pairs of every text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = None
-        for b in _slices(batches):
-            if parts is None or parts.full():
-                parts = Parts(parts.tokenizers if parts else Tokenizers(*files.value))
-            flat, first, _ = _without(parts, *parts.of(b.column("text").to_pylist()))
-            doc, pair, links = parts.document_pairs(flat, first)
-            pairs = parts.pairs()
-            for k in range(0, len(doc), 100_000):
-                own, take = slice(k, k + 100_000), pa.array(doc[k : k + 100_000])
-                yield pa.RecordBatch.from_pydict({"id": b.column("id").take(take), "version": b.column("version").take(take), "pair": pa.array(pairs[pair[own]]), "links": pa.array(links[own])})
+def _stored(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs and links of all texts, where each text's begin) as _align() wrote them."""
+    pairs, links = (np.frombuffer(b"".join(b.column(c).to_pylist()), t) for c, t in (("pairs", np.int64), ("links", np.int32)))
+    return pairs, links.astype(np.int64), np.concatenate([[0], np.cumsum(pc.binary_length(b.column("pairs")).to_numpy(zero_copy_only=False) // 8)]).astype(np.int64)
 
-    return run
+
+def _document_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, version, pair, links): distinct pairs of every text."""
+    for b in _slices(batches, "pairs"):
+        pairs, links, first = _stored(b)
+        doc = np.repeat(np.arange(b.num_rows), np.diff(first))
+        for k in range(0, len(doc), 100_000):
+            own, take = slice(k, k + 100_000), pa.array(doc[k : k + 100_000])
+            yield pa.RecordBatch.from_pydict({"id": b.column("id").take(take), "version": b.column("version").take(take), "pair": pa.array(pairs[own]), "links": pa.array(links[own])})
 
 
 def _files(docs: DataFrame, tokenizers_dir: str, a: str, b: str):
@@ -527,13 +538,15 @@ def alignment(
     spark = docs.sparkSession
     files = _files(docs, tokenizers_dir, a, b)
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
-    counted = persisted(base.select("text").mapInArrow(_count_pairs(files), "pair bigint, spread bigint, n bigint"))
+    kind = base.schema["id"].dataType.simpleString()
+    aligned = persisted(base.mapInArrow(_align(files), f"id {kind}, {_ALIGNED_SQL}"))
+    counted = aligned.where("pair IS NOT NULL").select("pair", "spread", "n")
+    figures = aligned.where("pair IS NULL").drop("pair", "spread", "n")
     distinct = persisted(counted.select("pair", "spread").distinct())
     n = distinct.count()
     blocks = max(1, n // min(BLOCK_PAIRS, most_pairs))
     model = persisted(distinct.select(_block(blocks).alias("block"), "pair").groupBy("block").applyInArrow(_hash_block, _BLOCKS))
     step = max(1, blocks * most_pairs // max(1, n))
-    kind = base.schema["id"].dataType.simpleString()
     slices, tops = [], np.zeros(0, np.int64)
     for low in range(0, blocks, step):
         table = _slice(blocks, model, low, low + step)
@@ -546,20 +559,19 @@ def alignment(
         tops = highest  # one number for each id of A
         if blocks <= step:
             shared = spark.sparkContext.broadcast((table, counts, tops))
-            superseded(counted, distinct, model)
-            return base.select("id", "text").mapInArrow(_report(files, shared), f"id {kind}, {_OUT}").withColumnRenamed("id", id_col)
+            superseded(distinct, model)
+            return figures.mapInArrow(_score(shared), f"id {kind}, {_OUT}").withColumnRenamed("id", id_col)
         slices.append(persisted(spark.createDataFrame(pa.table({"pair": own, "n": counts}))))
     best = spark.createDataFrame(pa.table({"a": np.arange(len(tops)), "top": tops}))  # as many rows as A has ids
     known = slices[0]
     for more in slices[1:]:
         known = known.unionByName(more)
     known = persisted(known.withColumn("a", F.shiftright("pair", 32)).join(F.broadcast(best), "a").select("pair", "n", (F.col("n") == F.col("top")).alias("is_best")))
-    superseded(counted, distinct, model, *slices)
-    links = base.mapInArrow(_document_links(files), f"id {kind}, version bigint, pair bigint, links bigint")
+    superseded(distinct, model, *slices)
+    links = figures.select("id", "version", "pairs", "links").mapInArrow(_document_links, f"id {kind}, version bigint, pair bigint, links bigint")
     rows = base.groupBy("id", "version").agg(F.count("*").alias("copies"))
     sums = links.join(known.hint("merge"), "pair").groupBy("id", "version").agg(F.sum(F.col("links") * F.col("n")).alias("count_sum"), F.sum(F.when(F.col("is_best"), F.col("links")).otherwise(0)).alias("n_best"))
     same = lambda x, y: x["id"].eqNullSafe(y["id"]) & (x["version"] == y["version"])
     sums = persisted(sums.join(rows, same(sums, rows)).select(sums["id"], sums["version"], *[F.expr(f"{c} div copies").alias(c) for c in ("count_sum", "n_best")]))
-    figures = base.select(F.struct("id", "version").alias("id"), "text").mapInArrow(_report(files, None), f"id struct<id:{kind},version:bigint>, {_OUT}").select("id.*", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
     zero = lambda c: F.coalesce(sums[c], F.lit(0)).cast("bigint").alias(c)
     return figures.join(sums, same(figures, sums), "left").select(figures["id"].alias(id_col), "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")
